@@ -126,8 +126,8 @@ def explained_variance(df: DataFrame, columns: list[str], target: float = 0.9) -
     shares = pca_model(df, columns, len(columns)).stages[-1].explainedVariance.toArray()
     rows, total = [], 0.0
     for i, share in enumerate(shares):
-        rows.append((i + 1, float(share), float(total + share), total < target))
-        total += share
+        rows.append((i + 1, float(share), total + float(share), total < target))
+        total += float(share)
     return df.sparkSession.createDataFrame(
         rows, "component int, variance double, cumulative double, needed boolean")
 

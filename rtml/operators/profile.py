@@ -133,7 +133,7 @@ def equal_width_bins(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     number = F.when(width == 0, 1).otherwise(
         F.least(F.floor((F.col(value) - F.col("_s.lo")) / width) + 1, F.lit(bins)))
     found = placed.groupBy(number.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    frame = span.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).cast("long").alias("bin"), "s")
+    frame = span.select(F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))).alias("bin"), "s")
     step = (F.col("s.hi") - F.col("s.lo")) / bins
     return frame.join(found, "bin", "left").select(
         "bin", (F.col("s.lo") + (F.col("bin") - 1) * step).alias("low"),
