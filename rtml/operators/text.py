@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
+from pyspark.mllib.linalg import Vectors as OldVectors
+from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rtml.plans.prefix import CHUNK, running_totals, with_chunk
@@ -110,11 +114,6 @@ def svd_embedding(df: DataFrame, vec: str, k: int = 50, keep: list[str] | None =
 
     Uses the distributed Gramian: its size is vocabulary x vocabulary, bounded by max_features.
     """
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    import numpy as np
-    import pandas as pd
-
     rows = df.select(vec).rdd.map(lambda r: OldVectors.fromML(r[0]))
     svd = RowMatrix(rows).computeSVD(k, computeU=False)
     basis = svd.V.toArray()

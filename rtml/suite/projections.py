@@ -80,9 +80,8 @@ SELECT customer_id, count(DISTINCT session_id) AS total_sessions, count(*) AS to
 FROM (SELECT *, event_type = 'page_view' AND product_id IS NOT NULL AS viewed,
  CASE WHEN event_type = 'purchase' THEN price * coalesce(quantity, 1) END AS paid
  FROM {INTERACTIONS_SQL})
-JOIN (SELECT customer_id, hour(ts) AS best_hour FROM {INTERACTIONS_SQL} GROUP BY ALL
- QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, hour(ts)) = 1)
- USING (customer_id) GROUP BY customer_id""",
+JOIN (SELECT customer_id, arg_min(h, [-n, h]) AS best_hour FROM (SELECT customer_id, hour(ts) AS h,
+ count(*) AS n FROM {INTERACTIONS_SQL} GROUP BY 1, 2) GROUP BY 1) USING (customer_id) GROUP BY customer_id""",
        d="avg_time_on_page avg_events_per_session total_revenue avg_order_value view_to_cart_rate "
          "cart_to_purchase_rate", i="total_time_on_site preferred_hour", digits=4)
 def customer_rfm(t):
