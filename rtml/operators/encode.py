@@ -7,14 +7,18 @@ is ranked over range partitions and joined with a shuffle.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, \
     VectorAssembler
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rtml.plans.prefix import ordered_index, row_numbers, running_totals, with_chunk
 
 SMALL_DICTIONARY = 1_000_000
+LOCAL_DICTIONARY = 20_000
+_LOCAL_TYPES = (T.StringType, T.IntegralType, T.DoubleType, T.FloatType, T.BooleanType, T.DateType)
 
 
 def distinct_sizes(df: DataFrame, columns: list[str]) -> dict[str, int]:
@@ -23,6 +27,15 @@ def distinct_sizes(df: DataFrame, columns: list[str]) -> dict[str, int]:
     return row.asDict()
 
 
+def _likely_short(df: DataFrame, columns: list[str], look: int = 20_000) -> list[str]:
+    """Columns whose first rows repeat values; only chooses a strategy, never a result."""
+    fit = [c for c in columns if isinstance(df.schema[c].dataType, _LOCAL_TYPES)]
+    if not fit:
+        return []
+    head = df.select(*fit).limit(look).toArrow()
+    return [c for c in fit if pc.count_distinct(head[c]).as_py() <= max(look // 4, 1)]
+
+
 def codes_of(df: DataFrame, column: str, large: bool = False) -> DataFrame:
     """Dictionary ``(value, code)`` of one column: codes 0.. in value order, null last."""
     values = df.select(F.col(column).alias("value")).distinct()
@@ -34,12 +47,64 @@ def codes_of(df: DataFrame, column: str, large: bool = False) -> DataFrame:
     return values.select("value", (F.dense_rank().over(w) - 1).cast("long").alias("code"))
 
 
+def local_codes(df: DataFrame, columns: list[str],
+                limit: int = LOCAL_DICTIONARY) -> dict[str, DataFrame]:
+    """Dictionaries of several short-valued columns from one pass over the rows.
+
+    The distinct values are gathered up to ``limit`` per column, ranked and handed back as small
+    local tables. A column with more values gets no local table.
+    """
+    if not columns:
+        return {}
+    found = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
+        for c in columns])).alias("p")).select("p.feature", "p.value").distinct() \
+        .limit(limit * len(columns) + 1).toArrow()
+    if found.num_rows > limit * len(columns):
+        return {}
+    out = {}
+    for c in columns:
+        kind = df.schema[c].dataType
+        values = found.filter(pc.equal(found["feature"], c))["value"].to_pylist()
+        texts = [v for v in values if v is not None]
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            texts.sort(key=float)
+        elif isinstance(kind, T.IntegralType):
+            texts.sort(key=int)
+        else:
+            texts.sort(key=lambda v: v.encode())
+        ranked = [*texts, *([None] if len(texts) < len(values) else [])]
+        table = pa.table({"value": pa.array(ranked, pa.string()),
+                          "code": pa.array(range(len(ranked)), pa.int64())})
+        out[c] = df.sparkSession.createDataFrame(table) \
+            .select(F.col("value").cast(kind).alias("value"), "code")
+    return out
+
+
+def dictionaries(df: DataFrame, columns: list[str],
+                 small_limit: int = SMALL_DICTIONARY) -> dict[str, tuple[DataFrame, bool]]:
+    """``(value, code)`` table of every column and whether it is small enough to broadcast.
+
+    Short dictionaries come from one shared pass; of the others the size is counted, and up to
+    ``small_limit`` values are ranked in one window, more over range partitions.
+    """
+    local = {}
+    if small_limit >= LOCAL_DICTIONARY:
+        local = local_codes(df, _likely_short(df, columns))
+    rest = [c for c in columns if c not in local]
+    sizes = distinct_sizes(df, rest) if rest else {}
+    out = {c: (table, True) for c, table in local.items()}
+    for c in rest:
+        large = sizes[c] > small_limit
+        out[c] = (codes_of(df, c, large), not large)
+    return out
+
+
 def label_dictionary(df: DataFrame, columns: list[str],
                      small_limit: int = SMALL_DICTIONARY) -> DataFrame:
     """Long dictionary ``(feature, value, code)``; values as text, codes in the value's own order."""
-    sizes = distinct_sizes(df, columns)
-    parts = [codes_of(df, c, sizes[c] > small_limit)
-             .select(F.lit(c).alias("feature"), F.col("value").cast("string").alias("value"), "code")
+    tables = dictionaries(df, columns, small_limit)
+    parts = [tables[c][0].select(F.lit(c).alias("feature"), F.col("value").cast("string").alias("value"), "code")
              for c in columns]
     out = parts[0]
     for p in parts[1:]:
@@ -49,16 +114,18 @@ def label_dictionary(df: DataFrame, columns: list[str],
 
 def label_encode(df: DataFrame, columns: list[str], suffix: str = "",
                  small_limit: int = SMALL_DICTIONARY, source: DataFrame | None = None) -> DataFrame:
-    """Replace (or add, with a suffix) label codes; ``source`` supplies the dictionary rows."""
-    source = df if source is None else source
-    sizes = distinct_sizes(source, columns)
+    """Replace (or add, with a suffix) label codes; ``source`` supplies the dictionary rows.
+
+    Dictionaries of a counted, bounded size are broadcast; larger ones are joined with a shuffle.
+    """
+    tables = dictionaries(df if source is None else source, columns, small_limit)
     out = df
     for c in columns:
-        large = sizes[c] > small_limit
-        codes = codes_of(source, c, large).select(F.col("value").alias(f"_v_{c}"),
+        table, bounded = tables[c]
+        codes = table.select(F.col("value").alias(f"_v_{c}"),
                                                   F.col("code").alias(f"_c_{c}"))
-        if not large:
-            codes = F.broadcast(codes)  # at most small_limit rows, counted above
+        if bounded:
+            codes = F.broadcast(codes)
         out = out.join(codes, F.col(c).eqNullSafe(F.col(f"_v_{c}")), "left").drop(f"_v_{c}")
     coded = {f"{c}{suffix}": F.col(f"_c_{c}") for c in columns}
     return out.withColumns(coded).drop(*[f"_c_{c}" for c in columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rtml.operators.encode import category_values
-from rtml.plans.prefix import exact_quantiles
+from rtml.plans.prefix import exact_quantiles, exact_quantiles_of, running_totals, with_chunk
 
 # Bucket bounds of the service histograms, in seconds or bytes.
 BUCKETS = {
@@ -90,14 +90,17 @@ def target_statistics(df: DataFrame, target: str) -> DataFrame:
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, nulls, mean, std, min, exact quartiles, max per column, one row each."""
     n = F.count(F.lit(1))
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
-        for c in columns])).alias("p")).select("p.column", "p.x")
-    basic = long.groupBy("column").agg(
-        F.count("x").alias("count"), (n - F.count("x")).alias("nulls"), F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
-    quart = exact_quantiles(long, "x", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
-    return basic.join(quart, "column", "left")
+    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    one = df.agg(n.alias("rows"), *[
+        F.struct(*[f(F.col(c).cast("double")).alias(s) for s, f in stats.items()]).alias(c)
+        for c in columns])
+    basic = one.select("rows", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("s")) for c in columns])).alias("p")) \
+        .select("p.column", F.col("p.s.count").alias("count"),
+                (F.col("rows") - F.col("p.s.count")).alias("nulls"),
+                *[F.col(f"p.s.{s}").alias(s) for s in ("mean", "std", "min", "max")])
+    quartiles = exact_quantiles_of(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return basic.join(quartiles, "column", "left")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -160,7 +163,6 @@ def running_ratio(df: DataFrame, order: str, positive: Column, block: int = 100)
 
     Blocks are counted first; the running sum then goes over blocks in chunks.
     """
-    from rtml.plans.prefix import running_totals, with_chunk
     number = F.floor(F.col(order) / block).cast("long")
     blocks = df.groupBy(number.alias("block")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(positive).alias("_p"))

@@ -13,6 +13,7 @@ from rtml.functions.scalars import bool_to_int, json_struct, parse_timestamp, ti
 from rtml.operators.encode import SMALL_DICTIONARY, apply_dictionary, label_dictionary, \
     label_encode
 from rtml.operators.sample import percent_sample
+from rtml.session import spread
 
 
 def _with_time(df: DataFrame, column: str = "timestamp") -> DataFrame:
@@ -67,7 +68,7 @@ def training_features(events: DataFrame, project: str, sample_percent: float | N
     if sample_percent is not None and max_rows is not None:
         raise ValueError("give sample_percent or max_rows, not both")
     decode, numeric, categorical, target = PROJECTS[project]
-    rows = decode(events)
+    rows = decode(spread(events))
     if sample_percent is not None:
         rows = percent_sample(rows, sample_percent)
     coded = label_encode(rows, categorical, small_limit=small_limit)
@@ -77,14 +78,14 @@ def training_features(events: DataFrame, project: str, sample_percent: float | N
 
 def feature_dictionary(events: DataFrame, project: str) -> DataFrame:
     decode, _, categorical, _ = PROJECTS[project]
-    return label_dictionary(decode(events), categorical)
+    return label_dictionary(decode(spread(events)), categorical)
 
 
 def serving_features(events: DataFrame, project: str, dictionary: DataFrame,
                      unknown: str = "zero", keep: list[str] | None = None) -> DataFrame:
     """Same columns in the same order, codes looked up in the stored dictionary."""
     decode, numeric, categorical, _ = PROJECTS[project]
-    rows = decode(events)
+    rows = decode(spread(events))
     coded = apply_dictionary(rows, dictionary, categorical, unknown, suffix="_code")
     return coded.select(*numeric, *[F.col(f"{c}_code").alias(c) for c in categorical])
 
@@ -100,7 +101,7 @@ def customer_features(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     viewed = (kind == "page_view") & F.col("product_id").isNotNull()
     place = json_struct(F.col("location"), S.LOCATION)
-    rows = events.withColumn("_ts", parse_timestamp(F.col("timestamp"))).withColumns({
+    rows = spread(events).withColumn("_ts", parse_timestamp(F.col("timestamp"))).withColumns({
         "_hour": F.hour("_ts"), "_day": F.to_date("_ts"),
         "_geo": F.when(place.isNotNull() & place["lat"].isNotNull(),
                        F.concat_ws(",", F.round(place["lat"], 2), F.round(place["lon"], 2))),

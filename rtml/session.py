@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "rtml", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,3 +54,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of the optimized plan, from file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input of few files over all cores before heavy per-row work.
+
+    Only inputs with fewer files than cores and at most one scan split per core are moved; a large
+    table is already read in many splits and is returned unchanged, without a shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution()
+    if plan.executedPlan().outputPartitioning().numPartitions() >= cores:
+        return df
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if plan_bytes(df) > cores * split or not 0 < len(df.inputFiles()) < cores:
+        return df
+    return df.repartition(cores)

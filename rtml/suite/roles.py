@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rtml.session import spread
+
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -13,7 +15,7 @@ def iso_text(c: str) -> Column:
 
 def as_transactions(lineitem: DataFrame) -> DataFrame:
     """Line items as card transactions (schema of the fraud table, columns that are used)."""
-    return lineitem.select(
+    return spread(lineitem).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
         iso_text("l_shipdate").alias("timestamp"), F.col("l_extendedprice").alias("amount"),
         F.col("l_returnflag").alias("currency"),
@@ -43,7 +45,7 @@ def as_trips(orders: DataFrame) -> DataFrame:
         return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
     cust, order = F.col("o_custkey"), F.col("o_orderkey")
-    return orders.select(
+    return spread(orders).select(
         text("trip_", order.cast("string")).alias("trip_id"),
         text("driver_", cust.cast("string")).alias("driver_id"),
         text("vehicle_", (cust % 90).cast("string")).alias("vehicle_id"),
@@ -93,7 +95,7 @@ KEYED_SQL = "(SELECT *, (props->>'k')::BIGINT AS k FROM events)"
 
 def as_interactions(events: DataFrame) -> DataFrame:
     """Events as shop interactions; a session is one user and day."""
-    e = event_key(events)
+    e = event_key(spread(events))
     kind = F.col("event_type")
     k = F.col("k")
     search = kind == "signup"
