@@ -15,6 +15,7 @@ from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, Str
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rtml.plans.prefix import ordered_index, row_numbers, running_totals, with_chunk
+from rtml.session import bounded
 
 SMALL_DICTIONARY = 1_000_000
 LOCAL_DICTIONARY = 20_000
@@ -292,7 +293,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(F.col(label).alias("_label"),
                                               F.col("weight").alias(out))
-    return df.join(weights, F.col(label).eqNullSafe(F.col("_label")), "left").drop("_label")
+    return df.join(bounded(weights), F.col(label).eqNullSafe(F.col("_label")), "left").drop("_label")
 
 
 def negative_positive_ratio(df: DataFrame, label: str) -> DataFrame:

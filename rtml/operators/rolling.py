@@ -1,14 +1,14 @@
 """Running, row-rolling and time-rolling metrics over an ordered stream.
 
-Every sliding mean is a difference of running sums inside a bounded block, so its cost per row
-does not depend on the frame length and no key has to fit in one task.
+A sliding mean is a running sum that rows enter and leave, kept within bounded blocks or chunks, so
+its cost per row does not depend on the frame length and no key has to fit in one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rtml.plans.prefix import CHUNK, overlapped, row_numbers, running_totals, with_chunk
+from rtml.plans.prefix import overlapped, quantile_bounds, row_numbers, running_totals, with_chunk
 
 
 def running_means(df: DataFrame, keys: list[str], order: str,
@@ -43,38 +43,27 @@ def rolling_means(df: DataFrame, keys: list[str], order: str, exprs: dict[str, C
 
 
 def time_rolling_means(df: DataFrame, keys: list[str], ts: str, exprs: dict[str, Column],
-                       seconds: int = 300, block_seconds: int = 3600) -> DataFrame:
+                       seconds: int = 300) -> DataFrame:
     """Mean over the rows of the key in [ts - seconds, ts], rows of equal time included.
 
-    Each row enters the running sum at its time and leaves it just after time + seconds; rows
-    still alive at the end of a time block enter the next block too.
+    Each row enters the running sum at its time and leaves it just after time + seconds, so the sum
+    always is that of the live rows and a burst of any size is cut into even chunks like any order.
     """
-    period, length = seconds * 1_000_000, max(block_seconds, seconds) * 1_000_000
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = df.withColumns({f"_x_{n}": e for n, e in exprs.items()} | {"_t": t}) \
-        .withColumn("_b", F.floor(F.col("_t") / F.lit(length)).cast("long"))
-    end = (F.col("_b") + 1) * F.lit(length)
-    stays = F.col("_t") + period < end
-
-    def entry(block, at, kind, sign, own):
-        return F.struct(block.alias("b"), at.alias("at"), F.lit(kind).alias("kind"),
-                        F.lit(sign).alias("sign"), F.lit(own).alias("own"))
-
-    here, nxt = F.col("_b"), F.col("_b") + 1
-    leave = F.col("_t") + period
-    moves = F.when(stays, F.array(entry(here, F.col("_t"), 0, 1, True),
-                                  entry(here, leave, 1, -1, False))) \
-        .otherwise(F.array(entry(here, F.col("_t"), 0, 1, True),
-                           entry(nxt, F.col("_t"), 0, 1, False),
-                           entry(nxt, leave, 1, -1, False)))
-    steps = base.withColumn("_m", F.explode(moves))
-    w = Window.partitionBy(*keys, "_m.b").orderBy("_m.at", "_m.kind") \
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = steps.select(*df.columns, F.col("_m.own").alias("_own"),
-                        F.sum("_m.sign").over(w).alias("rows_in_frame"),
-                        *[F.sum(F.col("_m.sign") * F.col(f"_x_{n}")).over(w).alias(f"_s_{n}")
-                          for n in exprs])
-    return sums.where("_own").select(*df.columns, F.col("rows_in_frame").cast("long"), *[
+    base = df.withColumns({f"_x_{n}": e for n, e in exprs.items()} |
+                          {"_t": F.unix_micros(F.col(ts).cast("timestamp"))})
+    moves = F.array(
+        F.struct(F.col("_t").alias("at"), F.lit(0).alias("kind"), F.lit(1).alias("sign")),
+        F.struct((F.col("_t") + seconds * 1_000_000).alias("at"), F.lit(1).alias("kind"),
+                 F.lit(-1).alias("sign")))
+    steps = base.withColumn("_m", F.explode(moves)).select(
+        *df.columns, *[f"_x_{n}" for n in exprs], F.col("_m.at").alias("_at"),
+        F.col("_m.kind").alias("_kind"), F.col("_m.sign").alias("_sign"))
+    measures = {f"_s_{n}": F.col("_sign") * F.col(f"_x_{n}") for n in exprs} | \
+        {"rows_in_frame": F.col("_sign").cast("long")}
+    bounds = quantile_bounds(base, "_t")
+    run = running_totals(with_chunk(steps, "_at", bounds), keys, ["_at", "_kind"], measures,
+                         peers=True)
+    return run.where(F.col("_kind") == 0).select(*df.columns, "rows_in_frame", *[
         (F.col(f"_s_{n}") / F.col("rows_in_frame")).alias(n) for n in exprs])
 
 
@@ -122,6 +111,3 @@ def lag_features(df: DataFrame, keys: list[str], order: str, value: str, lags: i
     out = blocks.select("*", *[c.alias(n) for n, c in cols.items()])
     return out.where("_own").select(*df.columns, *cols)
 
-
-__all__ = ["CHUNK", "running_means", "every", "rolling_means", "time_rolling_means",
-           "rolling_auc", "lag_features"]

@@ -11,7 +11,7 @@ import random
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rtml.plans.prefix import CHUNK, row_numbers
-from rtml.session import shuffle_partitions
+from rtml.session import bounded, shuffle_partitions
 
 
 def hash_unit(key: str | Column, seed: int = 42) -> Column:
@@ -61,7 +61,7 @@ def _with_stratum_size(df: DataFrame, strata: list[str]) -> DataFrame:
     for s in strata:
         same = F.col(s).eqNullSafe(F.col(f"_k_{s}"))
         match = same if match is None else match & same
-    return df.join(sizes, match).drop(*[f"_k_{s}" for s in strata])
+    return df.join(bounded(sizes), match).drop(*[f"_k_{s}" for s in strata])
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2,

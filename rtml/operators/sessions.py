@@ -44,7 +44,11 @@ def session_summary(df: DataFrame, session: list[str], ts: str) -> DataFrame:
 
 def session_windows(df: DataFrame, user: str, ts: str,
                     gap_seconds: int = INACTIVITY_SECONDS) -> DataFrame:
-    """Sessions by the built-in session window (batch or streaming)."""
+    """Sessions by the built-in session window (batch or streaming).
+
+    Set ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` (a default of this package's
+    sessions), so a hot user's rows are merged into sessions before the shuffle.
+    """
     return df.groupBy(user, F.session_window(F.col(ts).cast("timestamp"), f"{gap_seconds} seconds")
                       .alias("w")) \
         .agg(F.count(F.lit(1)).alias("events")) \

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def get_spark(app: str = "rtml", master: str | None = None, **conf: str) -> SparkSession:
@@ -16,6 +16,7 @@ def get_spark(app: str = "rtml", master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
@@ -56,6 +57,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bounded(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """Broadcast a small derived table, such as one row per class, after counting its rows.
+
+    With more rows it is returned without a hint and Spark chooses the join.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of the optimized plan, from file sizes."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -68,12 +68,17 @@ def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def append_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                 once: bool = False, interval: str = "10 seconds",
-                name: str | None = None) -> StreamingQuery:
-    """Exactly-once append; with Delta, new columns are merged into the table."""
+                name: str | None = None, partition_by: list[str] | None = None) -> StreamingQuery:
+    """Exactly-once append; with Delta, new columns are merged into the table.
+
+    ``partition_by`` (such as an event date) lets later reads skip whole folders.
+    """
     writer = df.writeStream.format(fmt).outputMode("append") \
         .option("checkpointLocation", checkpoint).option("path", path)
     if fmt == "delta":
         writer = writer.option("mergeSchema", "true")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)

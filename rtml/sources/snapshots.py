@@ -17,11 +17,16 @@ def read_snapshot(spark: SparkSession, path: str, split: str | None = None) -> D
     return df.where(F.col("split") == split).drop("split") if split else df
 
 
-def counts_to_json(counts: DataFrame, cluster: str = "cluster") -> DataFrame:
+def counts_to_json(counts: DataFrame, cluster: str = "cluster",
+                   max_values: int = 100_000) -> DataFrame:
     """Long counts to one JSON document ``{cluster: {feature: {value: n}}}`` per cluster.
 
-    One row per cluster, so the whole export is never held in one place.
+    One row per cluster, so the whole export is never held in one place. A cluster with more than
+    ``max_values`` counted values is refused: such counts stay a table.
     """
+    longest = counts.groupBy(cluster).count().agg(F.max("count")).first()[0] or 0
+    if longest > max_values:
+        raise ValueError(f"{longest} values in one cluster; keep the counts as a table")
     values = counts.groupBy(cluster, "feature").agg(F.map_from_entries(F.array_sort(
         F.collect_list(F.struct("value", "n")))).alias("m"))
     features = values.groupBy(cluster).agg(F.map_from_entries(F.array_sort(

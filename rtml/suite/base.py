@@ -41,6 +41,7 @@ def query(name: str, sql: str | None = None, d: str = "", i: str = "", digits: i
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
             return present(fn(Tables(spark, folder)), digits)
 
         run.__name__, run.__doc__ = name, fn.__doc__

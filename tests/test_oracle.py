@@ -8,7 +8,7 @@ import __spark_entry__ as entry_module
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 ORDERED = [
     "running_scale", "lag_season_features", "first_seen_codes", "session_ids", "session_sequence",
-    "running_accuracy_every_100", "rolling_mae_1000", "block_rolling_auc", "roc_points", "roc_auc",
+    "running_accuracy_every_100", "rolling_mae_1000", "block_rolling_auc", "time_rolling_mae_5m", "roc_points", "roc_auc",
     "threshold_table", "best_threshold", "multiclass_auc", "running_positive_ratio",
     "counter_increments", "instant_rate", "alert_intervals", "word_dispersion", "metric_history",
 ]

@@ -115,12 +115,15 @@ def test_rolling_over_block_borders(spark):
     assert got.join(want, "id").where("abs(m - m2) > 1e-9").count() == 0 and got.count() == 500
 
 
-def test_time_rolling_over_block_borders(spark):
+@pytest.mark.parametrize("bytes_limit", ["0", str(32 << 20)])
+def test_time_rolling(spark, bytes_limit):
+    spark.conf.set("rtml.chunk.minBytes", bytes_limit)
     r = random.Random(10)
     data = [(i, r.randint(0, 4000), float(r.randint(0, 9))) for i in range(600)]
     df = spark.createDataFrame(data, "id long, s long, x double") \
         .withColumn("ts", F.timestamp_seconds("s"))
-    got = time_rolling_means(df, [], "ts", {"m": F.col("x")}, seconds=60, block_seconds=90)
+    got = time_rolling_means(df, [], "ts", {"m": F.col("x")}, seconds=60)
+    spark.conf.unset("rtml.chunk.minBytes")
     w = Window.orderBy("s").rangeBetween(-60, 0)
     want = df.select("id", F.avg("x").over(w).alias("m2"), F.count(F.lit(1)).over(w).alias("n2"))
     bad = got.join(want, "id").where("abs(m - m2) > 1e-9 or rows_in_frame <> n2")
