@@ -166,11 +166,14 @@ def pr_points(curve: DataFrame) -> DataFrame:
                         _ratio(F.col("tp"), F.col("p_all")).alias("recall"))
 
 
+def _precision_area() -> Column:
+    return F.sum(F.try_divide(F.col("pos").cast("double"), F.col("p_all")) *
+                 _ratio(F.col("tp"), F.col("tp") + F.col("fp")))
+
+
 def average_precision(curve: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Sum over thresholds of recall gain times precision."""
-    return curve.groupBy(*(by or [])).agg(F.sum(
-        F.try_divide(F.col("pos").cast("double"), F.col("p_all")) *
-        _ratio(F.col("tp"), F.col("tp") + F.col("fp"))).alias("average_precision"))
+    return curve.groupBy(*(by or [])).agg(_precision_area().alias("average_precision"))
 
 
 def det_points(curve: DataFrame) -> DataFrame:
@@ -263,11 +266,12 @@ def multiclass_auc(df: DataFrame, y: str, scores: dict) -> DataFrame:
     long = one_vs_rest(df, y, scores)
     lines = long.select(F.explode(F.array("label", F.lit("micro"))).alias("curve"), "hit", "score")
     curve = score_curve(lines, "hit", "score", ["curve"])
-    each = roc_auc(curve, ["curve"]).join(average_precision(curve, ["curve"]), "curve")
-    macro = each.where("curve <> 'micro'").agg(
-        F.lit("macro").alias("curve"), F.avg("roc_auc").alias("roc_auc"),
-        F.avg("average_precision").alias("average_precision"))
-    return each.unionByName(macro)
+    each = curve.groupBy("curve").agg(
+        _auc(F.col("pos"), F.col("neg"), F.col("tp"), F.col("p_all"), F.col("n_all"))
+        .alias("roc_auc"), _precision_area().alias("average_precision"))
+    labels = F.array_compact(F.array("curve", F.when(F.col("curve") != "micro", "macro")))
+    return each.withColumn("curve", F.explode(labels)).groupBy("curve").agg(
+        F.avg("roc_auc").alias("roc_auc"), F.avg("average_precision").alias("average_precision"))
 
 
 def calibration_bins(df: DataFrame, y: str, score: str, bins: int = 10,

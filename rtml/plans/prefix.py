@@ -137,17 +137,21 @@ def row_numbers(df: DataFrame, keys: list[str], order: list[Column | str],
 
 def previous_value(df: DataFrame, keys: list[str], order: str, values: list[str],
                    prefix: str = "prev_", chunk: str = CHUNK) -> DataFrame:
-    """Value of the preceding row of the same key, across chunk borders."""
+    """Value of the preceding row of the same key, across chunk borders.
+
+    ``order`` should be unique per key; among equal values any row may be the preceding one.
+    """
     if _is_whole(df, chunk):
         w = _by(keys).orderBy(order)
         return df.select("*", *[F.lag(v).over(w).alias(f"{prefix}{v}") for v in values])
     last = (df.groupBy(*keys, chunk)
-            .agg(F.max(F.struct(order, *[v for v in values if v != order])).alias("_last")))
+            .agg(F.max(order).alias(order),
+                 *[F.max_by(v, order).alias(v) for v in values if v != order]))
     before = _by(keys).orderBy(chunk)
-    carry = (last.select(*keys, chunk, F.lag("_last").over(before).alias("_last"))
-             .where("_last is not null")
-             .select(*keys, chunk, F.lit(0).alias(_SRC), F.col(f"_last.{order}").alias(order),
-                     *[F.col(f"_last.{v}").alias(v) for v in values if v != order]))
+    carried = list(dict.fromkeys([order, *values]))
+    carry = (last.select(*keys, chunk, F.row_number().over(before).alias("_pos"),
+                         *[F.lag(v).over(before).alias(v) for v in carried])
+             .where("_pos > 1").drop("_pos").withColumn(_SRC, F.lit(0)))
     both = df.withColumn(_SRC, F.lit(1)).unionByName(carry, allowMissingColumns=True)
     w = _by(keys, chunk).orderBy(_SRC, order)
     out = both.select("*", *[F.lag(v).over(w).alias(f"{prefix}{v}") for v in values])
