@@ -19,6 +19,10 @@ MAX_BLOCKS = 64
 DRIFT_DELTA = 0.002
 WARNING_DELTA = 0.01
 
+# The keyed step needs this state store; it is a default of this package's sessions.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
 SUMMARY = "key string, first_at long, n long, total double, squares double"
 OUTPUT = "key string, rows long, window_rows long, mean double, drift boolean, warning boolean"
 

@@ -104,6 +104,7 @@ def stream_prequential(t):
 @query("stream_drift")
 def stream_drift(t):
     root = scratch_path(t.spark, "drift")
+    t.spark.conf.set(*D.STATE_STORE)
     rows = event_key(_stream(t)).select("event_type", "event_id",
                                         F.abs(F.col("value") - F.col("k")).alias("error"))
     found = D.detect_drift(rows, "event_type", "event_id", "error")
