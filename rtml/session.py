@@ -33,14 +33,18 @@ def get_spark(app: str = "rtml", master: str | None = None, **conf: str) -> Spar
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints and written intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only when that is unset (tests on one
-    machine) a temporary folder is made and remembered on the session.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a temporary folder is made
+    and remembered on the session if the master is local; on a cluster every executor would write to
+    its own disk, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = spark.conf.get("rtml.scratch.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="rtml-")
         spark.conf.set("rtml.scratch.dir", folder)
     if not spark.sparkContext.getCheckpointDir():
