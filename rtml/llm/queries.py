@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rtml.llm import chat, decontaminate, jaccard, langmodel, mixing, quality, secrets, tokencount, \
     tokenfiles, vectors
+from rtml.llm.oracles import LLM_ORACLES  # noqa: F401
 from rtml.session import scratch_path
 
 
@@ -85,5 +86,3 @@ LLM_QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_embedding_near_dedup, op3_quality_classifier, op4_lm_scoring,
     op5_jaccard_join, op6_chat_formatting, op7_mixing, op8_decontamination, op9_token_files,
     op10_secret_scans, pipeline)}
-
-LLM_ORACLES: dict[str, str] = {}

@@ -134,8 +134,10 @@ def finding_digests(found: DataFrame, path_col: str = "doc_id",
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", F.get(kinds, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("long")
-              .alias(f"n_{r.kind}") for k, r in enumerate(BASE_RULES)]
+    def count(rank):
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+
+    counts = [count(k).alias(f"n_{r.kind}") for k, r in enumerate(BASE_RULES)]
     return found.select(F.col(path_col), *counts,
                         F.sha2(text(F.filter("spans", lambda s: s["rank"] < base)), 256)
                         .alias("base_sha256"), text(F.col("spans")).alias("spans"))
