@@ -13,6 +13,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -132,45 +133,70 @@ class TextEncoder:
     strings hold no white space. The tests hold this against encoding whole texts.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str, limit: int = 500_000):
+    def __init__(self, tokenizer_json: str, dtype: str, limit: int = 300_000):
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_str(tokenizer_json)
+        self.pieces = self.model.model.tokenize
         self.dtype, self.limit = dtype, limit
         self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.model.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        self.older: dict[bytes, bytes] = {}
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
         split = [t.split() if t else [] for t in texts]
+        if len(self.known) > self.limit:  # words of the last generation come back when they are met
+            self.known, self.older = {}, self.known
         known = self.known
         missing = {w for ws in split for w in ws if w not in known}
         if missing:
-            self._learn(missing, split)
-            known = self.known
+            self._learn(missing)
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
-    def _learn(self, missing: set[bytes], split: list[list[bytes]]) -> None:
-        if len(self.known) + len(missing) > self.limit and self.known:
-            self.known = {}
-            missing = {w for ws in split for w in ws}
-        known = self.known
-        plain: dict[bytes, tuple[bytes, bytes]] = {}
+    def _letters(self, word: bytes) -> bytes | None:
+        """Ids of a word of letters only, straight from the model: such a word is one pre-token, and
+        up to U+024F its normal form is its lower case. None for any other word."""
+        if word.isalpha():  # ASCII letters
+            text = word.decode().lower()
+        else:
+            text = word.decode("utf-8", "replace")
+            if not text.isalpha() or max(text) > "\u024f" or "\u0130" in text:
+                return None
+            text = text.lower().encode().decode("latin-1").translate(_BYTE_CHARS)
+        return np.array([t.id for t in self.pieces(text)], self.dtype).tobytes()
+
+    def _learn(self, missing: set[bytes]) -> None:
+        known, older, rest = self.known, self.older, []
         for w in missing:
-            core = w.rstrip(b".,!?;:%$&*#|")
-            if core.isalpha():  # ASCII letters only
-                plain[w] = core.lower(), w[len(core):]
-            else:
-                plain[w] = w, b""
-        pieces = [p for p in {x for pair in plain.values() for x in pair if x} if p not in known]
-        ids = dict(zip(pieces, self._encode([p.decode("utf-8", "replace") for p in pieces])))
-        ids[b""] = b""
-        for w, (core, tail) in plain.items():
-            known[w] = (ids[core] if core in ids else known[core]) + \
-                (ids[tail] if tail in ids else known[tail])
+            ids = older.get(w)
+            if ids is None:
+                core = w.rstrip(b".,!?;:%$&*#|")
+                ids = known.get(core)
+                if ids is None:
+                    ids = self._letters(core)
+                if ids is None:
+                    rest.append(w)
+                    continue
+                known[core] = ids
+                if len(core) < len(w):
+                    tail = w[len(core):]
+                    if tail not in known:
+                        known[tail] = self._encode([tail.decode()])[0]
+                    ids += known[tail]
+            known[w] = ids
+        known.update(zip(rest, self._encode([w.decode("utf-8", "replace") for w in rest])))
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        found = self.model.encode_batch(words, add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+
 
+def _byte_chars() -> dict[int, int]:
+    """Byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 0x100 + i for i, b in enumerate(hidden)}
 
+
+_BYTE_CHARS = _byte_chars()
 _ENCODERS: dict[int, TextEncoder] = {}
 
 
@@ -194,10 +220,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
                       block_ids: int = BLOCK_IDS) -> str:
     """Encode every text (null: empty), append ``end_id``, and write the files in ascending id order.
 
-    Ids must fit a long; a null id sorts first; rows with equal ids are kept, ordered by text. Other
-    columns are ignored. The tokenizer file is read on the driver and sent to the workers. One pass
-    counts ids for the shared table (a row per id and task), one range-partitions the texts, encodes
-    them in streams and writes one file per partition; tasks hold one block and a batch of texts.
+    Ids must fit a long; a null id sorts first; rows with equal ids are kept, ordered by their token
+    ids. Other columns are ignored. The tokenizer file is read on the driver and sent to the workers.
+    Texts are encoded once, into a working table of packed ids; one pass over it counts ids for the
+    shared table (a row per id and task), and a range partitioning of it feeds the coder in streams,
+    one file per partition. Tasks hold one block and one batch.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -208,12 +235,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     end = np.array([end_id], dtype).tobytes()
 
+    def tokenize(batches):
+        coder, pack = _encoder(shared, dtype), zstandard.ZstdCompressor(1).compress
+        for batch in batches:
+            coded = coder.texts(batch.column(1).cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([pack(c + end) for c in coded], pa.binary())],
+                names=["id", "ids"])
+
     def count(batches):
-        totals = np.zeros(1, np.int64)
-        coder = _encoder(shared, dtype)
+        totals, unpack = np.zeros(1, np.int64), zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            coded = coder.texts(batch.column(0).cast(pa.binary()).to_pylist())
-            ids = np.frombuffer(b"".join(coded) + end * len(coded), dtype)
+            ids = np.frombuffer(b"".join(map(unpack, batch.column(0).to_pylist())), dtype)
             more = np.bincount(ids)
             if len(more) > len(totals):
                 more[:len(totals)] += totals
@@ -224,7 +257,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(totals[used])],
                                          names=["id", "n"])
 
-    counts = rows.select("text").mapInArrow(count, "id long, n long") \
+    packed = stored(rows.mapInArrow(tokenize, "id long, ids binary"), "packed")
+    counts = packed.select("ids").mapInArrow(count, "id long, n long") \
         .groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     coder = Coder.from_counts(counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
     spark.createDataFrame(
@@ -235,7 +269,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
 
     def encode(batches):
         part, block = TaskContext.get().partitionId(), 0
-        texts_of, coder = _encoder(shared, dtype), table.value
+        coder, unpack = table.value, zstandard.ZstdDecompressor().decompress
         held, names, lengths, size = [], [], [], 0
 
         def flush():
@@ -248,11 +282,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
                 "ids_crc32": zlib.crc32(ids.tobytes())}], schema=_BLOCK_ARROW)
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for key, ids in zip(keys, texts_of.texts(texts)):
-                held += [ids, end]
-                n = len(ids) // len(end) + 1
+            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = unpack(raw)
+                held.append(ids)
+                n = len(ids) // len(end)
                 names.append(key)
                 lengths.append(n)
                 size += n
@@ -263,7 +296,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
         if names:
             yield flush()
 
-    rows.repartitionByRange("id").sortWithinPartitions("id", "text") \
+    packed.repartitionByRange("id").sortWithinPartitions("id", "ids") \
         .mapInArrow(encode, BLOCK_SCHEMA) \
         .write.option("compression", "none").parquet(f"{path}/blocks")
     return path
