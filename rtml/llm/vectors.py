@@ -38,7 +38,7 @@ def signatures(unit: np.ndarray, k: int, tables: int, seed: int = 7) -> np.ndarr
     draw = np.random.default_rng(seed)
     planes = draw.standard_normal((unit.shape[1], k * tables))
     cells = np.floor((unit @ planes + draw.uniform(0, CELL, k * tables)) / CELL).astype(np.int64)
-    out = np.zeros((len(unit), tables), np.uint64)
+    out = np.full((len(unit), tables), unit.shape[1], np.uint64)  # unlike lengths never meet
     for i in range(k):
         out = (out ^ cells[:, i::k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(31)
