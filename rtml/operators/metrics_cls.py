@@ -293,7 +293,8 @@ def calibration_bins(df: DataFrame, y: str, score: str, bins: int = 10,
 
 
 def prob_losses(df: DataFrame, y: str, score: str, eps: float = 2.220446049250313e-16) -> DataFrame:
-    """Log loss, Brier score and their D2 forms against the base rate."""
+    """Log loss, Brier score and their D2 forms against the base rate, over complete rows."""
+    df = df.where(F.col(y).isNotNull() & F.col(score).isNotNull())
     p = F.least(F.greatest(F.col(score), F.lit(eps)), F.lit(1 - eps))
     hit = F.col(y).cast("double")
     base = df.agg(F.avg(hit).alias("rate"),

@@ -7,8 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rtml.plans.prefix import exact_quantiles
 
 
+def complete(df: DataFrame, y: str, yhat: str) -> DataFrame:
+    """Rows that have both a target and a prediction; every metric is over these."""
+    return df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
+
+
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """MAE, MSE, RMSE, R2, explained variance and largest error in one pass."""
+    df = complete(df, y, yhat)
     e = F.col(y) - F.col(yhat)
     base = df.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
                   F.max(F.abs(e)).alias("max_error"), F.var_pop(e).alias("_ve"),
@@ -21,6 +27,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 def percentage_errors(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """MAPE and SMAPE in percent; rows with a zero denominator are left out."""
+    df = complete(df, y, yhat)
     t, p = F.col(y), F.col(yhat)
     size = F.abs(t) + F.abs(p)
     return df.agg(
@@ -29,13 +36,13 @@ def percentage_errors(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 
 def median_absolute_error(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    errors = df.select(F.abs(F.col(y) - F.col(yhat)).alias("_e"))
+    errors = complete(df, y, yhat).select(F.abs(F.col(y) - F.col(yhat)).alias("_e"))
     return exact_quantiles(errors, "_e", {"median_ae": 0.5})
 
 
 def log_errors(df: DataFrame, y: str, yhat: str, floor: float = 1e-10) -> DataFrame:
     d = F.log1p(F.greatest(F.col(y), F.lit(floor))) - F.log1p(F.greatest(F.col(yhat), F.lit(floor)))
-    return df.agg(F.avg(d * d).alias("msle")).select("msle", F.sqrt("msle").alias("rmsle"))
+    return complete(df, y, yhat).agg(F.avg(d * d).alias("msle")).select("msle", F.sqrt("msle").alias("rmsle"))
 
 
 def tweedie_terms(y: Column, mu: Column, power: float) -> Column:
@@ -53,7 +60,7 @@ def tweedie_terms(y: Column, mu: Column, power: float) -> Column:
 
 def deviances(df: DataFrame, y: str, yhat: str, power: float = 1.5) -> DataFrame:
     t, p = F.col(y), F.col(yhat)
-    return df.agg(F.avg(tweedie_terms(t, p, 1)).alias("poisson"),
+    return complete(df, y, yhat).agg(F.avg(tweedie_terms(t, p, 1)).alias("poisson"),
                   F.avg(tweedie_terms(t, p, 2)).alias("gamma"),
                   F.avg(tweedie_terms(t, p, power)).alias("tweedie"))
 
@@ -69,6 +76,7 @@ def d2_scores(df: DataFrame, y: str, yhat: str, alpha: float = 0.5,
 
     Null predictions are the median, the alpha quantile and the mean of the target.
     """
+    df = complete(df, y, yhat)
     null = exact_quantiles(df, y, {"med": 0.5, "qa": alpha}).select(F.struct("med", "qa")).scalar()
     mean = df.agg(F.avg(y)).scalar()
     t, p = F.col(y), F.col(yhat)
@@ -104,5 +112,5 @@ def residual_histogram(df: DataFrame, y: str, yhat: str, bins: int = 50,
 
 def fit_line(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """Least-squares line of predicted on actual values."""
-    return df.agg(F.regr_slope(yhat, y).alias("slope"),
+    return complete(df, y, yhat).agg(F.regr_slope(yhat, y).alias("slope"),
                   F.regr_intercept(yhat, y).alias("intercept"), F.regr_r2(yhat, y).alias("r2"))

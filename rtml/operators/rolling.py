@@ -13,11 +13,13 @@ from rtml.plans.prefix import overlapped, quantile_bounds, row_numbers, running_
 
 def running_means(df: DataFrame, keys: list[str], order: str,
                   exprs: dict[str, Column]) -> DataFrame:
-    """Mean of each expression over all rows so far, current row included."""
-    measures = {f"_sum_{n}": e for n, e in exprs.items()} | {"rows_so_far": F.lit(1).cast("long")}
+    """Mean of each expression over all rows so far, current row included; nulls are left out."""
+    measures = {f"_sum_{n}": F.coalesce(e.cast("double"), F.lit(0.0)) for n, e in exprs.items()} | \
+        {f"_n_{n}": e.isNotNull().cast("long") for n, e in exprs.items()} | \
+        {"rows_so_far": F.lit(1).cast("long")}
     run = running_totals(with_chunk(df, order), keys, [order], measures)
     return run.select(*df.columns, "rows_so_far", *[
-        (F.col(f"_sum_{n}") / F.col("rows_so_far")).alias(n) for n in exprs])
+        F.try_divide(F.col(f"_sum_{n}"), F.col(f"_n_{n}")).alias(n) for n in exprs])
 
 
 def every(df: DataFrame, order: str, n: int = 100) -> DataFrame:
@@ -27,25 +29,45 @@ def every(df: DataFrame, order: str, n: int = 100) -> DataFrame:
 
 def rolling_means(df: DataFrame, keys: list[str], order: str, exprs: dict[str, Column],
                   rows: int = 1000, rows_per_block: int = 200_000) -> DataFrame:
-    """Mean over the last ``rows`` rows of the key, current row included."""
-    base = df.withColumns({f"_x_{n}": e for n, e in exprs.items()})
+    """Mean over the last ``rows`` rows of the key, current row included; nulls are left out.
+
+    Positions are cut into segments of ``rows``. A frame is the end of one segment and the beginning
+    of the next, so it is a running sum from behind plus one from the front: nothing is ever
+    subtracted, and a NaN or a huge value acts on the frames that hold it and on no other.
+    """
+    base = df.withColumns({f"_x_{n}": e.cast("double") for n, e in exprs.items()})
     numbered = row_numbers(with_chunk(base, order), keys, [order], out="_rn")
-    blocks = overlapped(numbered, "_rn", max(rows_per_block, 2 * rows), rows)
+    size = rows * max(2, -(-rows_per_block // rows))
+    blocks = overlapped(numbered, "_rn", size, rows) \
+        .withColumn("_seg", F.floor((F.col("_rn") - 1) / rows))
+    segment = Window.partitionBy(*keys, "_block", "_seg").orderBy("_rn")
+    front = segment.rowsBetween(Window.unboundedPreceding, 0)
+    behind = segment.rowsBetween(0, Window.unboundedFollowing)
+    parts = []
+    for n in exprs:
+        x = F.col(f"_x_{n}")
+        value, there = F.coalesce(x, F.lit(0.0)), x.isNotNull().cast("long")
+        parts += [F.sum(value).over(front).alias(f"_fs_{n}"),
+                  F.sum(there).over(front).alias(f"_fn_{n}"),
+                  F.sum(value).over(behind).alias(f"_bs_{n}"),
+                  F.sum(there).over(behind).alias(f"_bn_{n}")]
+    sums = blocks.select("*", *parts)
     w = Window.partitionBy(*keys, "_block").orderBy("_rn")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    sums = blocks.select("*", *[F.sum(f"_x_{n}").over(upto).alias(f"_s_{n}") for n in exprs])
+    inner = F.pmod(F.col("_rn"), F.lit(rows)) == 0  # the frame is this very segment
     held = sums.select("*", *[
-        (F.col(f"_s_{n}") - F.coalesce(F.lag(f"_s_{n}", rows).over(w), F.lit(0.0)))
-        .alias(f"_h_{n}") for n in exprs])
-    size = F.least(F.col("_rn"), F.lit(rows))
+        (F.col(f"_f{k}_{n}") + F.when(inner, zero).otherwise(F.coalesce(
+            F.lag(f"_b{k}_{n}", rows - 1).over(w), zero)) if rows > 1 else F.col(f"_f{k}_{n}"))
+        .alias(f"_h{k}_{n}") for n in exprs for k, zero in (("s", F.lit(0.0)), ("n", F.lit(0)))])
     return held.where("_own").select(*df.columns, *[
-        (F.col(f"_h_{n}") / size).alias(n) for n in exprs])
+        F.try_divide(F.col(f"_hs_{n}"), F.col(f"_hn_{n}")).alias(n) for n in exprs])
 
 
 def time_rolling_means(df: DataFrame, keys: list[str], ts: str, exprs: dict[str, Column],
                        seconds: int = 300) -> DataFrame:
     """Mean over the rows of the key in [ts - seconds, ts], rows of equal time included.
 
+    Nulls are left out. Non-finite values are counted apart: frames that hold one are NaN.
+
     Each row enters the running sum at its time and leaves it just after time + seconds, so the sum
     always is that of the live rows and a burst of any size is cut into even chunks like any order.
     """
@@ -58,13 +80,20 @@ def time_rolling_means(df: DataFrame, keys: list[str], ts: str, exprs: dict[str,
     steps = base.withColumn("_m", F.explode(moves)).select(
         *df.columns, *[f"_x_{n}" for n in exprs], F.col("_m.at").alias("_at"),
         F.col("_m.kind").alias("_kind"), F.col("_m.sign").alias("_sign"))
-    measures = {f"_s_{n}": F.col("_sign") * F.col(f"_x_{n}") for n in exprs} | \
-        {"rows_in_frame": F.col("_sign").cast("long")}
+    measures = {"rows_in_frame": F.col("_sign").cast("long")}
+    for n in exprs:
+        x = F.col(f"_x_{n}").cast("double")
+        odd = F.isnan(x) | (F.abs(x) == float("inf"))
+        measures |= {f"_s_{n}": F.when(x.isNull() | odd, 0.0).otherwise(F.col("_sign") * x),
+                     f"_n_{n}": F.when(x.isNull(), 0).otherwise(F.col("_sign")).cast("long"),
+                     f"_o_{n}": F.when(F.coalesce(odd, F.lit(False)), F.col("_sign"))
+                     .otherwise(0).cast("long")}
     bounds = quantile_bounds(base, "_t")
     run = running_totals(with_chunk(steps, "_at", bounds), keys, ["_at", "_kind"], measures,
                          peers=True)
     return run.where(F.col("_kind") == 0).select(*df.columns, "rows_in_frame", *[
-        (F.col(f"_s_{n}") / F.col("rows_in_frame")).alias(n) for n in exprs])
+        F.when(F.col(f"_o_{n}") > 0, float("nan"))
+        .otherwise(F.try_divide(F.col(f"_s_{n}"), F.col(f"_n_{n}"))).alias(n) for n in exprs])
 
 
 def rolling_auc(df: DataFrame, keys: list[str], order: str, label: str, score: str,

@@ -221,13 +221,14 @@ def _brackets(df: DataFrame, columns: list[str], rows: int,
 
 def exact_quantiles_of(df: DataFrame, columns: list[str],
                        quantiles: dict[str, float]) -> DataFrame:
-    """Linearly interpolated quantiles, one row ``(column, <names>)`` per column; nulls ignored.
+    """Linearly interpolated quantiles, one row ``(column, <names>)`` per column; nulls and NaN ignored.
 
     A quantile sketch first brackets each position, then only the values inside the brackets (about
     six thousandths of the rows each) are counted and ordered, in chunks. No task holds all values,
     as the built-in exact ``percentile`` would. Three passes whatever the number of columns.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c)
+                          for c in columns])
     sizes = numbers.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     wanted = sorted(set(quantiles.values()))
     brackets = _brackets(numbers, columns, max(sizes.values()), wanted)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rtml.operators.profile import value_list  # noqa: F401
 from rtml.plans import canned
-from rtml.plans.sqlguard import grid_order, grid_page, grid_search, guarded
+from rtml.plans.sqlguard import grid_order, grid_page, grid_search, guarded, guarded_flagged
 from rtml.suite.base import query
 from rtml.suite.roles import INTERACTIONS_SQL, TRANSACTIONS_SQL, TRIPS_SQL, as_interactions, \
     as_transactions, as_trips
@@ -40,22 +40,73 @@ def guarded_sql_rollup(t):
                                "GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 
 
-@query("guarded_sql_cte", """SELECT user_id, total FROM (SELECT user_id, sum(value) AS total FROM events
- GROUP BY user_id) WHERE total > (SELECT sum(value) / count(DISTINCT user_id) FROM events)""",
-       d="total", digits=4)
+_CTE = """WITH totals AS (SELECT user_id, SUM(value) AS total FROM {t} GROUP BY user_id)
+ SELECT COUNT(*) AS users, SUM(total) AS total, MIN(user_id) AS first_user FROM totals
+ WHERE total > (SELECT AVG(total) FROM totals)"""
+_SETS = """SELECT COUNT(*) AS users, SUM(user_id) AS ids FROM (
+ SELECT user_id FROM {t} WHERE event_type = 'purchase' INTERSECT
+ SELECT user_id FROM {t} WHERE event_type = 'error' EXCEPT
+ SELECT user_id FROM {t} WHERE event_type = 'signup' AND value > 300)"""
+
+
+@query("guarded_sql_cte", _CTE.format(t="events"), d="total", digits=4)
 def guarded_sql_cte(t):
-    return guarded(t.events, "WITH totals AS (SELECT user_id, SUM(value) AS total FROM data "
-                             "GROUP BY user_id) SELECT user_id, total FROM totals "
-                             "WHERE total > (SELECT AVG(total) FROM totals)", mode="lax")
+    return guarded(t.events, _CTE.format(t="data"), mode="lax")
 
 
-@query("guarded_sql_set_ops", """SELECT user_id FROM events WHERE event_type = 'purchase' INTERSECT
- SELECT user_id FROM events WHERE event_type = 'error' EXCEPT
- SELECT user_id FROM events WHERE event_type = 'signup' AND value > 300""")
+@query("guarded_sql_set_ops", _SETS.format(t="events"), i="ids")
 def guarded_sql_set_ops(t):
-    return guarded(t.events, "SELECT user_id FROM data WHERE event_type = 'purchase' INTERSECT "
-                             "SELECT user_id FROM data WHERE event_type = 'error' EXCEPT "
-                             "SELECT user_id FROM data WHERE event_type = 'signup' AND value > 300")
+    return guarded(t.events, _SETS.format(t="data"))
+
+
+@query("guarded_sql_truncated", """SELECT event_id, event_type, true AS truncated FROM events
+ ORDER BY event_id LIMIT 100""")
+def guarded_sql_truncated(t):
+    """More rows than the cap allows: the first ones, and the flag."""
+    return guarded_flagged(t.events, "SELECT event_id, event_type FROM data ORDER BY event_id", 100)
+
+
+def _same(name: str, sql: str, table: str, **kw):
+    """One text for both engines, the table being ``data`` under the guard."""
+    @query(name, sql.format(t=table), **kw)
+    def run(t):
+        return guarded(getattr(t, table), sql.format(t="data"), mode="lax")
+    return run
+
+
+_same("guarded_sql_outer_join", """SELECT a.event_type, COUNT(*) AS n, COUNT(b.event_id) AS followed
+ FROM {t} a LEFT JOIN {t} b ON a.user_id = b.user_id AND b.event_id = a.event_id + 1
+ GROUP BY a.event_type""", "events")
+_same("guarded_sql_full_join", """SELECT COALESCE(a.user_id, b.user_id) AS user_id, a.n AS buys,
+ b.n AS errors FROM (SELECT user_id, COUNT(*) AS n FROM {t} WHERE event_type = 'purchase'
+ GROUP BY user_id) a FULL OUTER JOIN (SELECT user_id, COUNT(*) AS n FROM {t}
+ WHERE event_type = 'error' GROUP BY user_id) b ON a.user_id = b.user_id
+ ORDER BY 1 LIMIT 500""", "events")
+_same("guarded_sql_semi_join", """SELECT event_type, COUNT(*) AS n FROM {t} a
+ WHERE EXISTS (SELECT 1 FROM {t} b WHERE b.user_id = a.user_id AND b.event_type = 'signup')
+ GROUP BY event_type""", "events")
+_same("guarded_sql_anti_join", """SELECT event_type, COUNT(*) AS n FROM {t} a
+ WHERE NOT EXISTS (SELECT 1 FROM {t} b WHERE b.user_id = a.user_id AND b.event_type = 'error'
+ AND b.event_id > a.event_id) GROUP BY event_type""", "events")
+_same("guarded_sql_cube", """SELECT l_returnflag, l_linestatus, COUNT(*) AS n FROM {t}
+ GROUP BY CUBE (l_returnflag, l_linestatus)""", "lineitem")
+_same("guarded_sql_grouping_sets", """SELECT l_returnflag, l_linenumber, SUM(l_quantity) AS quantity
+ FROM {t} GROUP BY GROUPING SETS ((l_returnflag), (l_linenumber), ())""", "lineitem", d="quantity")
+_same("guarded_sql_having_distinct", """SELECT l_linenumber, COUNT(DISTINCT l_suppkey) AS suppliers
+ FROM {t} GROUP BY l_linenumber HAVING COUNT(*) > 10""", "lineitem")
+_same("guarded_sql_windows", """SELECT user_id, event_id,
+ ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS rn,
+ LAG(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before,
+ SUM(value) OVER (PARTITION BY user_id ORDER BY event_id
+ ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent FROM {t}
+ ORDER BY user_id, event_id LIMIT 1000""", "events", d="recent", digits=4)
+_same("guarded_sql_correlated", """SELECT o_orderpriority, COUNT(*) AS n FROM {t} o
+ WHERE o_totalprice > (SELECT AVG(i.o_totalprice) FROM {t} i WHERE i.o_custkey = o.o_custkey)
+ GROUP BY o_orderpriority""", "orders")
+_same("guarded_sql_scalars", """SELECT UPPER(event_type) AS kind, LENGTH(event_type) AS len,
+ COALESCE(NULLIF(event_type, 'error'), 'none') AS kept, SUBSTRING(event_type, 1, 3) AS head,
+ SUM(CASE WHEN value > 100 THEN 1 ELSE 0 END) AS large, ROUND(MAX(ABS(value)), 2) AS top
+ FROM {t} GROUP BY event_type""", "events", d="top", i="large len")
 
 
 @query("grid_search_sort_page", """SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders

@@ -23,20 +23,42 @@ def rows(df):
 # --- guarded SQL -----------------------------------------------------------
 
 @pytest.mark.parametrize("text,part", [
-    ("", "empty"), ("  ", "empty"), ("WITH a AS (SELECT 1) SELECT * FROM a", "Only SELECT"),
-    ("SELECT 1; DROP TABLE x", "Forbidden"), ("SELECT replace(a, 'b', 'c') FROM data", "REPLACE"),
-    ("SELECT 1; SELECT 2", "Multiple"), ("SELECT 1 -- x", "comments"), ("SELECT (1", "parentheses"),
-    ("SELECT '" + "x" * 5000 + "'", "too long"), ("SELECT * FROM parquet.`/etc`", "Only the table"),
-    ("SELECT reflect('java.lang.System', 'exit')", "Only the table"),
+    ("", "empty"), ("  ;", "empty"), ("SELECT 1; DROP TABLE x", "single"), ("DROP TABLE x", "single"),
+    ("SELECT 1; SELECT 2", "single"), ("SELECT (1", "single"), ("SELECT 1 /* x", "single"),
+    ("INSERT INTO data SELECT 1", "single"), ("CREATE TABLE t AS SELECT 1", "single"),
+    ("SELECT * FROM parquet.`/etc`", "Only the table"),
+    ("SELECT * FROM `parquet`.`/etc`", "Only the table"),
+    ("SELECT * FROM csv/**/.`/etc`", "Only the table"),
+    ("SELECT * FROM xml.`/etc`", "Only the table"),
+    ("SELECT * FROM other_view", "Only the table"), ("TABLE other_view", "Only the table"),
+    ("SELECT * FROM global_temp.other_view", "Only the table"),
+    ("SELECT (SELECT max(id) FROM other_view) FROM data", "Only the table"),
+    ("SELECT * FROM data WHERE id IN (SELECT id FROM other_view)", "Only the table"),
+    ("SELECT * FROM (WITH other_view AS (SELECT 1 id) SELECT * FROM other_view) JOIN other_view",
+     "Only the table"),
+    ("SELECT 'CTE [other_view]' FROM other_view", "Only the table"),
+    ("SELECT * FROM IDENTIFIER('other' || '_view')", "written out"),
+    ("SELECT * FROM read_files('/etc')", "Table function"),
+    ("SELECT reflect('java.lang.System', 'exit')", "not allowed"),
+    ("SELECT `java_method`('java.lang.System', 'exit') FROM data", "not allowed"),
 ])
-def test_strict_guard_refuses(text, part):
-    assert part in Q.check(text)
+@pytest.mark.parametrize("mode", ["strict", "lax"])
+def test_guard_refuses(spark, text, part, mode):
+    spark.range(1).createOrReplaceTempView("other_view")
+    try:
+        assert part in Q.check(spark, text, mode)
+    finally:
+        spark.catalog.dropTempView("other_view")
 
 
-def test_guard_accepts():
-    assert Q.check("SELECT 1;") is None and Q.check("select a from data where offset_set > 1") is None
-    assert Q.check("WITH a AS (SELECT 1) SELECT * FROM a", "lax") is None
-    assert "DROP" in Q.check("SELECT 1; DROP TABLE x", "lax")
+def test_guard_accepts(spark):
+    for text in ("SELECT 1;", "select a from data where offset_set > 1 -- a comment",
+                 "WITH a AS (SELECT 1 x) SELECT * FROM a JOIN `data` ON true",
+                 "SELECT replace(a, 'b', 'drop') FROM data", "SELECT * FROM data, range(3)",
+                 "SELECT x FROM data LATERAL VIEW explode(array(1)) AS x"):
+        assert Q.check(spark, text) is None and Q.check(spark, text, "lax") is None
+    long = "SELECT '" + "x" * 5000 + "'"
+    assert "too long" in Q.check(spark, long) and Q.check(spark, long, "lax") is None
 
 
 def test_guard_limits_and_cleans(spark):
@@ -47,7 +69,11 @@ def test_guard_limits_and_cleans(spark):
     assert Q.guarded(df, "SELECT id FROM data ORDER BY id LIMIT 3").count() == 3
     assert Q.row_limit(10**6) == 10_000 and Q.row_limit(10**6, "lax") == 100_000
     done = Q.execute(df, "SELECT id FROM data", 50)
-    assert done.row_count == 50 and done.truncated and done.columns == ["id"] and not done.error
+    assert done.row_count == 50 and not done.truncated and done.columns == ["id"] and not done.error
+    assert Q.execute(df, "SELECT id FROM data", 49).truncated
+    flagged = Q.guarded_flagged(df, "SELECT id FROM data", 49).collect()
+    assert len(flagged) == 49 and all(r.truncated for r in flagged)
+    assert not Q.guarded_flagged(df, "SELECT id FROM data", 50).first().truncated
     assert Q.execute(df, "SELECT nothing FROM data").error
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("bound_")]
     with pytest.raises(ValueError):
