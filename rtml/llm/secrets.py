@@ -98,26 +98,25 @@ def scan_versions(docs: DataFrame, ledger_path: str, path_col: str = "doc_id",
                        F.coalesce(F.col(text_col), F.lit("")).alias("content")) \
         .withColumn("blob", F.sha2("content", 256))
     addresses = stored(rows.select("path", "version", "blob"), "blobs")
-    first = addresses.groupBy("blob").agg(F.min(F.struct("path", "version")).alias("one"))
+    # rows not to read: copies of the one chosen row of a blob, and blobs that the ledger has
+    place = F.xxhash64("path", "version")
+    groups = addresses.groupBy("blob").agg(F.min(place).alias("one"), F.count(F.lit(1)).alias("m")) \
+        .where("m > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    salted = addresses.withColumn("place", place) \
+        .withColumn("salt", F.pmod(F.col("place"), F.lit(_SALTS)))
+    skip = salted.join(groups, ["blob", "salt"]).where("place <> one").select("place", "blob")
     ledger = read_ledger(spark, ledger_path, rule_version)
     if ledger is not None:
-        first = first.join(ledger.select("blob"), "blob", "left_anti")
-    # rows not to read: copies of the chosen row, and blobs that the ledger has
-    keyed = addresses.join(first.select("blob", F.col("one.path").alias("p"),
-                                        F.col("one.version").alias("v"),
-                                        F.lit(True).alias("open")), "blob", "left")
-    chosen = F.col("open") & F.col("path").eqNullSafe(F.col("p")) & \
-        F.col("version").eqNullSafe(F.col("v"))
-    skip = stored(keyed.where(~F.coalesce(chosen, F.lit(False)))
-                  .select(F.xxhash64("path", "version", "blob").alias("key")).distinct(), "skip")
-    unread = rows.withColumn("key", F.xxhash64("path", "version", "blob")) \
+        skip = skip.union(salted.join(ledger.select("blob"), "blob", "left_semi")
+                          .select("place", "blob"))
+    skip = stored(skip.select(F.xxhash64("place", "blob").alias("key")).distinct(), "skip")
+    unread = rows.withColumn("key", F.xxhash64(place, "blob")) \
         .join(broadcast_checked(skip), "key", "left_anti")
     unread.select("blob", F.lit(rule_version).alias("rule_version"),
                   all_spans(F.col("content"), rules).alias("spans")) \
         .write.mode("append").parquet(ledger_path)
     found = read_ledger(spark, ledger_path, rule_version).where(F.size("spans") > 0) \
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    salted = addresses.withColumn("salt", F.pmod(F.xxhash64("path", "version"), F.lit(_SALTS)))
     joined = salted.join(found, ["blob", "salt"], "left")
     return joined.select(F.col("path").alias(path_col),
                          *([F.col("version").alias(version_col)] if version_col else []), "blob",
