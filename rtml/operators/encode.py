@@ -1,8 +1,8 @@
 """Label dictionaries, encoders, scalers and class weights.
 
 A label code comes from a dictionary of distinct values, never from a window over the fact table.
-Dictionary sizes are checked first: a small one is ranked in one window and broadcast, a large one
-is ranked over range partitions and joined with a shuffle.
+Dictionary sizes are checked first, over all rows: a small one is ranked in one window and broadcast,
+a large one is ranked over range partitions and joined with a shuffle; both give the same codes.
 """
 
 from __future__ import annotations
@@ -19,27 +19,27 @@ from rtml.session import bounded
 
 SMALL_DICTIONARY = 1_000_000
 LOCAL_DICTIONARY = 20_000
+BROADCAST_BYTES = 64 << 20
 _LOCAL_TYPES = (T.StringType, T.IntegralType, T.DoubleType, T.FloatType, T.BooleanType, T.DateType)
 
 
-def distinct_sizes(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Approximate number of distinct values per column: one pass, one row."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    return row.asDict()
+def _plain_zero(df: DataFrame, columns: list[str]) -> DataFrame:
+    """-0.0 as 0.0 in floating columns, so that text and number agree on what is distinct."""
+    out = {c: F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)).cast(df.schema[c].dataType)
+           for c in columns if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))}
+    return df.withColumns(out) if out else df
 
 
-def _likely_short(df: DataFrame, columns: list[str], look: int = 20_000) -> list[str]:
-    """Columns whose first rows repeat values; only chooses a strategy, never a result."""
-    fit = [c for c in columns if isinstance(df.schema[c].dataType, _LOCAL_TYPES)]
-    if not fit:
-        return []
-    head = df.select(*fit).limit(look).toArrow()
-    return [c for c in fit if pc.count_distinct(head[c]).as_py() <= max(look // 4, 1)]
+def distinct_sizes(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
+    """Approximate number of distinct values and longest text per column: one pass, one row."""
+    row = df.agg(*[F.struct(F.approx_count_distinct(c).alias("n"), F.coalesce(F.max(F.octet_length(
+        F.col(c).cast("string"))), F.lit(0)).alias("len")).alias(c) for c in columns]).first()
+    return {c: (row[c].n, row[c].len) for c in columns}
 
 
 def codes_of(df: DataFrame, column: str, large: bool = False) -> DataFrame:
     """Dictionary ``(value, code)`` of one column: codes 0.. in value order, null last."""
-    values = df.select(F.col(column).alias("value")).distinct()
+    values = _plain_zero(df.select(F.col(column).alias("value")), ["value"]).distinct()
     if large:
         # a null is ranked after all values without disturbing the range partitions
         ranked = ordered_index(values, [F.col("value").asc_nulls_last()], out="code")
@@ -57,7 +57,7 @@ def local_codes(df: DataFrame, columns: list[str],
     """
     if not columns:
         return {}
-    found = df.select(F.explode(F.array(*[
+    found = _plain_zero(df, columns).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
         for c in columns])).alias("p")).select("p.feature", "p.value").distinct() \
         .limit(limit * len(columns) + 1).toArrow()
@@ -69,7 +69,7 @@ def local_codes(df: DataFrame, columns: list[str],
         values = found.filter(pc.equal(found["feature"], c))["value"].to_pylist()
         texts = [v for v in values if v is not None]
         if isinstance(kind, (T.DoubleType, T.FloatType)):
-            texts.sort(key=float)
+            texts.sort(key=lambda v: (v == "NaN", float(v) if v != "NaN" else 0.0))
         elif isinstance(kind, T.IntegralType):
             texts.sort(key=int)
         else:
@@ -86,18 +86,20 @@ def dictionaries(df: DataFrame, columns: list[str],
                  small_limit: int = SMALL_DICTIONARY) -> dict[str, tuple[DataFrame, bool]]:
     """``(value, code)`` table of every column and whether it is small enough to broadcast.
 
-    Short dictionaries come from one shared pass; of the others the size is counted, and up to
-    ``small_limit`` values are ranked in one window, more over range partitions.
+    Sizes come from a pass over all rows and only choose between equal ways: short dictionaries are
+    gathered together in one more pass, up to ``small_limit`` values are ranked in one window, more
+    over range partitions. A broadcast also needs values times longest text within a fixed bound.
     """
-    local = {}
-    if small_limit >= LOCAL_DICTIONARY:
-        local = local_codes(df, _likely_short(df, columns))
-    rest = [c for c in columns if c not in local]
-    sizes = distinct_sizes(df, rest) if rest else {}
-    out = {c: (table, True) for c, table in local.items()}
-    for c in rest:
-        large = sizes[c] > small_limit
-        out[c] = (codes_of(df, c, large), not large)
+    sizes = distinct_sizes(df, columns)
+    short = [c for c in columns if isinstance(df.schema[c].dataType, _LOCAL_TYPES) and
+             sizes[c][0] <= min(LOCAL_DICTIONARY, small_limit) // 2 and
+             sizes[c][0] * sizes[c][1] <= BROADCAST_BYTES // 8]
+    local = local_codes(df, short)
+    out = {}
+    for c in columns:
+        n, longest = sizes[c]
+        fits = n <= small_limit and n * (longest + 16) <= BROADCAST_BYTES
+        out[c] = (local[c] if c in local else codes_of(df, c, n > small_limit), fits)
     return out
 
 
@@ -140,14 +142,17 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame, columns: list[str],
     ``unknown``: ``zero`` codes a missing value 0; ``overflow`` codes it dictionary size + 1 (0 when
     the feature has no dictionary at all); ``null`` leaves it null.
     """
-    sizes = {r.feature: r.n for r in
-             dictionary.where(F.col("feature").isin(columns)).groupBy("feature")
-             .agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per feature
+    found = dictionary.where(F.col("feature").isin(columns)).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes")).collect()
+    sizes = {r.feature: r.n for r in found}  # one row per feature
+    fits = {r.feature for r in found if r.n <= small_limit and
+            r.bytes + 16 * r.n <= BROADCAST_BYTES}
     out = df
     for c in columns:
         codes = dictionary.where(F.col("feature") == c) \
             .select(F.col("value").alias("_value"), F.col("code").alias(f"{c}{suffix}"))
-        if sizes.get(c, 0) <= small_limit:
+        if c in fits or c not in sizes:
             codes = F.broadcast(codes)
         out = out.join(codes, F.col(c).cast("string").eqNullSafe(F.col("_value")), "left") \
             .drop("_value")

@@ -44,7 +44,9 @@ def best_run(runs: DataFrame, name: str | None, metric: str | None, maximize: bo
     if name is not None:
         ok = ok & (F.col("name") == name)
     order = _best_first(_metric(runs, metric), maximize, "start_time", "run_id")
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)
+    if not by:  # a top 1, merged from the tops of the tasks
+        return runs.where(ok).orderBy(*order).limit(1)
+    w = Window.partitionBy(*by).orderBy(*order)
     return runs.where(ok).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
@@ -57,12 +59,14 @@ def live_or_best(runs: DataFrame, metric: str | None, maximize: bool, now: Colum
     done = (F.col("status") == "FINISHED") & F.col("has_artifact")
     value = _metric(runs, metric)
     signed = value if maximize else -value
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(
-        F.when(live, 0).otherwise(1), F.when(live, None).otherwise(signed).desc_nulls_last(),
-        F.col("start_time").desc(), F.col("run_id"))
-    return runs.where(live | done) \
-        .withColumn("source", F.when(live, "live").otherwise("best")) \
-        .withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    order = [F.when(live, 0).otherwise(1),
+             F.when(live, None).otherwise(signed).desc_nulls_last(), F.col("start_time").desc(),
+             F.col("run_id")]
+    found = runs.where(live | done).withColumn("source", F.when(live, "live").otherwise("best"))
+    if not by:
+        return found.orderBy(*order).limit(1)
+    w = Window.partitionBy(*by).orderBy(*order)
+    return found.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
 def to_long(runs: DataFrame, run: str = "run_id", prefixes: tuple[str, ...] = ("metrics.", "params.")

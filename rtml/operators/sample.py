@@ -22,8 +22,13 @@ def hash_unit(key: str | Column, seed: int = 42) -> Column:
 
 
 def percent_sample(df: DataFrame, percent: float, seed: int = 42) -> DataFrame:
-    """Row sample at the scan; take it before encoding so that codes stay dense."""
-    return df.sample(withReplacement=False, fraction=percent / 100.0, seed=seed)
+    """Row sample at the scan; take it before encoding so that codes stay dense.
+
+    A row is taken by a hash of its values, so the sample does not depend on how rows are laid out;
+    equal rows are taken together.
+    """
+    unit = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1 << 40)) / float(1 << 40)
+    return df.where(unit < percent / 100.0)
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:

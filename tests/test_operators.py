@@ -317,3 +317,68 @@ def test_every_canned_query_plans(spark):
         empty = spark.createDataFrame([], ddl)
         for fn in CANNED[table].values():
             fn(empty).collect()
+
+
+# --- nulls, NaN and signed zero ----------------------------------------------
+
+@pytest.mark.parametrize("small", [1_000_000, 3])
+def test_codes_of_signed_zero_and_nan(spark, small):
+    from rtml.operators.encode import label_encode
+    values = [0.0, -0.0, 1.5, None, float("nan"), -2.0] * 5
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, x double")
+    out = {r.id: r.c for r in label_encode(df.withColumn("c", F.col("x")), ["c"],
+                                           small_limit=small).collect()}
+    assert len(out) == 30 and df.count() == 30
+    assert [out[i] for i in range(6)] == [1, 1, 2, 4, 3, 0]
+
+
+def test_percent_sample_ignores_layout(spark):
+    from rtml.operators.sample import percent_sample
+    df = spark.range(20_000).select("id", (F.col("id") % 7).alias("k"))
+    a = sorted(r.id for r in percent_sample(df, 10.0).collect())
+    b = sorted(r.id for r in percent_sample(df.repartition(13, "k"), 10.0).collect())
+    assert a == b and 1700 < len(a) < 2300
+
+
+@pytest.mark.parametrize("block", [200_000, 4])
+def test_rolling_means_null_nan_huge(spark, block):
+    import math
+    from rtml.operators.rolling import rolling_means, running_means, time_rolling_means
+    x = [1.0, None, 1.0, float("nan"), 1.0, 1.0, 1.0, 1e17, 1.0, 1.0, 1.0, 1.0, 1.0, 3.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, x double") \
+        .withColumn("ts", F.timestamp_seconds(F.col("i") * 60))
+
+    def mean(values):
+        values = [v for v in values if v is not None]
+        return sum(values) / len(values) if values else None
+
+    def same(a, b):
+        return a == b or (a is not None and b is not None and math.isnan(a) and math.isnan(b))
+    rolled = rolling_means(df, [], "i", {"m": F.col("x")}, rows=3, rows_per_block=block)
+    assert all(same(r.m, mean(x[max(0, r.i - 2):r.i + 1])) for r in rolled.collect())
+    run = {r.i: r.m for r in running_means(df.where("i < 3"), [], "i", {"m": F.col("x")}).collect()}
+    assert run == {0: 1.0, 1: 1.0, 2: 1.0}
+    timed = time_rolling_means(df.where("i < 7"), [], "ts", {"m": F.col("x")}, seconds=120)
+    assert all(same(r.m, mean(x[max(0, r.i - 2):r.i + 1])) for r in timed.collect())
+
+
+def test_metrics_use_complete_rows(spark):
+    from rtml.operators.metrics_cls import prob_losses
+    from rtml.operators.metrics_reg import d2_scores, regression_metrics
+    pairs = [(1.0, 1.1), (3.0, 2.8), (1000.0, None), (None, 5.0)]
+    df = spark.createDataFrame(pairs, "y double, p double")
+    full = spark.createDataFrame(pairs[:2], "y double, p double")
+    for metric in (regression_metrics, d2_scores):
+        assert metric(df, "y", "p").first() == metric(full, "y", "p").first()
+    labels = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, None), (None, 0.1)], "y int, p double")
+    assert prob_losses(labels, "y", "p").first() == \
+        prob_losses(labels.na.drop(), "y", "p").first()
+
+
+def test_quantiles_ignore_nan_alike(spark, monkeypatch):
+    from rtml.plans import prefix
+    df = spark.range(3000).select(F.when(F.col("id") % 10 == 0, float("nan"))
+                                  .otherwise(F.col("id")).alias("v"))
+    plain = prefix.exact_quantiles(df, "v", {"a": 0.5, "b": 0.9}).first()
+    monkeypatch.setattr(prefix, "_BRACKET_ROWS", 0)
+    assert prefix.exact_quantiles(df, "v", {"a": 0.5, "b": 0.9}).first() == plain
