@@ -6,20 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rtml.plans.prefix import CHUNK, previous_value, running_totals, with_chunk
 
-# Alert name, expression kind, comparison, threshold, seconds it must hold.
-ALERT_RULES = [
-    ("HighLatency", "quantile 0.99", ">", 2.0, 300),
-    ("HighErrorRate", "ratio", ">", 0.05, 300),
-    ("TrainingFailed", "increase", ">", 0.0, 60),
-    ("HighPredictionLatency", "quantile 0.95", ">", 1.0, 300),
-    ("LowCacheHitRate", "ratio", "<", 0.5, 600),
-    ("NotSending", "rate", "==", 0.0, 300),
-    ("HighSendLatency", "quantile 0.95", ">", 0.5, 300),
-    ("ProducerErrorRate", "ratio", ">", 0.01, 300),
-    ("BatchProcessingDelay", "gauge", ">", 60000.0, 300),
-    ("NoProgress", "rate", "==", 0.0, 900),
-]
-
 
 def counter_increments(df: DataFrame, series: list[str], ts: str, value: str) -> DataFrame:
     """Add ``increment``: growth since the previous sample; after a reset, the new value itself.
@@ -63,6 +49,44 @@ def ratio_of_rates(df: DataFrame, ts: str, hit: Column, amount: Column, seconds:
                                                  F.col("total").cast("double")))
 
 
+def sliding_rate(df: DataFrame, series: list[str], ts: str, value: str, seconds: int = 300,
+                 step: int = 60) -> DataFrame:
+    """Increase and rate over the last ``seconds`` of a counter, evaluated every ``step`` seconds.
+
+    At ``eval_time`` the growth between two neighbouring samples counts if both lie in
+    (eval_time - seconds, eval_time]; resets are taken into account. Times without such a pair have no row. A sample
+    reaches at most ``seconds / step`` evaluation times, so the work stays linear.
+    """
+    timed = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    inc = counter_increments(timed, series, "_t", value)
+    pairs = previous_value(with_chunk(inc, "_t"), series, "_t", ["_t"]).drop(CHUNK) \
+        .where(F.col("increment").isNotNull())
+    width = step * 1_000_000
+    first = F.ceil(F.col("_t") / width)
+    last = F.ceil((F.col("prev__t") + seconds * 1_000_000) / width) - 1
+    points = pairs.where(first <= last).withColumn("_at", F.explode(F.sequence(first, last)))
+    return points.groupBy(*series, (F.col("_at") * step).cast("long").alias("eval_time")) \
+        .agg(F.sum("increment").alias("increase")) \
+        .withColumn("rate", F.col("increase") / F.lit(float(seconds)))
+
+
+def ratio_of_counters(df: DataFrame, series: list[str], ts: str, value: str, hit: Column,
+                      seconds: int = 300, step: int = 60,
+                      by: list[str] | None = None) -> DataFrame:
+    """Sum of the rates of the matching series over that of all series, at every step."""
+    rates = sliding_rate(df, series, ts, value, seconds, step)
+    return rates.groupBy(*(by or []), "eval_time").agg(
+        F.try_divide(F.sum(F.when(hit, F.col("rate")).otherwise(0.0)), F.sum("rate"))
+        .alias("ratio"))
+
+
+def average_instant_rate(df: DataFrame, series: list[str], by: list[str], ts: str,
+                         value: str) -> DataFrame:
+    """Mean over the series of a label of the rate between their last two samples."""
+    return instant_rate(df, series, ts, value).groupBy(*by).agg(
+        F.avg("irate").alias("avg_irate"), F.count("irate").alias("series"))
+
+
 def bucket_quantile(df: DataFrame, by: list[str], q: float, le: str = "le",
                     cumulative: str = "cumulative") -> DataFrame:
     """Quantile by linear interpolation in cumulative ``le`` buckets (+Inf as null).

@@ -15,7 +15,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from rtml.operators.sample import hash_unit
+from rtml.session import scratch_path
 
 MAX_CLUSTERS = 10_000
 
@@ -196,42 +196,56 @@ def silhouette_score(df: DataFrame, vec: str, cluster: str) -> float:
 
 
 def silhouette_euclidean(df: DataFrame, vec: str, cluster: str, key: str,
-                         reference_rows: int = 5000) -> DataFrame:
-    """Euclidean silhouette of every row against ``reference_rows`` rows drawn by key hash.
+                         block_rows: int = 5000) -> DataFrame:
+    """Exact euclidean silhouette of every row.
 
-    Exact when the table has no more rows than that (an estimate beyond; the squared form above is
-    exact at any size). The reference rows have a fixed bound and are shipped to the tasks.
+    The rows meet all rows in blocks of ``block_rows``, each shipped to the tasks once, and carry only
+    their sums of distances per cluster; the work is quadratic by definition (the squared form above
+    is linear). Every eight blocks the sums are written to the shared folder. A row alone in its
+    cluster, or without another cluster, has silhouette 0.
     """
-    ref = with_arrays(df, vec).orderBy(hash_unit(key), key).limit(reference_rows) \
-        .select(key, vec, cluster).collect()
-    ids = np.array([r[0] for r in ref])
-    points = np.array([r[1] for r in ref], dtype=float)
-    labels = sorted({r[2] for r in ref})
-    onehot = np.array([[float(r[2] == v) for v in labels] for r in ref])
+    spark = df.sparkSession
+    labels, _, sizes = centers_of(df, vec, cluster)
     index = {v: i for i, v in enumerate(labels)}
-
-    @F.pandas_udf("double")
-    def score(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for keys, vectors, own in parts:
-            out = []
-            for start in range(0, len(vectors), 512):
-                x = np.stack(vectors.iloc[start:start + 512].to_numpy()).astype(float)
-                at = own.iloc[start:start + 512].map(index).to_numpy()
-                d = _distance_block(x, points)
-                same = keys.iloc[start:start + 512].to_numpy()[:, None] == ids[None, :]
-                d[same] = 0.0
-                count = np.tile(onehot.sum(0), (len(x), 1))
-                row = np.arange(len(x))
-                count[row, at] -= same.any(1)
-                mean = np.divide(d @ onehot, count, out=np.full(count.shape, np.inf),
-                                 where=count > 0)
-                inside = mean[row, at].copy()
-                mean[row, at] = np.inf
-                outside = mean.min(1)
-                good = np.isfinite(inside) & np.isfinite(outside)
-                top = np.where(good, np.maximum(inside, outside), 1.0)
-                out.append(np.where(good & (top > 0), (outside - inside) / np.where(top > 0, top, 1), 0.0))
-            yield pd.Series(np.concatenate(out) if out else [], dtype=float)
-
-    return with_arrays(df, vec).withColumn("silhouette",
-                                           score(F.col(key), F.col(vec), F.col(cluster)))
+    points = with_arrays(df, vec).select(vec, cluster)
+    out = with_arrays(df, vec).withColumn("_sums", F.array_repeat(F.lit(0.0), len(labels)))
+    held, blocks = [], 0
+
+    def add(rows: DataFrame, block: list) -> DataFrame:
+        shared = spark.sparkContext.broadcast(
+            (np.array([r[0] for r in block], dtype=float), np.array([index[r[1]] for r in block])))
+        k = len(labels)
+
+        @F.pandas_udf("array<double>")
+        def more(sums: pd.Series, vectors: pd.Series) -> pd.Series:
+            at, member = shared.value
+            onehot = np.eye(k)[member]
+            parts = [np.stack(sums.iloc[i:i + 256].to_numpy()) + _distance_block(
+                np.stack(vectors.iloc[i:i + 256].to_numpy()).astype(float), at) @ onehot
+                for i in range(0, len(vectors), 256)]
+            return pd.Series([row for part in parts for row in part], dtype=object)
+
+        return rows.withColumn("_sums", more(F.col("_sums"), F.col(vec)))
+
+    for row in points.toLocalIterator():
+        held.append(row)
+        if len(held) == block_rows:
+            out, held, blocks = add(out, held), [], blocks + 1
+            if blocks % 8 == 0:
+                path = scratch_path(spark, "silhouette")
+                out.write.parquet(path)
+                out = spark.read.schema(out.schema).parquet(path)
+    if held:
+        out = add(out, held)
+    place = F.element_at(F.create_map(*[x for i, v in enumerate(labels)
+                                        for x in (F.lit(v), F.lit(i))]), F.col(cluster))
+    counts = F.array(*[F.lit(float(n)) for n in sizes])
+    own = F.get(counts, place)
+    inside = F.get("_sums", place) / (own - 1)
+    outside = F.array_min(F.filter(
+        F.transform("_sums", lambda s, i: F.when(i != place, s / F.get(counts, i))),
+        lambda m: m.isNotNull()))
+    top = F.greatest(inside, outside)
+    score = F.when((own < 2) | outside.isNull() | (top <= 0), 0.0) \
+        .otherwise((outside - inside) / top)
+    return out.withColumn("silhouette", score).drop("_sums")

@@ -21,12 +21,15 @@ def hash_unit(key: str | Column, seed: int = 42) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def percent_sample(df: DataFrame, percent: float, seed: int = 42) -> DataFrame:
+def percent_sample(df: DataFrame, percent: float, seed: int = 42,
+                   key: str | Column | None = None) -> DataFrame:
     """Row sample at the scan; take it before encoding so that codes stay dense.
 
-    A row is taken by a hash of its values, so the sample does not depend on how rows are laid out;
-    equal rows are taken together.
+    A row is taken by a hash of its key, or of all its values, so the sample does not depend on how
+    rows are laid out; rows equal in that are taken together.
     """
+    if key is not None:
+        return df.where(hash_unit(key, seed) < percent / 100.0)
     unit = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1 << 40)) / float(1 << 40)
     return df.where(unit < percent / 100.0)
 

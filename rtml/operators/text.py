@@ -71,15 +71,8 @@ def tfidf(df: DataFrame, text: str, max_features: int = 100, min_docs: int = 2,
     return model, model.transform(tokens).drop("_words", "_kept", "_tf")
 
 
-def _place(df: DataFrame, doc: str) -> Column:
-    """Order of a token in the corpus: one long where document ids leave room for positions.
-
-    A long keeps the aggregation in the fast hash path; other ids use a (document, position) pair.
-    """
-    if isinstance(df.schema[doc].dataType, T.IntegralType):
-        largest = df.agg(F.max(F.abs(doc))).first()[0]
-        if largest is None or largest < 1 << 38:
-            return F.col(doc).cast("long") * F.lit(1 << 24) + F.col("pos")
+def _place(doc: str) -> Column:
+    """Order of a token in the corpus: document, then position."""
     return F.struct(doc, "pos")
 
 
@@ -92,7 +85,7 @@ def target_words(df: DataFrame, doc: str, text: str, among: int = 50, min_length
     placed = spread(df.select(doc, text)) \
         .select(doc, F.posexplode(space_tokens(text)).alias("pos", "token"))
     counts = placed.groupBy("token").agg(F.count(F.lit(1)).alias("n"),
-                                         F.min(_place(df, doc)).alias("_first"))
+                                         F.min(_place(doc)).alias("_first"))
     top = counts.orderBy(F.col("n").desc(), "_first").limit(among)
     return top.where((F.length("token") >= min_length) & (F.col("n") >= min_count)) \
         .orderBy(F.col("n").desc(), "_first").limit(limit).select("token", "n")

@@ -47,6 +47,41 @@ def ratio_of_rates(t):
                             F.col("k"), 3600)
 
 
+_PAIRS = """(SELECT event_type, us, CASE WHEN c >= p THEN c - p ELSE c END AS inc, pus FROM
+ (SELECT event_type, epoch_us(ts) AS us, event_id % 500 AS c, lag(event_id % 500) OVER w AS p,
+ lag(epoch_us(ts)) OVER w AS pus FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts))
+ WHERE p IS NOT NULL)"""
+_SLIDING = f"""(SELECT event_type, step * 600 AS eval_time, sum(inc) AS increase, sum(inc) / 3600.0 AS rate FROM
+ (SELECT event_type, inc, unnest(range((us + 599999999) // 600000000,
+ (pus + 3600000000 + 599999999) // 600000000)) AS step FROM {_PAIRS}) GROUP BY 1, 2)"""
+
+
+@query("sliding_rate", f"SELECT event_type, eval_time, increase, rate FROM {_SLIDING}", d="rate",
+       i="eval_time increase")
+def sliding_rate(t):
+    return A.sliding_rate(_counter(t), ["event_type"], "ts", "c", 3600, 600)
+
+
+@query("ratio_of_counters", f"""SELECT eval_time, sum(CASE WHEN event_type = 'error' THEN rate ELSE 0 END) /
+ nullif(sum(rate), 0) AS ratio FROM {_SLIDING} GROUP BY eval_time""", d="ratio", i="eval_time")
+def ratio_of_counters(t):
+    return A.ratio_of_counters(_counter(t), ["event_type"], "ts", "c",
+                               F.col("event_type") == "error", 3600, 600)
+
+
+@query("average_instant_rate", """SELECT event_type, avg(irate) AS avg_irate, count(irate) AS series FROM
+ (SELECT event_type, (CASE WHEN c >= p THEN c - p ELSE c END) / ((us - pus) / 1e6) AS irate FROM
+ (SELECT event_type, user_id % 5 AS shard, epoch_us(ts) AS us, event_id % 500 AS c,
+ lag(event_id % 500) OVER w AS p, lag(epoch_us(ts)) OVER w AS pus FROM events
+ WINDOW w AS (PARTITION BY event_type, user_id % 5 ORDER BY ts))
+ QUALIFY row_number() OVER (PARTITION BY event_type, shard ORDER BY us DESC) = 1)
+ GROUP BY event_type""", d="avg_irate", digits=4)
+def average_instant_rate(t):
+    rows = _counter(t).join(t.events.select("event_id", (F.col("user_id") % 5).alias("shard")),
+                            "event_id")
+    return A.average_instant_rate(rows, ["event_type", "shard"], ["event_type"], "ts", "c")
+
+
 _LE = [1, 5, 10, 25, 50, 100, 250, 500]
 
 

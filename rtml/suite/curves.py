@@ -140,7 +140,7 @@ def best_threshold(t):
 def threshold_trials(t):
     """Best thresholds on repeated hold-outs of the events."""
     from rtml.suite.roles import ordered_errors
-    return C.threshold_trials(ordered_errors(t.events), "hit", "score", "event_id", trials=3)
+    return C.threshold_trials(ordered_errors(t.events), "hit", "score", "event_id", trials=10)
 
 
 @query("ks_statistic", f"""SELECT round(abs(tp / p_all - fp / n_all), 12) AS ks, threshold FROM {_CURVE}
@@ -325,7 +325,23 @@ def silhouette_by_cluster(t):
     return U.silhouette_by_cluster(t.embeddings, "embedding", "label")
 
 
-@query("silhouette_evaluator")
+_SIL = """(SELECT vec_id, (o - i) / greatest(o, i) AS s FROM (SELECT vec_id,
+ max(d) FILTER (own = other) AS i, min(d) FILTER (own <> other) AS o FROM
+ (SELECT a.vec_id, a.label AS own, b.label AS other,
+ CASE WHEN a.label = b.label THEN sum({d}) / (count(*) - 1) ELSE avg({d}) END AS d
+ FROM (SELECT vec_id, label, embedding::DOUBLE[64] AS e FROM embeddings) a,
+ (SELECT vec_id, label, embedding::DOUBLE[64] AS e FROM embeddings) b GROUP BY 1, 2, 3) GROUP BY 1))"""
+
+
+@query("silhouette_euclidean", f"SELECT vec_id, s AS silhouette FROM "
+       f"{_SIL.format(d='array_distance(a.e, b.e)')}", d="silhouette")
+def silhouette_euclidean(t):
+    return U.silhouette_euclidean(t.embeddings, "embedding", "label", "vec_id") \
+        .select("vec_id", "silhouette")
+
+
+@query("silhouette_evaluator", f"SELECT avg(s) AS silhouette FROM "
+       f"{_SIL.format(d='array_distance(a.e, b.e) ** 2')}", d="silhouette")
 def silhouette_evaluator(t):
     score = U.silhouette_score(t.embeddings, "embedding", "label")
     return t.spark.createDataFrame([(score,)], "silhouette double")

@@ -250,7 +250,10 @@ def block_rolling_auc(t):
     return R.rolling_auc(rows, [], "event_id", "hit", "score", rows=5000, step=1000)
 
 
-@query("table_schema_report")
+@query("table_schema_report", """SELECT row_number() OVER () - 1 AS position, column_name AS "column",
+ CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+ WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type, true AS nullable
+ FROM (DESCRIBE lineitem)""", i="position")
 def table_schema_report(t):
     return schema_report(t.lineitem)
 

@@ -20,23 +20,39 @@ def hash_sample(t):
     return P.hash_sample(t.events, "event_id", 0.1).select("event_id", "event_type")
 
 
-@query("percent_sample")
+_LINE = "(l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR)"
+
+
+@query("percent_sample", f"SELECT l_orderkey, l_linenumber FROM lineitem WHERE {_unit(_LINE)} < 0.1")
 def percent_sample(t):
-    return P.percent_sample(t.lineitem, 10.0).select("l_orderkey", "l_linenumber")
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    return P.percent_sample(t.lineitem, 10.0, key=key).select("l_orderkey", "l_linenumber")
 
 
-@query("random_rows")
+@query("random_rows", """SELECT least(100, count(*)) AS rows, least(100, count(*)) AS distinct_rows,
+ least(100, count(*)) AS known_rows FROM orders""")
 def random_rows(t):
-    return P.random_rows(t.orders, 100, seed=7).select("o_orderkey", "o_totalprice")
+    """Which rows come is not fixed: their number, no repetition, and all from the table."""
+    rows = P.random_rows(t.orders, 100, seed=7).select("o_orderkey")
+    known = rows.join(t.orders.select("o_orderkey", F.lit(1).alias("known")), "o_orderkey", "left")
+    return known.agg(F.count(F.lit(1)).alias("rows"),
+                     F.count_distinct("o_orderkey").alias("distinct_rows"),
+                     F.count("known").alias("known_rows"))
 
 
-@query("row_cap")
+@query("row_cap", """SELECT least(1000, count(*)) AS rows, true AS in_range FROM events""")
 def row_cap(t):
-    """A row cap after encoding; which rows are kept is not fixed."""
-    from rtml.plans.features import training_features
+    """A row cap after encoding: codes stay in the range of the whole table's dictionaries."""
+    from rtml.plans.features import feature_dictionary, training_features
     from rtml.suite.roles import as_interactions
-    return training_features(as_interactions(t.events), "e_commerce_customer_interactions",
-                             max_rows=1000)
+    name, rows = "e_commerce_customer_interactions", as_interactions(t.events)
+    capped = training_features(rows, name, max_rows=1000)
+    sizes = {r.feature: r.n for r in feature_dictionary(rows, name).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    good = F.lit(True)
+    for c, n in sizes.items():
+        good = good & (F.col(c) >= 0) & (F.col(c) < n)
+    return capped.agg(F.count(F.lit(1)).alias("rows"), F.every(good).alias("in_range"))
 
 
 _RANKED = f"""(SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY {_U}, event_id) AS rn,

@@ -192,3 +192,19 @@ def canned_conditional_sum(t):
 @query("canned_row_count", "SELECT count(*) AS total_rows FROM lineitem")
 def canned_row_count(t):
     return canned.row_count(t.lineitem)
+
+
+@query("canned_fraud_cases", f"""SELECT count(*) AS rows, count(*) FILTER (is_fraud = 1) AS fraud FROM
+ (SELECT is_fraud FROM {TRANSACTIONS_SQL} WHERE is_fraud = 1 LIMIT 100)""")
+def canned_fraud_cases(t):
+    """Some rows of one class; which ones is not fixed."""
+    return canned.CANNED[TFD]["fraud_cases"](as_transactions(t.lineitem)).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("is_fraud") == 1).alias("fraud"))
+
+
+@query("canned_long_trips", f"""SELECT count(*) AS rows, count(*) FILTER (estimated_distance_km > 50) AS long
+ FROM (SELECT estimated_distance_km FROM {TRIPS_SQL} WHERE estimated_distance_km > 50 LIMIT 100)""")
+def canned_long_trips(t):
+    return canned.CANNED[ETA]["long_trips"](as_trips(t.orders)).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("estimated_distance_km") > 50).alias("long"))
