@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from rtml.llm.common import broadcast_checked, prepare, stored
 
-LANES = 512
+LANES = 2048
 CHECK = 128
-BLOCK_IDS = 131_072
+BLOCK_IDS = 524_288
 _LOW = np.uint64(1 << 31)
 _W = np.uint64(32)
 _FULL = np.uint64(0xFFFFFFFF)
@@ -96,7 +97,8 @@ class Coder:
                last: int | None = None) -> np.ndarray:
         """Ids of checkpoints ``first`` up to ``last`` (all by default)."""
         if self._at is None:
-            self._at = np.repeat(np.arange(len(self.freq)), self.freq.astype(np.int64))
+            kind = np.uint16 if len(self.freq) <= 1 << 16 else np.uint32
+            self._at = np.repeat(np.arange(len(self.freq), dtype=kind), self.freq.astype(np.int64))
         size = 8 + 8 * LANES
         steps = -(-n_ids // LANES)
         count = len(points) // size
@@ -125,68 +127,71 @@ class Coder:
         return self.ids[slots]
 
 
+class WordIds(dict):
+    """Ids of a word as little-endian bytes; two generations of up to ``limit`` words are remembered."""
+
+    def __init__(self, model, code: str, limit: int):
+        super().__init__()
+        self.encode, self.pieces, self.code = model.encode, model.model.tokenize, code
+        self.limit, self.older = limit, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            core = word.rstrip(b".,!?;:%$&*#|")
+            if core and len(core) < len(word) and self._letters(core) is not None:
+                ids = self[core] + self[word[len(core):]]
+            else:
+                ids = self._letters(word)
+                ids = self._plain(word) if ids is None else \
+                    array(self.code, [t.id for t in self.pieces(ids)]).tobytes()
+        self[word] = ids
+        return ids
+
+    @staticmethod
+    def _letters(word: bytes) -> str | None:
+        """A word of letters only in the model's byte alphabet: such a word is one pre-token, and up
+        to U+024F its normal form is its lower case. None for any other word."""
+        if word.isalpha():  # ASCII letters
+            return word.decode().lower()
+        if word.isascii():
+            return None
+        text = word.decode("utf-8", "replace")
+        if not text.isalpha() or max(text) > "\u024f" or "\u0130" in text:
+            return None
+        return text.lower().encode().decode("latin-1").translate(_BYTE_CHARS)
+
+    def _plain(self, word: bytes) -> bytes:
+        found = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
+        return array(self.code, found.ids).tobytes()
+
+
 class TextEncoder:
     """Ids of a text as little-endian bytes, through a bounded memory of encoded words.
 
     White space always ends a pre-token of the given word-level vocabulary, and so does the border
     between letters and the punctuation behind them, so words are encoded one by one; special-token
-    strings hold no white space. The tests hold this against encoding whole texts.
+    strings hold no white space. ASCII capitals are lowered first, as the tokenizer does, except near
+    combining marks (lower-case letters have more composed forms) and special-token strings. The
+    tests hold this against encoding whole texts.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str, limit: int = 300_000):
+    def __init__(self, tokenizer_json: str, dtype: str, limit: int = 600_000):
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_str(tokenizer_json)
-        self.pieces = self.model.model.tokenize
-        self.dtype, self.limit = dtype, limit
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.words = WordIds(Tokenizer.from_str(tokenizer_json), "H" if dtype == "<u2" else "I",
+                             limit)
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [t.split() if t else [] for t in texts]
-        if len(self.known) > self.limit:  # words of the last generation come back when they are met
-            self.known, self.older = {}, self.known
-        known = self.known
-        missing = {w for ws in split for w in ws if w not in known}
-        if missing:
-            self._learn(missing)
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
-
-    def _letters(self, word: bytes) -> bytes | None:
-        """Ids of a word of letters only, straight from the model: such a word is one pre-token, and
-        up to U+024F its normal form is its lower case. None for any other word."""
-        if word.isalpha():  # ASCII letters
-            text = word.decode().lower()
-        else:
-            text = word.decode("utf-8", "replace")
-            if not text.isalpha() or max(text) > "\u024f" or "\u0130" in text:
-                return None
-            text = text.lower().encode().decode("latin-1").translate(_BYTE_CHARS)
-        return np.array([t.id for t in self.pieces(text)], self.dtype).tobytes()
-
-    def _learn(self, missing: set[bytes]) -> None:
-        known, older, rest = self.known, self.older, []
-        for w in missing:
-            ids = older.get(w)
-            if ids is None:
-                core = w.rstrip(b".,!?;:%$&*#|")
-                ids = known.get(core)
-                if ids is None:
-                    ids = self._letters(core)
-                if ids is None:
-                    rest.append(w)
-                    continue
-                known[core] = ids
-                if len(core) < len(w):
-                    tail = w[len(core):]
-                    if tail not in known:
-                        known[tail] = self._encode([tail.decode()])[0]
-                    ids += known[tail]
-            known[w] = ids
-        known.update(zip(rest, self._encode([w.decode("utf-8", "replace") for w in rest])))
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.model.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        words = self.words
+        if len(words) > words.limit:
+            words.older = dict(words)
+            words.clear()
+        get = words.__getitem__
+        return [b"".join(map(get, self._lowered(t).split())) if t else b"" for t in texts]
+
+    @staticmethod
+    def _lowered(text: bytes) -> bytes:
+        return text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()
 
 
 def _byte_chars() -> dict[int, int]:
