@@ -75,6 +75,14 @@ def mutual_information(df: DataFrame, discrete: list[str], numeric: list[str], t
         .alias("mutual_information"))
 
 
+def mutual_information_numeric(df: DataFrame, discrete: list[str], numeric: list[str], target: str,
+                               bins: int = 10) -> DataFrame:
+    """As ``mutual_information`` for a continuous target, which is cut into equal-width bins too."""
+    rows = df.where(F.col(target).isNotNull()).withColumn("_target", F.col(target))
+    return mutual_information(equal_width_codes(rows, ["_target"], bins), discrete, numeric,
+                              "_target", bins)
+
+
 def joint_histogram(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     """Two-dimensional equal-width counts; sum over one axis for a marginal."""
     pair = df.select(F.col(x).alias("x_bin"), F.col(y).alias("y_bin"))

@@ -69,6 +69,7 @@ def center_distances_per_row(df: DataFrame, vec: str, labels: list, centers: np.
     """Add ``nearest``, ``d_nearest``, ``d_second`` and, with a cluster column, ``d_own``."""
     index = {label: i for i, label in enumerate(labels)}
     known = np.asarray(centers, dtype=float)
+    rows = max(1, 2_000_000 // max(len(known), 1))  # of a batch at a time: 16 MB of distances
 
     @F.pandas_udf("nearest int, d_nearest double, d_second double, d_own double")
     def measure(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -76,15 +77,19 @@ def center_distances_per_row(df: DataFrame, vec: str, labels: list, centers: np.
             if len(vectors) == 0:
                 yield pd.DataFrame({"nearest": [], "d_nearest": [], "d_second": [], "d_own": []})
                 continue
-            d = _distance_block(np.stack(vectors.to_numpy()).astype(float), known)
-            first = d.argmin(1)
-            two = np.partition(d, 1, axis=1)[:, :2] if d.shape[1] > 1 else \
-                np.column_stack([d[:, 0], np.full(len(d), np.nan)])
-            at = own.map(index)
-            mine = np.where(at.isna(), np.nan,
-                            d[np.arange(len(d)), at.fillna(0).astype(int)])
-            yield pd.DataFrame({"nearest": first.astype("int32"), "d_nearest": two[:, 0],
-                                "d_second": two[:, 1], "d_own": mine})
+            places, out = own.map(index), []
+            for i in range(0, len(vectors), rows):
+                d = _distance_block(np.stack(vectors.iloc[i:i + rows].to_numpy()).astype(float),
+                                    known)
+                two = np.partition(d, 1, axis=1)[:, :2] if d.shape[1] > 1 else \
+                    np.column_stack([d[:, 0], np.full(len(d), np.nan)])
+                at = places.iloc[i:i + rows]
+                mine = np.where(at.isna(), np.nan,
+                                d[np.arange(len(d)), at.fillna(0).astype(int)])
+                out.append(pd.DataFrame({"nearest": d.argmin(1).astype("int32"),
+                                         "d_nearest": two[:, 0], "d_second": two[:, 1],
+                                         "d_own": mine}))
+            yield pd.concat(out, ignore_index=True)
 
     own = F.col(cluster) if cluster else F.lit(None).cast("int")
     names = F.array(*[F.lit(v) for v in labels])
@@ -115,7 +120,8 @@ def calinski_harabasz(df: DataFrame, vec: str, cluster: str) -> DataFrame:
 
 
 def center_distances(df: DataFrame, vec: str, cluster: str) -> DataFrame:
-    """Distance of every pair of cluster centers, and both sizes."""
+    """Distance of every pair of cluster centers, and both sizes; refused beyond MAX_CLUSTERS."""
+    centers_of(df, vec, cluster)
     cells = cluster_cells(df, vec, cluster)
     a = cells.select(F.col("cluster").alias("cluster_a"), "dim", F.col("n").alias("size_a"),
                      F.col("mean").alias("_ma"))
@@ -132,10 +138,14 @@ def davies_bouldin(df: DataFrame, vec: str, cluster: str) -> DataFrame:
         .groupBy(F.col(cluster).alias("cluster")).agg(F.avg("d_own").alias("spread"))
     found = {r.cluster: r.spread for r in spread.collect()}  # one row per cluster
     s = np.array([found[v] for v in labels])
-    d = _distance_block(centers, centers)
-    ratio = np.divide(s[:, None] + s[None, :], d, out=np.zeros_like(d), where=d > 1e-12)
-    np.fill_diagonal(ratio, 0.0)
-    score = float(ratio.max(axis=1).mean()) if len(labels) > 1 else 0.0
+    worst = np.zeros(len(labels))
+    for i in range(0, len(labels), 256):
+        d = _distance_block(centers[i:i + 256], centers)
+        d[np.arange(len(d)), np.arange(i, i + len(d))] = 0.0
+        ratio = np.divide(s[i:i + 256, None] + s[None, :], d, out=np.zeros_like(d),
+                          where=d > 1e-12)
+        worst[i:i + 256] = ratio.max(axis=1)
+    score = float(worst.mean()) if len(labels) > 1 else 0.0
     return df.sparkSession.createDataFrame([(score,)], "davies_bouldin double")
 
 

@@ -73,17 +73,19 @@ def kmeans(df: DataFrame, k: int, vec: str = "features", seeds: int = 10, iterat
     return best
 
 
-def kmeans_minibatch(df: DataFrame, k: int, vec: str = "features", fraction: float = 0.1,
-                     rounds: int = 10, seed: int = 42) -> tuple[list, object]:
-    """Mini-batch k-means: each round assigns one sample and moves the centers by its mean.
+def kmeans_minibatch(df: DataFrame, k: int, vec: str = "features", batch_rows: int = 1024,
+                     rounds: int = 100, seed: int = 42) -> tuple[list, object]:
+    """Mini-batch k-means: each round assigns a sample of about ``batch_rows`` rows and moves the
+    centers by its mean.
 
     A center moves by batch count over total count, so later rounds move it less.
     """
     import numpy as np
     from rtml.operators.metrics_clu import with_arrays
-    rows = with_arrays(df, vec)
+    rows = with_arrays(df, vec).persist()
+    fraction = min(1.0, batch_rows / max(rows.count(), 1))
     start = KMeans(k=k, featuresCol=vec, maxIter=1, seed=seed).fit(
-        df.sample(fraction=min(1.0, fraction), seed=seed))
+        df.sample(fraction=min(1.0, 10 * fraction), seed=seed))
     centers = np.array(start.clusterCenters())
     weight = np.zeros(len(centers))
     for r in range(rounds):
@@ -96,17 +98,18 @@ def kmeans_minibatch(df: DataFrame, k: int, vec: str = "features", fraction: flo
                 weight[c.nearest] += c.n
         for c in cells:
             centers[c.nearest, c.pos] += (c.m - centers[c.nearest, c.pos]) * c.n / weight[c.nearest]
+    rows.unpersist()
     return list(range(len(centers))), centers
 
 
-def k_search(df: DataFrame, ks: range, vec: str = "features", seed: int = 42,
-             seeds: int = 1) -> DataFrame:
+def k_search(df: DataFrame, ks: range = range(2, 11), vec: str = "features", seed: int = 42,
+             seeds: int = 10, iterations: int = 300) -> DataFrame:
     """All four scores per k; ``is_best`` marks the largest silhouette."""
     cached = df.persist()
     rows = []
     try:
         for k in ks:
-            model = kmeans(cached, k, vec, seeds=seeds, seed=seed, iterations=50)
+            model = kmeans(cached, k, vec, seeds=seeds, seed=seed, iterations=iterations)
             placed = model.transform(cached)
             rows.append((k, float(model.summary.trainingCost),
                          float(silhouette_score(placed, vec, "cluster")),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,7 +29,9 @@ def get_spark(app: str = "rtml", master: str | None = None, **conf: str) -> Spar
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -52,6 +56,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per session, through Spark's own file service.
+
+    Functions that run in Python workers refer to the package, which need not be installed there.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_rtml_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="rtml-package-"), "rtml.zip")
+    with zipfile.ZipFile(target, "w") as packed:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.join("rtml", os.path.relpath(path, top)))
+    context.addPyFile(target)
+    context._rtml_shipped = True
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, never reused path under the shared working folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

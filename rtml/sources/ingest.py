@@ -86,10 +86,20 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
 
 
 def start_ingest(spark: SparkSession, topics: list[Topic], fmt: str = "parquet",
-                 once: bool = False) -> list[StreamingQuery]:
-    """One query with its own checkpoint per topic, all in this session."""
-    return [append_sink(decode(event_stream(spark, t), t.schema).drop("_corrupt"), t.path,
-                        t.checkpoint, fmt, once, name=None) for t in topics]
+                 once: bool = False, quarantine: bool = False) -> list[StreamingQuery]:
+    """One query with its own checkpoint per topic, all in this session.
+
+    With ``quarantine`` each topic has a second query, behind all the first ones in the list, that
+    keeps the texts of unreadable records in ``<path>_quarantine``.
+    """
+    started, kept = [], []
+    for t in topics:
+        good, bad = split_corrupt(decode(event_stream(spark, t), t.schema))
+        started.append(append_sink(good, t.path, t.checkpoint, fmt, once, name=None))
+        if quarantine:
+            kept.append(append_sink(bad, f"{t.path}_quarantine", f"{t.checkpoint}_quarantine", fmt,
+                                    once, name=None))
+    return started + kept
 
 
 def run_until(queries: list[StreamingQuery], stop, poll_seconds: float = 5.0) -> None:

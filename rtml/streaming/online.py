@@ -7,6 +7,7 @@ after a failure gives the same state.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.ml.clustering import KMeans
@@ -232,16 +233,31 @@ class WindowedForest:
         self.window_rows, self.refit_every = window_rows, refit_every
         self.recent = VersionedTable(spark, f"{path}/recent", columns)
         self.model, self.models_path, self.refits = None, f"{path}/models", 0
+        self.saved = VersionedTable(spark, f"{path}/saved", "fitted_at long, kind string")
+
+    def _restore(self, batch_id: int) -> None:
+        """The newest model saved before this batch, after a restart."""
+        last = self.saved.version(batch_id - 1).first()
+        if last is not None:
+            module, name = last.kind.rsplit(":", 1)
+            kind = getattr(importlib.import_module(module), name)
+            self.model = kind.load(f"{self.models_path}/batch_id={last.fitted_at}")
 
     def __call__(self, batch: DataFrame, batch_id: int, drift: bool = False) -> None:
         held = self.recent.version(batch_id - 1).unionByName(
             batch.select(*self.recent.version(-1).columns))
         newest = held.orderBy(F.col(self.order).desc()).limit(self.window_rows)
         self.recent.write(newest, batch_id)
+        if self.model is None:
+            self._restore(batch_id)
+        now = self.saved.version(batch_id - 1)
         if self.model is None or drift or (batch_id + 1) % self.refit_every == 0:
             self.model = self.build().fit(self.recent.version(batch_id))
             self.model.write().overwrite().save(f"{self.models_path}/batch_id={batch_id}")
+            kind = f"{type(self.model).__module__}:{type(self.model).__name__}"
+            now = batch.sparkSession.createDataFrame([(batch_id, kind)], now.schema)
             self.refits += 1
+        self.saved.write(now, batch_id)
 
 
 def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None],

@@ -10,7 +10,8 @@ from rtml.operators.encode import with_class_weight
 from rtml.operators.metrics_cls import roc_auc, score_curve
 from rtml.operators.metrics_reg import regression_metrics
 from rtml.operators.rolling import lag_features
-from rtml.operators.sample import random_split
+from rtml.operators.sample import hash_unit, random_split
+from rtml.session import ensure_checkpoint_dir
 from rtml.suite.base import query
 from rtml.suite.roles import event_key
 
@@ -33,25 +34,33 @@ def _parts(t):
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
 
+def _with_held(train):
+    """A tenth of the training rows decides when boosting stops."""
+    return train.withColumn("held", hash_unit("event_id", 7) < 0.1)
+
+
 @query("gbt_classify")
 def gbt_classify(t):
     train, test = _parts(t)
-    model = M.boosted_classifier(_X, "label", "weight", iterations=5, depth=4, rate=0.3).fit(
-        with_class_weight(train, "label"))
+    ensure_checkpoint_dir(t.spark)
+    model = M.boosted_classifier(_X, "label", "weight", "held").fit(
+        with_class_weight(_with_held(train), "label"))
     return roc_auc(score_curve(M.classify(model, test), "label", "score"))
 
 
 @query("gbt_regress")
 def gbt_regress(t):
     train, test = _parts(t)
-    model = M.boosted_regressor(_X, "target", iterations=5, depth=4, rate=0.3).fit(train)
+    ensure_checkpoint_dir(t.spark)
+    model = M.boosted_regressor(_X, "target", "held").fit(_with_held(train))
     return regression_metrics(model.transform(test), "target", "prediction")
 
 
 @query("logreg_balanced")
 def logreg_balanced(t):
     train, test = _parts(t)
-    model = M.balanced_logistic(_X, "label", iterations=50).fit(with_class_weight(train, "label"))
+    model = M.balanced_logistic(_X, "label", iterations=2000).fit(
+        with_class_weight(train, "label"))
     return roc_auc(score_curve(M.classify(model, test), "label", "score"))
 
 
@@ -59,58 +68,58 @@ def logreg_balanced(t):
 def forest_scores(t):
     """Every test row with its score and label at 0.5."""
     train, test = _parts(t)
-    model = M.forest(_X, "label", True, trees=10, depth=5).fit(train)
+    model = M.forest(_X, "label", True, trees=100, depth=10).fit(train)
     return M.classify(model, test).select("event_id", "score", "predicted")
 
 
 @query("feature_importance")
 def feature_importance(t):
     train, _ = _parts(t)
-    model = M.forest(_X, "label", True, trees=10, depth=5).fit(train)
+    model = M.forest(_X, "label", True, trees=100, depth=10).fit(train)
     return L.feature_importances(model.stages[-1], _X, train)
 
 
 @query("partial_dependence")
 def partial_dependence(t):
     train, _ = _parts(t)
-    model = M.forest(_X, "target", False, trees=5, depth=5).fit(train)
-    grid = L.grid_values(train, "k", 20)
+    model = M.forest(_X, "target", False, trees=50, depth=10).fit(train)
+    grid = L.grid_values(train, "k", 50)
     return L.partial_dependence(model, train, _X, "k", grid)
 
 
 @query("cv_scores")
 def cv_scores(t):
     rows = _rows(t).drop("split")
-    return M.cv_scores(rows, M.forest(_X, "label", True, trees=5, depth=4), "label", "event_id",
-                       "f1", 3)
+    return M.cv_scores(rows, M.forest(_X, "label", True, trees=50, depth=4), "label", "event_id",
+                       "f1", 5)
 
 
 @query("validation_curve")
 def validation_curve(t):
     rows = _rows(t).drop("split")
-    return M.validation_curve(rows, lambda d: M.forest(_X, "label", True, trees=5, depth=d),
-                              [2, 4], "label", "event_id", "f1", 2)
+    return M.validation_curve(rows, lambda d: M.forest(_X, "label", True, trees=50, depth=d),
+                              [2, 4, 6, 8, 10], "label", "event_id", "f1", 3)
 
 
 @query("learning_curve")
 def learning_curve(t):
     rows = _rows(t).drop("split")
-    return M.learning_curve(rows, M.forest(_X, "label", True, trees=5, depth=4), "label",
-                            "event_id", "f1", [0.1, 0.5, 1.0], 2)
+    return M.learning_curve(rows, M.forest(_X, "label", True, trees=50, depth=4), "label",
+                            "event_id", "f1", [0.1, 0.325, 0.55, 0.775, 1.0], 3)
 
 
 @query("recursive_elimination")
 def recursive_elimination(t):
     rows = _rows(t).drop("split")
-    return M.recursive_elimination(rows, lambda c: M.forest(c, "label", True, trees=5, depth=4),
-                                   _X, "label", "event_id", "f1", 2)
+    return M.recursive_elimination(rows, lambda c: M.forest(c, "label", True, trees=50, depth=4),
+                                   _X, "label", "event_id", "f1", 3)
 
 
 @query("dropping_curve")
 def dropping_curve(t):
     rows = _rows(t).drop("split")
-    return M.dropping_curve(rows, lambda c: M.forest(c, "label", True, trees=5, depth=4), _X,
-                            "label", "event_id", "f1", [0.25, 0.5, 1.0], 2)
+    return M.dropping_curve(rows, lambda c: M.forest(c, "label", True, trees=50, depth=4), _X,
+                            "label", "event_id", "f1", [0.25, 0.5, 0.75, 1.0], 3)
 
 
 def _vectors(t):
@@ -120,12 +129,12 @@ def _vectors(t):
 
 @query("kmeans_k_search")
 def kmeans_k_search(t):
-    return M.k_search(_vectors(t), range(2, 6))
+    return M.k_search(_vectors(t))
 
 
 @query("kmeans_minibatch")
 def kmeans_minibatch(t):
-    labels, centers = M.kmeans_minibatch(_vectors(t), 5, fraction=0.5, rounds=5)
+    labels, centers = M.kmeans_minibatch(_vectors(t), 5)
     return M.assign_clusters(_vectors(t), "features", labels, centers) \
         .select("vec_id", "cluster", "d_nearest")
 

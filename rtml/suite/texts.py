@@ -107,6 +107,15 @@ def mutual_information(t):
                                 "l_returnflag", 10)
 
 
+@query("mutual_information_numeric", " UNION ALL ".join(
+    [_mi("l_linestatus", "l_linestatus"), _mi("l_quantity", _bin("l_quantity"))])
+    .replace("l_returnflag", "yb").replace("yb FROM lineitem", f"{_bin('l_extendedprice')} AS yb "
+                                           "FROM lineitem"), d="mutual_information")
+def mutual_information_numeric(t):
+    return L.mutual_information_numeric(t.lineitem, ["l_linestatus"], ["l_quantity"],
+                                        "l_extendedprice", 10)
+
+
 def _bin20(c: str) -> str:
     return _bin(c).replace("* 10), 9)", "* 20), 19)")
 

@@ -34,6 +34,16 @@ def test_ingest_restart_has_no_duplicates(spark, tmp_path):
     assert I.table_or_topic(spark, topic).count() == 15
 
 
+def test_unreadable_records_are_kept(spark, tmp_path):
+    write_lines(tmp_path / "in", "1.txt", [line(1), "{broken", line(2)])
+    topic = I.Topic("t", SCHEMA, str(tmp_path / "table"), str(tmp_path / "cp"),
+                    folder=str(tmp_path / "in"))
+    for q in I.start_ingest(spark, [topic], once=True, quarantine=True):
+        q.awaitTermination()
+    assert sorted(r.id for r in I.read_table(spark, topic.path).collect()) == [1, 2]
+    assert [r[0] for r in I.read_table(spark, f"{topic.path}_quarantine").collect()] == ["{broken"]
+
+
 def test_bad_records(spark, tmp_path):
     raw = spark.createDataFrame([(line(1),), ('{"id": 2, "value": "oops"}',), ("{broken",)],
                                 "value string")
@@ -150,6 +160,11 @@ def test_forest_refits_on_schedule(spark, tmp_path):
             F.col("id").alias("at"), F.col("id").cast("double").alias("x"),
             (F.col("id") % 2).cast("int").alias("y")), b)
     assert step.refits == 2 and step.recent.version(2).count() == 30
+    again = O.WindowedForest(spark, str(tmp_path), lambda: forest(["x"], "y", True, 3, 3),
+                             "at long, x double, y int", "at", window_rows=30, refit_every=5)
+    again(spark.range(60, 80).select(F.col("id").alias("at"), F.col("id").cast("double").alias("x"),
+                                     (F.col("id") % 2).cast("int").alias("y")), 3)
+    assert again.refits == 0 and again.model is not None and again.saved.version(3).count() == 1
 
 
 def test_drift_window():
