@@ -2,41 +2,21 @@
 
 from __future__ import annotations
 
-import os
-import zipfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-import rtml
-from rtml.session import ensure_checkpoint_dir, scratch_path
+from rtml.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 #: Rows that a hinted broadcast may have at most; each holds a few fixed-width values.
 BROADCAST_ROWS = 1_000_000
 
 
 def prepare(spark: SparkSession, batch_rows: int = 512) -> None:
-    """Make worker processes able to import this package and keep Arrow batches of texts small.
-
-    The package is sent once per session as a zip through Spark's own file service, so executors
-    need neither an installation nor a folder shared with the driver.
-    """
+    """Make worker processes able to import this package and keep Arrow batches of texts small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    context = spark.sparkContext
-    if getattr(context, "_rtml_shipped", False):
-        return
     ensure_checkpoint_dir(spark)
-    top = os.path.dirname(os.path.abspath(rtml.__file__))
-    target = os.path.join(context._temp_dir, "rtml.zip")
-    with zipfile.ZipFile(target, "w") as packed:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    packed.write(path, os.path.join("rtml", os.path.relpath(path, top)))
-    context.addPyFile(target)
-    context._rtml_shipped = True
+    ship_package(spark)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

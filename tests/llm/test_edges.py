@@ -111,7 +111,7 @@ def test_quality(spark, docs, empty):
                                    "doc_id long, quality int, id long")
     scored = by_id(quality.score_quality(docs, labels))
     assert set(scored) == set(TEXTS) and all(0 <= v[3] <= 1 for v in scored.values())
-    assert scored[0][:5] == scored[10][:5] and scored[1][:5] == scored[2][:5]
+    assert scored[0][:5] == scored[10][:5] and scored[1][0] == scored[2][0]
     assert quality.score_quality(empty, labels).count() == 0
     nothing = by_id(quality.score_quality(docs, labels.where("false")))
     assert all(v[4] for v in nothing.values())
@@ -157,12 +157,9 @@ def test_lm_is_a_distribution():
     label, slot, _, _, fixed, at = lookup.tables()
     label, slot, fixed = label[places], slot[places], fixed[places].copy()
     fixed[len(names):] += np.log10(0.1)
-    feats = np.repeat(langmodel.history(np.array([5, 6, 7], np.uint64), np.array([0]))[2:], len(places),
-                      0)
-    logp = model.classes(feats)[np.arange(len(places)), label].astype(float)
-    own = slot >= 0
-    _, inner = model.words(feats[own], label[own])
-    logp[own] += inner[np.arange(own.sum()), slot[own]]
+    feats = [np.repeat(f[2:], len(places)) for f in
+             langmodel.history(np.array([5, 6, 7], np.uint64), np.array([0]))]
+    logp = langmodel.log_probabilities(model, feats, label, slot)
     total = np.exp(logp + fixed * np.log(10)).sum()
     assert abs(total - 1) < 1e-3
 
@@ -209,12 +206,18 @@ def test_tree_finds_every_link():
         keep = draw.random(200) > draw.uniform(0, 0.12)
         sets[i] = np.sort(np.concatenate([base[keep], draw.integers(0, 2**40, 5).astype(np.uint64)]))
         sets[i] = np.unique(sets[i])
-    tree = jaccard.Tree(sets)
+    sizes = {i: len(s) for i, s in sets.items()}
+    heads = {i: s[:jaccard.prefix_length(len(s), 85)] for i, s in sets.items()}
+    tree, short = jaccard.Tree(sets, sizes), jaccard.Tree(heads, sizes)
     for y, s in sets.items():
-        found = set(tree.matches(s, 85, lambda i: True))
+        found = set(tree.matches(s, len(s), 85, lambda i: True))
         plain = {x for x, t in sets.items() if 100 * len(np.intersect1d(s, t)) >=
                  85 * len(np.union1d(s, t))}
         assert found == plain
+        assert plain <= set(short.matches(heads[y], len(s), 85, lambda i: True))
+        assert plain == {x for x, t in sets.items() if jaccard._possible(s, len(s), t, len(t), 85)}
+        assert plain <= {x for x, t in heads.items()
+                         if jaccard._possible(heads[y], len(s), t, sizes[x], 85)}
 
 
 def test_components(spark):
@@ -339,14 +342,14 @@ def test_token_files(spark, docs, empty, tmp_path):
 
 def test_coder_round_trip_and_checkpoints():
     draw = np.random.default_rng(0)
-    for n in (0, 1, 511, 512, 513, 200_000):
+    for n in (0, 1, 2047, 2048, 2049, 600_000):
         ids = np.minimum(draw.zipf(1.3, n), 40_000).astype("<u4")
         used, counts = np.unique(ids, return_counts=True) if n else (np.array([7]), np.array([1]))
         coder = tokenfiles.Coder.from_counts(used.astype(np.int64), counts)
         assert int(coder.freq.sum()) == 1 << coder.bits and coder.freq.min() >= 1
         points, packed = coder.encode(ids)
         assert (coder.decode(points, packed, n) == ids).all()
-        if n == 200_000:
+        if n == 600_000:
             step = tokenfiles.CHECK * tokenfiles.LANES
             assert (coder.decode(points, packed, n, 1, 2) == ids[step:2 * step]).all()
             p = counts / n
