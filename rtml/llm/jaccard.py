@@ -15,7 +15,7 @@ from rtml.llm.words import HashOfWord, gram_hashes, spaced_words
 _HASH_BITS = np.uint64(58)
 #: A gram is common if it has at least this share of all repeats seen inside tasks, so at most
 #: 1 / COMMON_SHARE grams are.
-COMMON_SHARE = 2.0 ** -18
+COMMON_SHARE = 2.0 ** -20
 _SALTS = 16
 #: Documents in one side of a prefix-tree join task.
 BLOCK = 128
@@ -54,66 +54,80 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    low, high = sorted((len(x), len(y)))
-    if 100 * low < percent * high or not low:
-        return False
-    both = np.concatenate([x, y])
-    both.sort(kind="stable")
-    shared = int((both[1:] == both[:-1]).sum())
-    return 100 * shared >= percent * (len(x) + len(y) - shared)
-
-
 class Tree:
-    """Prefix tree of ordered sets; an edge holds a run of members, so single branches stay arrays."""
+    """Prefix tree of ordered sets; an edge holds a run of members, so single branches stay arrays.
 
-    class Node:
-        __slots__ = ("run", "below", "sets", "least", "rest")
+    ``sets`` hold all members or only the first ones of each set; ``sizes`` are the whole sizes.
+    """
 
-        def __init__(self, run, sets):
-            self.run, self.below, self.sets = run, {}, sets
-            self.least, self.rest = 0, 0
+    class Node:
+        __slots__ = ("run", "below", "sets", "least", "most", "depth")
 
-    def __init__(self, sets: dict[int, np.ndarray]):
-        self.sets = sets
-        order = sorted(sets, key=lambda i: sets[i].byteswap().tobytes())
-        self.root = self._grow(order, 0)
+    def __init__(self, sets: dict[int, np.ndarray], sizes: dict[int, int]):
+        self.sets, self.sizes = sets, sizes
+        order = sorted(sets, key=lambda i: sets[i].astype(">u8").tobytes())
+        self.root = self._grow(order, 0) if order else None
 
     def _grow(self, ids: list[int], at: int) -> Node:
         first, last = self.sets[ids[0]], self.sets[ids[-1]]
         n = min(len(first), len(last))
         apart = first[at:n] != last[at:n]
         end = at + (int(apart.argmax()) if apart.any() else n - at)
-        node = self.Node(first[at:end], [i for i in ids if len(self.sets[i]) == end])
+        node = self.Node()
+        node.run, node.depth = first[at:end], end
+        node.sets = [i for i in ids if len(self.sets[i]) == end]
         groups: dict[int, list[int]] = defaultdict(list)
         for i in ids:
             if len(self.sets[i]) > end:
                 groups[int(self.sets[i][end])].append(i)
-        node.below = {key: self._grow(group, end) for key, group in groups.items()}
-        node.least = min(len(self.sets[i]) for i in ids)
-        node.rest = max(len(self.sets[i]) for i in ids) - end
+        node.below = [self._grow(group, end) for group in groups.values()]
+        node.least = min(self.sizes[i] for i in ids)
+        node.most = max(self.sizes[i] for i in ids)
         return node
 
-    def matches(self, y: np.ndarray, percent: int, wanted):
-        """Ids whose sets reach ``percent`` with ``y``; ``wanted(id)`` false skips a set. The overlap
-        of a shared run is counted once for all sets below it, and a branch is left when even all
-        that remains of it and of ``y`` could not reach the least overlap needed."""
-        stack = [(self.root, 0, 0)]
+    def matches(self, y: np.ndarray, size: int, percent: int, wanted):
+        """Ids of sets that may reach ``percent`` with ``y`` (of whole size ``size``) as far as the
+        known members tell: exactly the links if all members are known on both sides.
+
+        ``wanted(id)`` false skips a set. The overlap of a shared run is counted once for all sets
+        below it, and a branch is left when even all that remains of it and of ``y`` could not reach
+        the least overlap needed.
+        """
+        stack = [(self.root, 0, 0)] if self.root and len(y) else []
         while stack:
             node, overlap, at = stack.pop()
-            if len(node.run):
-                stop = int(np.searchsorted(y, node.run[-1], "right"))
-                place = np.searchsorted(y[at:stop], node.run)
-                inside = place < stop - at
-                overlap += int((y[at:stop][place[inside]] == node.run[inside]).sum())
-                at = stop
-            if overlap + min(node.rest, len(y) - at) < needed(node.least, len(y), percent):
+            run, depth = node.run, node.depth
+            if len(run):
+                known = int(np.searchsorted(run, y[-1], "right"))
+                depth -= len(run) - known
+                run = run[:known]
+                if known:
+                    stop = int(np.searchsorted(y, run[-1], "right"))
+                    window = y[at:stop]
+                    place = np.searchsorted(window, run)
+                    inside = place < len(window)
+                    overlap += int((window[place[inside]] == run[inside]).sum())
+                    at = stop
+                if depth < node.depth:
+                    at = len(y)
+            if overlap + min(node.most - depth, size - at) < needed(node.least, size, percent):
                 continue
-            for i in node.sets:
-                n = len(self.sets[i])
-                if 100 * overlap >= percent * (n + len(y) - overlap) and wanted(i):
+            if depth < node.depth:  # the known members of y end here
+                below, sets = [node], []
+                while below:
+                    child = below.pop()
+                    sets += child.sets
+                    below += child.below
+            else:
+                sets = node.sets
+                stack.extend((child, overlap, at) for child in node.below)
+            for i in sets:
+                n, up_to = self.sizes[i], at
+                if depth == len(self.sets[i]) and depth:  # members of y up to the last known one
+                    up_to = int(np.searchsorted(y, self.sets[i][-1], "right")) if depth < n else \
+                        len(y)
+                if overlap + min(n - depth, size - up_to) >= needed(n, size, percent) and wanted(i):
                     yield i
-            stack.extend((child, overlap, at) for child in node.below.values())
 
 
 class Union(dict):
@@ -184,94 +198,161 @@ def _copies(table: DataFrame) -> DataFrame:
                   .select("id", "rep"), "copies")
 
 
-def _emit_sets(rows: DataFrame, order: Order, k: int, percent: int, whole: bool) -> DataFrame:
-    """Postings (``gram``, ``id``, ``n``) of the prefixes, or the whole ordered sets as binary."""
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """Arrays of a list column of longs or ints, as unsigned."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    offsets = column.offsets.to_numpy()
+    offsets = offsets - offsets[0]
+    flat = flat.view(np.uint64 if flat.dtype == np.int64 else np.uint32)
+    return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def _ordered_sets(rows: DataFrame, order: Order, k: int, percent: int, whole: bool) -> DataFrame:
+    """(``id``, ``n``, ``grams``): each set in the global order, all of it or its prefix.
+
+    Prefixes come with ``short``, the upper half of their keys: as good for bounds, and half as long.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(order)
 
-    def postings(batches):
+    def run(batches):
         hasher, order = HashOfWord(), shared.value
         for batch in batches:
-            ids = np.array(batch.column(0).to_pylist(), np.int64)
             sets = [order.keys(gram_set(hasher, t, k))
                     for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            sizes = np.array([len(s) for s in sets], np.int64)
-            heads = [s[:prefix_length(len(s), percent)] if len(s) else s for s in sets]
-            counts = [len(h) for h in heads]
-            grams = np.concatenate(heads) if heads else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams.view(np.int64)), pa.array(np.repeat(ids, counts)),
-                 pa.array(np.repeat(sizes, counts))], names=["gram", "id", "n"])
-
-    def sets_of(batches):
-        hasher, order = HashOfWord(), shared.value
-        for batch in batches:
-            sets = [order.keys(gram_set(hasher, t, k)).astype("<u8").tobytes()
-                    for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())],
-                                             names=["id", "grams"])
-
-    return rows.mapInArrow(sets_of, "id long, grams binary") if whole else \
-        rows.mapInArrow(postings, "gram long, id long, n long")
+            sizes = [len(s) for s in sets]
+            if not whole:
+                sets = [s[:prefix_length(len(s), percent)] if len(s) else s for s in sets]
+            ends = np.cumsum([0, *map(len, sets)])
+            flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                             pa.array(flat.view(np.int64)))
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), lists]
+            if not whole:
+                short = (flat >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                                        pa.array(short)))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "grams", "short"]
+                                             [:len(columns)])
+
+    return rows.mapInArrow(run, "id long, n long, grams array<long>" +
+                           ("" if whole else ", short array<int>"))
+
+
+def _possible(x: np.ndarray, nx: int, y: np.ndarray, ny: int, percent: int) -> bool:
+    """Whether two sets can be linked, given their first members (all of them: whether they are).
+
+    Below the smaller of the two last known members both sets are known; what is not shared there
+    cannot be shared at all.
+    """
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    if len(x) < nx or len(y) < ny:
+        last = min(x[-1], y[-1])
+        shared += min(nx - int(np.searchsorted(x, last, "left")),
+                      ny - int(np.searchsorted(y, last, "left")))
+    return shared >= needed(nx, ny, percent)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) that are links."""
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int,
+             column: str = "grams") -> DataFrame:
+    """The pairs (``a``, ``b``) that are possible links by ``sets``, exact links if sets are whole."""
     def check(batches):
         for batch in batches:
-            a, b, x, y = (c.to_pylist() for c in batch.columns)
-            good = [similar(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8"), percent)
-                    for p, q in zip(x, y)]
-            keep = np.flatnonzero(good)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()),
-                                              pa.array([b[i] for i in keep], pa.int64())],
-                                             names=["a", "b"])
-
-    x = sets.select(F.col("id").alias("a"), F.col("grams").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("grams").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y") \
+            a, b, n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            x, y = _lists(batch.column(4)), _lists(batch.column(5))
+            keep = np.array([_possible(p, int(i), q, int(j), percent)
+                             for p, i, q, j in zip(x, n, y, m)], bool)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()),
+                                              pa.array(b[keep], pa.int64())], names=["a", "b"])
+
+    x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col(column).alias("x"))
+    y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col(column).alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y") \
         .mapInArrow(check, "a long, b long")
 
 
-def _tree_links(members: DataFrame, percent: int) -> DataFrame:
-    """Spanning links of each task (``gram``, ``i``, ``j``): its blocks' sets of unlike ``comp`` joined
-    by a prefix tree. Rows come sorted by task; one task's rows are held at a time."""
-    def join(rows, out):
-        left = {r[1]: r[4] for r in rows if r[5] != 2}
-        right = {r[1]: r[4] for r in rows if r[5] != 1}
-        comp = {r[1]: r[3] for r in rows}
-        united = Union()
-        tree = Tree(left)
-        for y in sorted(right, key=lambda i: (len(right[i]), i)):
-            def wanted(x, y=y):
-                return united.find(comp[x]) != united.find(comp[y])
-            for x in tree.matches(right[y], percent, wanted):
-                if wanted(x):
-                    united.join(comp[x], comp[y])
-                    out.append((x, y))
+def _mark(rows, percent, out):
+    """Members of a task that may be linked to one of another component, each once.
+
+    The bound of ``_possible`` for all pairs of two blocks at once, from a product of 0/1 matrices.
+    """
+    left = [r for r in rows if r[7] != 2]
+    right = [r for r in rows if r[7] != 1]
+    if not left or not right:
+        return
+    sets = [r[6] for r in left] + [r[6] for r in right]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    grams, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.zeros((len(left), len(right)), np.float32)
+    rank = np.cumsum(times > 1) - 1
+    use = times[at] > 1
+    owner, column = owner[use], rank[at[use]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for start in range(0, int((times > 1).sum()), 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        hot = np.zeros((len(sets), 4096), np.float32)
+        hot[owner[a:b], column[a:b] - start] = 1
+        shared += hot[:len(left)] @ hot[len(left):].T
+    last_left = np.array([r[6][-1] for r in left])
+    last_right = np.array([r[6][-1] for r in right])
+    n, m = np.array([r[5] for r in left]), np.array([r[5] for r in right])
+    a = np.stack([np.searchsorted(r[6], last_right, "left") for r in left])
+    b = np.stack([np.searchsorted(r[6], last_left, "left") for r in right]).T
+    a, b = np.minimum(a, np.array([len(r[6]) for r in left])[:, None] - 1), \
+        np.minimum(b, np.array([len(r[6]) for r in right])[None, :] - 1)
+    least = -(-percent * (n[:, None] + m[None, :]) // (100 + percent))
+    good = shared + np.minimum(n[:, None] - a, m[None, :] - b) >= least
+    good &= np.array([r[4] for r in left])[:, None] != np.array([r[4] for r in right])[None, :]
+    found = {left[i][3] for i in np.flatnonzero(good.any(1))} | \
+        {right[i][3] for i in np.flatnonzero(good.any(0))}
+    out += [(rows[0][0], i) for i in found]
+
+
+def _link(rows, percent, out):
+    """Spanning links of a task between components."""
+    left = {r[3]: r for r in rows if r[7] != 2}
+    right = {r[3]: r for r in rows if r[7] != 1}
+    tree = Tree({i: r[6] for i, r in left.items()}, {i: r[5] for i, r in left.items()})
+    united = Union()
+
+    def apart(x, y):
+        return united.find(left[x][4]) != united.find(right[y][4])
+
+    for y, r in right.items():
+        for x in tree.matches(r[6], r[5], percent, lambda x, y=y: apart(x, y)):
+            if apart(x, y):
+                united.join(left[x][4], r[4])
+                out.append((x, y))
+
+
+def _run_tasks(tasks: DataFrame, work, percent: int, kind: str) -> DataFrame:
+    """Apply ``work`` to each task; rows come sorted by task and one task's rows are held at a time."""
+    names = [c.split()[0] for c in kind.split(", ")]
+
+    def rows_of(out):
+        columns = list(zip(*out)) or [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     def run(batches):
         held, task = [], None
         for batch in batches:
             out: list[tuple[int, int]] = []
-            cols = [c.to_pylist() for c in batch.columns]
-            for gram, i, j, id_, comp, grams, side in zip(*cols):
-                if task != (gram, i, j):
+            plain = [batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 5)]
+            for row in zip(*plain, _lists(batch.column(6)), batch.column(7).to_pylist()):
+                if task != row[:3]:
                     if held:
-                        join(held, out)
-                    held, task = [], (gram, i, j)
-                held.append((gram, id_, None, comp, np.frombuffer(grams, "<u8"), side))
-            yield _pairs(out)
+                        work(held, percent, out)
+                    held, task = [], row[:3]
+                held.append(row)
+            yield rows_of(out)
         out = []
         if held:
-            join(held, out)
-        yield _pairs(out)
-
-    def _pairs(out):
-        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()),
-                                           pa.array([p[1] for p in out], pa.int64())],
-                                          names=["a", "b"])
+            work(held, percent, out)
+        yield rows_of(out)
 
-    return members.mapInArrow(run, "a long, b long")
+    return tasks.mapInArrow(run, kind)
 
 
 def _tree_tasks(groups: DataFrame, sets: DataFrame) -> DataFrame:
@@ -286,10 +367,21 @@ def _tree_tasks(groups: DataFrame, sets: DataFrame) -> DataFrame:
         "gram", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "id",
         "comp", F.when(F.col("blk") == F.col("other"), 3).when(F.col("blk") < F.col("other"), 1)
         .otherwise(2).alias("side"))
-    placed = tasks.join(sets, "id").select("gram", "i", "j", "id", "comp", "grams", "side")
+    placed = tasks.join(sets, "id") \
+        .select("gram", "i", "j", "id", "comp", "n", "grams", F.col("side").cast("long"))
     return placed.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
 
 
+def _mixed(groups: DataFrame) -> DataFrame:
+    """Groups (``gram``, ``id``, ``comp``) that hold several components, with their size ``m``; of
+    groups of equal members one is enough."""
+    sized = groups.groupBy("gram").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s")).where("lo <> hi")
+    once = sized.groupBy("m", "s").agg(F.min("gram").alias("gram"))
+    return groups.join(once.select("gram", "m"), "gram").select("gram", "m", "id", "comp")
+
+
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, ``n_shingles`` and ``component_id``, the smallest id that links reach.
@@ -300,10 +392,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     1. equal sets are joined to their smallest id, by signature (salted join);
     2. each remaining set is put in one global order, grams that repeat inside tasks last, and its
        prefix is posted; linked sets share a posted gram;
-    3. in each group of one gram the most shared member is compared with the others exactly, which
-       joins groups of copies without comparing them all;
+    3. in each group of one gram the most shared member is compared with the others, by prefixes and
+       then exactly, which joins groups of copies without comparing them all;
     4. groups that still hold several components are cut into blocks, and every pair of blocks is
-       joined by a prefix tree that looks only for links between components.
+       looked at twice: the overlaps of the prefixes mark the members that can have a link to another
+       component at all, and a prefix tree over the whole sets of those finds the links.
 
     Ids are longs; rows with a null id get a null component; rows that repeat an id are one document
     if their texts are equal, and are linked through the shared id if not. Null, empty and blank
@@ -319,11 +412,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     copies = _copies(full)
     left = rows.where("id IS NOT NULL") \
         .join(broadcast_checked(copies.select("id").distinct()), "id", "left_anti")
-    posted = stored(_emit_sets(left, order, k, percent, whole=False), "postings")
+    heads = stored(_ordered_sets(left, order, k, percent, whole=False), "heads")
+    posted = heads.select(F.explode("grams").alias("gram"), "id", "n")
     shared = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lo"),
-                                        F.max("id").alias("hi")).where("lo <> hi") \
-        .select("gram", "m")
-    groups = stored(posted.join(shared, "gram").select("gram", "m", "id", "n"), "groups")
+                                        F.max("id").alias("hi")).where("lo <> hi").select("gram")
+    groups = stored(posted.join(shared, "gram").select("gram", "id", "n"), "groups")
     weight = groups.groupBy("id").agg((F.count(F.lit(1)) / F.first("n")).alias("w"))
     ranked = groups.join(weight, "id")
     leaders = ranked.groupBy("gram").agg(
@@ -333,20 +426,26 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
         .where((F.col("id") != F.col("lead")) &
                (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))) \
         .select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
-    members = stored(groups.select("id").distinct(), "members")
-    sets = stored(_emit_sets(rows.join(broadcast_checked(members), "id", "left_semi"), order, k,
-                             percent, whole=True), "grams")
-    linked = stored(_verified(pairs, sets, percent), "links")
+    short = heads.select("id", "n", "short")
+    possible = stored(_checked(pairs, short, percent, "short"), "possible")
+
+    def whole_sets(ids: DataFrame) -> DataFrame:
+        ids = broadcast_checked(stored(ids.distinct(), "members"))
+        return stored(_ordered_sets(left.join(ids, "id", "left_semi"), order, k, percent, whole=True),
+                      "grams")
+
+    members = possible.select(F.col("a").alias("id")).union(possible.select("b"))
+    linked = stored(_checked(possible, whole_sets(members), percent), "links")
     found = components(linked)
     labelled = groups.join(found.withColumnRenamed("node", "id"), "id", "left") \
-        .withColumn("comp", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("gram").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
-        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s")).where("lo <> hi")
-    once = mixed.groupBy("m", "s").agg(F.min("gram").alias("gram")).select("gram")
-    tasks = _tree_tasks(stored(labelled.join(once, "gram").select("gram", "m", "id", "comp"),
-                               "mixed"), sets)
-    more = stored(_tree_links(tasks, percent), "treelinks")
+        .select("gram", "id", F.coalesce("component", "id").alias("comp"))
+    mixed = stored(_mixed(labelled), "mixed")
+    marked = stored(_run_tasks(
+        _tree_tasks(mixed, short.withColumnRenamed("short", "grams")), _mark, percent, "gram long, id long")
+                    .distinct(), "marked")
+    rest = stored(_mixed(marked.join(mixed.select("gram", "id", "comp"), ["gram", "id"])), "rest")
+    more = stored(_run_tasks(_tree_tasks(rest, whole_sets(rest.select("id"))), _link, percent,
+                             "a long, b long"), "treelinks")
     edges = linked.union(more).union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     final = components(edges)
     return sized.join(final.withColumnRenamed("node", "id"), "id", "left").select(

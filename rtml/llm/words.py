@@ -22,7 +22,7 @@ def plain_words(text: bytes | None) -> list[bytes]:
 class HashOfWord(dict):
     """Word to 64-bit hash, remembered up to a number of words, then started afresh."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
