@@ -176,7 +176,7 @@ class TextEncoder:
     tests hold this against encoding whole texts.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str, limit: int = 600_000):
+    def __init__(self, tokenizer_json: str, dtype: str, limit: int = 200_000):
         from tokenizers import Tokenizer
         self.words = WordIds(Tokenizer.from_str(tokenizer_json), "H" if dtype == "<u2" else "I",
                              limit)
