@@ -17,7 +17,7 @@ _HASH_BITS = np.uint64(58)
 #: 1 / COMMON_SHARE grams are.
 COMMON_SHARE = 2.0 ** -20
 _SALTS = 16
-#: Documents in one side of a prefix-tree join task.
+#: Documents in one side of a prefix-tree join task; the prefix bound takes eight times as many.
 BLOCK = 128
 
 
@@ -355,12 +355,12 @@ def _run_tasks(tasks: DataFrame, work, percent: int, kind: str) -> DataFrame:
     return tasks.mapInArrow(run, kind)
 
 
-def _tree_tasks(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Blocks of up to ``BLOCK`` members, and a task for each pair of blocks of a group.
+def _tree_tasks(groups: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Blocks of up to ``block`` members, and a task for each pair of blocks of a group.
 
     ``side`` is 1 and 2 for the two blocks, 3 where a block meets itself.
     """
-    blocks = groups.withColumn("nb", F.ceil(F.col("m") / BLOCK)) \
+    blocks = groups.withColumn("nb", F.ceil(F.col("m") / block)) \
         .withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))
     tasks = blocks.withColumn("other", other).select(
@@ -440,11 +440,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     labelled = groups.join(found.withColumnRenamed("node", "id"), "id", "left") \
         .select("gram", "id", F.coalesce("component", "id").alias("comp"))
     mixed = stored(_mixed(labelled), "mixed")
-    marked = stored(_run_tasks(
-        _tree_tasks(mixed, short.withColumnRenamed("short", "grams")), _mark, percent, "gram long, id long")
-                    .distinct(), "marked")
+    blocks = _tree_tasks(mixed, short.withColumnRenamed("short", "grams"), 8 * BLOCK)
+    marked = stored(_run_tasks(blocks, _mark, percent, "gram long, id long").distinct(), "marked")
     rest = stored(_mixed(marked.join(mixed.select("gram", "id", "comp"), ["gram", "id"])), "rest")
-    more = stored(_run_tasks(_tree_tasks(rest, whole_sets(rest.select("id"))), _link, percent,
+    more = stored(_run_tasks(_tree_tasks(rest, whole_sets(rest.select("id")), BLOCK), _link, percent,
                              "a long, b long"), "treelinks")
     edges = linked.union(more).union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     final = components(edges)
