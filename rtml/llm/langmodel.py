@@ -9,17 +9,18 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from xxhash import xxh3_64_intdigest
 
 from rtml.llm.common import prepare, stored
 from rtml.llm.words import spaced_words
 
-CLASSES, WIDTH, SHAPES = 32, 32, 6
+CLASSES, WIDTH, SHAPES = 16, 32, 6
 OUT = CLASSES + SHAPES
 BUCKETS = 1 << 14
 FEATURES = 3
@@ -29,11 +30,11 @@ END = b"\n"
 #: 1 / HEAD_SHARE words are.
 HEAD_SHARE = 2.0 ** -18
 ALPHA = 0.1
-_BATCH = 4096
+_BATCH = 8192
 _RATE = 0.15
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
-_S = np.uint64(40)
+_S = np.uint64(64 - BUCKETS.bit_length() + 1)
 
 
 def shape_of(word: bytes) -> int:
@@ -66,6 +67,8 @@ class Lookup(dict):
         v = self.vocabulary = vocabulary
         self.head = {w: i for i, w in enumerate(v.words)}
         self.limit = limit
+        self.logs = [math.log10(c + ALPHA) for c in v.counts]
+        self.masses = [math.log10(m) for m in v.static]
         self.norm = math.log10(max(v.tokens, 0) + ALPHA * (v.distinct + 1))
         self._fresh()
 
@@ -76,15 +79,15 @@ class Lookup(dict):
                                                     np.int64)]
 
     def __missing__(self, word: bytes) -> int:
-        v, at = self.vocabulary, self.head.get(word, -1)
-        modelled = 0 <= at < v.modelled
-        label = at % CLASSES if modelled else CLASSES + shape_of(word)
-        slot = at // CLASSES if modelled else -1
-        logc = math.log10(v.counts[at] + ALPHA) if at >= 0 else 0.0
-        static = 0.0 if modelled else \
-            (logc if at >= 0 else 0.0) - math.log10(v.static[shape_of(word)])
+        at = self.head.get(word, -1)
+        if 0 <= at < self.vocabulary.modelled:
+            label, slot, logc, static = at % CLASSES, at // CLASSES, self.logs[at], 0.0
+        else:
+            shape = shape_of(word)
+            label, slot, logc = CLASSES + shape, -1, self.logs[at] if at >= 0 else 0.0
+            static = logc - self.masses[shape]
         place = self[word] = self.size + len(self.rows)
-        self.rows.append((label, slot, xxhash.xxh3_64_intdigest(word), logc, static, at))
+        self.rows.append((label, slot, xxh3_64_intdigest(word), logc, static, at))
         return place
 
     def tables(self):
@@ -102,20 +105,21 @@ class Lookup(dict):
 
 def _bucket(x: np.ndarray) -> np.ndarray:
     x = x * _A
-    x = (x ^ (x >> np.uint64(29))) * _B
-    return ((x >> _S) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    x ^= x >> np.uint64(29)
+    x *= _B
+    x >>= _S
+    return x
 
 
-def history(names: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def history(names: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     """Feature hashes per token: the word before, the two before, and the second before (skip)."""
-    one, two = np.zeros_like(names), np.zeros_like(names)
+    one, two = np.ones_like(names), np.ones_like(names)
     one[1:], two[2:] = names[:-1], names[:-2]
-    one[starts] = np.uint64(1)
-    two[starts] = np.uint64(1)
+    one[starts] = two[starts] = np.uint64(1)
     after = starts + 1
     two[after[after < len(names)]] = np.uint64(1)
-    return np.stack([one * np.uint64(3) + np.uint64(1), (one ^ (two * _B)) * np.uint64(5)
-                     + np.uint64(2), two * np.uint64(7) + np.uint64(3)], axis=1)
+    return [one * np.uint64(3) + np.uint64(1), (one ^ (two * _B)) * np.uint64(5) + np.uint64(2),
+            two * np.uint64(7) + np.uint64(3)]
 
 
 class Model:
@@ -134,45 +138,63 @@ class Model:
         self.bias = np.log(mass / mass.sum()).astype(np.float32)
         self.inner = inner
 
-    def classes(self, feats):
-        return _log_softmax(self.w1[_bucket(feats)].sum(1) + self.bias)
+    def classes(self, rows):
+        """Scores of all classes, their exponentials and the sums of these."""
+        return _scores(self.w1, rows, self.bias)
 
     def words(self, feats, labels):
-        salted = feats ^ (labels.astype(np.uint64)[:, None] * _A)
-        rows = _bucket(salted)
-        return rows, _log_softmax(self.w2[rows].sum(1) + self.inner[labels])
+        """Buckets, and as ``classes`` for the words of each token's class."""
+        salt = labels.astype(np.uint64) * _A
+        rows = [_bucket(f ^ salt) for f in feats]
+        return rows, _scores(self.w2, rows, self.inner[labels])
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _scores(weights, rows, start):
+    z = weights[rows[0]]
+    for r in rows[1:]:
+        z += weights[r]
+    z += start
+    np.minimum(z, 60, out=z)
+    e = np.exp(z)
+    return z, e, e @ np.ones(e.shape[1], e.dtype)
 
 
 def _descend(weights, squares, rows, error):
     """Adaptive step on the touched rows; equal rows are summed first."""
-    flat = rows.ravel()
+    flat = np.concatenate(rows).astype(np.uint16)
     order = np.argsort(flat, kind="stable")
     keys = flat[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    grad = np.add.reduceat(error[order // FEATURES], first, axis=0)
-    keys = keys[first]
-    squares[keys] += (grad * grad).mean(1)
+    grad = np.add.reduceat(error[order % len(error)], first, axis=0)
+    keys = keys[first].astype(np.int64)
+    squares[keys] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
     weights[keys] -= (_RATE / np.sqrt(squares[keys] + 1e-3))[:, None] * grad
 
 
 def train_on(model: Model, squares, feats, labels, slots) -> None:
-    rows = _bucket(feats)
-    error = np.exp(_log_softmax(model.w1[rows].sum(1) + model.bias))
+    rows = [_bucket(f) for f in feats]
+    _, error, total = model.classes(rows)
+    error /= total[:, None]
     error[np.arange(len(labels)), labels] -= 1
     _descend(model.w1, squares[0], rows, error)
-    own = slots >= 0
-    if own.any():
-        rows, logp = model.words(feats[own], labels[own])
-        error = np.exp(logp)
-        error[np.arange(len(error)), slots[own]] -= 1
+    own = np.flatnonzero(slots >= 0)
+    if len(own):
+        rows, (_, error, total) = model.words([f[own] for f in feats], labels[own])
+        error /= total[:, None]
+        error[np.arange(len(own)), slots[own]] -= 1
         _descend(model.w2, squares[1], rows, error)
 
 
+def log_probabilities(model: Model, feats, labels, slots) -> np.ndarray:
+    """Natural log of P(class | history), times P(word | class, history) for modelled words."""
+    z, _, total = model.classes([_bucket(f) for f in feats])
+    out = z[np.arange(len(labels)), labels].astype(float) - np.log(total)
+    own = np.flatnonzero(slots >= 0)
+    _, (z, _, total) = model.words([f[own] for f in feats], labels[own])
+    out[own] += z[np.arange(len(own)), slots[own]] - np.log(total)
+    return out
+
+
 def _tokens(lookup: Lookup, texts):
     """Concatenated token places of a batch, and where each text starts."""
     if len(lookup) >= lookup.limit:
@@ -182,9 +204,8 @@ def _tokens(lookup: Lookup, texts):
     np.cumsum([len(x) + 1 for x in lists], out=starts[1:])
     for x in lists:
         x.append(END)
-    places = np.fromiter((p for x in lists for p in map(lookup.__getitem__, x)), np.int64,
-                         int(starts[-1]))
-    return lists, places, starts
+    words = list(chain.from_iterable(lists))
+    return words, np.fromiter(map(lookup.__getitem__, words), np.int64, len(words)), starts
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -255,7 +276,7 @@ def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> Model:
                 feats = history(name[places], starts[:-1])
                 for a in range(0, len(places), _BATCH):
                     at = places[a:a + _BATCH]
-                    train_on(own, squares, feats[a:a + _BATCH], label[at], slot[at])
+                    train_on(own, squares, [f[a:a + _BATCH] for f in feats], label[at], slot[at])
                 seen += len(places)
             if seen:
                 change = np.concatenate([(own.w1 - base.w1).ravel(), (own.w2 - base.w2).ravel()])
@@ -327,29 +348,29 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             if not texts:
                 continue
-            lists, places, starts = _tokens(lookup, texts)
+            words, places, starts = _tokens(lookup, texts)
             label, slot, names, logc, static, at = lookup.tables()
             feats = history(names[places], starts[:-1])
             logp = np.empty(len(places))
             for a in range(0, len(places), _BATCH):
-                p, f = places[a:a + _BATCH], feats[a:a + _BATCH]
-                rank = np.arange(len(p))
-                value = model.classes(f)[rank, label[p]].astype(float)
-                own = slot[p] >= 0
-                _, inner = model.words(f[own], label[p][own])
-                value[own] += inner[np.arange(len(inner)), slot[p][own]]
-                logp[a:a + _BATCH] = value / math.log(10) + static[p]
+                p = places[a:a + _BATCH]
+                logp[a:a + _BATCH] = log_probabilities(
+                    model, [f[a:a + _BATCH] for f in feats], label[p], slot[p]) / math.log(10) \
+                    + static[p]
             head = at[places] >= 0
             base = np.where(head, logc[places], 0.0) - lookup.norm
-            tails = [list(Counter(w for w, h in zip(words, head[a:b]) if not h).items())
-                     for words, a, b in zip(lists, starts, starts[1:])]
+            tails: list[Counter] = [Counter() for _ in texts]
+            rare = np.flatnonzero(~head)
+            for i, doc in zip(rare.tolist(), (np.searchsorted(starts, rare, "right") - 1).tolist()):
+                tails[doc][words[i]] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(key, key + len(texts)), pa.int64()), batch.column(0),
                  batch.column(2), pa.array(np.diff(starts)),
                  pa.array(np.add.reduceat(head.astype(np.int64), starts[:-1])),
                  pa.array(np.add.reduceat(base, starts[:-1])),
                  pa.array(np.add.reduceat(logp, starts[:-1])),
-                 pa.array([[{"word": w, "tf": n} for w, n in t] for t in tails], tail_type)],
+                 pa.array([[{"word": w, "tf": n} for w, n in t.items()] for t in tails],
+                          tail_type)],
                 names=["key", "id", "held_out", "n_tokens", "n_known", "base", "score", "tail"])
             key += len(texts)
 
