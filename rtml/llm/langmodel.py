@@ -1,8 +1,9 @@
 """Hashed maximum-entropy language model: n-gram and skip features, class-factored softmax.
 
-A word is predicted as P(class | history) * P(word | class, history). The most frequent words form
-``CLASSES`` classes of ``WIDTH`` words, scored by weights that hashed history features select. All
-other words fall into static classes by their shape, where a word has its smoothed corpus count.
+A word is predicted as P(class | history) * P(word | class, history). All words of the vocabulary's
+head form about as many classes as a class has words, both scored by weights that hashed history
+features select, so the work per token follows the root of their number. All other words fall into
+static classes by their shape, where a word has its smoothed corpus count.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from xxhash import xxh3_64_intdigest
 from rtml.llm.common import prepare, stored
 from rtml.llm.words import spaced_words
 
-CLASSES, WIDTH, SHAPES = 16, 32, 6
-OUT = CLASSES + SHAPES
+#: Classes and words of a class, at least.
+CLASSES, WIDTH = 32, 32
+SHAPES = 6
 BUCKETS = 1 << 14
 FEATURES = 3
 #: The end of a text as a token; no word holds white space.
@@ -53,10 +55,12 @@ class Vocabulary:
     """Head words in order of falling count, their counts, and totals of the rest by shape."""
 
     def __init__(self, words: list[bytes], counts: list[int], tokens: int, distinct: int,
-                 static: list[float]):
+                 static: list[float], modelled: int = CLASSES * WIDTH):
         self.words, self.counts = words, counts
         self.tokens, self.distinct, self.static = tokens, distinct, static
-        self.modelled = min(len(words), CLASSES * WIDTH)
+        self.modelled = min(len(words), modelled)
+        self.classes = max(CLASSES, math.isqrt(max(self.modelled - 1, 0)) + 1)
+        self.width = max(WIDTH, -(-self.modelled // self.classes))
 
 
 class Lookup(dict):
@@ -81,10 +85,11 @@ class Lookup(dict):
     def __missing__(self, word: bytes) -> int:
         at = self.head.get(word, -1)
         if 0 <= at < self.vocabulary.modelled:
-            label, slot, logc, static = at % CLASSES, at // CLASSES, self.logs[at], 0.0
+            slot, label = divmod(at, self.vocabulary.classes)
+            logc, static = self.logs[at], 0.0
         else:
             shape = shape_of(word)
-            label, slot, logc = CLASSES + shape, -1, self.logs[at] if at >= 0 else 0.0
+            label, slot, logc = self.vocabulary.classes + shape, -1, self.logs[at] if at >= 0 else 0.0
             static = logc - self.masses[shape]
         place = self[word] = self.size + len(self.rows)
         self.rows.append((label, slot, xxh3_64_intdigest(word), logc, static, at))
@@ -127,14 +132,14 @@ class Model:
 
     def __init__(self, vocabulary: Vocabulary):
         v = vocabulary
-        self.w1 = np.zeros((BUCKETS, OUT), np.float32)
-        self.w2 = np.zeros((BUCKETS, WIDTH), np.float32)
-        mass = np.full(OUT, 1e-3)
-        inner = np.full((CLASSES, WIDTH), -1e4, np.float32)
+        self.w1 = np.zeros((BUCKETS, v.classes + SHAPES), np.float32)
+        self.w2 = np.zeros((BUCKETS, v.width), np.float32)
+        mass = np.full(v.classes + SHAPES, 1e-3)
+        inner = np.full((v.classes, v.width), -1e4, np.float32)
         for i in range(v.modelled):
-            mass[i % CLASSES] += v.counts[i] + ALPHA
-            inner[i % CLASSES, i // CLASSES] = math.log(v.counts[i] + ALPHA)
-        mass[CLASSES:] += v.static
+            mass[i % v.classes] += v.counts[i] + ALPHA
+            inner[i % v.classes, i // v.classes] = math.log(v.counts[i] + ALPHA)
+        mass[v.classes:] += v.static
         self.bias = np.log(mass / mass.sum()).astype(np.float32)
         self.inner = inner
 
@@ -244,10 +249,10 @@ def gather_vocabulary(counts: DataFrame) -> Vocabulary:
         .agg(F.sum(F.col("c") + ALPHA).alias("m")).collect() if totals.n else []
     for r in shapes:
         static[r.s] += r.m
-    for c, w in head[:CLASSES * WIDTH]:
+    for c, w in head:
         static[shape_of(w)] -= c + ALPHA
     return Vocabulary([w for _, w in head], [c for c, _ in head], totals.n, totals.v,
-                      [max(s, ALPHA) for s in static])
+                      [max(s, ALPHA) for s in static], len(head))
 
 
 def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> Model:
@@ -308,9 +313,9 @@ def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> Model:
             seen = changes[0].seen
             total = np.concatenate([np.frombuffer(bytes(c.change), "<f4")
                                     for c in sorted(changes, key=lambda c: c.cut)]) / seen
-            edge = BUCKETS * OUT
-            model.w1 += total[:edge].reshape(BUCKETS, OUT)
-            model.w2 += total[edge:].reshape(BUCKETS, WIDTH)
+            edge = model.w1.size
+            model.w1 += total[:edge].reshape(model.w1.shape)
+            model.w2 += total[edge:].reshape(model.w2.shape)
     return model
 
 

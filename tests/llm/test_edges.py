@@ -164,6 +164,26 @@ def test_lm_is_a_distribution():
     assert abs(total - 1) < 1e-3
 
 
+def test_lm_models_every_head_word(spark):
+    """The modelled words follow the counts; each has a slot of its own, learned from its history."""
+    words = [(f"w{i}".encode(), 5000 - i) for i in range(3000)]
+    vocab = langmodel.gather_vocabulary(spark.createDataFrame(words, "word binary, c long"))
+    lookup = langmodel.Lookup(vocab)
+    places = np.array([lookup[w] for w, _ in words])
+    label, slot, names, *_ = lookup.tables()
+    assert vocab.modelled == len({*zip(label[places], slot[places])}) == 3000 and min(slot[places]) >= 0
+    assert vocab.classes >= 32 and vocab.classes * vocab.width < 3000 + vocab.classes
+    model, squares = langmodel.Model(vocab), [np.zeros(len(langmodel.Model(vocab).w1), np.float32)
+                                              for _ in range(2)]
+    text = np.tile(places[[5, 2900]], 50)    # a rare word after a frequent one
+    feats = langmodel.history(names[text], np.array([0]))
+    before = langmodel.log_probabilities(model, feats, label[text], slot[text])
+    for _ in range(20):
+        langmodel.train_on(model, squares, feats, label[text], slot[text])
+    after = langmodel.log_probabilities(model, feats, label[text], slot[text])
+    assert before[51] < -7 and after[51] > -1
+
+
 def test_jaccard(spark, docs, empty):
     assert by_id(jaccard.jaccard_components(docs)) == brute.jaccard(TEXTS)
     assert jaccard.jaccard_components(empty).count() == 0
