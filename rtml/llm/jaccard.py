@@ -276,6 +276,7 @@ def _mark(rows, percent, out):
     """Members of a task that may be linked to one of another component, each once.
 
     The bound of ``_possible`` for all pairs of two blocks at once, from a product of 0/1 matrices.
+    Keys may be halves that members of one set share; each such clash can hide one shared member.
     """
     left = [r for r in rows if r[7] != 2]
     right = [r for r in rows if r[7] != 1]
@@ -295,6 +296,9 @@ def _mark(rows, percent, out):
         hot = np.zeros((len(sets), 4096), np.float32)
         hot[owner[a:b], column[a:b] - start] = 1
         shared += hot[:len(left)] @ hot[len(left):].T
+    clashes = [np.array([int((r[6][1:] == r[6][:-1]).sum()) for r in side], np.float32)
+               for side in (left, right)]
+    shared += np.minimum(clashes[0][:, None], clashes[1][None, :])
     last_left = np.array([r[6][-1] for r in left])
     last_right = np.array([r[6][-1] for r in right])
     n, m = np.array([r[5] for r in left]), np.array([r[5] for r in right])

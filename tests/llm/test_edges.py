@@ -218,6 +218,17 @@ def test_jaccard_families(spark, monkeypatch, k, percent, block):
     assert by_id(jaccard.jaccard_components(df, k, percent)) == brute.jaccard(texts, k, percent)
 
 
+def test_mark_counts_clashing_halves():
+    """Shared grams whose halves are equal count one by one, so a pair at the threshold is marked."""
+    shared = [100, 100, 200, 200, 300, 400, 500, 600]
+    rows = [(1, 0, 0, i, i, 100, np.array([*range(8 * i, 8 * i + 8), *shared], np.uint32), 3)
+            for i in (1, 2)]
+    assert len(rows[0][6]) == jaccard.prefix_length(100, 85) and jaccard.needed(100, 100, 85) == 92
+    out = []
+    jaccard._mark(rows, 85, out)    # 8 unshared each, 92 shared
+    assert sorted(out) == [(1, 1), (1, 2)]
+
+
 def test_tree_finds_every_link():
     draw = np.random.default_rng(4)
     sets = {}
