@@ -198,6 +198,31 @@ def _copies(table: DataFrame) -> DataFrame:
                   .select("id", "rep"), "copies")
 
 
+def _text_key() -> list:
+    """Two hashes of a text; null and empty texts have the same."""
+    text = F.coalesce("text", F.lit(""))
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
+def _versions(rows: DataFrame, table: DataFrame) -> DataFrame | None:
+    """(``id``, ``h1``, ``h2``, ``key``): a key of its own, above all ids, for each text of the ids
+    that occur with several sets. None if there are no such ids."""
+    ids = table.where("id IS NOT NULL AND n IS NOT NULL")
+    several = stored(ids.groupBy("id").agg(F.min(F.struct("n", "a", "b")).alias("lo"),
+                                           F.max(F.struct("n", "a", "b")).alias("hi"))
+                     .where("lo <> hi").select("id"), "several")
+    if several.isEmpty():
+        return None
+    texts = stored(rows.join(broadcast_checked(several), "id", "left_semi")
+                   .select("id", *_text_key()).distinct(), "texts")
+    top = ids.agg(F.max("id")).first()[0]
+    if top > (1 << 63) - 2 - texts.count():
+        raise ValueError("no room above the largest id for the texts of repeated ids")
+    numbered = texts.rdd.zipWithIndex().map(lambda x: (*x[0], top + 1 + x[1]))
+    return stored(rows.sparkSession.createDataFrame(numbered, "id long, h1 long, h2 long, key long"),
+                  "versions")
+
+
 def _lists(column: pa.Array) -> list[np.ndarray]:
     """Arrays of a list column of longs or ints, as unsigned."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
@@ -403,13 +428,19 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
        component at all, and a prefix tree over the whole sets of those finds the links.
 
     Ids are longs; rows with a null id get a null component; rows that repeat an id are one document
-    if their texts are equal, and are linked through the shared id if not. Null, empty and blank
+    if their sets are equal, and are documents of their own, linked through the shared id, if not. Null, empty and blank
     texts have 0 shingles and no link. An empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     table = _sets_table(rows, k)
+    versions = _versions(rows, table)
+    if versions is not None:
+        rows = rows.select("id", "text", *_text_key()) \
+            .join(broadcast_checked(versions), ["id", "h1", "h2"], "left") \
+            .select(F.coalesce("key", "id").alias("id"), "text")
+        table = _sets_table(rows, k)
     order = _common_grams(table.where("id IS NULL AND n IS NULL"))
     sized = table.where("n IS NOT NULL")
     full = sized.where("n > 0 AND id IS NOT NULL")
@@ -450,16 +481,32 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     more = stored(_run_tasks(_tree_tasks(rest, whole_sets(rest.select("id")), BLOCK), _link, percent,
                              "a long, b long"), "treelinks")
     edges = linked.union(more).union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
-    final = components(edges)
-    return sized.join(final.withColumnRenamed("node", "id"), "id", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"))
+    if versions is not None:
+        edges = edges.union(versions.select("key", "id"))
+    result = sized.join(components(edges).withColumnRenamed("node", "id"), "id", "left")
+    name = F.col("id")
+    if versions is not None:
+        own = versions.select(F.col("key").alias("id"), F.col("id").alias("own"))
+        result, name = result.join(broadcast_checked(own), "id", "left"), F.coalesce("own", "id")
+    return result.select(name.alias(id_col), F.col("n").alias("n_shingles"),
+                         F.coalesce("component", "id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with the smallest id of each component only."""
-    found = jaccard_components(docs, k, percent, id_col, text_col)
+    """``docs``, all columns, with one row of the smallest id of each component only, and all rows
+    without an id. Of rows that repeat this id the one with the smallest hash of its text stays."""
+    found = stored(jaccard_components(docs, k, percent, id_col, text_col), "components")
     gone = stored(found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct(),
                   "gone").select(F.col(id_col).alias("_gone"))
-    return docs.join(broadcast_checked(gone), docs[id_col] == F.col("_gone"), "left_anti")
+    kept = docs.join(broadcast_checked(gone), docs[id_col] == F.col("_gone"), "left_anti")
+    again = stored(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count()
+                   .where("count > 1").select(F.col(id_col).alias("_again")), "again")
+    if again.isEmpty():
+        return kept
+    again = broadcast_checked(again)
+    meets = kept[id_col] == F.col("_again")
+    order = F.struct(F.xxhash64(text_col), F.to_json(F.struct(F.struct("*"))))
+    one = kept.join(again, meets, "left_semi").groupBy(F.col(id_col).alias("_again")) \
+        .agg(F.min_by(F.struct("*"), order).alias("_row")).select("_row.*")
+    return kept.join(again, meets, "left_anti").unionByName(one)

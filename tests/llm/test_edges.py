@@ -218,6 +218,23 @@ def test_jaccard_families(spark, monkeypatch, k, percent, block):
     assert by_id(jaccard.jaccard_components(df, k, percent)) == brute.jaccard(texts, k, percent)
 
 
+def test_jaccard_repeated_ids(spark):
+    """A copy under one id does not take out another text of that id; one row of a group is kept."""
+    a, b, c = prose(21, 80), prose(22, 80), prose(23, 80)
+    rows = [(1, a), (5, a), (5, b), (9, b + " tail"), (7, c), (7, c), (8, c + " tail"), (3, None),
+            (3, c), (4, ""), (None, a), (None, a)]
+    df = table(spark, [(i, t, None, None) for i, t in rows]).repartition(3)
+    found = jaccard.jaccard_components(df)
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == \
+        {(1, 1), (5, 1), (9, 1), (7, 3), (8, 3), (3, 3), (4, 4), (None, None)}
+    assert found.count() == len(rows)
+    kept = jaccard.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 4]
+    twice = table(spark, [(2, c, None, None), (2, c, "a", None), (6, b, None, None)])
+    assert sorted(r.doc_id for r in jaccard.keep_one(twice).collect()) == [2, 6]
+
+
 def test_mark_counts_clashing_halves():
     """Shared grams whose halves are equal count one by one, so a pair at the threshold is marked."""
     shared = [100, 100, 200, 200, 300, 400, 500, 600]
