@@ -138,6 +138,37 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_a
   coalesce(spans, '') AS spans
 FROM (SELECT doc_id FROM documents) LEFT JOIN per_doc USING (doc_id)"""
 
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM listed, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS c FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w)) AS n FROM listed GROUP BY lang),
+cuts AS (
+  SELECT lang, g, m, a, cut, array_to_string(string_split(g, ' ')[1:cut], ' ') AS head,
+         array_to_string(string_split(g, ' ')[cut + 1:m], ' ') AS rest
+  FROM (SELECT lang, g, k AS m, c AS a, unnest(range(1, k)) AS cut FROM f WHERE k >= 2)),
+scored AS (
+  SELECT cuts.lang, cuts.g, m, a, cut, x.c AS l, y.c AS r, n,
+         (1000::HUGEINT * a * n) // (x.c::HUGEINT * y.c) AS score
+  FROM cuts JOIN totals USING (lang)
+  JOIN f x ON x.lang = cuts.lang AND x.g = head AND x.k = cut
+  JOIN f y ON y.lang = cuts.lang AND y.g = rest AND y.k = m - cut),
+lowest AS (SELECT * FROM scored
+           QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+free AS (SELECT * FROM lowest WHERE NOT EXISTS (
+  SELECT 1 FROM f WHERE f.lang = lowest.lang AND f.k > lowest.m AND 100 * f.c >= 100 * lowest.a
+  AND contains(' ' || f.g || ' ', ' ' || lowest.g || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank,
+       g AS phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM free QUALIFY rank <= 2000"""
+
 LLM_ORACLES = {"op2_embedding_near_dedup": VECTORS, "op5_jaccard_join": JACCARD,
                "op6_chat_formatting": CHAT, "op7_mixing": MIXING,
-               "op8_decontamination": CONTAMINATION, "op10_secret_scans": SECRETS}
+               "op8_decontamination": CONTAMINATION, "op10_secret_scans": SECRETS,
+               "op13_collocations": COLLOCATIONS}

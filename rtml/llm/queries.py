@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rtml.llm import chat, decontaminate, jaccard, langmodel, mixing, quality, secrets, tokencount, \
-    tokenfiles, vectors
+from rtml.llm import chat, collocations, decontaminate, jaccard, langid, langmodel, mixing, quality, \
+    secrets, tokencount, tokenfiles, variants, vectors
 from rtml.llm.oracles import LLM_ORACLES  # noqa: F401
 from rtml.session import scratch_path
 
@@ -77,6 +77,24 @@ def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.finding_digests(found)
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three of four by the CRC-32 of their ids."""
+    docs = _table(spark, folder, "documents")
+    lot = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4
+    field = langid.train_field(docs, lot != 2)
+    return langid.identify(docs, field).select("doc_id", (lot == 2).alias("held_out"),
+                                               "lang_pred", "score")
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Forms and roots of all words; one of 199 pairs of document and word has lost a letter."""
+    return variants.spelling_variants(_table(spark, folder, "documents"), slip=199)
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, folder)
@@ -85,4 +103,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_embedding_near_dedup, op3_quality_classifier, op4_lm_scoring,
     op5_jaccard_join, op6_chat_formatting, op7_mixing, op8_decontamination, op9_token_files,
-    op10_secret_scans, pipeline)}
+    op10_secret_scans, op11_language_id, op12_spelling_variants, op13_collocations, pipeline)}
