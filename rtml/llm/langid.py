@@ -71,6 +71,11 @@ def lexicon_odds(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return np.clip(np.log(rate / rate.mean(axis=-1, keepdims=True)), -3.0, 3.0)
 
 
+def _scaled(emitted: np.ndarray) -> np.ndarray:
+    """Emission factors, the largest of each word 1 and none so small that products vanish."""
+    return np.exp(np.maximum(emitted - emitted.max(axis=1, keepdims=True), -60.0))
+
+
 class Field:
     """Weights of a linear-chain field: word features, lexicon weight, first label, transitions."""
 
@@ -108,7 +113,7 @@ class Field:
         if not len(emitted):
             return emitted, emitted
         move = np.exp(self.moves - self.moves.max())
-        e = np.exp(emitted - emitted.max(axis=1, keepdims=True))
+        e = _scaled(emitted)
         blocks = -(-lengths // _BLOCK)
         base = np.cumsum(blocks) - blocks
         starts = np.cumsum(lengths) - lengths
@@ -129,7 +134,7 @@ class Field:
         # transfer[b] maps the message before block b to the one after it
         transfer = np.broadcast_to(np.eye(n), (total, n, n)).copy()
         for t in range(_BLOCK):
-            on = real[:, t] & ~(head if t == 0 else False)
+            on = real[:, t] & ~head if t == 0 else real[:, t]
             step = transfer[on] @ move * cells[on, t][:, None, :]
             transfer[on] = step / step.max(axis=(1, 2), keepdims=True)
         start = first * cells[:, 0]
@@ -221,7 +226,7 @@ def _move_gap(field: Field, emitted, label, starts, ahead, behind) -> np.ndarray
     inner[starts] = False
     at = np.flatnonzero(inner)
     seen = np.bincount(label[at - 1] * n + label[at], minlength=n * n).reshape(n, n)
-    e = np.exp(emitted[at] - emitted[at].max(axis=1, keepdims=True))
+    e = _scaled(emitted[at])
     pair = ahead[at - 1][:, :, None] * np.exp(field.moves - field.moves.max()) \
         * (e * behind[at])[:, None, :]
     return seen - (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
