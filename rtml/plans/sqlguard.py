@@ -1,10 +1,15 @@
-"""Read-only SQL over one table bound as ``data``, with row caps and clean results."""
+"""Read-only SQL over one table bound as ``data``, with row caps and clean results.
+
+What SQL text cannot say without a nested loop, such as a range or as-of join, the caller passes as
+named relations built from the table (``rtml.operators.joins``); the text reads them like tables.
+"""
 
 from __future__ import annotations
 
 import re
 import time
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.errors import ParseException
@@ -29,6 +34,9 @@ _RELATION = re.compile(r"'UnresolvedRelation \[([^\]]*)\]")
 _TABLE_FUNCTION = re.compile(r"'UnresolvedTableValuedFunction \[([^\]]*)\]")
 _CTE = re.compile(r"CTE \[([^\]]*)\]")
 _CALL = re.compile(r"'([A-Za-z_.]+)\(")
+#: TRANSFORM, MAP and REDUCE run a command of the operating system on every executor.
+_SCRIPT = re.compile(r"^[\s:+\-]*'?ScriptTransformation\b|'?ScriptInputOutputSchema\b", re.M)
+_NAME = re.compile(r"[a-z_][a-z0-9_]*")
 
 
 def _statement(query: str | None) -> str:
@@ -49,12 +57,14 @@ def parsed_plan(spark: SparkSession, query: str) -> str:
     return text.split("== Analyzed Logical Plan ==")[0]
 
 
-def check(spark: SparkSession, query: str | None, mode: str = "strict") -> str | None:
+def check(spark: SparkSession, query: str | None, mode: str = "strict",
+          relations: Collection[str] = ()) -> str | None:
     """Reason for refusing the query, or None when it may run.
 
     Decided on the parsed plan: the text must be one query, and the only relations in it ``data``,
-    names that the query itself defines (and that no table or view has), and row generators. The
-    strict mode also bounds the length of the text.
+    the named ``relations``, names that the query itself defines (and that no table or view has), and
+    row generators; script transformations are refused. The strict mode also bounds the length of
+    the text.
     """
     if mode not in ("strict", "lax"):
         raise ValueError(f"mode must be strict or lax, not {mode!r}")
@@ -69,9 +79,12 @@ def check(spark: SparkSession, query: str | None, mode: str = "strict") -> str |
         return f"Only a single SELECT query is allowed: {(e.getMessage() or str(e)).splitlines()[0]}"
     if "PlanWithUnresolvedIdentifier" in plan:
         return "Table names must be written out"
+    if _SCRIPT.search(plan):
+        return "Script transformations are not allowed"
+    given = {"data", *relations}
     own = {n.strip().lower() for names in _CTE.findall(plan) for n in names.split(",")}
     for name in (n.strip().lower() for n in _RELATION.findall(plan)):
-        if name != "data" and (name not in own or spark.catalog.tableExists(f"`{name}`")):
+        if name not in given and (name not in own or spark.catalog.tableExists(f"`{name}`")):
             return f"Only the table 'data' can be read, not '{name}'"
     for name in (n.strip().lower() for n in _TABLE_FUNCTION.findall(plan)):
         if name not in TABLE_FUNCTIONS:
@@ -88,31 +101,40 @@ def row_limit(requested: int | None, mode: str = "strict") -> int:
     return min(default if requested is None else requested, cap)
 
 
-def bind(table: DataFrame, query: str) -> DataFrame:
-    """Plan the query with ``table`` visible as ``data`` and nothing left in the catalog."""
+def bind(table: DataFrame, query: str, relations: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Plan the query with ``table`` visible as ``data``, and ``relations`` under their names, and
+    nothing left in the catalog."""
     spark = table.sparkSession
-    view = f"bound_{uuid.uuid4().hex}"
-    table.createOrReplaceTempView(view)
+    bound = {"data": table, **(relations or {})}
+    views = {name: f"bound_{uuid.uuid4().hex}" for name in bound}
+    for name, df in bound.items():
+        df.createOrReplaceTempView(views[name])
     try:
-        return spark.sql(f"WITH data AS (SELECT * FROM {view}) (\n{_statement(query)}\n)")
+        named = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in views.items())
+        return spark.sql(f"WITH {named} (\n{_statement(query)}\n)")
     finally:
-        spark.catalog.dropTempView(view)
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
-def _allowed(table: DataFrame, query: str, mode: str) -> DataFrame:
-    reason = check(table.sparkSession, query, mode)
+def _allowed(table: DataFrame, query: str, mode: str,
+             relations: dict[str, DataFrame] | None = None) -> DataFrame:
+    for name in relations or {}:
+        if not _NAME.fullmatch(name) or name == "data":
+            raise ValueError(f"{name!r} is no name of a relation")
+    reason = check(table.sparkSession, query, mode, relations or ())
     if reason:
         raise ValueError(reason)
-    return bind(table, query)
+    return bind(table, query, relations)
 
 
-def guarded(table: DataFrame, query: str, limit: int | None = None,
-            mode: str = "strict") -> DataFrame:
+def guarded(table: DataFrame, query: str, limit: int | None = None, mode: str = "strict",
+            relations: dict[str, DataFrame] | None = None) -> DataFrame:
     """Checked, bound, capped and cleaned result; nothing runs until the caller acts.
 
     The cap is a limit around the query, so a column called ``credit_limit`` cannot hide it.
     """
-    return clean_non_finite(_allowed(table, query, mode).limit(row_limit(limit, mode)))
+    return clean_non_finite(_allowed(table, query, mode, relations).limit(row_limit(limit, mode)))
 
 
 def guarded_flagged(table: DataFrame, query: str, limit: int | None = None,

@@ -1,8 +1,8 @@
 """Online encoders, scalers, evaluation and clustering as micro-batch jobs.
 
-The state of each operator is a table in the shared folder with one folder per batch. A batch reads
-the state written by the one before and replaces only its own folder, so running a batch again
-after a failure gives the same state.
+The state of each operator is a log in the shared folder (``statelog``). A batch reads the state
+written by the one before and replaces only its own run, so running a batch again after a failure
+gives the same state; older runs are merged or dropped.
 """
 
 from __future__ import annotations
@@ -17,27 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rtml.plans.prefix import row_numbers, with_chunk
-
-
-class VersionedTable:
-    """Table with one folder ``batch_id=<n>`` per micro-batch; ``batch_id=-1`` is the empty start."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.path}/batch_id=-1")
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-
-    def version(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id}")
-
-    def before(self, batch_id: int) -> DataFrame:
-        """Union of all versions older than a batch."""
-        return self.all().where(F.col("batch_id") < batch_id).drop("batch_id")
-
-    def all(self) -> DataFrame:
-        return self.spark.read.schema(f"{self.schema}, batch_id int").parquet(self.path)
+from rtml.streaming.statelog import Files, StateLog
 
 
 class OnlineDictionary:
@@ -45,8 +25,8 @@ class OnlineDictionary:
 
     def __init__(self, spark: SparkSession, path: str, columns: list[str], order: str):
         self.columns, self.order = columns, order
-        self.entries = VersionedTable(spark, f"{path}/dictionary",
-                                      "feature string, value string, code long")
+        self.entries = StateLog(spark, f"{path}/dictionary",
+                                "feature string, value string, code long")
         self.encoded_path = f"{path}/encoded"
 
     def learn(self, batch: DataFrame, batch_id: int) -> DataFrame:
@@ -89,7 +69,7 @@ class OnlineScaler:
 
     def __init__(self, spark: SparkSession, path: str, columns: list[str]):
         self.columns = columns
-        self.state = VersionedTable(spark, f"{path}/moments", self.SCHEMA)
+        self.state = StateLog(spark, f"{path}/moments", self.SCHEMA, whole=True)
         self.scaled_path = f"{path}/scaled"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -148,8 +128,8 @@ class Prequential:
         if order not in ("test_then_train", "train_then_test"):
             raise ValueError(order)
         self.model, self.order = model, order
-        self.state = VersionedTable(spark, f"{path}/model", model.schema)
-        self.metrics = VersionedTable(spark, f"{path}/metrics", self.SCHEMA)
+        self.state = StateLog(spark, f"{path}/model", model.schema, whole=True)
+        self.metrics = StateLog(spark, f"{path}/metrics", self.SCHEMA)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         before = self.state.version(batch_id - 1)
@@ -186,9 +166,9 @@ class MicroClusters:
                  fading: float = 0.05, cleanup: int = 4, min_weight: float = 1.0):
         self.vec, self.threshold, self.fading = vec, threshold, fading
         self.cleanup, self.min_weight = cleanup, min_weight
-        self.cells = VersionedTable(spark, f"{path}/cells", self.SCHEMA)
-        self.history = VersionedTable(spark, f"{path}/history",
-                                      "rows long, n_micro_clusters long, n_clusters long")
+        self.cells = StateLog(spark, f"{path}/cells", self.SCHEMA, whole=True)
+        self.history = StateLog(spark, f"{path}/history",
+                                "rows long, n_micro_clusters long, n_clusters long")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(F.col(self.vec).cast("array<double>").alias("_x"))
@@ -229,11 +209,11 @@ class WindowedForest:
 
     def __init__(self, spark: SparkSession, path: str, build: Callable[[], object], columns: str,
                  order: str, window_rows: int = 100_000, refit_every: int = 5):
-        self.build, self.order = build, order
+        self.spark, self.build, self.order = spark, build, order
         self.window_rows, self.refit_every = window_rows, refit_every
-        self.recent = VersionedTable(spark, f"{path}/recent", columns)
+        self.recent = StateLog(spark, f"{path}/recent", columns, whole=True)
         self.model, self.models_path, self.refits = None, f"{path}/models", 0
-        self.saved = VersionedTable(spark, f"{path}/saved", "fitted_at long, kind string")
+        self.saved = StateLog(spark, f"{path}/saved", "fitted_at long, kind string", whole=True)
 
     def _restore(self, batch_id: int) -> None:
         """The newest model saved before this batch, after a restart."""
@@ -258,6 +238,15 @@ class WindowedForest:
             now = batch.sparkSession.createDataFrame([(batch_id, kind)], now.schema)
             self.refits += 1
         self.saved.write(now, batch_id)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Remove models that no kept version names."""
+        named = {f"batch_id={r.fitted_at}" for r in self.saved.all().select("fitted_at").collect()}
+        files = Files(self.spark, self.models_path)
+        for name in files.names():
+            if name not in named:
+                files.drop(name)
 
 
 def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None],

@@ -77,11 +77,12 @@ def _same(name: str, sql: str, table: str, **kw):
 _same("guarded_sql_outer_join", """SELECT a.event_type, COUNT(*) AS n, COUNT(b.event_id) AS followed
  FROM {t} a LEFT JOIN {t} b ON a.user_id = b.user_id AND b.event_id = a.event_id + 1
  GROUP BY a.event_type""", "events")
-_same("guarded_sql_full_join", """SELECT COALESCE(a.user_id, b.user_id) AS user_id, a.n AS buys,
- b.n AS errors FROM (SELECT user_id, COUNT(*) AS n FROM {t} WHERE event_type = 'purchase'
+_same("guarded_sql_full_join", """SELECT buys, errors, COUNT(*) AS users, SUM(user_id) AS id_sum
+ FROM (SELECT COALESCE(a.user_id, b.user_id) AS user_id, a.n AS buys, b.n AS errors
+ FROM (SELECT user_id, COUNT(*) AS n FROM {t} WHERE event_type = 'purchase'
  GROUP BY user_id) a FULL OUTER JOIN (SELECT user_id, COUNT(*) AS n FROM {t}
- WHERE event_type = 'error' GROUP BY user_id) b ON a.user_id = b.user_id
- ORDER BY 1 LIMIT 500""", "events")
+ WHERE event_type = 'error' GROUP BY user_id) b ON a.user_id = b.user_id) j
+ GROUP BY buys, errors""", "events", i="id_sum")
 _same("guarded_sql_semi_join", """SELECT event_type, COUNT(*) AS n FROM {t} a
  WHERE EXISTS (SELECT 1 FROM {t} b WHERE b.user_id = a.user_id AND b.event_type = 'signup')
  GROUP BY event_type""", "events")
@@ -94,12 +95,13 @@ _same("guarded_sql_grouping_sets", """SELECT l_returnflag, l_linenumber, SUM(l_q
  FROM {t} GROUP BY GROUPING SETS ((l_returnflag), (l_linenumber), ())""", "lineitem", d="quantity")
 _same("guarded_sql_having_distinct", """SELECT l_linenumber, COUNT(DISTINCT l_suppkey) AS suppliers
  FROM {t} GROUP BY l_linenumber HAVING COUNT(*) > 10""", "lineitem")
-_same("guarded_sql_windows", """SELECT user_id, event_id,
+_same("guarded_sql_windows", """SELECT user_id, before, COUNT(*) AS n, SUM(rn) AS rn_sum,
+ SUM(rn * event_id) AS place_sum, SUM(recent) AS recent FROM (SELECT user_id, event_id,
  ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS rn,
  LAG(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before,
  SUM(value) OVER (PARTITION BY user_id ORDER BY event_id
- ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent FROM {t}
- ORDER BY user_id, event_id LIMIT 1000""", "events", d="recent", digits=4)
+ ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent FROM {t}) w
+ GROUP BY user_id, before""", "events", d="recent", i="rn_sum place_sum", digits=3)
 _same("guarded_sql_correlated", """SELECT o_orderpriority, COUNT(*) AS n FROM {t} o
  WHERE o_totalprice > (SELECT AVG(i.o_totalprice) FROM {t} i WHERE i.o_custkey = o.o_custkey)
  GROUP BY o_orderpriority""", "orders")
