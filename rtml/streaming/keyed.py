@@ -7,13 +7,19 @@ of all rows is no hot key. State is read and written by key; no earlier output i
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 _CODES = "feature string, value string, code long, ids array<long>"
 _NULL = "n"  # other values are written with a leading v
 
+# Spark also starts a processor in a helper of the driver, which does not get the shipped package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def split_of(feature: Column, value: Column, splits: int) -> Column:
     """Part of a dictionary that holds a value; a function of the value alone."""
@@ -63,9 +69,9 @@ class CodeBook(StatefulProcessor):
 
     @staticmethod
     def _frame(rows: list) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["feature", "value", "code", "ids"])
-        out["value"] = [None if v == _NULL else v[1:] for v in out["value"]]
-        return out
+        out = pd.DataFrame(rows, columns=["feature", "value", "code", "ids"], dtype=object)
+        out["value"] = pd.Series([None if v == _NULL else v[1:] for v in out["value"]], dtype=object)
+        return out.astype({"code": "int64"})
 
     def close(self) -> None:
         pass
@@ -100,7 +106,8 @@ def encode_stream(stream: DataFrame, columns: list[str], row_id: str, order: str
 
     A batch first learns its new values in the order of ``order`` (default: the row id; a whole
     number), then codes all of its rows. With a time to live a value that was not seen for so long is
-    forgotten and gets a new code, never one that was in use before.
+    forgotten and gets a new code, never one that was in use before; Spark then runs batches without
+    rows as well, so such a query needs a trigger by time and is ended by ``stop``.
     """
     kept = stream.select(F.col(row_id).cast("long").alias("_id"),
                          F.col(order or row_id).cast("long").alias("_at"),
@@ -146,7 +153,7 @@ class Moments(StatefulProcessor):
                 mean, m2 = mean + gap * k / total, m2 + q + gap * gap * n * k / total
                 n, low, high = total, min(low, a), max(high, b)
         self.state.update((int(n), float(mean), float(m2), float(low), float(high)))
-        yield pd.DataFrame({"feature": [key[0]], "n": [n], "mean": [mean], "m2": [m2],
+        yield pd.DataFrame({"feature": pd.Series([key[0]], dtype=object), "n": [n], "mean": [mean], "m2": [m2],
                             "low": [low], "high": [high]})
 
     def close(self) -> None:

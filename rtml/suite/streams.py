@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from rtml.session import scratch_path
 from rtml.sources.ingest import Topic, append_sink, decode, event_stream
 from rtml.sources.snapshots import read_snapshot, write_snapshot
-from rtml.streaming import drift as D, online as O, windows as W
+from rtml.streaming import drift as D, keyed as K, online as O, windows as W
 from rtml.suite.base import Tables, query
 from rtml.suite.roles import event_key
 
@@ -27,6 +27,39 @@ def _sliced_stream(t: Tables, name: str, order: str, parts: int = 4) -> DataFram
     return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def _in_slices(t: Tables, rows: DataFrame, order: str, parts: int = 4):
+    """A stream of ``rows`` that grows slice by slice in ``order``: yields it after every second one.
+
+    Whoever runs a query to its end at every yield restarts it from its checkpoint.
+    """
+    path = scratch_path(t.spark, "slices")
+    cuts = rows.approxQuantile(order, [i / parts for i in range(1, parts)], 0.01)
+    lows, highs = [float("-inf"), *cuts], [*cuts, float("inf")]
+    stream = None
+    for i, (low, high) in enumerate(zip(lows, highs)):
+        rows.where((F.col(order) > low) & (F.col(order) <= high)).coalesce(1) \
+            .write.mode("append").parquet(path)
+        if i % 2 or i == parts - 1:
+            stream = stream or t.spark.readStream.schema(rows.schema) \
+                .option("maxFilesPerTrigger", 1).parquet(path)
+            yield stream
+
+
+def _keyed_run(t: Tables, rows: DataFrame, order: str, build, finish=lambda batch: batch) -> str:
+    """Run a keyed stream over four slices with a restart; the folder of its output and checkpoint."""
+    root = scratch_path(t.spark, "keyed")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        finish(batch).write.mode("overwrite").parquet(f"{root}/table/batch_id={batch_id}")
+
+    t.spark.conf.set(*D.STATE_STORE)
+    for stream in _in_slices(t, rows, order):
+        build(stream).writeStream.outputMode("update").trigger(availableNow=True) \
+            .option("checkpointLocation", f"{root}/checkpoint").foreachBatch(write) \
+            .start().awaitTermination()
+    return root
+
+
 @query("stream_ingest_roundtrip", """SELECT event_id, event_type, value, user_id FROM events""",
        d="value", digits=2)
 def stream_ingest_roundtrip(t):
@@ -79,6 +112,41 @@ def stream_first_seen_codes(t):
         .select("event_id", "event_type_code", "user_id_code")
 
 
+@query("stream_keyed_codes", """SELECT event_id AS row_id, dense_rank() OVER (ORDER BY f) - 1 AS event_type_code,
+ dense_rank() OVER (ORDER BY g) - 1 AS user_id_code FROM (SELECT event_id, min(event_id) OVER
+ (PARTITION BY event_type) AS f, min(event_id) OVER (PARTITION BY user_id) AS g FROM events)""")
+def stream_keyed_codes(t):
+    """Dictionaries in keyed state over four batches and a restart; equal to the batch codes."""
+    columns = ["event_type", "user_id"]
+    root = _keyed_run(t, t.events.select("event_id", *columns), "event_id",
+                      lambda s: K.encode_stream(s, columns, "event_id"),
+                      lambda codes: K.coded_rows(codes, columns))
+    return t.spark.read.parquet(f"{root}/table").select("row_id", "event_type_code", "user_id_code")
+
+
+@query("stream_keyed_dictionary", """SELECT 'user_id' AS feature, user_id::VARCHAR AS value,
+ (row_number() OVER (PARTITION BY part ORDER BY f) - 1) * 4 + part AS code FROM (SELECT user_id,
+ min(event_id) AS f, ('0x' || substr(md5('v' || user_id), 1, 8))::BIGINT % 4 AS part
+ FROM events GROUP BY user_id)""")
+def stream_keyed_dictionary(t):
+    """A dictionary split four ways by value hash, read back from the state store."""
+    root = _keyed_run(t, t.events.select("event_id", "user_id"), "event_id",
+                      lambda s: K.encode_stream(s, ["user_id"], "event_id", splits=4))
+    return K.state_table(t.spark, f"{root}/checkpoint", "codes")
+
+
+@query("stream_keyed_moments", """SELECT event_type AS feature, count(value) AS n, avg(value) AS mean,
+ var_pop(value) AS variance, min(value) AS low, max(value) AS high FROM (SELECT 'value' AS event_type,
+ value FROM events UNION ALL SELECT 'user_id', user_id FROM events) GROUP BY 1""",
+       d="mean variance low high", digits=4)
+def stream_keyed_moments(t):
+    """Scaler state per feature after four batches and a restart."""
+    root = _keyed_run(t, t.events.select("event_id", "value", "user_id"), "event_id",
+                      lambda s: K.moments_stream(s, ["value", "user_id"]))
+    return K.state_table(t.spark, f"{root}/checkpoint", "moments").select(
+        "feature", "n", "mean", (F.col("m2") / F.col("n")).alias("variance"), "low", "high")
+
+
 @query("stream_scaler_state", """SELECT 'value' AS feature, count(value) AS n, avg(value) AS mean,
  var_pop(value) AS variance FROM events""", d="mean variance", digits=4)
 def stream_scaler_state(t):
