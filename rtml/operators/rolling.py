@@ -1,14 +1,15 @@
 """Running, row-rolling and time-rolling metrics over an ordered stream.
 
-A sliding mean is a running sum that rows enter and leave, kept within bounded blocks or chunks, so
-its cost per row does not depend on the frame length and no key has to fit in one task.
+A sliding mean is the end of one segment and the beginning of the next, two running sums kept within
+bounded blocks or chunks, so its cost per row does not depend on the frame length and no key has to
+fit in one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rtml.plans.prefix import overlapped, quantile_bounds, row_numbers, running_totals, with_chunk
+from rtml.plans.prefix import CHUNK, overlapped, quantile_bounds, row_numbers, running_totals, with_chunk
 
 
 def running_means(df: DataFrame, keys: list[str], order: str,
@@ -40,9 +41,9 @@ def rolling_means(df: DataFrame, keys: list[str], order: str, exprs: dict[str, C
     size = rows * max(2, -(-rows_per_block // rows))
     blocks = overlapped(numbered, "_rn", size, rows) \
         .withColumn("_seg", F.floor((F.col("_rn") - 1) / rows))
-    segment = Window.partitionBy(*keys, "_block", "_seg").orderBy("_rn")
-    front = segment.rowsBetween(Window.unboundedPreceding, 0)
-    behind = segment.rowsBetween(0, Window.unboundedFollowing)
+    segment = Window.partitionBy(*keys, "_block", "_seg")
+    front = segment.orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0)
+    behind = segment.orderBy(F.desc("_rn")).rowsBetween(Window.unboundedPreceding, 0)
     parts = []
     for n in exprs:
         x = F.col(f"_x_{n}")
@@ -68,30 +69,39 @@ def time_rolling_means(df: DataFrame, keys: list[str], ts: str, exprs: dict[str,
 
     Nulls are left out. Non-finite values are counted apart: frames that hold one are NaN.
 
-    Each row enters the running sum at its time and leaves it just after time + seconds, so the sum
-    always is that of the live rows and a burst of any size is cut into even chunks like any order.
+    Time is cut into segments of ``seconds``. A frame is the beginning of its row's segment and the
+    end of the one before, so it is a running sum from the front plus one from behind: nothing is ever
+    subtracted, and a huge value acts on the frames that hold it and on no other. The row asks for
+    the second sum as one more row of the earlier segment. A burst of any size inside a segment is cut
+    into even chunks like any order.
     """
-    base = df.withColumns({f"_x_{n}": e for n, e in exprs.items()} |
-                          {"_t": F.unix_micros(F.col(ts).cast("timestamp"))})
-    moves = F.array(
-        F.struct(F.col("_t").alias("at"), F.lit(0).alias("kind"), F.lit(1).alias("sign")),
-        F.struct((F.col("_t") + seconds * 1_000_000).alias("at"), F.lit(1).alias("kind"),
-                 F.lit(-1).alias("sign")))
-    steps = base.withColumn("_m", F.explode(moves)).select(
-        *df.columns, *[f"_x_{n}" for n in exprs], F.col("_m.at").alias("_at"),
-        F.col("_m.kind").alias("_kind"), F.col("_m.sign").alias("_sign"))
-    measures = {"rows_in_frame": F.col("_sign").cast("long")}
+    length = seconds * 1_000_000
+    base = df.withColumns({f"_x_{n}": e.cast("double") for n, e in exprs.items()} |
+                          {"_t": F.unix_micros(F.col(ts).cast("timestamp"))}) \
+        .withColumn("_seg", F.floor(F.col("_t") / length))
+    names = ["rows_in_frame"]
+    measures = {"rows_in_frame": F.lit(1).cast("long")}
     for n in exprs:
-        x = F.col(f"_x_{n}").cast("double")
+        x = F.col(f"_x_{n}")
         odd = F.isnan(x) | (F.abs(x) == float("inf"))
-        measures |= {f"_s_{n}": F.when(x.isNull() | odd, 0.0).otherwise(F.col("_sign") * x),
-                     f"_n_{n}": F.when(x.isNull(), 0).otherwise(F.col("_sign")).cast("long"),
-                     f"_o_{n}": F.when(F.coalesce(odd, F.lit(False)), F.col("_sign"))
-                     .otherwise(0).cast("long")}
+        measures |= {f"_s_{n}": F.when(x.isNull() | odd, 0.0).otherwise(x),
+                     f"_n_{n}": x.isNotNull().cast("long"),
+                     f"_o_{n}": F.coalesce(odd.cast("long"), F.lit(0))}
+        names += [f"_s_{n}", f"_n_{n}", f"_o_{n}"]
     bounds = quantile_bounds(base, "_t")
-    run = running_totals(with_chunk(steps, "_at", bounds), keys, ["_at", "_kind"], measures,
-                         peers=True)
-    return run.where(F.col("_kind") == 0).select(*df.columns, "rows_in_frame", *[
+    front = running_totals(with_chunk(base, "_t", bounds), [*keys, "_seg"], ["_t"], measures,
+                           peers=True).drop(CHUNK)
+    asks = F.explode(F.array(
+        F.struct(F.lit(False).alias("asks"), F.col("_t").alias("at"), F.col("_seg").alias("seg")),
+        F.struct(F.lit(True).alias("asks"), (F.col("_t") - length).alias("at"),
+                 (F.col("_seg") - 1).alias("seg"))))
+    both = front.withColumn("_m", asks).withColumns(
+        {"_asks": F.col("_m.asks"), "_at": F.col("_m.at"), "_seg": F.col("_m.seg")}).drop("_m")
+    ends = {f"_b{c}": F.when(F.col("_asks"), F.lit(0)).otherwise(m) for c, m in measures.items()}
+    run = running_totals(with_chunk(both, "_at", bounds), [*keys, "_seg"], [F.desc("_at")], ends,
+                         descending=True, peers=True)
+    whole = run.where("_asks").withColumns({c: F.col(c) + F.col(f"_b{c}") for c in names})
+    return whole.select(*df.columns, "rows_in_frame", *[
         F.when(F.col(f"_o_{n}") > 0, float("nan"))
         .otherwise(F.try_divide(F.col(f"_s_{n}"), F.col(f"_n_{n}"))).alias(n) for n in exprs])
 
