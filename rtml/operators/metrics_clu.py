@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -205,57 +206,81 @@ def silhouette_score(df: DataFrame, vec: str, cluster: str) -> float:
     return ClusteringEvaluator(predictionCol=cluster, featuresCol=vec).evaluate(ready)
 
 
+def _packed_blocks(points: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
+    """Rows dealt to blocks of about ``block_rows``, one row per block with flat arrays."""
+    blocks = max(1, -(-points.count() // block_rows))
+    packed = points.withColumn("_b", F.pmod(F.xxhash64("_r"), F.lit(blocks))).groupBy("_b").agg(
+        F.collect_list(F.struct("_r", "_c", "_x")).alias("rows"))
+    return packed.select("_b", F.col("rows._r").alias("r"), F.col("rows._c").alias("c"),
+                         F.flatten("rows._x").alias("x")), blocks
+
+
+def _pair_sums(k: int):
+    """Sums of distances per cluster of the rows of two blocks to each other."""
+    def arrays(batch, names, i):
+        return [batch.column(n)[i].values.to_numpy(zero_copy_only=False) for n in names]
+
+    def half(rows, x, onehot, other, same):
+        parts = []
+        for j in range(0, len(x), 256):
+            gap = _distance_block(x[j:j + 256], other)
+            if same:  # rounding leaves a row a little away from itself
+                gap[np.arange(len(gap)), j + np.arange(len(gap))] = 0.0
+            parts.append(gap @ onehot)
+        sums = np.concatenate(parts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows), pa.ListArray.from_arrays(
+                pa.array(np.arange(len(rows) + 1) * k, pa.int32()), pa.array(sums.ravel()))],
+            names=["_r", "sums"])
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r, c, x = arrays(batch, ("r", "c", "x"), i)
+                r2, c2, x2 = arrays(batch, ("r2", "c2", "x2"), i)
+                x, x2 = x.reshape(len(r), -1), x2.reshape(len(r2), -1)
+                same = batch.column("_b")[i].as_py() == batch.column("_b2")[i].as_py()
+                yield half(r, x, np.eye(k)[c2], x2, same)
+                if not same:
+                    yield half(r2, x2, np.eye(k)[c], x, False)
+    return run
+
+
 def silhouette_euclidean(df: DataFrame, vec: str, cluster: str, key: str,
-                         block_rows: int = 5000) -> DataFrame:
+                         block_rows: int = 2000) -> DataFrame:
     """Exact euclidean silhouette of every row.
 
-    The rows meet all rows in blocks of ``block_rows``, each shipped to the tasks once, and carry only
-    their sums of distances per cluster; the work is quadratic by definition (the squared form above
-    is linear). Every eight blocks the sums are written to the shared folder. A row alone in its
-    cluster, or without another cluster, has silhouette 0.
+    Rows are dealt to hashed blocks of about ``block_rows``; every pair of blocks is one piece of work
+    for one task, whose sums of distances per row and cluster are added up afterwards. The work is
+    quadratic by definition (the squared form above is linear), but no row passes the driver and a
+    task holds two blocks. A row alone in its cluster, or without another cluster, has silhouette 0.
     """
     spark = df.sparkSession
     labels, _, sizes = centers_of(df, vec, cluster)
-    index = {v: i for i, v in enumerate(labels)}
-    points = with_arrays(df, vec).select(vec, cluster)
-    out = with_arrays(df, vec).withColumn("_sums", F.array_repeat(F.lit(0.0), len(labels)))
-    held, blocks = [], 0
-
-    def add(rows: DataFrame, block: list) -> DataFrame:
-        shared = spark.sparkContext.broadcast(
-            (np.array([r[0] for r in block], dtype=float), np.array([index[r[1]] for r in block])))
-        k = len(labels)
-
-        @F.pandas_udf("array<double>")
-        def more(sums: pd.Series, vectors: pd.Series) -> pd.Series:
-            at, member = shared.value
-            onehot = np.eye(k)[member]
-            parts = [np.stack(sums.iloc[i:i + 256].to_numpy()) + _distance_block(
-                np.stack(vectors.iloc[i:i + 256].to_numpy()).astype(float), at) @ onehot
-                for i in range(0, len(vectors), 256)]
-            return pd.Series([row for part in parts for row in part], dtype=object)
-
-        return rows.withColumn("_sums", more(F.col("_sums"), F.col(vec)))
-
-    for row in points.toLocalIterator():
-        held.append(row)
-        if len(held) == block_rows:
-            out, held, blocks = add(out, held), [], blocks + 1
-            if blocks % 8 == 0:
-                path = scratch_path(spark, "silhouette")
-                out.write.parquet(path)
-                out = spark.read.schema(out.schema).parquet(path)
-    if held:
-        out = add(out, held)
     place = F.element_at(F.create_map(*[x for i, v in enumerate(labels)
-                                        for x in (F.lit(v), F.lit(i))]), F.col(cluster))
-    counts = F.array(*[F.lit(float(n)) for n in sizes])
-    own = F.get(counts, place)
-    inside = F.get("_sums", place) / (own - 1)
+                                        for x in (F.lit(v), F.lit(i))]), F.col(cluster)) \
+        if labels else F.lit(None).cast("int")
+    path = scratch_path(spark, "silhouette")  # row numbers must not change between two reads
+    with_arrays(df, vec).withColumns({"_r": F.monotonically_increasing_id(), "_c": place}) \
+        .write.parquet(path)
+    out = spark.read.parquet(path)
+    blocks, n = _packed_blocks(out.select("_r", "_c", F.col(vec).alias("_x")), block_rows)
+    path = scratch_path(spark, "blocks")
+    blocks.write.parquet(path)
+    blocks = spark.read.schema(blocks.schema).parquet(path)
+    pairs = blocks.withColumn("_b2", F.explode(F.sequence(F.col("_b"), F.lit(n - 1).cast("long"))))
+    other = blocks.select(*[F.col(c).alias(f"{c}2") for c in blocks.columns])
+    sums = pairs.join(other.hint("shuffle_hash"), "_b2") \
+        .mapInArrow(_pair_sums(len(labels)), "_r long, sums array<double>") \
+        .groupBy("_r").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("_sums"))
+    out = out.join(sums, "_r")
+    counts = F.array(*[F.lit(float(s)) for s in sizes])
+    own = F.get(counts, F.col("_c"))
+    inside = F.get("_sums", F.col("_c")) / (own - 1)
     outside = F.array_min(F.filter(
-        F.transform("_sums", lambda s, i: F.when(i != place, s / F.get(counts, i))),
+        F.transform("_sums", lambda s, i: F.when(i != F.col("_c"), s / F.get(counts, i))),
         lambda m: m.isNotNull()))
     top = F.greatest(inside, outside)
     score = F.when((own < 2) | outside.isNull() | (top <= 0), 0.0) \
         .otherwise((outside - inside) / top)
-    return out.withColumn("silhouette", score).drop("_sums")
+    return out.withColumn("silhouette", score).drop("_sums", "_r", "_c")

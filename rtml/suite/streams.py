@@ -8,6 +8,9 @@ from rtml.session import scratch_path
 from rtml.sources.ingest import Topic, append_sink, decode, event_stream
 from rtml.sources.snapshots import read_snapshot, write_snapshot
 from rtml.streaming import drift as D, keyed as K, online as O, windows as W
+from rtml.streaming.balance import BalancedStream
+from rtml.streaming.density import DensityClusters
+from rtml.streaming.forecast import SeriesForecaster
 from rtml.suite.base import Tables, query
 from rtml.suite.roles import event_key
 
@@ -169,6 +172,56 @@ def stream_prequential(t):
     return step.metrics.all().where("batch_id >= 0")
 
 
+_LAGGED = """SELECT series, y, lag(y) OVER w AS p, lag(y, 2) OVER w AS q FROM (SELECT event_type AS series,
+ event_id, (props->>'k')::DOUBLE AS y FROM events) e WINDOW w AS (PARTITION BY series ORDER BY event_id)"""
+
+
+@query("stream_forecast_coefficients", f"""SELECT series, n, my - b1 * mp - b2 * mq AS c0, b1 AS c1, b2 AS c2
+ FROM (SELECT *, (qq * py - pq * qy) / (pp * qq - pq * pq) AS b1,
+ (pp * qy - pq * py) / (pp * qq - pq * pq) AS b2 FROM (SELECT series, count(*) AS n, avg(y) AS my,
+ avg(p) AS mp, avg(q) AS mq, var_pop(p) AS pp, var_pop(q) AS qq, covar_pop(p, q) AS pq,
+ covar_pop(p, y) AS py, covar_pop(q, y) AS qy FROM ({_LAGGED}) l WHERE q IS NOT NULL GROUP BY series) s) t""",
+       d="c0 c1 c2", digits=5)
+def stream_forecast_coefficients(t):
+    """Two-lag autoregression per event type after four batches and a restart: least squares."""
+    root = scratch_path(t.spark, "forecast")
+    rows = event_key(t.events).select("event_id", "event_type", F.col("k").cast("double").alias("y"))
+    for stream in _in_slices(t, rows, "event_id"):
+        step = SeriesForecaster(t.spark, root, "event_type", "event_id", "y", lags=(1, 2))
+        O.run_batches(stream, step, f"{root}/checkpoint").awaitTermination()
+    fitted = step.coefficients(step.moments.latest())
+    return fitted.select("series", F.col("n").cast("long").alias("n"), *[
+        F.get("coefficients", F.lit(i)).alias(f"c{i}") for i in range(3)])
+
+
+@query("stream_balanced_classes", """SELECT label, min(seen) OVER () AS accepted, seen FROM (
+ SELECT CASE WHEN event_type = 'purchase' THEN 'buy' ELSE 'other' END AS label, count(*) AS seen
+ FROM events GROUP BY 1) s""")
+def stream_balanced_classes(t):
+    """Accepted rows per class after four batches: the rarer class whole, the other as many."""
+    root = scratch_path(t.spark, "balanced")
+    rows = t.events.select("event_id", F.when(F.col("event_type") == "purchase", "buy")
+                           .otherwise("other").alias("label"))
+    for stream in _in_slices(t, rows, "event_id"):
+        step = BalancedStream(t.spark, root, "label", "event_id")
+        O.run_batches(stream, step, f"{root}/checkpoint").awaitTermination()
+    kept = t.spark.read.parquet(step.accepted_path).groupBy("label") \
+        .agg(F.count(F.lit(1)).alias("accepted"))
+    return kept.join(step.report(step.state.latest()).select("label", "seen"), "label")
+
+
+@query("stream_density_clusters")
+def stream_density_clusters(t):
+    """Embeddings in four batches; batch order decides the centers, so only invariants are checked."""
+    root = scratch_path(t.spark, "density")
+    dims = t.embeddings.agg(F.max(F.size("embedding"))).first()[0] or 1
+    step = DensityClusters(t.spark, root, "embedding", radius=0.8, dims=dims, intersection=0.3)
+    stream = _sliced_stream(t, "embeddings", "vec_id").select("vec_id", "embedding")
+    O.run_batches(stream, step, f"{root}/checkpoint").awaitTermination()
+    return step.assign(t.embeddings.select("vec_id", "embedding"), step.centers.latest()) \
+        .select("vec_id", "cluster")
+
+
 @query("stream_drift")
 def stream_drift(t):
     root = scratch_path(t.spark, "drift")
