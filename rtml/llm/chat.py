@@ -96,12 +96,11 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
         .otherwise(F.raise_error(F.lit("a conversation does not come back")).cast("string"))
         .alias("formatted"))
     parsed = parse(F.col("formatted"))
+    sizes = F.transform(F.split("formatted", END + "\n", -1), F.length)  # of the turns as written
     spans = F.transform(parsed, lambda t, i: F.when(
         t["role"] == trained_role,
-        F.struct(i.alias("turn"),
-                 (F.length(escape(t["role"], True)) + len(HEAD + SEP)).alias("start"),
-                 (F.length(escape(t["role"], True)) + len(HEAD + SEP) + F.length(t["body"]))
-                 .alias("end"))))
+        F.struct(i.alias("turn"), (F.get(sizes, i) - F.length(t["body"])).alias("start"),
+                 F.get(sizes, i).alias("end"))))
     return checked.select(F.col("id").alias(conv_col), "formatted",
                           F.array_compact(spans).alias("loss_spans"))
 
