@@ -497,16 +497,19 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_
     """``docs``, all columns, with one row of the smallest id of each component only, and all rows
     without an id. Of rows that repeat this id the one with the smallest hash of its text stays."""
     found = stored(jaccard_components(docs, k, percent, id_col, text_col), "components")
-    gone = stored(found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct(),
-                  "gone").select(F.col(id_col).alias("_gone"))
-    kept = docs.join(broadcast_checked(gone), docs[id_col] == F.col("_gone"), "left_anti")
-    again = stored(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count()
-                   .where("count > 1").select(F.col(id_col).alias("_again")), "again")
+    # the row is one struct, so no column of it can have the name of a column here
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_key"),
+                       F.xxhash64(text_col).alias("_text"))
+    gone = stored(found.where(F.col("component_id") != F.col(id_col))
+                  .select(F.col(id_col).alias("_key")).distinct(), "gone")
+    kept = rows.join(broadcast_checked(gone), "_key", "left_anti")
+    again = stored(found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_key")).count()
+                   .where("count > 1").select("_key"), "again")
     if again.isEmpty():
-        return kept
+        return kept.select("_row.*")
     again = broadcast_checked(again)
-    meets = kept[id_col] == F.col("_again")
-    order = F.struct(F.xxhash64(text_col), F.to_json(F.struct(F.struct("*"))))
-    one = kept.join(again, meets, "left_semi").groupBy(F.col(id_col).alias("_again")) \
-        .agg(F.min_by(F.struct("*"), order).alias("_row")).select("_row.*")
-    return kept.join(again, meets, "left_anti").unionByName(one)
+    order = F.struct("_text", F.to_json(F.struct("_row")))
+    one = kept.join(again, "_key", "left_semi").groupBy("_key") \
+        .agg(F.min_by("_row", order).alias("_row"))
+    return kept.join(again, "_key", "left_anti").select("_row").union(one.select("_row")) \
+        .select("_row.*")

@@ -169,7 +169,9 @@ def mix(docs: DataFrame, plan, id_col="doc_id", source_col="source", text_col="t
     few = odd.count()
     if few <= 1_000_000:  # two longs and two short strings each
         odd = F.broadcast(odd)
-    joined = docs.join(odd, _match(docs, odd, id_col, source_col, F.xxhash64(text_col)), "left")
+    # the row is one struct, so no column of it can have the name of a column of the plan
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"),
+                       F.col(source_col).alias("_source"), F.xxhash64(text_col).alias("_text"))
+    joined = rows.join(odd, _match(rows, odd, "_id", "_source", F.col("_text")), "left")
     times = F.coalesce(F.col("_mc"), F.lit(1)).cast("int")
-    return joined.withColumn("_again", F.explode(F.array_repeat(F.lit(0), times))) \
-        .select(*[docs[c] for c in docs.columns])
+    return joined.withColumn("_again", F.explode(F.array_repeat(F.lit(0), times))).select("_row.*")
