@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rtml.llm.common import prepare, stored
+from rtml.llm.common import giving_back, prepare, stored
 from rtml.llm.words import HashOfWord, gram_hashes, plain_words
 
 #: Words of benchmark text in one block of the index; each block is one broadcast of about 24 MB.
@@ -186,7 +186,7 @@ def _pass(now: DataFrame, index: Index) -> DataFrame:
                  pa.array(items, batch.schema.field(4).type), *batch.columns[5:]],
                 schema=batch.schema)
 
-    return now.mapInArrow(scan, kind)
+    return now.mapInArrow(giving_back(scan), kind)
 
 
 def contamination(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:

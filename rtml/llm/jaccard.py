@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rtml.llm.common import broadcast_checked, components, prepare, stored
+from rtml.llm.common import broadcast_checked, components, giving_back, prepare, stored
 from rtml.llm.words import HashOfWord, gram_hashes, spaced_words
 
 #: Bits of a gram key that hold its hash; the six above hold how common the gram is.
@@ -169,13 +169,13 @@ def _sets_table(rows: DataFrame, k: int) -> DataFrame:
                  pa.array(np.array(two, np.uint64).view(np.int64))], names=["id", "n", "a", "b"])
             held += sets
             size += sum(map(len, sets))
-            if size > 2_000_000:
+            if size > 500_000:
                 yield repeats()
                 held, size = [], 0
         if held:
             yield repeats()
 
-    return stored(rows.mapInArrow(scan, "id long, n long, a long, b long"), "sets")
+    return stored(rows.mapInArrow(giving_back(scan), "id long, n long, a long, b long"), "sets")
 
 
 def _common_grams(repeats: DataFrame) -> Order:
@@ -259,7 +259,7 @@ def _ordered_sets(rows: DataFrame, order: Order, k: int, percent: int, whole: bo
             yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "grams", "short"]
                                              [:len(columns)])
 
-    return rows.mapInArrow(run, "id long, n long, grams array<long>" +
+    return rows.mapInArrow(giving_back(run), "id long, n long, grams array<long>" +
                            ("" if whole else ", short array<int>"))
 
 
@@ -294,7 +294,7 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int,
     x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col(column).alias("x"))
     y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col(column).alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y") \
-        .mapInArrow(check, "a long, b long")
+        .mapInArrow(giving_back(check), "a long, b long")
 
 
 def _mark(rows, percent, out):
@@ -381,7 +381,7 @@ def _run_tasks(tasks: DataFrame, work, percent: int, kind: str) -> DataFrame:
             work(held, percent, out)
         yield rows_of(out)
 
-    return tasks.mapInArrow(run, kind)
+    return tasks.mapInArrow(giving_back(run), kind)
 
 
 def _tree_tasks(groups: DataFrame, sets: DataFrame, block: int) -> DataFrame:

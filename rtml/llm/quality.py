@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rtml.llm.common import broadcast_checked, prepare, row_key, stored, without_rows
+from rtml.llm.common import broadcast_checked, giving_back, prepare, row_key, stored, without_rows
 
 #: Labelled rows that the document classifier is fitted on at most, taken in order of an id hash.
 FIT_ROWS = 20_000
@@ -101,7 +101,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], values],
                                              names=[*batch.schema.names[:5], "x"])
 
-    table = stored(rows.mapInArrow(extract, kind.simpleString()[7:-1] + ",x:array<float>"),
+    table = stored(rows.mapInArrow(giving_back(extract), kind.simpleString()[7:-1] + ",x:array<float>"),
                    "features")
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(label_id).isNotNull()) \
         .groupBy(F.col(label_id).alias("id")) \
