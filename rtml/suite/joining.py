@@ -9,14 +9,14 @@ from rtml.operators.sliding import sliding_auc
 from rtml.plans.sqlguard import guarded
 from rtml.suite.base import Tables, query
 
-_HOUR = F.expr("INTERVAL 1 HOUR")
+_HOUR = "INTERVAL 1 HOUR"
 
 
 def _buys(t: Tables) -> DataFrame:
     """Purchases as the hour after them."""
     return t.events.where("event_type = 'purchase'").select(
         F.col("user_id").alias("buyer"), F.col("event_id").alias("buy_id"),
-        F.col("ts").alias("bought"), (F.col("ts") + _HOUR).alias("until"), F.col("value").alias("paid"))
+        F.col("ts").alias("bought"), (F.col("ts") + F.expr(_HOUR)).alias("until"), F.col("value").alias("paid"))
 
 
 def _keyed(events: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def range_join_price_band(t):
  AND a.ts <= b.ts + INTERVAL 1 HOUR AND b.ts <= a.ts + INTERVAL 1 HOUR GROUP BY 1, 2""")
 def overlap_join_hours(t):
     """Pairs of a user's events whose following hours overlap."""
-    hours = _keyed(t.events).withColumn("until", F.col("ts") + _HOUR)
+    hours = _keyed(t.events).withColumn("until", F.col("ts") + F.expr(_HOUR))
     met = J.overlap_join(hours, hours, ("ts", "until"), ("ts", "until"), ["buyer"])
     return met.where("event_id < event_id_r").groupBy(
         "event_type", F.col("event_type_r").alias("other")).agg(F.count(F.lit(1)).alias("n"))
