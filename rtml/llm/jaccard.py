@@ -279,9 +279,8 @@ def _possible(x: np.ndarray, nx: int, y: np.ndarray, ny: int, percent: int) -> b
     return shared >= needed(nx, ny, percent)
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, percent: int,
-             column: str = "grams") -> DataFrame:
-    """The pairs (``a``, ``b``) that are possible links by ``sets``, exact links if sets are whole."""
+def _bounded(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) that can be links as far as the prefixes tell."""
     def check(batches):
         for batch in batches:
             a, b, n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
@@ -291,8 +290,8 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int,
             yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()),
                                               pa.array(b[keep], pa.int64())], names=["a", "b"])
 
-    x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col(column).alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col(column).alias("y"))
+    x = heads.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("short").alias("x"))
+    y = heads.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("short").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y") \
         .mapInArrow(giving_back(check), "a long, b long")
 
@@ -339,6 +338,15 @@ def _mark(rows, percent, out):
     out += [(rows[0][0], i) for i in found]
 
 
+def _lead(rows, percent, out):
+    """Links of a task between a leader and a block of its members, which are one tree."""
+    members = {r[3]: r for r in rows if r[7] == 1}
+    tree = Tree({i: r[6] for i, r in members.items()}, {i: r[5] for i, r in members.items()})
+    for r in rows:
+        if r[7] == 2:
+            out += [(x, r[3]) for x in tree.matches(r[6], r[5], percent, lambda x: True)]
+
+
 def _link(rows, percent, out):
     """Spanning links of a task between components."""
     left = {r[3]: r for r in rows if r[7] != 2}
@@ -384,6 +392,29 @@ def _run_tasks(tasks: DataFrame, work, percent: int, kind: str) -> DataFrame:
     return tasks.mapInArrow(giving_back(run), kind)
 
 
+def _placed(tasks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of tasks (``gram``, ``i``, ``j``) with their sets, a task's rows one after the other."""
+    return tasks.join(sets, "id") \
+        .select("gram", "i", "j", "id", "comp", "n", "grams", F.col("side").cast("long")) \
+        .repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
+
+
+def _lead_tasks(pairs: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """A task for each block of up to about ``block`` members ``a`` of a leader ``b``.
+
+    ``side`` is 1 for the members and 2 for the leader, whose set is there once per block.
+    """
+    leads = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / block).alias("nb"))
+    members = pairs.join(leads, "b").select(
+        F.col("b").alias("gram"), F.pmod(F.xxhash64("a"), "nb").alias("i"), F.col("a").alias("id"),
+        F.lit(1).alias("side"))
+    probes = leads.select(F.col("b").alias("gram"), F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("nb") - 1)).alias("i"), F.col("b").alias("id"),
+        F.lit(2).alias("side"))
+    return _placed(members.union(probes).select("gram", "i", F.lit(0).cast("long").alias("j"), "id",
+                                                F.col("id").alias("comp"), "side"), sets)
+
+
 def _tree_tasks(groups: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     """Blocks of up to ``block`` members, and a task for each pair of blocks of a group.
 
@@ -396,9 +427,7 @@ def _tree_tasks(groups: DataFrame, sets: DataFrame, block: int) -> DataFrame:
         "gram", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "id",
         "comp", F.when(F.col("blk") == F.col("other"), 3).when(F.col("blk") < F.col("other"), 1)
         .otherwise(2).alias("side"))
-    placed = tasks.join(sets, "id") \
-        .select("gram", "i", "j", "id", "comp", "n", "grams", F.col("side").cast("long"))
-    return placed.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
+    return _placed(tasks, sets)
 
 
 def _mixed(groups: DataFrame) -> DataFrame:
@@ -421,8 +450,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     1. equal sets are joined to their smallest id, by signature (salted join);
     2. each remaining set is put in one global order, grams that repeat inside tasks last, and its
        prefix is posted; linked sets share a posted gram;
-    3. in each group of one gram the most shared member is compared with the others, by prefixes and
-       then exactly, which joins groups of copies without comparing them all;
+    3. in each group of one gram the members that the prefix bound lets link to the most shared one
+       are put in prefix trees, in blocks, and that member's whole set walks them, which joins groups
+       of copies without comparing them all;
     4. groups that still hold several components are cut into blocks, and every pair of blocks is
        looked at twice: the overlaps of the prefixes mark the members that can have a link to another
        component at all, and a prefix tree over the whole sets of those finds the links.
@@ -462,7 +492,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
                (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))) \
         .select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
     short = heads.select("id", "n", "short")
-    possible = stored(_checked(pairs, short, percent, "short"), "possible")
+    possible = stored(_bounded(pairs, short, percent), "possible")
 
     def whole_sets(ids: DataFrame) -> DataFrame:
         ids = broadcast_checked(stored(ids.distinct(), "members"))
@@ -470,7 +500,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
                       "grams")
 
     members = possible.select(F.col("a").alias("id")).union(possible.select("b"))
-    linked = stored(_checked(possible, whole_sets(members), percent), "links")
+    linked = stored(_run_tasks(_lead_tasks(possible, whole_sets(members), BLOCK), _lead, percent,
+                               "a long, b long"), "links")
     found = components(linked)
     labelled = groups.join(found.withColumnRenamed("node", "id"), "id", "left") \
         .select("gram", "id", F.coalesce("component", "id").alias("comp"))
