@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -38,29 +39,62 @@ SPAN = "array<struct<start:bigint,rank:int,end:bigint>>"
 _SALTS = 16
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _placed(pieces: Column, at: Column, rank: int) -> Column:
+    """Spans of ``pieces`` (``gap``, ``len``, ``good``) that follow each other from ``at`` on."""
+    def add(acc, p):
+        start = acc["at"] + p["gap"]
+        end = start + p["len"]
+        one = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(p["good"], F.concat(acc["out"], one))
+                        .otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(pieces, F.struct(at.alias("at"), F.array().cast(SPAN).alias("out")), add,
+                       lambda acc: acc["out"].cast(SPAN))
+
+
+def _in_blocks(pieces: Column, rank: int) -> Column:
+    """``_placed`` in blocks of about the root of the number of pieces.
+
+    An array that grows by one is copied each time; blocks keep these copies short.
+    """
+    width = F.ceil(F.sqrt(F.size(pieces))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(pieces) / width).cast("int") - 1),
+                         lambda b: F.slice(pieces, b * width + 1, width))
+    none = F.array().cast("array<struct<at:bigint,"
+                          "part:array<struct<gap:bigint,len:bigint,good:boolean>>>>")
+
+    def add(acc, part):
+        length = F.aggregate(part, F.lit(0).cast("long"), lambda n, p: n + p["gap"] + p["len"])
+        return F.struct((acc["at"] + length).alias("at"), F.concat(acc["out"], F.array(F.struct(
+            acc["at"].alias("at"), part.alias("part")))).alias("out"))
+
+    starts = F.aggregate(blocks, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")),
+                         add, lambda acc: acc["out"])
+    return F.flatten(F.transform(starts, lambda b: _placed(b["part"], b["at"], rank)))
+
+
 def spans_of(text: Column, rule: Rule, rank: int) -> Column:
     """(``start``, ``rank``, ``end``) of each match, in code points, end exclusive.
 
-    Positions follow from the lengths of the pieces between the matches.
+    Positions follow from the lengths of the pieces between the matches. The text is cut once; the
+    work beyond that grows with the power 1.5 of the number of matches.
     """
     none = F.array().cast(SPAN)
     gaps = F.split(text, rule.pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     sizes = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    pieces = F.transform(hits, lambda h, i: F.struct(
-        F.length(F.get(gaps, i)).cast("long").alias("gap"), F.length(h).cast("long").alias("len"),
-        F.length(F.get(sizes, i)).alias("size")))
-
-    def add(acc, p):
-        start = acc["at"] + p["gap"]
-        one = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"),
-                               (start + p["len"]).alias("end")))
-        return F.struct((start + p["len"]).alias("at"), F.when(
-            p["size"] >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
-
-    found = F.aggregate(pieces, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")),
-                        add, lambda acc: acc["out"].cast(SPAN))
-    return F.when(F.rlike(text, F.lit(rule.pattern)), found).otherwise(none)
+    found = F.zip_with(hits, sizes, lambda h, s: F.struct(
+        F.length(h).cast("long").alias("len"), (F.length(s) >= rule.least).alias("good")))
+    pieces = F.filter(F.zip_with(gaps, found, lambda g, f: F.struct(
+        F.length(g).cast("long").alias("gap"), f["len"].alias("len"), f["good"].alias("good"))),
+        lambda p: p["len"].isNotNull())
+    return F.when(F.rlike(text, F.lit(rule.pattern)),
+                  _bound(pieces, lambda p: _in_blocks(p, rank))).otherwise(none)
 
 
 def all_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -109,9 +143,10 @@ def scan_versions(docs: DataFrame, ledger_path: str, path_col: str = "doc_id",
     if ledger is not None:
         skip = skip.union(salted.join(ledger.select("blob"), "blob", "left_semi")
                           .select("place", "blob"))
-    skip = stored(skip.select(F.xxhash64("place", "blob").alias("key")).distinct(), "skip")
-    unread = rows.withColumn("key", F.xxhash64(place, "blob")) \
-        .join(broadcast_checked(skip), "key", "left_anti")
+    # a row is left out by its whole address, so no clash of hashes can leave a blob unread
+    skip = stored(skip.select("place", F.unhex("blob").alias("bytes")).distinct(), "skip")
+    unread = rows.withColumn("place", place).withColumn("bytes", F.unhex("blob")) \
+        .join(broadcast_checked(skip), ["place", "bytes"], "left_anti")
     unread.select("blob", F.lit(rule_version).alias("rule_version"),
                   all_spans(F.col("content"), rules).alias("spans")) \
         .write.mode("append").parquet(ledger_path)

@@ -218,6 +218,21 @@ def test_jaccard_families(spark, monkeypatch, k, percent, block):
     assert by_id(jaccard.jaccard_components(df, k, percent)) == brute.jaccard(texts, k, percent)
 
 
+def test_every_link_comes_from_a_tree(spark, monkeypatch):
+    """Links to a leader of many members in several blocks; without trees there are none."""
+    texts = near_copies(4)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    hub = jaccard._lead_tasks(spark.createDataFrame([(i, 99) for i in range(40)], "a long, b long"),
+                              spark.createDataFrame([(i, 1, [7]) for i in [*range(40), 99]],
+                                                    "id long, n long, grams array<long>"), 8)
+    assert hub.where("side = 1").count() == 40 and hub.where("side = 2").count() == 5
+    links = jaccard._run_tasks(hub, jaccard._lead, 85, "a long, b long")
+    assert sorted((r.a, r.b) for r in links.collect()) == [(i, 99) for i in range(40)]
+    for work in ("_lead", "_link"):
+        monkeypatch.setattr(jaccard, work, lambda rows, percent, out: None)
+    assert by_id(jaccard.jaccard_components(df, 4, 85)) == brute.jaccard(texts, 4, 100)
+
+
 def test_jaccard_repeated_ids(spark):
     """A copy under one id does not take out another text of that id; one row of a group is kept."""
     a, b, c = prose(21, 80), prose(22, 80), prose(23, 80)
@@ -422,6 +437,19 @@ def test_secrets(spark, docs, empty, tmp_path):
     assert secrets.scan_versions(empty, f"{tmp_path}/none").count() == 0
 
 
+def test_secrets_with_very_many_hits(spark, tmp_path):
+    """The work per hit does not grow with the text: the text is cut once."""
+    draw = random.Random(9)
+    text = "\n".join(draw.choice([f"{draw.getrandbits(128):032x}", "api_key = abc", "é token:abcdef7",
+                                  "AKIA" + "Z9" * 10, "plain"]) for _ in range(20_000))
+    df = spark.createDataFrame([(1, text), (2, text[:50_000]), (3, "token=abcdef")],
+                               "doc_id long, text string")
+    found = by_id(secrets.finding_digests(secrets.scan_versions(df, f"{tmp_path}/many")))
+    assert {i: v[:4] for i, v in found.items()} == \
+        {1: brute.secrets(text), 2: brute.secrets(text[:50_000]), 3: brute.secrets("token=abcdef")}
+    assert found[1][2] > 3000
+
+
 def test_ledger_scans_only_unseen_blobs(spark, tmp_path):
     path = f"{tmp_path}/ledger"
     old = [("a", "1", "token=abcdef"), ("a", "2", "clean"), ("b", "1", "token=abcdef")]
