@@ -8,6 +8,7 @@ from rtml.session import scratch_path
 from rtml.sources.ingest import Topic, append_sink, decode, event_stream
 from rtml.sources.snapshots import read_snapshot, write_snapshot
 from rtml.streaming import drift as D, keyed as K, online as O, windows as W
+from rtml.streaming.bagging import BaggedForest, bag_weight, poisson_cdf
 from rtml.streaming.balance import BalancedStream
 from rtml.streaming.density import DensityClusters
 from rtml.streaming.forecast import SeriesForecaster
@@ -222,6 +223,38 @@ def stream_density_clusters(t):
         .select("vec_id", "cluster")
 
 
+_UNIT = "('0x' || substr(md5(event_id::VARCHAR || ':' || tree), 1, 8))::BIGINT / 4294967296.0"
+
+
+@query("bagging_weights", f"""SELECT tree, count(*) AS n_rows, sum(w) AS total,
+ count(*) FILTER (WHERE w = 0) AS left_out FROM (SELECT tree,
+ {' + '.join(f"(CASE WHEN {p!r}::DOUBLE <= u THEN 1 ELSE 0 END)" for p in poisson_cdf())} AS w
+ FROM (SELECT tree, ({_UNIT})::DOUBLE AS u FROM events, unnest([0, 1, 2]) AS t(tree)) a) b
+ GROUP BY tree""", i="tree n_rows total left_out")
+def bagging_weights(t):
+    """Poisson weights of all events for three trees of a bagged forest."""
+    weights = t.events.select(F.posexplode(F.array(*[bag_weight("event_id", k) for k in range(3)]))
+                              .alias("tree", "w"))
+    return weights.groupBy("tree").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("w").alias("total"),
+                                       F.count_if(F.col("w") == 0).alias("left_out"))
+
+
+@query("stream_bagged_forest")
+def stream_bagged_forest(t):
+    """Events in four batches through a bagged forest: per batch, rows scored before training on
+    them, wrong ones, and trees that were replaced or grown on."""
+    root = scratch_path(t.spark, "bagging")
+    rows = t.events.select("event_id", F.coalesce("value", F.lit(0.0)).alias("value"),
+                           F.pmod("user_id", F.lit(97)).alias("user"),
+                           (F.col("event_type") == "purchase").cast("int").alias("bought"))
+    for stream in _in_slices(t, rows, "event_id"):
+        step = BaggedForest(t.spark, root, ["value", "user"], "bought", "event_id", trees=4, depth=3)
+        O.run_batches(stream, step, f"{root}/checkpoint").awaitTermination()
+    return step.metrics.all().select("batch_id", "rows", "errors",
+                                     F.size("replaced").alias("n_replaced"),
+                                     F.size("grown").alias("n_grown"))
+
+
 @query("stream_drift")
 def stream_drift(t):
     root = scratch_path(t.spark, "drift")
