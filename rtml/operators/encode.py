@@ -15,10 +15,11 @@ from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, Str
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rtml.plans.prefix import ordered_index, row_numbers, running_totals, with_chunk
-from rtml.session import bounded
+from rtml.session import bounded, scratch_path
 
 SMALL_DICTIONARY = 1_000_000
 LOCAL_DICTIONARY = 20_000
+LITERAL_TEXTS = 128
 BROADCAST_BYTES = 64 << 20
 _LOCAL_TYPES = (T.StringType, T.IntegralType, T.DoubleType, T.FloatType, T.BooleanType, T.DateType)
 
@@ -30,13 +31,6 @@ def _plain_zero(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def distinct_sizes(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
-    """Approximate number of distinct values and longest text per column: one pass, one row."""
-    row = df.agg(*[F.struct(F.approx_count_distinct(c).alias("n"), F.coalesce(F.max(F.octet_length(
-        F.col(c).cast("string"))), F.lit(0)).alias("len")).alias(c) for c in columns]).first()
-    return {c: (row[c].n, row[c].len) for c in columns}
-
-
 def codes_of(df: DataFrame, column: str, large: bool = False) -> DataFrame:
     """Dictionary ``(value, code)`` of one column: codes 0.. in value order, null last."""
     values = _plain_zero(df.select(F.col(column).alias("value")), ["value"]).distinct()
@@ -48,66 +42,130 @@ def codes_of(df: DataFrame, column: str, large: bool = False) -> DataFrame:
     return values.select("value", (F.dense_rank().over(w) - 1).cast("long").alias("code"))
 
 
-def local_codes(df: DataFrame, columns: list[str],
-                limit: int = LOCAL_DICTIONARY) -> dict[str, DataFrame]:
-    """Dictionaries of several short-valued columns from one pass over the rows.
-
-    The distinct values are gathered up to ``limit`` per column, ranked and handed back as small
-    local tables. A column with more values gets no local table.
-    """
-    if not columns:
-        return {}
-    found = _plain_zero(df, columns).select(F.explode(F.array(*[
+def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct ``(feature, value)`` of several columns as text, from one pass over the rows."""
+    return _plain_zero(df, columns).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
-        for c in columns])).alias("p")).select("p.feature", "p.value").distinct() \
-        .limit(limit * len(columns) + 1).toArrow()
-    if found.num_rows > limit * len(columns):
+        for c in columns])).alias("p")).select("p.feature", "p.value").distinct()
+
+
+def value_sizes(values: DataFrame) -> dict[str, tuple[int, int]]:
+    """Number of distinct values and length of the longest per feature."""
+    rows = values.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.max(F.octet_length("value")), F.lit(0)).alias("longest")).collect()
+    return {r.feature: (r.n, r.longest) for r in rows}  # one row per column
+
+
+def ranked_lists(values: DataFrame, types: dict[str, T.DataType]) -> dict[str, list[str | None]]:
+    """Values of counted, short features in the order of their own type, null last."""
+    if not types:
         return {}
+    found = values.where(F.col("feature").isin(list(types))).toArrow()
     out = {}
-    for c in columns:
-        kind = df.schema[c].dataType
-        values = found.filter(pc.equal(found["feature"], c))["value"].to_pylist()
-        texts = [v for v in values if v is not None]
+    for c, kind in types.items():
+        listed = found.filter(pc.equal(found["feature"], c))["value"].to_pylist()
+        texts = [v for v in listed if v is not None]
         if isinstance(kind, (T.DoubleType, T.FloatType)):
             texts.sort(key=lambda v: (v == "NaN", float(v) if v != "NaN" else 0.0))
         elif isinstance(kind, T.IntegralType):
             texts.sort(key=int)
         else:
             texts.sort(key=lambda v: v.encode())
-        ranked = [*texts, *([None] if len(texts) < len(values) else [])]
-        table = pa.table({"value": pa.array(ranked, pa.string()),
-                          "code": pa.array(range(len(ranked)), pa.int64())})
-        out[c] = df.sparkSession.createDataFrame(table) \
-            .select(F.col("value").cast(kind).alias("value"), "code")
+        out[c] = [*texts, *([None] if len(texts) < len(listed) else [])]
     return out
 
 
-def dictionaries(df: DataFrame, columns: list[str],
-                 small_limit: int = SMALL_DICTIONARY) -> dict[str, tuple[DataFrame, bool]]:
-    """``(value, code)`` table of every column and whether it is small enough to broadcast.
+def local_table(df: DataFrame, column: str, ranked: list[str | None]) -> DataFrame:
+    """``(value, code)`` of a ranked list, in the column's own type."""
+    table = pa.table({"value": pa.array(ranked, pa.string()),
+                      "code": pa.array(range(len(ranked)), pa.int64())})
+    return df.sparkSession.createDataFrame(table) \
+        .select(F.col("value").cast(df.schema[column].dataType).alias("value"), "code")
+
 
-    Sizes come from a pass over all rows and only choose between equal ways: short dictionaries are
-    gathered together in one more pass, up to ``small_limit`` values are ranked in one window, more
-    over range partitions. A broadcast also needs values times longest text within a fixed bound.
+def literal_code(df: DataFrame, column: str, ranked: list[str | None]) -> Column | None:
+    """Code of a column as an expression without a join, or None where a join serves better.
+
+    Whole numbers of a narrow span address an array of codes by value; a few texts form a map, which
+    Spark searches from the front.
+    """
+    kind = df.schema[column].dataType
+    texts = [v for v in ranked if v is not None]
+    codes = F.lit(None).cast("long")
+    if texts and isinstance(kind, T.IntegralType):
+        low, span = int(texts[0]), int(texts[-1]) - int(texts[0]) + 1
+        if span > LOCAL_DICTIONARY:
+            return None
+        cells: list[int | None] = [None] * span
+        for code, v in enumerate(texts):
+            cells[int(v) - low] = code
+        place = F.col(column).cast("long") - F.lit(low)
+        inside = place.between(0, span - 1)
+        codes = F.when(inside, F.get(F.lit(cells) if None not in cells else F.array(
+            *[F.lit(c) for c in cells]), place.cast("int"))).cast("long")
+    elif texts:
+        if not isinstance(kind, T.StringType) or len(texts) > LITERAL_TEXTS:
+            return None
+        codes = F.element_at(F.create_map(*[F.lit(x) for code, v in enumerate(texts)
+                                            for x in (v, code)]), F.col(column)).cast("long")
+    if len(texts) < len(ranked):
+        codes = F.when(F.col(column).isNull(), F.lit(len(texts)).cast("long")).otherwise(codes)
+    return codes
+
+
+def long_codes(values: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
+    """Dictionaries of several text features, ranked together in one window each.
+
+    The result is a written table with a folder per feature, so a join reads its own dictionary only.
     """
-    sizes = distinct_sizes(df, columns)
-    short = [c for c in columns if isinstance(df.schema[c].dataType, _LOCAL_TYPES) and
-             sizes[c][0] <= min(LOCAL_DICTIONARY, small_limit) // 2 and
-             sizes[c][0] * sizes[c][1] <= BROADCAST_BYTES // 8]
-    local = local_codes(df, short)
+    if not columns:
+        return {}
+    w = Window.partitionBy("feature").orderBy(F.col("value").asc_nulls_last())
+    path = scratch_path(values.sparkSession, "codes")
+    values.where(F.col("feature").isin(columns)) \
+        .select("feature", "value", (F.row_number().over(w) - 1).cast("long").alias("code")) \
+        .write.partitionBy("feature").parquet(path)
+    table = values.sparkSession.read.schema("value string, code long, feature string").parquet(path)
+    return {c: table.where(F.col("feature") == c).select("value", "code") for c in columns}
+
+
+def dictionaries(df: DataFrame, columns: list[str], small_limit: int = SMALL_DICTIONARY
+                 ) -> dict[str, tuple[DataFrame | list, bool]]:
+    """``(value, code)`` table, or ranked list, of every column and whether it may be broadcast.
+
+    One pass over the rows finds the distinct values of all columns; their counts only choose between
+    equal ways: short dictionaries become lists, texts of up to ``small_limit`` values are ranked in a
+    window per column, more over range partitions. A broadcast also needs values times longest text
+    within a fixed bound.
+    """
+    types = {c: df.schema[c].dataType for c in columns}
+    plain = [c for c in columns if isinstance(types[c], _LOCAL_TYPES)]
+    values = distinct_values(df, columns).persist()
+    try:
+        sizes = value_sizes(values)
+        sizes = {c: sizes.get(c, (0, 0)) for c in columns}
+        short = {c: types[c] for c in plain if sizes[c][0] <= min(LOCAL_DICTIONARY, small_limit) and
+                 sizes[c][0] * sizes[c][1] <= BROADCAST_BYTES // 8}
+        found = {**ranked_lists(values, short), **long_codes(values, [
+            c for c in plain if c not in short and sizes[c][0] <= small_limit and
+            isinstance(types[c], T.StringType)])}
+    finally:
+        values.unpersist()
     out = {}
     for c in columns:
         n, longest = sizes[c]
         fits = n <= small_limit and n * (longest + 16) <= BROADCAST_BYTES
-        out[c] = (local[c] if c in local else codes_of(df, c, n > small_limit), fits)
+        out[c] = (found[c] if c in found else codes_of(df, c, n > small_limit), fits)
     return out
 
 
 def label_dictionary(df: DataFrame, columns: list[str],
                      small_limit: int = SMALL_DICTIONARY) -> DataFrame:
     """Long dictionary ``(feature, value, code)``; values as text, codes in the value's own order."""
-    tables = dictionaries(df, columns, small_limit)
-    parts = [tables[c][0].select(F.lit(c).alias("feature"), F.col("value").cast("string").alias("value"), "code")
+    tables = {c: local_table(df, c, t) if isinstance(t, list) else t
+              for c, (t, _) in dictionaries(df, columns, small_limit).items()}
+    parts = [tables[c].select(F.lit(c).alias("feature"), F.col("value").cast("string").alias("value"), "code")
              for c in columns]
     out = parts[0]
     for p in parts[1:]:
@@ -119,18 +177,26 @@ def label_encode(df: DataFrame, columns: list[str], suffix: str = "",
                  small_limit: int = SMALL_DICTIONARY, source: DataFrame | None = None) -> DataFrame:
     """Replace (or add, with a suffix) label codes; ``source`` supplies the dictionary rows.
 
-    Dictionaries of a counted, bounded size are broadcast; larger ones are joined with a shuffle.
+    Short dictionaries become literals of one projection. Others are joined: with a broadcast where
+    their size is counted and bounded, with a shuffle else.
     """
-    tables = dictionaries(df if source is None else source, columns, small_limit)
-    out = df
+    base = df if source is None else source
+    tables = dictionaries(base, columns, small_limit)
+    out, coded = df, {}
     for c in columns:
-        table, bounded = tables[c]
-        codes = table.select(F.col("value").alias(f"_v_{c}"),
-                                                  F.col("code").alias(f"_c_{c}"))
-        if bounded:
+        table, fits = tables[c]
+        if isinstance(table, list):
+            same = df.schema[c].dataType == base.schema[c].dataType
+            code = literal_code(df, c, table) if same else None
+            if code is not None:
+                coded[f"{c}{suffix}"] = code
+                continue
+            table = local_table(base, c, table)
+        codes = table.select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
+        if fits:
             codes = F.broadcast(codes)
         out = out.join(codes, F.col(c).eqNullSafe(F.col(f"_v_{c}")), "left").drop(f"_v_{c}")
-    coded = {f"{c}{suffix}": F.col(f"_c_{c}") for c in columns}
+        coded[f"{c}{suffix}"] = F.col(f"_c_{c}")
     return out.withColumns(coded).drop(*[f"_c_{c}" for c in columns])
 
 

@@ -107,9 +107,8 @@ def customer_features(events: DataFrame) -> DataFrame:
                        F.concat_ws(",", F.round(place["lat"], 2), F.round(place["lon"], 2))),
         "_paid": F.when(kind == "purchase",
                         F.col("price") * F.coalesce(F.col("quantity"), F.lit(1)))})
-    n = F.count(F.lit(1))
-    grouped = rows.groupBy("customer_id").agg(
-        F.count_distinct("session_id").alias("total_sessions"), n.alias("total_events"),
+    plain = rows.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("total_events"),
         F.avg("time_on_page_seconds").alias("avg_time_on_page"),
         F.sum("time_on_page_seconds").alias("total_time_on_site"),
         F.count_if(kind == "purchase").alias("total_purchases"),
@@ -117,13 +116,25 @@ def customer_features(events: DataFrame) -> DataFrame:
         F.count_if(kind == "page_view").alias("page_views"),
         F.count_if(viewed).alias("product_views"),
         F.count_if(kind == "add_to_cart").alias("add_to_carts"),
-        F.count_if(kind == "search").alias("searches"),
-        F.count_distinct(F.when(viewed, F.col("product_id"))).alias("unique_products_viewed"),
-        F.count_distinct(F.when(viewed, F.col("product_category")))
-        .alias("unique_categories_viewed"),
-        F.mode("_hour", True).alias("preferred_hour"),
-        F.count_distinct("_day").alias("days_active"),
-        F.count_distinct("_geo").alias("geo_diversity"))
+        F.count_if(kind == "search").alias("searches"))
+    # distinct values of all kinds are counted per customer first, then the kinds are told apart
+    kinds = {"total_sessions": F.col("session_id"),
+             "unique_products_viewed": F.when(viewed, F.col("product_id")),
+             "unique_categories_viewed": F.when(viewed, F.col("product_category")),
+             "days_active": F.col("_day"), "geo_diversity": F.col("_geo"),
+             "preferred_hour": F.col("_hour")}
+    values = rows.select("customer_id", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("kind"), value.cast("string").alias("value"))
+        for name, value in kinds.items()])).alias("p")).where("p.value IS NOT NULL") \
+        .groupBy("customer_id", "p.kind", "p.value").agg(F.count(F.lit(1)).alias("n"))
+    hour = F.when(F.col("kind") == "preferred_hour", F.struct("n", (-F.col("value").cast("int")).alias("h")))
+    distinct = values.groupBy("customer_id").agg(
+        *[F.count_if(F.col("kind") == name).alias(name) for name in kinds if name != "preferred_hour"],
+        (-F.max(hour)["h"]).alias("preferred_hour"))
+    both = plain.unionByName(distinct, allowMissingColumns=True).groupBy("customer_id")
+    names = [*plain.columns[1:], *distinct.columns[1:]]
+    grouped = both.agg(*[F.max(c).alias(c) for c in names]) \
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in kinds if c != "preferred_hour"})
 
     def rate(a: str, b: str):
         return F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")),

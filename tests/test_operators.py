@@ -127,25 +127,50 @@ def test_validation(spark):
 
 # --- encoders --------------------------------------------------------------
 
+def _ranked(df, column):
+    return E.ranked_lists(E.distinct_values(df, [column]), {column: df.schema[column].dataType})[column]
+
+
 def test_codes_put_null_last_and_agree_on_all_paths(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "c string")
     want = {"a": 0, "b": 1, "c": 2, None: 3}
-    local = E.local_codes(df, ["c"])["c"]
-    for table in (local, E.codes_of(df, "c"), E.codes_of(df, "c", large=True)):
+    local = E.local_table(df, "c", _ranked(df, "c"))
+    together = E.long_codes(E.distinct_values(df, ["c"]), ["c"])["c"]
+    for table in (local, together, E.codes_of(df, "c"), E.codes_of(df, "c", large=True)):
         assert {r.value: r.code for r in table.collect()} == want
     assert sorted(r.c for r in E.label_encode(df, ["c"]).collect()) == [0, 0, 1, 2, 3]
 
 
 def test_numeric_codes_follow_number_order(spark):
     df = spark.createDataFrame([(10,), (9,), (-1,)], "n int")
-    assert {r.value: r.code for r in E.local_codes(df, ["n"])["n"].collect()} == {-1: 0, 9: 1, 10: 2}
+    assert _ranked(df, "n") == ["-1", "9", "10"]
     assert {r.value: r.code for r in E.label_dictionary(df, ["n"]).collect()} == \
         {"-1": 0, "9": 1, "10": 2}
 
 
-def test_local_dictionary_gives_up_when_too_long(spark):
+def test_literal_codes_equal_joined_codes(spark):
+    df = spark.createDataFrame(
+        [(10, "x", "p1"), (-3, "", None), (None, None, "p2"), (2**40, "\u00e9", "p1"), (7, "x'y", "p3")],
+        "n long, s string, p string").withColumn("m", (F.col("n") % 5).cast("int"))
+    literal = {c: E.literal_code(df, c, _ranked(df, c)) for c in ("s", "p", "m")}
+    assert E.literal_code(df, "n", _ranked(df, "n")) is None  # too wide a span for an array
+    joined = E.label_encode(df, ["s", "p", "m"], suffix="_j", small_limit=0)
+    for r in joined.withColumns({f"{c}_l": v for c, v in literal.items()}).collect():
+        assert (r.s_l, r.p_l, r.m_l) == (r.s_j, r.p_j, r.m_j)
+    only_null = spark.createDataFrame([(None, None)] * 2, "s string, m int")
+    assert {tuple(r) for r in E.label_encode(only_null, ["s", "m"]).collect()} == {(0, 0)}
+    assert E.label_encode(df.limit(0), ["s", "m", "n"]).count() == 0
+
+
+def test_codes_of_a_foreign_dictionary_are_null_when_missing(spark):
+    fit = spark.createDataFrame([("a", 1), ("b", 5)], "s string, n int")
+    new = spark.createDataFrame([("b", 3), ("z", 9), (None, None), ("a", 1)], "s string, n int")
+    out = E.label_encode(new, ["s", "n"], source=fit).collect()
+    assert [tuple(r) for r in out] == [(1, None), (None, None), (None, None), (0, 0)]
+
+
+def test_long_dictionaries_get_the_same_codes(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("c"))
-    assert E.local_codes(df, ["c"], limit=50) == {}
     assert E.label_encode(df, ["c"], small_limit=10).agg(F.max("c")).first()[0] == 99
 
 
@@ -382,3 +407,24 @@ def test_quantiles_ignore_nan_alike(spark, monkeypatch):
     plain = prefix.exact_quantiles(df, "v", {"a": 0.5, "b": 0.9}).first()
     monkeypatch.setattr(prefix, "_BRACKET_ROWS", 0)
     assert prefix.exact_quantiles(df, "v", {"a": 0.5, "b": 0.9}).first() == plain
+
+
+def test_customer_features_of_hot_null_and_idle_customers(spark):
+    from rtml.plans.features import customer_features
+    row = ("2024-01-02T03:04:05", None, None, None, None, None, None)
+    cols = ("timestamp string, event_type string, product_id string, product_category string, "
+            "price double, quantity int, time_on_page_seconds int")
+    rows = [("c1", "s1", "2024-01-02T03:04:05", "page_view", "p1", "k1", None, None, 4),
+            ("c1", "s2", "2024-01-02T05:04:05", "page_view", "p2", "k1", None, None, 2),
+            ("c1", "s2", "2024-01-03T05:00:00", "purchase", "p2", "k1", 2.5, 2, None),
+            ("c1", None, "2024-01-03T03:00:00", "search", None, None, None, None, None),
+            (None, "s9", *row), (None, None, *row)]
+    df = spark.createDataFrame(rows, f"customer_id string, session_id string, {cols}") \
+        .withColumn("location", F.lit('{"lat": 1.234, "lon": 2.0}'))
+    out = {r.customer_id: r for r in customer_features(df).collect()}
+    one, none = out["c1"], out[None]
+    assert (one.total_events, one.total_sessions, one.unique_products_viewed,
+            one.unique_categories_viewed, one.days_active, one.geo_diversity) == (4, 2, 2, 1, 2, 1)
+    assert one.preferred_hour == 3 and one.total_revenue == 5.0  # hours 3 and 5 tie
+    assert (none.total_events, none.total_sessions, none.unique_products_viewed,
+            none.preferred_hour, none.total_revenue) == (2, 1, 0, 3, 0.0)
