@@ -75,30 +75,36 @@ def kmeans(df: DataFrame, k: int, vec: str = "features", seeds: int = 10, iterat
 
 def kmeans_minibatch(df: DataFrame, k: int, vec: str = "features", batch_rows: int = 1024,
                      rounds: int = 100, seed: int = 42) -> tuple[list, object]:
-    """Mini-batch k-means: each round assigns a sample of about ``batch_rows`` rows and moves the
-    centers by its mean.
+    """Mini-batch k-means: each round assigns about ``batch_rows`` rows and moves the centers by
+    their mean.
 
-    A center moves by batch count over total count, so later rounds move it less.
+    All rounds' rows are drawn in one pass, with replacement, and dealt to rounds; a round reads its
+    share of that sample and never the table. A center moves by batch count over total count, so later
+    rounds move it less.
     """
     import numpy as np
     from rtml.operators.metrics_clu import with_arrays
-    rows = with_arrays(df, vec).persist()
-    fraction = min(1.0, batch_rows / max(rows.count(), 1))
+    n = max(df.count(), 1)
     start = KMeans(k=k, featuresCol=vec, maxIter=1, seed=seed).fit(
-        df.sample(fraction=min(1.0, 10 * fraction), seed=seed))
+        df.sample(fraction=min(1.0, 10 * batch_rows / n), seed=seed))
     centers = np.array(start.clusterCenters())
     weight = np.zeros(len(centers))
-    for r in range(rounds):
-        batch = rows.sample(fraction=fraction, seed=seed + r)
-        placed = center_distances_per_row(batch, vec, list(range(len(centers))), centers)
-        cells = placed.select("nearest", F.posexplode(vec)).groupBy("nearest", "pos") \
-            .agg(F.avg("col").alias("m"), F.count(F.lit(1)).alias("n")).collect()  # k x d
-        for c in cells:
-            if c.pos == 0:
-                weight[c.nearest] += c.n
-        for c in cells:
-            centers[c.nearest, c.pos] += (c.m - centers[c.nearest, c.pos]) * c.n / weight[c.nearest]
-    rows.unpersist()
+    drawn = with_arrays(df, vec).select(vec).sample(True, rounds * batch_rows / n, seed) \
+        .withColumn("_round", (F.rand(seed) * rounds).cast("int")).persist()
+    try:
+        for r in range(rounds):
+            placed = center_distances_per_row(drawn.where(F.col("_round") == r), vec,
+                                              list(range(len(centers))), centers)
+            cells = placed.select("nearest", F.posexplode(vec)).groupBy("nearest", "pos") \
+                .agg(F.avg("col").alias("m"), F.count(F.lit(1)).alias("n")).collect()  # k x d
+            for c in cells:
+                if c.pos == 0:
+                    weight[c.nearest] += c.n
+            for c in cells:
+                centers[c.nearest, c.pos] += \
+                    (c.m - centers[c.nearest, c.pos]) * c.n / weight[c.nearest]
+    finally:
+        drawn.unpersist()
     return list(range(len(centers))), centers
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -66,6 +67,12 @@ def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
         decoded.where(F.col("_corrupt").isNotNull()).select("_corrupt")
 
 
+def tag_records(decoded: DataFrame) -> DataFrame:
+    """Every row with ``record``, ``ok`` or ``unreadable``, so that one append keeps both kinds."""
+    return decoded.withColumn("record", F.when(F.col("_corrupt").isNull(), "ok")
+                              .otherwise("unreadable"))
+
+
 def append_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                 once: bool = False, interval: str = "10 seconds",
                 name: str | None = None, partition_by: list[str] | None = None) -> StreamingQuery:
@@ -86,20 +93,22 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
 
 
 def start_ingest(spark: SparkSession, topics: list[Topic], fmt: str = "parquet",
-                 once: bool = False, quarantine: bool = False) -> list[StreamingQuery]:
+                 once: bool = False, quarantine: bool = True) -> list[StreamingQuery]:
     """One query with its own checkpoint per topic, all in this session.
 
-    With ``quarantine`` each topic has a second query, behind all the first ones in the list, that
-    keeps the texts of unreadable records in ``<path>_quarantine``.
+    Unreadable records land in the same exactly-once append as the others, in a folder of their own
+    (``record=unreadable``), so a topic is read once: :func:`read_table` leaves them out and
+    :func:`read_quarantine` returns them. Without ``quarantine`` they are dropped.
     """
-    started, kept = [], []
+    started = []
     for t in topics:
-        good, bad = split_corrupt(decode(event_stream(spark, t), t.schema))
-        started.append(append_sink(good, t.path, t.checkpoint, fmt, once, name=None))
+        rows = decode(event_stream(spark, t), t.schema)
         if quarantine:
-            kept.append(append_sink(bad, f"{t.path}_quarantine", f"{t.checkpoint}_quarantine", fmt,
-                                    once, name=None))
-    return started + kept
+            started.append(append_sink(tag_records(rows), t.path, t.checkpoint, fmt, once,
+                                       partition_by=["record"]))
+        else:
+            started.append(append_sink(split_corrupt(rows)[0], t.path, t.checkpoint, fmt, once))
+    return started
 
 
 def run_until(queries: list[StreamingQuery], stop, poll_seconds: float = 5.0) -> None:
@@ -118,22 +127,40 @@ def run_until(queries: list[StreamingQuery], stop, poll_seconds: float = 5.0) ->
             raise q.exception()
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
-               merge_schema: bool = False) -> DataFrame:
-    """Lake table; ``merge_schema`` reads Parquet files written with different columns."""
+def _landed(spark: SparkSession, path: str, fmt: str, merge_schema: bool) -> DataFrame:
     reader = spark.read.format(fmt)
     if merge_schema and fmt == "parquet":
         reader = reader.option("mergeSchema", "true")
     return reader.load(path)
 
 
+def _is_tagged(df: DataFrame) -> bool:
+    return {"record", "_corrupt"} <= set(df.columns)
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
+               merge_schema: bool = False) -> DataFrame:
+    """Lake table without its quarantined records; of a table that keeps them, only the folder of
+    readable ones is scanned. ``merge_schema`` reads Parquet files written with different columns."""
+    df = _landed(spark, path, fmt, merge_schema)
+    return df.where("record = 'ok'").drop("record", "_corrupt") if _is_tagged(df) else df
+
+
+def read_quarantine(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Texts of the records of a lake table that could not be read, one column ``_corrupt``."""
+    df = _landed(spark, path, fmt, False)
+    if not _is_tagged(df):
+        return spark.createDataFrame([], "_corrupt string")
+    return df.where("record <> 'ok'").select("_corrupt")
+
+
 def table_or_topic(spark: SparkSession, topic: Topic, fmt: str = "parquet") -> DataFrame:
     """The lake table, or, where it does not exist yet, the first event of the topic."""
     try:
         return read_table(spark, topic.path, fmt)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e) \
-                and "DELTA_" not in str(e):
+    except AnalysisException as e:
+        kind = e.getCondition() or ""
+        if kind not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA") and not kind.startswith("DELTA_"):
             raise
     if topic.servers:
         raw = spark.read.format("kafka").options(
@@ -174,6 +201,36 @@ def health_report(df: DataFrame) -> DataFrame:
         .withColumn("columns", F.lit(len(df.columns)).cast("long"))
 
 
+def table_report(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Schema of a lake table, one row per column, with its path and number of rows."""
+    df = read_table(spark, path, fmt)
+    return schema_report(df).withColumn("path", F.lit(path)) \
+        .crossJoin(F.broadcast(row_count(df)))  # one row of counts
+
+
+def table_version(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
+    """Latest version of a Delta table; other formats have none."""
+    return delta_history(spark, path).agg(F.max("version")).first()[0] if fmt == "delta" else None
+
+
+def full_health_report(df: DataFrame, order: list[str], version: int | None = None,
+                       sample: int = 3) -> DataFrame:
+    """One row: version, files, rows, columns, ``name: type`` of each column and the first rows.
+
+    The first rows by ``order`` are a top-n and come as JSON texts; an empty table has none. Rows are
+    counted from file footers, no column is read for it.
+    """
+    types = [f"{f.name}: {f.dataType.simpleString()}" for f in df.schema]
+    top = df.orderBy(*order).limit(sample).select(
+        F.struct(*order).alias("_o"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        .alias("_j")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_j"))),
+                                      lambda x: x["_j"]).alias("first_rows"))  # ``sample`` rows
+    return health_report(df).select(
+        F.lit(version).cast("long").alias("version"), "files",
+        F.coalesce("rows", F.lit(0)).alias("rows"), "columns",
+        F.lit(types).alias("column_types")).crossJoin(F.broadcast(top))
+
+
 def delta_history(spark: SparkSession, path: str) -> DataFrame:
     """Versions of a Delta table (needs the Delta package on the cluster)."""
     return spark.sql(f"DESCRIBE HISTORY delta.`{path}`")

@@ -38,10 +38,45 @@ def test_unreadable_records_are_kept(spark, tmp_path):
     write_lines(tmp_path / "in", "1.txt", [line(1), "{broken", line(2)])
     topic = I.Topic("t", SCHEMA, str(tmp_path / "table"), str(tmp_path / "cp"),
                     folder=str(tmp_path / "in"))
-    for q in I.start_ingest(spark, [topic], once=True, quarantine=True):
+    for q in I.start_ingest(spark, [topic], once=True):
         q.awaitTermination()
-    assert sorted(r.id for r in I.read_table(spark, topic.path).collect()) == [1, 2]
-    assert [r[0] for r in I.read_table(spark, f"{topic.path}_quarantine").collect()] == ["{broken"]
+    write_lines(tmp_path / "in", "2.txt", [line(3), '["no object"'])
+    queries = I.start_ingest(spark, [topic], once=True)
+    queries[0].awaitTermination()
+    assert len(queries) == 1  # one reader of the topic
+    table = I.read_table(spark, topic.path)
+    assert table.columns == ["id", "kind", "value", "device"]
+    assert sorted(r.id for r in table.collect()) == [1, 2, 3]
+    assert sorted(r[0] for r in I.read_quarantine(spark, topic.path).collect()) == \
+        ['["no object"', "{broken"]
+
+
+def test_dropping_unreadable_records_is_an_option(spark, tmp_path):
+    write_lines(tmp_path / "in", "1.txt", [line(1), "{broken"])
+    topic = I.Topic("t", SCHEMA, str(tmp_path / "table"), str(tmp_path / "cp"),
+                    folder=str(tmp_path / "in"))
+    I.start_ingest(spark, [topic], once=True, quarantine=False)[0].awaitTermination()
+    assert [r.id for r in I.read_table(spark, topic.path).collect()] == [1]
+    assert I.read_quarantine(spark, topic.path).count() == 0
+
+
+def test_table_reports(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.createDataFrame([(2, "b"), (1, None), (4, "d"), (3, "c")], "id long, name string") \
+        .repartition(2).write.parquet(path)
+    rows = I.table_report(spark, path).orderBy("position").collect()
+    assert [tuple(r) for r in rows] == [(0, "id", "bigint", True, path, 4),
+                                        (1, "name", "string", True, path, 4)]
+    df = I.read_table(spark, path)
+    full = I.full_health_report(df, ["id"]).first()
+    assert (full.version, full.files, full.rows, full.columns) == (None, 2, 4, 2)
+    assert full.column_types == ["id: bigint", "name: string"]
+    assert [json.loads(x) for x in full.first_rows] == [
+        {"id": 1, "name": None}, {"id": 2, "name": "b"}, {"id": 3, "name": "c"}]
+    none = I.full_health_report(df.where("id > 9"), ["id"]).first()
+    assert (none.files, none.rows, none.first_rows) == (0, 0, [])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        I.read_table(spark, str(tmp_path / "nowhere"))
 
 
 def test_bad_records(spark, tmp_path):
