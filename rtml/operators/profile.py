@@ -11,6 +11,11 @@ from rtml.plans.prefix import exact_quantiles, exact_quantiles_of, running_total
 BUCKETS = {
     "training_duration_seconds": [10, 30, 60, 120, 300, 600, 1200, 1800, 3600],
     "prediction_duration_seconds": [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5],
+    "model_load_duration_seconds": [0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0],
+    "mlflow_operation_duration_seconds": [0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0],
+    "sql_query_duration_seconds": [0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0],
+    "sql_rows_returned": [0, 1, 10, 50, 100, 500, 1000, 5000, 10000],
+    "visualization_duration_seconds": [0.1, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0, 120.0, 300.0],
     "send_duration_seconds": [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0],
     "message_size_bytes": [100, 500, 1000, 5000, 10000, 50000],
 }
@@ -127,6 +132,27 @@ def bucket_histogram(df: DataFrame, value: str, bounds: list[float],
         .select(*by, "p.le", "p.cumulative")
 
 
+def service_histograms(df: DataFrame, values: dict[str, str], by: list[str] | None = None) -> DataFrame:
+    """Cumulative buckets, number and sum of several service metrics from one pass.
+
+    ``values`` maps metric names of ``BUCKETS`` to columns. One row per group, metric and bucket; the
+    last bucket of a metric has ``le`` null and holds all its values. Nulls are no values.
+    """
+    by = by or []
+    aggs, parts = [], []
+    for i, (metric, column) in enumerate(values.items()):
+        v = F.col(column).cast("double")
+        edges = [*[float(b) for b in BUCKETS[metric]], None]
+        aggs += [F.count(v).alias(f"n{i}"), F.coalesce(F.sum(v), F.lit(0.0)).alias(f"s{i}"), *[
+            F.count_if(v <= e).alias(f"b{i}_{j}") for j, e in enumerate(edges) if e is not None]]
+        parts += [F.struct(
+            F.lit(metric).alias("metric"), F.lit(e).cast("double").alias("le"),
+            F.col(f"n{i}" if e is None else f"b{i}_{j}").alias("cumulative"),
+            F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("total")) for j, e in enumerate(edges)]
+    return df.groupBy(*by).agg(*aggs).select(*by, F.explode(F.array(*parts)).alias("p")) \
+        .select(*by, "p.*")
+
+
 def equal_width_bins(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """Bin number 1..bins, its edges and count; every bin between min and max is listed."""
     span = df.agg(F.struct(F.min(value).cast("double").alias("lo"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rtml.operators import profile as P, rolling as R, sessions as N
-from rtml.sources.ingest import health_report, row_count, schema_report
+from rtml.sources.ingest import full_health_report, health_report, row_count, schema_report, \
+    table_report
 from rtml.sources.snapshots import counts_from_json, counts_to_json
 from rtml.suite.base import query
 from rtml.suite.roles import ERRORS_SQL, INTERACTIONS_SQL, as_interactions, ordered_errors
@@ -267,3 +268,45 @@ def table_row_count(t):
        i="files columns")
 def table_health_report(t):
     return health_report(t.lineitem)
+
+
+@query("table_report", """SELECT row_number() OVER () - 1 AS position, column_name AS "column",
+ CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+ WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type, true AS nullable,
+ 'orders.parquet' AS file, (SELECT count(*) FROM orders) AS row_count FROM (DESCRIBE orders)""",
+       i="position")
+def table_report_of_orders(t):
+    """Schema with the table's path (here its last part) and number of rows."""
+    return table_report(t.spark, f"{t.folder}/orders.parquet") \
+        .withColumn("file", F.substring_index("path", "/", -1)).drop("path")
+
+
+@query("table_health_full", """SELECT NULL::BIGINT AS version, 1 AS files, count(*) AS rows, 4 AS columns,
+ 'o_orderkey: bigint;o_custkey: bigint;o_orderstatus: string;o_orderpriority: string' AS column_types,
+ (SELECT string_agg(j, ';' ORDER BY o_orderkey) FROM (SELECT o_orderkey, to_json({'o_orderkey':
+ o_orderkey, 'o_custkey': o_custkey, 'o_orderstatus': o_orderstatus, 'o_orderpriority':
+ o_orderpriority})::VARCHAR AS j FROM orders ORDER BY o_orderkey LIMIT 3)) AS first_rows
+ FROM orders""", i="files columns")
+def table_health_full(t):
+    """Version, files, rows, column types and the first three rows (the report's own limit)."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return full_health_report(rows, ["o_orderkey"]).withColumns(
+        {c: F.concat_ws(";", c) for c in ("column_types", "first_rows")})
+
+
+_METRICS = dict(zip(P.BUCKETS, ["amount", "share", "share", "share", "amount", "amount", "amount", "share",
+                                "amount"]))
+_EDGES = " UNION ALL ".join(f"SELECT '{m}' AS metric, '{_METRICS[m]}' AS kind, unnest({b}::DOUBLE[] || [NULL]) AS le"
+                            for m, b in P.BUCKETS.items())
+
+
+@query("service_histograms", f"""SELECT event_type, metric, le, count(*) FILTER (v IS NOT NULL AND (le IS NULL
+ OR v <= le)) AS cumulative, count(v) AS n, coalesce(sum(v), 0) AS total FROM ({_EDGES}) JOIN
+ (SELECT event_type, 'amount' AS kind, value AS v FROM events UNION ALL SELECT event_type, 'share',
+ CASE WHEN event_id % 9 > 0 THEN value / 100 END FROM events) USING (kind)
+ GROUP BY event_type, metric, le""", d="total", digits=3)
+def service_histograms(t):
+    """All nine fixed bucket lists from one pass over the events."""
+    rows = t.events.select("event_type", F.col("value").alias("amount"),
+                           F.when(F.col("event_id") % 9 > 0, F.col("value") / 100).alias("share"))
+    return P.service_histograms(rows, _METRICS, ["event_type"])

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rtml.session import scratch_path
-from rtml.sources.ingest import Topic, append_sink, decode, event_stream
+from rtml.sources.ingest import Topic, after_offset, append_sink, decode, event_stream, \
+    read_quarantine, read_table, start_ingest, table_or_topic
 from rtml.sources.snapshots import read_snapshot, write_snapshot
 from rtml.streaming import drift as D, keyed as K, online as O, windows as W
 from rtml.streaming.bagging import BaggedForest, bag_weight, poisson_cdf
@@ -78,6 +79,64 @@ def stream_ingest_roundtrip(t):
     return t.spark.read.parquet(topic.path)
 
 
+@query("multi_topic_ingest", """SELECT 'events' AS topic, CASE WHEN event_id % 50 = 0 THEN 'unreadable' ELSE 'ok'
+ END AS record, count(*) AS n, sum(CASE WHEN event_id % 50 <> 0 THEN user_id END)::BIGINT AS total
+ FROM events GROUP BY 1, 2 UNION ALL SELECT 'orders', CASE WHEN o_orderkey % 40 = 0 THEN 'unreadable'
+ ELSE 'ok' END, count(*), sum(CASE WHEN o_orderkey % 40 <> 0 THEN o_custkey END)::BIGINT
+ FROM orders GROUP BY 1, 2""")
+def multi_topic_ingest(t):
+    """Two topics at a time, each read once; broken records are kept beside the others."""
+    root = scratch_path(t.spark, "topics")
+    sources = {"events": (t.events, "event_id", "user_id", 50),
+               "orders": (t.orders, "o_orderkey", "o_custkey", 40)}
+    topics = []
+    for name, (df, key, value, every) in sources.items():
+        text = F.to_json(F.struct(key, value))
+        df.select(F.when(F.col(key) % every == 0, F.concat(F.lit("{"), text)).otherwise(text)
+                  .alias("value")).write.text(f"{root}/in/{name}")
+        topics.append(Topic(name, f"{key} bigint, {value} bigint", f"{root}/{name}",
+                            f"{root}/checkpoints/{name}", folder=f"{root}/in/{name}"))
+    for q in start_ingest(t.spark, topics, once=True):
+        q.awaitTermination()
+    parts = []
+    for topic in topics:
+        value = sources[topic.name][2]
+        for kind, rows in (("ok", read_table(t.spark, topic.path).select(value)),
+                           ("unreadable", read_quarantine(t.spark, topic.path)
+                            .select(F.lit(None).cast("long").alias(value)))):
+            parts.append(rows.groupBy(F.lit(topic.name).alias("topic"), F.lit(kind).alias("record"))
+                         .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("table_or_topic", """SELECT 'table' AS origin, count(*) AS n, min(user_id) AS lowest FROM events
+ UNION ALL SELECT 'topic', 1, min(user_id) FROM events""")
+def table_or_topic_rows(t):
+    """The table where it exists; before that, one event of the topic (here the lowest user's)."""
+    root = scratch_path(t.spark, "fallback")
+    lowest = t.events.orderBy("user_id", "event_id").limit(1)
+    rows = t.events.select("event_id", "user_id")
+    lowest.select(F.to_json(F.struct("event_id", "user_id")).alias("value")).write.text(f"{root}/in")
+    rows.write.parquet(f"{root}/table")
+    out = []
+    for origin, path in (("table", f"{root}/table"), ("topic", f"{root}/not-yet")):
+        topic = Topic("events", "event_id bigint, user_id bigint", path, "", folder=f"{root}/in")
+        out.append(table_or_topic(t.spark, topic).groupBy(F.lit(origin).alias("origin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("user_id").alias("lowest")))
+    return out[0].unionByName(out[1])
+
+
+@query("offset_replay", """SELECT event_id, event_type, user_id FROM events
+ WHERE event_id > (SELECT max(event_id) // 2 FROM events)""")
+def offset_replay(t):
+    """Records after the last one that a run had processed: half of them here."""
+    last = t.events.agg(F.floor(F.max("event_id") / 2)).first()[0]
+    return after_offset(t.events, "event_id", last).select("event_id", "event_type", "user_id")
+
+
 @query("stream_window_counts", """SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S')
  AS window_start, event_type, count(*) AS n FROM events, (SELECT max(ts) AS newest FROM events)
  WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= newest - INTERVAL 10 MINUTES

@@ -1,6 +1,7 @@
 """Learners: results good enough, repeatable, and shaped as promised."""
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 
 from rtml.suite import ORACLES, QUERIES
 
@@ -67,3 +68,13 @@ def test_decision_surface(spark):
     model = forest(["a", "b"], "y", True, 5, 4).fit(df)
     cells = decision_surface(model, spark, ("a", 0, 19), ("b", 0, 6), steps=20)
     assert cells.count() == 400 and cells.select("prediction").distinct().count() == 2
+
+
+def test_minibatch_centers_find_separate_groups(spark):
+    from rtml.operators.train import kmeans_minibatch
+    rows = spark.range(3000).selectExpr("array(id % 3 * 50d + rand(1), id % 3 * -20d + rand(2)) as v") \
+        .select(array_to_vector("v").alias("features"))
+    _, centers = kmeans_minibatch(rows, 3, batch_rows=100, rounds=5)
+    assert sorted(round(float(c[0]) / 50) for c in centers) == [0, 1, 2]
+    _, few = kmeans_minibatch(rows.limit(30), 2, batch_rows=100, rounds=3)  # fewer rows than a batch
+    assert len(few) == 2

@@ -428,3 +428,16 @@ def test_customer_features_of_hot_null_and_idle_customers(spark):
     assert one.preferred_hour == 3 and one.total_revenue == 5.0  # hours 3 and 5 tie
     assert (none.total_events, none.total_sessions, none.unique_products_viewed,
             none.preferred_hour, none.total_revenue) == (2, 1, 0, 3, 0.0)
+
+
+def test_service_histograms_against_plain_counts(spark):
+    from rtml.operators import profile as P
+    data = [("a", 0.0), ("a", 10.0), ("a", 10.5), ("a", None), ("b", 1e9), ("c", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    out = P.service_histograms(df, {m: "v" for m in P.BUCKETS}, ["g"]).collect()
+    assert len(P.BUCKETS) == 9 and len(out) == 3 * sum(len(b) + 1 for b in P.BUCKETS.values())
+    for r in out:
+        mine = [v for g, v in data if g == r.g and v is not None]
+        assert (r.n, r.total) == (len(mine), sum(mine))
+        assert r.cumulative == sum(r.le is None or v <= r.le for v in mine)
+    assert P.service_histograms(df.limit(0), {"sql_rows_returned": "v"}, ["g"]).count() == 0
