@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rtml.llm.common import broadcast_checked, components, giving_back, prepare, stored
 from rtml.llm.words import HashOfWord, gram_hashes, spaced_words
@@ -415,29 +415,45 @@ def _lead_tasks(pairs: DataFrame, sets: DataFrame, block: int) -> DataFrame:
                                                 F.col("id").alias("comp"), "side"), sets)
 
 
-def _tree_tasks(groups: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """Blocks of up to ``block`` members, and a task for each pair of blocks of a group.
+def _tree_tasks(groups: DataFrame, sets: DataFrame, block: int, percent: int) -> DataFrame:
+    """Blocks of about ``block`` members of neighbouring set sizes, and a task for each pair of blocks
+    of a group that can hold a link between components.
 
-    ``side`` is 1 and 2 for the two blocks, 3 where a block meets itself.
+    A pair is left out where even the largest set of the one is too small for the smallest of the
+    other, or where both blocks hold one and the same component. ``side`` is 1 and 2 for the two blocks,
+    3 where a block meets itself.
     """
-    blocks = groups.withColumn("nb", F.ceil(F.col("m") / block)) \
-        .withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))
-    tasks = blocks.withColumn("other", other).select(
-        "gram", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "id",
-        "comp", F.when(F.col("blk") == F.col("other"), 3).when(F.col("blk") < F.col("other"), 1)
-        .otherwise(2).alias("side"))
-    return _placed(tasks, sets)
+    smaller = Window.partitionBy("gram").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = groups.groupBy("gram", "n").agg(F.count(F.lit(1)).alias("c")) \
+        .withColumn("before", F.coalesce(F.sum("c").over(smaller), F.lit(0)))
+    members = groups.join(sizes, ["gram", "n"]).select(
+        "gram", "m", "id", "comp", "n",
+        F.floor((F.col("before") + F.pmod(F.xxhash64("id"), "c")) / block).alias("blk"))
+    spans = members.groupBy("gram", "blk").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("lo"),
+        F.max("comp").alias("hi"), F.ceil(F.first("m") / block).alias("nb"))
+    first = spans.select("gram", F.col("blk").alias("i"), "most", F.col("lo").alias("lo1"),
+                         F.col("hi").alias("hi1"),
+                         F.explode(F.sequence("blk", F.greatest("blk", F.col("nb") - 1))).alias("j"))
+    second = spans.select("gram", F.col("blk").alias("j"), "least", "lo", "hi")
+    pairs = first.join(second, ["gram", "j"]).where(
+        (100 * F.col("most") >= percent * F.col("least")) &
+        (F.least("lo", "lo1") != F.greatest("hi", "hi1"))).select("gram", "i", "j")
+    ends = pairs.select("gram", "i", "j", F.col("i").alias("blk"),
+                        F.when(F.col("i") == F.col("j"), 3).otherwise(1).alias("side")) \
+        .union(pairs.where("i < j").select("gram", "i", "j", "j", F.lit(2)))
+    return _placed(members.join(ends, ["gram", "blk"])
+                   .select("gram", "i", "j", "id", "comp", "side"), sets)
 
 
 def _mixed(groups: DataFrame) -> DataFrame:
-    """Groups (``gram``, ``id``, ``comp``) that hold several components, with their size ``m``; of
+    """Groups (``gram``, ``id``, ``comp``, ``n``) that hold several components, with their size ``m``; of
     groups of equal members one is enough."""
     sized = groups.groupBy("gram").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
         F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s")).where("lo <> hi")
     once = sized.groupBy("m", "s").agg(F.min("gram").alias("gram"))
-    return groups.join(once.select("gram", "m"), "gram").select("gram", "m", "id", "comp")
+    return groups.join(once.select("gram", "m"), "gram").select("gram", "m", "id", "comp", "n")
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -453,8 +469,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     3. in each group of one gram the members that the prefix bound lets link to the most shared one
        are put in prefix trees, in blocks, and that member's whole set walks them, which joins groups
        of copies without comparing them all;
-    4. groups that still hold several components are cut into blocks, and every pair of blocks is
-       looked at twice: the overlaps of the prefixes mark the members that can have a link to another
+    4. groups that still hold several components are cut into blocks by set size, and every pair of
+       blocks whose sizes allow a link is looked at twice: the overlaps of the prefixes mark the members that can have a link to another
        component at all, and a prefix tree over the whole sets of those finds the links.
 
     Ids are longs; rows with a null id get a null component; rows that repeat an id are one document
@@ -504,13 +520,14 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
                                "a long, b long"), "links")
     found = components(linked)
     labelled = groups.join(found.withColumnRenamed("node", "id"), "id", "left") \
-        .select("gram", "id", F.coalesce("component", "id").alias("comp"))
+        .select("gram", "id", F.coalesce("component", "id").alias("comp"), "n")
     mixed = stored(_mixed(labelled), "mixed")
-    blocks = _tree_tasks(mixed, short.withColumnRenamed("short", "grams"), 8 * BLOCK)
+    blocks = _tree_tasks(mixed, short.withColumnRenamed("short", "grams"), 8 * BLOCK,
+                         percent)
     marked = stored(_run_tasks(blocks, _mark, percent, "gram long, id long").distinct(), "marked")
-    rest = stored(_mixed(marked.join(mixed.select("gram", "id", "comp"), ["gram", "id"])), "rest")
-    more = stored(_run_tasks(_tree_tasks(rest, whole_sets(rest.select("id")), BLOCK), _link, percent,
-                             "a long, b long"), "treelinks")
+    rest = stored(_mixed(marked.join(mixed.select("gram", "id", "comp", "n"), ["gram", "id"])), "rest")
+    more = stored(_run_tasks(_tree_tasks(rest, whole_sets(rest.select("id")), BLOCK,
+                                         percent), _link, percent, "a long, b long"), "treelinks")
     edges = linked.union(more).union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     if versions is not None:
         edges = edges.union(versions.select("key", "id"))
