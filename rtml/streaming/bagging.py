@@ -37,8 +37,10 @@ def bag_weight(key: str | Column, tree: int, rate: float = RATE) -> Column:
     key = F.col(key) if isinstance(key, str) else key
     digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{tree}")))
     unit = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    steps = F.array(*[F.lit(p) for p in poisson_cdf(rate)])
-    return F.size(F.filter(steps, lambda p: p <= unit))
+    # the digest enters as a bound variable: inside the condition it would be taken for every step
+    weight = F.transform(F.array(unit), lambda u: sum(
+        ((F.lit(p) <= u).cast("int") for p in poisson_cdf(rate)), F.lit(0)))
+    return F.get(weight, F.lit(0))
 
 
 class BaggedForest:
@@ -130,14 +132,18 @@ class BaggedForest:
         names = self.subsets[tree]
         rows = held.where(F.col("batch_id") >= since).where("_y IS NOT NULL").dropna(subset=names) \
             .withColumn("_w", bag_weight("_key", tree, self.rate).cast("double"))
-        chosen = rows.where("_w > 0")
-        if chosen.isEmpty():
-            return 0
-        rows_seen = rows.count()
-        model = DecisionTreeClassifier(
-            featuresCol="_x", labelCol="_y", weightCol="_w", maxDepth=self.depth,
-            seed=self.seed + tree).fit(VectorAssembler(inputCols=names, outputCol="_x")
-                                       .transform(chosen))
+        rows = rows.select("_y", "_w", *names).persist()  # weighed once, read by every pass below
+        try:
+            chosen = rows.where("_w > 0")
+            if chosen.isEmpty():
+                return 0
+            rows_seen = rows.count()
+            model = DecisionTreeClassifier(
+                featuresCol="_x", labelCol="_y", weightCol="_w", maxDepth=self.depth,
+                seed=self.seed + tree).fit(VectorAssembler(inputCols=names, outputCol="_x")
+                                           .transform(chosen))
+        finally:
+            rows.unpersist()
         model.write().overwrite().save(f"{self.models}/tree-{tree}-{batch_id}")
         self._held[tree, batch_id] = model
         return rows_seen

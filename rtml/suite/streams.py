@@ -16,6 +16,9 @@ from rtml.streaming.forecast import SeriesForecaster
 from rtml.suite.base import Tables, query
 from rtml.suite.roles import event_key
 
+#: Rows of one file of a slice.
+_FILE_ROWS = 250_000
+
 
 def _stream(t: Tables, name: str = "events") -> DataFrame:
     """The table as a stream of its file."""
@@ -35,18 +38,23 @@ def _sliced_stream(t: Tables, name: str, order: str, parts: int = 4) -> DataFram
 def _in_slices(t: Tables, rows: DataFrame, order: str, parts: int = 4):
     """A stream of ``rows`` that grows slice by slice in ``order``: yields it after every second one.
 
-    Whoever runs a query to its end at every yield restarts it from its checkpoint.
+    Whoever runs a query to its end at every yield restarts it from its checkpoint. A slice is one
+    micro-batch. All slices have the same number of files, one for every ``_FILE_ROWS`` rows of the
+    smallest: dealt in turn, no file of so many rows can be empty, which Spark would not write.
     """
     path = scratch_path(t.spark, "slices")
     cuts = rows.approxQuantile(order, [i / parts for i in range(1, parts)], 0.01)
-    lows, highs = [float("-inf"), *cuts], [*cuts, float("inf")]
+    inside = [(F.col(order) > low) & (F.col(order) <= high)
+              for low, high in zip([float("-inf"), *cuts], [*cuts, float("inf")])]
+    fewest = min(rows.agg(*[F.count_if(c) for c in inside]).first())
+    files = max(1, fewest // _FILE_ROWS)
     stream = None
-    for i, (low, high) in enumerate(zip(lows, highs)):
-        rows.where((F.col(order) > low) & (F.col(order) <= high)).coalesce(1) \
-            .write.mode("append").parquet(path)
+    for i, condition in enumerate(inside):
+        part = rows.where(condition)
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(path)
         if i % 2 or i == parts - 1:
             stream = stream or t.spark.readStream.schema(rows.schema) \
-                .option("maxFilesPerTrigger", 1).parquet(path)
+                .option("maxFilesPerTrigger", files).parquet(path)
             yield stream
 
 

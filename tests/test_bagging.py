@@ -79,3 +79,25 @@ def test_odd_rows(spark, tmp_path):
                                            shape))
     assert out.columns == ["id", "a", "c", "y", "_y", "prediction"]
     assert [r.id for r in out.collect()] == [5]
+
+
+def test_digest_is_taken_once_per_weight(spark):
+    plan = spark.range(1).select(bag_weight("id", 0)) \
+        ._jdf.queryExecution().analyzed().toString()
+    assert "md5" in plan and "md5" not in plan.partition("lambdafunction")[2].partition("AS ")[0]
+
+
+def test_slices_of_many_files_stay_one_batch_each(spark, tmp_path, monkeypatch):
+    from rtml.suite import streams
+    from rtml.suite.base import Tables
+    monkeypatch.setattr(streams, "_FILE_ROWS", 50)
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, label: str(tmp_path / label))
+    rows, seen = spark.range(1000).withColumn("v", F.col("id") % 7), {}
+    for stream in streams._in_slices(Tables(spark, str(tmp_path)), rows, "id"):
+        stream.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True) \
+            .foreachBatch(lambda b, i: seen.update({i: b.agg(
+                F.count("id"), F.min("id"), F.max("id")).first()})).start().awaitTermination()
+    assert len(seen) == 4 and sum(r[0] for r in seen.values()) == 1000
+    assert all(seen[i][2] < seen[i + 1][1] for i in range(3))
+    assert len(list((tmp_path / "slices").glob("part-*.parquet"))) == 4 * (min(
+        r[0] for r in seen.values()) // 50)
