@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -14,6 +19,21 @@ from pyspark.sql import DataFrame, functions as F
 from rtml.operators.metrics_clu import calinski_harabasz, center_distances_per_row, \
     davies_bouldin, silhouette_score
 from rtml.operators.sample import feature_subset, folds, nested_sizes
+from rtml.session import plan_bytes
+
+
+def at_once(df: DataFrame, jobs: list[Callable]) -> list:
+    """Results of ``jobs`` on ``df``, in their order; on a small table as many at once as there are cores.
+
+    A fit is a row of jobs. On a table that Spark estimates below 32 MB their tasks are so short that
+    the cores wait for the driver; a larger one is worked on by one fit at a time.
+    """
+    spark = df.sparkSession
+    n = min(len(jobs), spark.sparkContext.defaultParallelism) if plan_bytes(df) < 32 << 20 else 1
+    if n < 2:
+        return [job() for job in jobs]
+    with ThreadPool(n) as pool:
+        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(j) for j in jobs], 1)
 
 
 def assembler(columns: list[str], out: str = "features") -> VectorAssembler:
@@ -64,13 +84,21 @@ def balanced_logistic(columns: list[str], label: str, weight: str = "weight",
 def kmeans(df: DataFrame, k: int, vec: str = "features", seeds: int = 10, iterations: int = 300,
            tolerance: float = 1e-4, seed: int = 42):
     """Best of several seeded starts by training cost."""
-    best = None
-    for s in range(seeds):
+    return _best(at_once(df, _starts(df, k, vec, seeds, iterations, tolerance, seed)))
+
+
+def _starts(df: DataFrame, k: int, vec: str, seeds: int, iterations: int, tolerance: float,
+            seed: int) -> list[Callable]:
+    def start(s: int):
         model = KMeans(k=k, featuresCol=vec, predictionCol="cluster", maxIter=iterations,
-                       tol=tolerance, seed=seed + s).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+                       tol=tolerance, seed=s).fit(df)
+        return model.summary.trainingCost, model
+    return [partial(start, seed + s) for s in range(seeds)]
+
+
+def _best(started: list):
+    """The first model of the least cost."""
+    return min(started, key=lambda p: p[0])[1]
 
 
 def kmeans_minibatch(df: DataFrame, k: int, vec: str = "features", batch_rows: int = 1024,
@@ -112,15 +140,19 @@ def k_search(df: DataFrame, ks: range = range(2, 11), vec: str = "features", see
              seeds: int = 10, iterations: int = 300) -> DataFrame:
     """All four scores per k; ``is_best`` marks the largest silhouette."""
     cached = df.persist()
-    rows = []
+
+    def scores(k: int, model) -> tuple:
+        placed = model.transform(cached)
+        return (k, float(model.summary.trainingCost),
+                float(silhouette_score(placed, vec, "cluster")),
+                float(calinski_harabasz(placed, vec, "cluster").first()[0]),
+                float(davies_bouldin(placed, vec, "cluster").first()[0]))
+
     try:
-        for k in ks:
-            model = kmeans(cached, k, vec, seeds=seeds, seed=seed, iterations=iterations)
-            placed = model.transform(cached)
-            rows.append((k, float(model.summary.trainingCost),
-                         float(silhouette_score(placed, vec, "cluster")),
-                         float(calinski_harabasz(placed, vec, "cluster").first()[0]),
-                         float(davies_bouldin(placed, vec, "cluster").first()[0])))
+        started = at_once(cached, [job for k in ks for job in _starts(
+            cached, k, vec, seeds, iterations, 1e-4, seed)])
+        rows = at_once(cached, [partial(scores, k, _best(started[i * seeds:(i + 1) * seeds]))
+                                for i, k in enumerate(ks)])
     finally:
         cached.unpersist()
     best = max(rows, key=lambda r: r[2])[0]

@@ -78,3 +78,12 @@ def test_minibatch_centers_find_separate_groups(spark):
     assert sorted(round(float(c[0]) / 50) for c in centers) == [0, 1, 2]
     _, few = kmeans_minibatch(rows.limit(30), 2, batch_rows=100, rounds=3)  # fewer rows than a batch
     assert len(few) == 2
+
+
+def test_jobs_on_a_small_table_run_at_once_and_in_order(spark):
+    import threading
+    from rtml.operators.train import at_once
+    together = threading.Barrier(3)
+    rows = spark.range(10)
+    assert at_once(rows, [lambda i=i: (together.wait(30), rows.where(f"id < {i}").count())[1]
+                          for i in range(3)]) == [0, 1, 2]
