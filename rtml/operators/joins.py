@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rtml.plans.prefix import CHUNK, as_number, quantile_bounds, with_chunk
+from rtml.plans.prefix import CHUNK, as_number, quantile_bounds, running_totals, with_chunk
 from rtml.session import bounded
 
 #: Points of one bucket beyond which the bucket is split by salt.
@@ -65,6 +65,51 @@ def _meeting(points: DataFrame, ranges: DataFrame, keys: list[str], hot_rows: in
     return met.where((F.col("_from") <= F.col("_at")) & (F.col("_at") <= F.col("_to")))
 
 
+def _pair_totals(points: DataFrame, ranges: DataFrame, keys: list[str], sums: list[str],
+                 closed: bool) -> DataFrame:
+    """Number of pairs and sums over them per ``_by``: what lies up to a range's end less what lies
+    before its start, from running totals over one order of points and ends.
+
+    Values that are not finite are counted apart, since they do not cancel.
+    """
+    known = [F.col(k).isNotNull() for k in keys]
+    for condition in known:
+        points, ranges = points.where(condition), ranges.where(condition)
+    parts = {"_n": F.count(F.lit(1))}
+    for i in range(len(sums)):
+        v = F.col(f"_v{i}")
+        finite = ~F.isnan(v) & (F.abs(v) < float("inf"))
+        parts |= {f"_s{i}": F.sum(F.when(finite, v)), f"_m{i}": F.count(v),
+                  f"_x{i}": F.count_if(F.isnan(v)), f"_h{i}": F.count_if(v == float("inf")),
+                  f"_l{i}": F.count_if(v == float("-inf"))}
+    at = points.where("_at IS NOT NULL").groupBy(*keys, "_at").agg(
+        *[c.alias(name) for name, c in parts.items()]).withColumn("_side", F.lit(1))
+    same = [*keys, "_by", "_from", "_to"]
+    alike = ranges.where("_from <= _to").groupBy(*same).agg(F.count(F.lit(1)).alias("_times"))
+    ends = alike.select("*", F.explode(F.array(
+        F.struct(F.col("_from").alias("at"), F.lit(0).alias("side"), F.lit(-1).alias("sign")),
+        F.struct(F.col("_to").alias("at"), F.lit(2 if closed else 0).alias("side"),
+                 F.lit(1).alias("sign")))).alias("_e")) \
+        .select(*same, "_times", F.col("_e.at").alias("_at"), F.col("_e.side").alias("_side"),
+                F.col("_e.sign").alias("_sign"))
+    both = at.unionByName(ends, allowMissingColumns=True)
+    totals = running_totals(with_chunk(both, "_at", quantile_bounds(at, "_at")), keys, ["_at", "_side"],
+                            {f"_to{name}": F.col(name) for name in parts})
+    held = totals.where("_sign IS NOT NULL").groupBy(*same, "_times").agg(*[
+        F.sum(F.coalesce(F.col(f"_to{name}"), F.lit(0)) * F.col("_sign")).alias(name)
+        for name in parts])
+    out = held.where("_n > 0").groupBy("_by").agg(*[
+        F.sum(F.col(name) * F.col("_times")).alias(name) for name in parts])
+
+    def total(i: int) -> Column:
+        odd, high, low = (F.col(f"_{c}{i}") > 0 for c in "xhl")
+        return F.when(F.col(f"_m{i}") == 0, F.lit(None)).when(odd | (high & low), float("nan")) \
+            .when(high, float("inf")).when(low, float("-inf")).otherwise(F.col(f"_s{i}"))
+
+    return out.select("_by.*", F.col("_n").alias("n"),
+                      *[total(i).alias(c) for i, c in enumerate(sums)])
+
+
 def _keyed(df: DataFrame, keys: list[str]) -> list[Column]:
     return [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
 
@@ -86,10 +131,14 @@ def _renamed(df: DataFrame, suffix: str, taken: set[str]) -> list[Column]:
 
 def interval_join(points: DataFrame, ranges: DataFrame, at: str, start: str, end: str,
                   keys: list[str] = (), how: str = "inner", closed: bool = True,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot_rows: int = HOT_ROWS, by: list[str] = (), sums: list[str] = ()) -> DataFrame:
     """Every point with every range that holds it: ``start <= at <= end``, or ``at < end`` if not
     ``closed``, and equal ``keys``.
 
+    With ``by``, columns of ``ranges``, the pairs are counted and not made: one row per value of these
+    columns that has pairs, with their number ``n`` and the sums of the columns ``sums`` of ``points``.
+    The work then grows with points and ranges, not with their pairs, and ``how`` has no meaning.
+
     Columns of ``points``, then those of ``ranges``; a name that is there already gets ``_r``.
     ``how="left"`` keeps points without a range. Points and ends that are null or not finite, and
     null keys, meet nothing. ``at`` and the ends are numbers, dates or times of one kind; numbers
@@ -98,6 +147,13 @@ def interval_join(points: DataFrame, ranges: DataFrame, at: str, start: str, end
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     keys, names = list(keys), _names(keys)
+    if by:
+        return _pair_totals(
+            points.select(_number(points, at).alias("_at"), *_keyed(points, keys),
+                          *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(sums)]),
+            ranges.select(F.struct(*by).alias("_by"), _number(ranges, start).alias("_from"),
+                          _number(ranges, end).alias("_to"), *_keyed(ranges, keys)),
+            names, list(sums), closed)
     taken: set[str] = set()
     mine = _renamed(points, "_r", taken)
     theirs = _renamed(ranges, "_r", taken)

@@ -41,9 +41,9 @@ def range_join_price_band(t):
     bands = t.part.select("p_brand", (F.col("p_retailprice") * 20).alias("low"),
                           (F.col("p_retailprice") * 20 + F.col("p_size")).alias("high"))
     met = J.interval_join(t.lineitem.select("l_extendedprice", "l_quantity"), bands,
-                          "l_extendedprice", "low", "high", closed=False)
-    return met.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"),
-                                      F.sum("l_quantity").alias("quantity"))
+                          "l_extendedprice", "low", "high", closed=False, by=["p_brand"],
+                          sums=["l_quantity"])
+    return met.withColumnRenamed("l_quantity", "quantity")
 
 
 @query("overlap_join_hours", """SELECT a.event_type, b.event_type AS other, count(*) AS n

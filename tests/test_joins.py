@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rtml.operators import joins as J
 from rtml.plans.sqlguard import guarded
@@ -150,3 +151,31 @@ def test_joins_are_relations_of_the_guard(tables):
         guarded(left, "SELECT * FROM data", relations={"a b": pairs})
     with pytest.raises(ValueError, match="name"):
         guarded(left, "SELECT * FROM data", relations={"data": pairs})
+
+
+@pytest.mark.parametrize("closed", [True, False])
+@pytest.mark.parametrize("small", ["0", "33554432"])
+def test_pair_totals_are_those_of_the_pairs(spark, closed, small):
+    """Counted pairs equal made ones: equal places, empty ranges, nulls, odd values, repeated ranges."""
+    draw = random.Random(5)
+    odd = [None, float("nan"), float("inf"), float("-inf")]
+    points = spark.createDataFrame(
+        [(float(draw.randint(0, 40)) if i % 13 else odd[i % 4], "ab"[i % 2] if i % 11 else None,
+          odd[i % 4] if i % 17 == 0 and i % 2 else draw.random()) for i in range(400)],
+        "x double, k string, v double")
+    made = [(float(a), float(a + draw.randint(-1, 6)), "ab"[a % 2], draw.choice(["g", "h", None]))
+            for a in range(40)]
+    ranges = spark.createDataFrame([*made, *made[:9], (None, 3.0, "a", "g"), (90.0, 99.0, "a", "none")],
+                                   "low double, high double, k string, g string")
+    pairs = J.interval_join(points, ranges, "x", "low", "high", ["k"], closed=closed)
+    want = {r.g: (r.n, r.v) for r in pairs.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").alias("v")).collect()}
+    spark.conf.set("rtml.chunk.minBytes", small)
+    try:
+        met = J.interval_join(points, ranges, "x", "low", "high", ["k"], closed=closed, by=["g"], sums=["v"])
+        found = {r.g: (r.n, r.v) for r in met.collect()}
+    finally:
+        spark.conf.unset("rtml.chunk.minBytes")
+    assert set(found) == set(want) and "none" not in found
+    for g, (n, v) in want.items():
+        assert found[g][0] == n and found[g][1] == pytest.approx(v, rel=1e-9, nan_ok=True)
