@@ -8,13 +8,18 @@ of all rows is no hot key. State is read and written by key; no earlier output i
 from __future__ import annotations
 
 import sys
+import tempfile
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 _CODES = "feature string, value string, code long, ids array<long>"
+#: Bytes of waiting row ids in memory, beyond which they go to a temporary file of the task; 16 a row.
+_WAITING = 32 << 20
+_READ = 1 << 20  # of them read back at a time: 65,536 rows
 _NULL = "n"  # other values are written with a leading v
 
 # Spark also starts a processor in a helper of the driver, which does not get the shipped package.
@@ -45,27 +50,43 @@ class CodeBook(StatefulProcessor):
     def handleInputRows(self, key, rows, timers):
         feature, part = key[0], int(key[1])
         n = self.count.get()[0] if self.count.exists() else 0
-        known, fresh, waiting = {}, {}, []
-        for frame in rows:
-            hit = []
-            for value, at, ids in zip(frame["value"], frame["at"], frame["ids"]):
-                name = (_NULL,) if pd.isna(value) else (f"v{value}",)
-                if name not in known and name not in fresh and self.codes.containsKey(name):
-                    known[name] = self.codes.getValue(name)[0]
-                    if self.ttl:  # seen again: starts its time to live afresh
-                        self.codes.updateValue(name, (known[name],))
-                if name in known:
-                    hit.append((feature, name[0], known[name], ids))
-                else:
-                    fresh[name] = min(fresh.get(name, at), at)
-                    waiting.append((name, ids))
-            yield self._frame(hit)
-        for name in sorted(fresh, key=lambda v: (fresh[v], v)):
-            known[name] = n * self.splits + part
-            self.codes.updateValue(name, (known[name],))
-            n += 1
-        self.count.update((n,))
-        yield self._frame([(feature, name[0], known[name], ids) for name, ids in waiting])
+        known, fresh = {}, {}  # of new values: their place among them and their first row
+        with tempfile.SpooledTemporaryFile(_WAITING) as waiting:
+            for frame in rows:
+                hit, held = [], []
+                for value, at, ids in zip(frame["value"], frame["at"], frame["ids"]):
+                    name = (_NULL,) if pd.isna(value) else (f"v{value}",)
+                    if name not in known and name not in fresh and self.codes.containsKey(name):
+                        known[name] = self.codes.getValue(name)[0]
+                        if self.ttl:  # seen again: starts its time to live afresh
+                            self.codes.updateValue(name, (known[name],))
+                    if name in known:
+                        hit.append((feature, name[0], known[name], ids))
+                    else:
+                        place, first = fresh.get(name, (len(fresh), at))
+                        fresh[name] = place, min(first, at)
+                        ids = np.asarray(ids, dtype=np.int64)
+                        held.append(np.column_stack([np.full(len(ids), place, dtype=np.int64), ids]))
+                if held:
+                    waiting.write(np.concatenate(held).tobytes())
+                yield self._frame(hit)
+            codes = np.empty(len(fresh), dtype=np.int64)
+            for name in sorted(fresh, key=lambda v: (fresh[v][1], v)):
+                codes[fresh[name][0]] = n * self.splits + part
+                self.codes.updateValue(name, (n * self.splits + part,))
+                n += 1
+            self.count.update((n,))
+            yield from self._waited(feature, [name[0] for name in fresh], codes, waiting)
+
+    def _waited(self, feature: str, names: list[str], codes: np.ndarray, waiting):
+        """Frames of the rows that waited for their values' codes, a part of them at a time."""
+        waiting.seek(0)
+        while part := waiting.read(_READ):
+            pairs = np.frombuffer(part, dtype=np.int64).reshape(-1, 2)
+            pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+            places, starts = np.unique(pairs[:, 0], return_index=True)
+            yield self._frame([(feature, names[p], codes[p], ids.tolist()) for p, ids in
+                               zip(places, np.split(pairs[:, 1], starts[1:]))])
 
     @staticmethod
     def _frame(rows: list) -> pd.DataFrame:

@@ -110,3 +110,40 @@ def test_moments_over_batches(spark, tmp_path):
     assert found["x"].n == 4 and abs(found["x"].mean - mean) < 1e-3
     assert abs(found["x"].m2 / sum((v - mean) ** 2 for v in x) - 1) < 1e-9
     assert (found["x"].low, found["x"].high) == (1.0, 1e9 + 3)
+
+
+def test_rows_that_wait_for_a_code_are_not_held(monkeypatch):
+    """Ids of new values leave in parts, from a file once they are many; each once, with its code."""
+    import tempfile
+
+    import pandas as pd
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    class Codes(dict):
+        containsKey, getValue, updateValue = dict.__contains__, dict.__getitem__, dict.__setitem__
+
+    monkeypatch.setattr(K, "_WAITING", 1000)
+    monkeypatch.setattr(K, "_READ", 1600)
+    files, make = [], tempfile.SpooledTemporaryFile
+    monkeypatch.setattr(tempfile, "SpooledTemporaryFile", lambda n: files.append(make(n)) or files[-1])
+    book = K.CodeBook(1, None)
+    book.codes, book.count = Codes(), Value()
+    frames = [pd.DataFrame({"value": [None, f"w{i}", "hot"], "at": [i + 5, i, i + 500], "ids": [
+        [i], [1000 + i], list(range(2000 + 50 * i, 2050 + 50 * i))]}) for i in (7, 3, 5)]
+    out = list(book.handleInputRows(("f", 0), iter(frames), None))
+    assert files[0]._rolled and max(sum(map(len, f["ids"])) for f in out) <= 100
+    got = {(r.value, r.code, i) for f in out for r in f.itertuples() for i in r.ids}
+    codes = {"w3": 0, "w5": 1, "w7": 2, None: 3, "hot": 4}
+    assert got == {(v, codes[v], j) for f in frames for v, ids in zip(f["value"], f["ids"]) for j in ids}
+    assert sum(len(i) for f in out for i in f["ids"]) == len(got) and book.count.get() == (5,)
