@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rtml.operators.encode import drop_incomplete, min_max_scale
+from rtml.operators.train import tree_cells
 
 
 def normality_scores(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -162,12 +163,16 @@ def partial_dependence(model, df: DataFrame, features: list[str], column: str,
     """Average prediction with one feature set to each grid value.
 
     ``model`` assembles from the feature columns itself; pass a sampled ``df`` to bound the work.
+    Of rows that no tree of a tree model tells apart one is copied, and counts for all.
     """
     others = [c for c in features if c != column]
-    copies = df.select(*others, F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias(column))
+    cells = tree_cells(model, df, [], free=column)
+    rows = df.select(*others, F.lit(1).alias("_n")) if cells is None else cells
+    copies = rows.select("*", F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias(column))
     scored = model.transform(copies)
     value = F.col(output) if output == "prediction" else vector_to_array(output)[1]
-    return scored.groupBy(F.col(column).alias("grid")).agg(F.avg(value).alias("average"))
+    return scored.groupBy(F.col(column).alias("grid")).agg(
+        (F.sum(value * F.col("_n")) / F.sum("_n")).alias("average"))
 
 
 def decision_surface(model, spark, x: tuple[str, float, float], y: tuple[str, float, float],

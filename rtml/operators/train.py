@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import partial
 from multiprocessing.pool import ThreadPool
@@ -14,7 +15,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rtml.operators.metrics_clu import calinski_harabasz, center_distances_per_row, \
     davies_bouldin, silhouette_score
@@ -36,6 +37,37 @@ def at_once(df: DataFrame, jobs: list[Callable]) -> list:
         return pool.map(lambda job: job(), [inheritable_thread_target(spark)(j) for j in jobs], 1)
 
 
+def _cell(x: Column, cuts: list[float], end: float = float("inf")) -> Column:
+    """The least of sorted ``cuts`` that is not below ``x``, else ``end``; so for a null or NaN too."""
+    if not cuts:
+        return F.lit(end)
+    m = len(cuts) // 2
+    return F.when(x <= cuts[m], _cell(x, cuts[:m], cuts[m])).otherwise(_cell(x, cuts[m + 1:], end))
+
+
+def tree_cells(model, df: DataFrame, keep: list[str], free: str | None = None) -> DataFrame | None:
+    """Rows that no tree of ``model`` tells apart, as one row with their number ``_n``, per ``keep``.
+
+    For a pipeline of an assembler of numbers that keeps invalid ones and a tree model, else None. A
+    feature stands at the end of its cell, which goes through every split as the row's own value
+    does. ``free``, a feature that is set later, is left out.
+    """
+    stages = getattr(model, "stages", None) or []
+    if len(stages) != 2 or not isinstance(stages[0], VectorAssembler) or \
+            not hasattr(stages[1], "toDebugString"):
+        return None
+    names, said = stages[0].getInputCols(), stages[1].toDebugString
+    if stages[0].getHandleInvalid() != "keep" or stages[1].numFeatures != len(names) or \
+            len({*names, *keep, "_n"}) != len(names) + len(keep) + 1 or "(feature" not in said or \
+            re.search(r"\(feature \d+ (not )?in ", said):
+        return None
+    cuts = {c: set() for c in names}
+    for i, value in re.findall(r"\(feature (\d+) <= ([^)]+)\)", said):
+        cuts[names[int(i)]].add(float(value))
+    cells = [_cell(F.col(c).cast("double"), sorted(v)).alias(c) for c, v in cuts.items() if c != free]
+    return df.groupBy(*cells, *keep).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def assembler(columns: list[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=columns, outputCol=out, handleInvalid="keep")
 
@@ -170,6 +202,15 @@ def score_of(predictions: DataFrame, label: str, metric: str) -> float:
     return RegressionEvaluator(labelCol=label, metricName=metric).evaluate(predictions)
 
 
+def model_score(model, df: DataFrame, label: str, metric: str) -> float:
+    """``score_of`` a model on ``df``; trees are walked once for all rows of a cell and class."""
+    cells = tree_cells(model, df, [label]) if metric in ("f1", "accuracy") else None
+    if cells is None:
+        return score_of(model.transform(df), label, metric)
+    return MulticlassClassificationEvaluator(labelCol=label, metricName=metric, weightCol="_n") \
+        .evaluate(model.transform(cells))
+
+
 def cv_scores(df: DataFrame, estimator, label: str, key: str, metric: str, k: int = 5,
               stratify: bool = True, seed: int = 42) -> DataFrame:
     """Held-out score of each fold."""
@@ -178,8 +219,7 @@ def cv_scores(df: DataFrame, estimator, label: str, key: str, metric: str, k: in
         rows = []
         for i in range(k):
             model = estimator.fit(parts.where(F.col("fold") != i))
-            rows.append((i, float(score_of(model.transform(parts.where(F.col("fold") == i)),
-                                           label, metric))))
+            rows.append((i, float(model_score(model, parts.where(F.col("fold") == i), label, metric))))
     finally:
         parts.unpersist()
     return df.sparkSession.createDataFrame(rows, "fold int, score double")
@@ -195,8 +235,8 @@ def validation_curve(df: DataFrame, build, values: list, label: str, key: str, m
             for i in range(k):
                 train, held = parts.where(F.col("fold") != i), parts.where(F.col("fold") == i)
                 model = build(v).fit(train)
-                rows.append((float(v), i, float(score_of(model.transform(train), label, metric)),
-                             float(score_of(model.transform(held), label, metric))))
+                rows.append((float(v), i, float(model_score(model, train, label, metric)),
+                             float(model_score(model, held, label, metric))))
     finally:
         parts.unpersist()
     return df.sparkSession.createDataFrame(
@@ -218,8 +258,8 @@ def learning_curve(df: DataFrame, estimator, label: str, key: str, metric: str,
                     train = sized.where(F.col("train_fraction") == float(f))
                     model = estimator.fit(train)
                     rows.append((float(f), i,
-                                 float(score_of(model.transform(train), label, metric)),
-                                 float(score_of(model.transform(held), label, metric))))
+                                 float(model_score(model, train, label, metric)),
+                                 float(model_score(model, held, label, metric))))
             finally:
                 sized.unpersist()
     finally:
@@ -242,8 +282,8 @@ def recursive_elimination(df: DataFrame, build, columns: list[str], label: str,
             scores, weights = [], [0.0] * len(left)
             for i in range(k):
                 model = build(left).fit(parts.where(F.col("fold") != i))
-                held = model.transform(parts.where(F.col("fold") == i))
-                scores.append(float(score_of(held, label, metric)))
+                held = parts.where(F.col("fold") == i)
+                scores.append(float(model_score(model, held, label, metric)))
                 for j, w in enumerate(model.stages[-1].featureImportances.toArray()):
                     weights[j] += float(w)
             rows.append((len(left), sum(scores) / len(scores), ",".join(left)))

@@ -87,3 +87,27 @@ def test_jobs_on_a_small_table_run_at_once_and_in_order(spark):
     rows = spark.range(10)
     assert at_once(rows, [lambda i=i: (together.wait(30), rows.where(f"id < {i}").count())[1]
                           for i in range(3)]) == [0, 1, 2]
+
+
+def test_cells_score_as_rows_do(spark, monkeypatch):
+    """Fewer rows than there are go through the trees; scores and averages are those of all rows."""
+    from pyspark.sql import functions as F
+    from rtml.operators import analysis as L, train as M
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 50 > 0, F.rand(1) * 10).alias("a"),
+        F.when(F.col("id") % 31 == 0, float("nan")).otherwise(F.rand(2)).alias("b"),
+        (F.col("id") % 7).alias("c")).withColumn(
+            "y", F.coalesce((F.col("a") + F.col("c") + F.rand(3) > 9).cast("int"), F.lit(1))).persist()
+    model = M.forest(["a", "b", "c"], "y", True, 5, 4).fit(df.dropna())
+    assert M.tree_cells(model, df, ["y"]).count() < 2500
+    for metric in ("f1", "accuracy"):
+        assert M.model_score(model, df, "y", metric) == pytest.approx(
+            M.score_of(model.transform(df), "y", metric), rel=1e-12)
+    for output in ("prediction", "probability"):
+        found = {r.grid: r.average for r in L.partial_dependence(
+            model, df, ["a", "b", "c"], "a", [0.0, 4.5, 9.0], output).collect()}
+        for g, average in found.items():
+            at = model.transform(df.withColumn("a", F.lit(g)))
+            value = F.col(output) if output == "prediction" else L.vector_to_array(output)[1]
+            assert average == pytest.approx(at.agg(F.avg(value)).first()[0], rel=1e-12)
+    assert len(found) == 3
