@@ -9,6 +9,7 @@ shares rows, whatever the number of rows or dimensions.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,6 +20,8 @@ from rtml.streaming.statelog import StateLog
 
 #: Rows that are looked at together on the driver to choose new centers from.
 LEADERS = 2000
+#: Rows and centers of one cell that are compared in one block, about.
+BLOCK = 2048
 _CENTERS = "mc long, center array<double>, weight double"
 
 
@@ -29,6 +32,30 @@ def _dot(x: str, axis: np.ndarray) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda a, b: a + b)
 
 
+def _close(radius: float):
+    """Pairs of a block of rows and a block of centers that are at most a radius apart.
+
+    A matrix product leaves out pairs that are surely too far; the others are summed place by place.
+    """
+    def run(rows: pd.DataFrame, centers: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(centers):
+            return pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in (
+                ("_row", "int64"), ("_x", object), ("mc", "int64"), ("d2", float))})
+        x, c = (np.stack(v.to_numpy()).astype(float) for v in (rows["_x"], centers["center"]))
+        xx, cc = (x * x).sum(1), (c * c).sum(1)
+        size = xx[:, None] + cc[None, :]
+        i, j = np.nonzero(size - 2.0 * x @ c.T <= radius ** 2 + 1e-9 * (size + radius ** 2))
+        d2 = np.zeros(len(i))
+        for place in range(x.shape[1]):
+            gap = x[i, place] - c[j, place]
+            d2 += gap * gap
+        near = d2 <= radius ** 2
+        i, j = i[near], j[near]
+        return pd.DataFrame({"_row": rows["_row"].to_numpy()[i], "_x": rows["_x"].to_numpy()[i],
+                             "mc": centers["mc"].to_numpy()[j], "d2": d2[near]})
+    return run
+
+
 class DensityClusters:
     """``batch -> state``; see the module for the rules.
 
@@ -71,10 +98,16 @@ class DensityClusters:
                 .withColumn(f"_c{i}", F.col(f"_c{i}") + F.col("_s")).drop("_s")
         names = [f"_c{i}" for i in range(len(self.axes))]
         probes = rows.select("_row", "_x", *[c.alias(n) for n, c in zip(names, self._cells("_x"))])
-        gap = F.aggregate(F.zip_with("_x", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                          lambda a, b: a + b)
-        return probes.join(placed, names).select("_row", "_x", "mc", gap.alias("d2")) \
-            .where(F.col("d2") <= self.radius ** 2)
+        # a crowded cell is cut into blocks, and every block of rows meets every block of centers
+        n, m = (-(-df.count() // BLOCK) for df in (rows, centers))
+        probes, placed = (
+            df.withColumn(own, F.pmod(F.xxhash64(F.col(key)), F.lit(max(mine, 1))).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(max(theirs, 1) - 1))))
+            for df, key, own, other, mine, theirs in ((probes, "_row", "_rb", "_cb", n, m),
+                                                      (placed, "mc", "_cb", "_rb", m, n)))
+        by = [*names, "_rb", "_cb"]
+        return probes.groupBy(*by).cogroup(placed.groupBy(*by)).applyInPandas(
+            _close(self.radius), "_row long, _x array<double>, mc long, d2 double")
 
     def _new_centers(self, rows: DataFrame, centers: DataFrame, first: int) -> DataFrame:
         """Centers so that every row is near one: a random handful of the uncovered rows is thinned

@@ -128,3 +128,28 @@ def test_wanted_shares(spark, tmp_path):
     assert {r.label: r.accepted for r in step.report(2).collect()} == {"fraud": 30, "ok": 90}
     step(fraud(spark, 0, 0, 1), 3)
     assert {r.label: r.accepted for r in step.report(3).collect()} == {"fraud": 30, "ok": 90}
+
+
+def test_blocks_find_the_pairs_of_a_sum_place_by_place(spark, tmp_path, monkeypatch):
+    """Every pair within the radius, with the very sum, however rows and centers are cut into blocks."""
+    import numpy as np
+    from rtml.streaming import density
+    monkeypatch.setattr(density, "BLOCK", 40)
+    draw = np.random.default_rng(3)
+    x, c = draw.integers(-2, 3, (150, 5)) / 4, draw.integers(-2, 3, (90, 5)) / 4  # many at the radius itself
+    x[7], x[9, 2] = x[7] * 1e9, np.nan
+    step = density.DensityClusters(spark, str(tmp_path), "v", radius=0.75, dims=5)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "_row long, _x array<double>")
+    centers = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(c)], "mc long, center array<double>")
+    want = {}
+    for i, a in enumerate(x):
+        for j, b in enumerate(c):
+            d2 = 0.0
+            for p, q in zip(a.tolist(), b.tolist()):
+                d2 += (p - q) * (p - q)
+            if d2 <= 0.75 ** 2:
+                want[i, j] = d2
+    found = step.near(rows, centers).collect()
+    assert {(r._row, r.mc): r.d2 for r in found} == want and len(found) == len(want) > 1000
+    assert all(r._x == x[r._row].tolist() for r in found)
+    assert step.near(rows, centers.where("mc < 0")).count() == 0
