@@ -184,7 +184,7 @@ def _common_grams(repeats: DataFrame) -> Order:
     found = grams.where(F.col("b") >= total * COMMON_SHARE).toPandas()
     names = found["a"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(names)
-    levels = np.minimum(np.log2(np.maximum(found["b"].to_numpy(float), 1)), 62).astype(np.uint64)
+    levels = np.minimum(np.log2(np.maximum(found["b"].to_numpy(float), 1)), 31).astype(np.uint64)
     return Order(names[order], levels[order])
 
 
@@ -296,16 +296,35 @@ def _bounded(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(giving_back(check), "a long, b long")
 
 
+def _near(rows, percent, out):
+    """Members of a task for which its gram can be the first one that they share with a member of
+    another component they link with, given the gram's place (column 6) in each ordered set.
+
+    Of two sets only what follows their first shared gram can be shared, that gram included.
+    """
+    comp, n, at, side = (np.array([r[i] for r in rows], np.int64) for i in (4, 5, 6, 7))
+    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+    least = -(-percent * (n[left][:, None] + n[right][None, :]) // (100 + percent))
+    good = np.minimum((n - at)[left][:, None], (n - at)[right][None, :]) >= least
+    good &= comp[left][:, None] != comp[right][None, :]
+    found = {*left[good.any(1)].tolist(), *right[good.any(0)].tolist()}
+    out += [(rows[i][0], rows[i][3], rows[i][4], rows[i][5]) for i in found]
+
+
 def _mark(rows, percent, out):
     """Members of a task that may be linked to one of another component, each once.
 
-    The bound of ``_possible`` for all pairs of two blocks at once, from a product of 0/1 matrices.
-    Keys may be halves that members of one set share; each such clash can hide one shared member.
+    The bounds of ``_possible`` and ``_near`` for all pairs of two blocks at once, the former from a
+    product of 0/1 matrices. Keys may be halves that members of one set share; each such clash can
+    hide one shared member, and the gram's place is that of the first key with its half.
     """
     left = [r for r in rows if r[7] != 2]
     right = [r for r in rows if r[7] != 1]
     if not left or not right:
         return
+    half = np.uint32(rows[0][0] >> 32)
+    after = [np.array([r[5] - int(np.searchsorted(r[6], half, "left")) for r in side])
+             for side in (left, right)]
     sets = [r[6] for r in left] + [r[6] for r in right]
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     grams, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -332,6 +351,7 @@ def _mark(rows, percent, out):
         np.minimum(b, np.array([len(r[6]) for r in right])[None, :] - 1)
     least = -(-percent * (n[:, None] + m[None, :]) // (100 + percent))
     good = shared + np.minimum(n[:, None] - a, m[None, :] - b) >= least
+    good &= np.minimum(after[0][:, None], after[1][None, :]) >= least
     good &= np.array([r[4] for r in left])[:, None] != np.array([r[4] for r in right])[None, :]
     found = {left[i][3] for i in np.flatnonzero(good.any(1))} | \
         {right[i][3] for i in np.flatnonzero(good.any(0))}
@@ -369,15 +389,17 @@ def _run_tasks(tasks: DataFrame, work, percent: int, kind: str) -> DataFrame:
     names = [c.split()[0] for c in kind.split(", ")]
 
     def rows_of(out):
-        columns = list(zip(*out)) or [(), ()]
+        columns = list(zip(*out)) or [()] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     def run(batches):
         held, task = [], None
         for batch in batches:
-            out: list[tuple[int, int]] = []
+            out: list[tuple] = []
             plain = [batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 5)]
-            for row in zip(*plain, _lists(batch.column(6)), batch.column(7).to_pylist()):
+            seventh = batch.column(6)
+            seventh = _lists(seventh) if pa.types.is_list(seventh.type) else seventh.to_pylist()
+            for row in zip(*plain, seventh, batch.column(7).to_pylist()):
                 if task != row[:3]:
                     if held:
                         work(held, percent, out)
@@ -392,13 +414,17 @@ def _run_tasks(tasks: DataFrame, work, percent: int, kind: str) -> DataFrame:
     return tasks.mapInArrow(giving_back(run), kind)
 
 
-def _placed(tasks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of tasks (``gram``, ``i``, ``j``) with their sets, a task's rows one after the other."""
-    return tasks.join(sets, "id") \
-        .select("gram", "i", "j", "id", "comp", "n", "grams", F.col("side").cast("long")) \
+def _together(tasks: DataFrame, column: str) -> DataFrame:
+    """Rows of tasks (``gram``, ``i``, ``j``) with one more column, a task's rows one after the other."""
+    return tasks.select("gram", "i", "j", "id", "comp", "n", column, F.col("side").cast("long")) \
         .repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
 
 
+def _placed(tasks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of tasks with their sets."""
+    return _together(tasks.select("gram", "i", "j", "id", "comp", "side").join(sets, "id"), "grams")
+
+
 def _lead_tasks(pairs: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     """A task for each block of up to about ``block`` members ``a`` of a leader ``b``.
 
@@ -415,20 +441,23 @@ def _lead_tasks(pairs: DataFrame, sets: DataFrame, block: int) -> DataFrame:
                                                 F.col("id").alias("comp"), "side"), sets)
 
 
-def _tree_tasks(groups: DataFrame, sets: DataFrame, block: int, percent: int) -> DataFrame:
-    """Blocks of about ``block`` members of neighbouring set sizes, and a task for each pair of blocks
-    of a group that can hold a link between components.
+def _tree_tasks(groups: DataFrame, block: int, percent: int) -> DataFrame:
+    """``groups`` with ``i``, ``j`` and ``side``: blocks of about ``block`` members of neighbouring set
+    sizes, and a task for each pair of blocks of a group that can hold a link between components.
 
     A pair is left out where even the largest set of the one is too small for the smallest of the
     other, or where both blocks hold one and the same component. ``side`` is 1 and 2 for the two blocks,
-    3 where a block meets itself.
+    3 where a block meets itself. A group of up to ``block`` members is one block.
     """
+    columns, zero = [c for c in groups.columns if c != "m"], F.lit(0).cast("long")
+    small = groups.where(F.col("m") <= block) \
+        .select(*columns, zero.alias("i"), zero.alias("j"), F.lit(3).alias("side"))
+    large = groups.where(F.col("m") > block)
     smaller = Window.partitionBy("gram").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = groups.groupBy("gram", "n").agg(F.count(F.lit(1)).alias("c")) \
+    sizes = large.groupBy("gram", "n").agg(F.count(F.lit(1)).alias("c")) \
         .withColumn("before", F.coalesce(F.sum("c").over(smaller), F.lit(0)))
-    members = groups.join(sizes, ["gram", "n"]).select(
-        "gram", "m", "id", "comp", "n",
-        F.floor((F.col("before") + F.pmod(F.xxhash64("id"), "c")) / block).alias("blk"))
+    members = large.join(sizes, ["gram", "n"]).select(
+        "m", *columns, F.floor((F.col("before") + F.pmod(F.xxhash64("id"), "c")) / block).alias("blk"))
     spans = members.groupBy("gram", "blk").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("lo"),
         F.max("comp").alias("hi"), F.ceil(F.first("m") / block).alias("nb"))
@@ -442,18 +471,17 @@ def _tree_tasks(groups: DataFrame, sets: DataFrame, block: int, percent: int) ->
     ends = pairs.select("gram", "i", "j", F.col("i").alias("blk"),
                         F.when(F.col("i") == F.col("j"), 3).otherwise(1).alias("side")) \
         .union(pairs.where("i < j").select("gram", "i", "j", "j", F.lit(2)))
-    return _placed(members.join(ends, ["gram", "blk"])
-                   .select("gram", "i", "j", "id", "comp", "side"), sets)
+    return small.union(members.join(ends, ["gram", "blk"]).select(*columns, "i", "j", "side"))
 
 
 def _mixed(groups: DataFrame) -> DataFrame:
     """Groups (``gram``, ``id``, ``comp``, ``n``) that hold several components, with their size ``m``; of
-    groups of equal members one is enough."""
+    groups of equal members the one of the first gram is enough."""
     sized = groups.groupBy("gram").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
         F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s")).where("lo <> hi")
     once = sized.groupBy("m", "s").agg(F.min("gram").alias("gram"))
-    return groups.join(once.select("gram", "m"), "gram").select("gram", "m", "id", "comp", "n")
+    return groups.join(once.select("gram", "m"), "gram")
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -466,12 +494,15 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     1. equal sets are joined to their smallest id, by signature (salted join);
     2. each remaining set is put in one global order, grams that repeat inside tasks last, and its
        prefix is posted; linked sets share a posted gram;
-    3. in each group of one gram the members that the prefix bound lets link to the most shared one
-       are put in prefix trees, in blocks, and that member's whole set walks them, which joins groups
-       of copies without comparing them all;
-    4. groups that still hold several components are cut into blocks by set size, and every pair of
-       blocks whose sizes allow a link is looked at twice: the overlaps of the prefixes mark the members that can have a link to another
-       component at all, and a prefix tree over the whole sets of those finds the links.
+    3. in each group of one gram the members that the places of the gram and the prefix bound let link
+       to the most shared one are put in prefix trees, in blocks, and that member's whole set walks
+       them, which joins groups of copies without comparing them all;
+    4. groups whose other members still are in several components are cut into blocks by set size, and every pair of
+       blocks whose sizes allow a link is looked at: first by set sizes and places of the gram alone,
+       for linked sets meet in the group of their first shared gram too, so members that cannot share
+       enough from that place on are left out there; then the overlaps of the prefixes mark the
+       members that can have a link to another component at all, and a prefix tree over the whole
+       sets of those finds the links.
 
     Ids are longs; rows with a null id get a null component; rows that repeat an id are one document
     if their sets are equal, and are documents of their own, linked through the shared id, if not. Null, empty and blank
@@ -494,18 +525,20 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     left = rows.where("id IS NOT NULL") \
         .join(broadcast_checked(copies.select("id").distinct()), "id", "left_anti")
     heads = stored(_ordered_sets(left, order, k, percent, whole=False), "heads")
-    posted = heads.select(F.explode("grams").alias("gram"), "id", "n")
+    posted = heads.select(F.posexplode("grams").alias("at", "gram"), "id", "n")
     shared = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lo"),
                                         F.max("id").alias("hi")).where("lo <> hi").select("gram")
-    groups = stored(posted.join(shared, "gram").select("gram", "id", "n"), "groups")
+    groups = stored(posted.join(shared, "gram").select("gram", "id", "n", "at"), "groups")
     weight = groups.groupBy("id").agg((F.count(F.lit(1)) / F.first("n")).alias("w"))
     ranked = groups.join(weight, "id")
     leaders = ranked.groupBy("gram").agg(
-        F.max(F.struct("w", (-F.col("id")).alias("x"), "n")).alias("lead"))
-    pairs = ranked.join(leaders, "gram").select(
-        "id", "n", (-F.col("lead.x")).alias("lead"), F.col("lead.n").alias("ln")) \
-        .where((F.col("id") != F.col("lead")) &
-               (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))) \
+        F.max(F.struct("w", (-F.col("id")).alias("x"), "n", "at")).alias("lead"))
+    led = stored(ranked.join(leaders, "gram").select(
+        "gram", "id", "n", "at", (-F.col("lead.x")).alias("lead"), F.col("lead.n").alias("ln"),
+        F.col("lead.at").alias("lat")).where(F.col("id") != F.col("lead")), "led")
+    # all that two sets can share: what lies before their places of the gram, and from there on
+    most = F.least("at", "lat") + F.least(F.col("n") - F.col("at"), F.col("ln") - F.col("lat"))
+    pairs = led.where((100 + percent) * most >= percent * (F.col("n") + F.col("ln"))) \
         .select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
     short = heads.select("id", "n", "short")
     possible = stored(_bounded(pairs, short, percent), "possible")
@@ -519,15 +552,17 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: s
     linked = stored(_run_tasks(_lead_tasks(possible, whole_sets(members), BLOCK), _lead, percent,
                                "a long, b long"), "links")
     found = components(linked)
-    labelled = groups.join(found.withColumnRenamed("node", "id"), "id", "left") \
-        .select("gram", "id", F.coalesce("component", "id").alias("comp"), "n")
-    mixed = stored(_mixed(labelled), "mixed")
-    blocks = _tree_tasks(mixed, short.withColumnRenamed("short", "grams"), 8 * BLOCK,
-                         percent)
+    labelled = led.join(found.withColumnRenamed("node", "id"), "id", "left") \
+        .select("gram", "id", F.coalesce("component", "id").alias("comp"), "n",
+                F.col("at").cast("long"))
+    places = _together(_tree_tasks(_mixed(labelled), 8 * BLOCK, percent), "at")
+    near = _run_tasks(places, _near, percent, "gram long, id long, comp long, n long").distinct()
+    mixed = stored(_mixed(stored(near, "near")), "mixed")
+    blocks = _placed(_tree_tasks(mixed, 8 * BLOCK, percent), short.withColumnRenamed("short", "grams"))
     marked = stored(_run_tasks(blocks, _mark, percent, "gram long, id long").distinct(), "marked")
     rest = stored(_mixed(marked.join(mixed.select("gram", "id", "comp", "n"), ["gram", "id"])), "rest")
-    more = stored(_run_tasks(_tree_tasks(rest, whole_sets(rest.select("id")), BLOCK,
-                                         percent), _link, percent, "a long, b long"), "treelinks")
+    walks = _placed(_tree_tasks(rest, BLOCK, percent), whole_sets(rest.select("id")))
+    more = stored(_run_tasks(walks, _link, percent, "a long, b long"), "treelinks")
     edges = linked.union(more).union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     if versions is not None:
         edges = edges.union(versions.select("key", "id"))

@@ -261,6 +261,42 @@ def test_mark_counts_clashing_halves():
     assert sorted(out) == [(1, 1), (1, 2)]
 
 
+def test_sets_are_sent_for_possible_links_only(spark, monkeypatch):
+    """Members of a group that sizes and the gram's places keep from linking leave it before any set
+    is sent: here sets of very different sizes that share a passage."""
+    passage, kept, plain = " ".join(f"s{i}" for i in range(30)), {}, jaccard.stored
+    texts = {i: prose(i, 40 * 2 ** i, 10**6) + " " + passage for i in range(6)}
+    for i in range(10, 30, 2):    # groups of two, which their leader's pair decides
+        texts[i] = f"{prose(i, 60, 10**6)} {prose(i + 1, 60, 10**6)}"
+        texts[i + 1] = f"{prose(i, 60, 10**6)} {prose(i + 50, 60, 10**6)}"
+
+    def watched(df, label):
+        kept[label] = plain(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(jaccard, "stored", watched)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    assert by_id(jaccard.jaccard_components(df)) == brute.jaccard(texts)
+    assert kept["groups"].groupBy("gram").count().where("count > 1").count() > 0
+    assert kept["mixed"].count() == 0
+    assert kept["possible"].where("least(a, b) < 10").count() == 0
+
+
+def test_first_shared_gram_keeps_every_link():
+    """Every linked pair of sets is near in the group of the first gram that they share."""
+    draw, percent = np.random.default_rng(5), 85
+    for _ in range(300):
+        base = np.unique(draw.integers(0, 2**40, 100))
+        x, y = (np.union1d(base[draw.random(len(base)) > draw.uniform(0, 0.2)],
+                           draw.integers(0, 2**40, draw.integers(0, 20))) for _ in range(2))
+        both, out = np.intersect1d(x, y), []
+        for gram in both[:1].tolist():
+            jaccard._near([(gram, 0, 0, i, i, len(s), int(np.searchsorted(s, gram)), 3)
+                           for i, s in enumerate((x, y))], percent, out)
+        linked = 100 * len(both) >= percent * len(np.union1d(x, y))
+        assert not linked or sorted(r[1] for r in out) == [0, 1]
+
+
 def test_tree_finds_every_link():
     draw = np.random.default_rng(4)
     sets = {}
