@@ -1,13 +1,17 @@
-"""Hashed maximum-entropy language model: n-gram and skip features, class-factored softmax.
+"""Hashed maximum-entropy language model: n-gram and skip features, factored by trees of classes.
 
 A word is predicted as P(class | history) * P(word | class, history). All words of the vocabulary's
-head form about as many classes as a class has words, both scored by weights that hashed history
-features select, so the work per token follows the root of their number. All other words fall into
-static classes by their shape, where a word has its smoothed corpus count.
+head form about as many classes as a class has words. The classes, and the words of each class, are
+the leaves of binary trees; each branching is a two-way maximum-entropy decision by weights that hashed
+history features select, on top of the corpus shares of its two sides. So the work per token follows
+the logarithm of the number of words. All other words fall into static classes by their shape, where a
+word has its smoothed corpus count.
 """
 
 from __future__ import annotations
 
+import copy
+import heapq
 import math
 from collections import Counter
 from itertools import chain
@@ -20,11 +24,13 @@ from xxhash import xxh3_64_intdigest
 
 from rtml.llm.common import prepare, stored
 from rtml.llm.words import spaced_words
+from rtml.session import plan_bytes
 
 #: Classes and words of a class, at least.
 CLASSES, WIDTH = 32, 32
 SHAPES = 6
-BUCKETS = 1 << 14
+#: Weights per class and kind of decision (between classes, between the words of a class), at least.
+BUCKETS = 1 << 13
 FEATURES = 3
 #: The end of a text as a token; no word holds white space.
 END = b"\n"
@@ -33,10 +39,10 @@ END = b"\n"
 HEAD_SHARE = 2.0 ** -18
 ALPHA = 0.1
 _BATCH = 8192
-_RATE = 0.15
+_RATE = 0.18
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
-_S = np.uint64(64 - BUCKETS.bit_length() + 1)
+_S = np.uint64(40)
 
 
 def shape_of(word: bytes) -> int:
@@ -109,11 +115,12 @@ class Lookup(dict):
 
 
 def _bucket(x: np.ndarray) -> np.ndarray:
+    """24 well mixed bits."""
     x = x * _A
     x ^= x >> np.uint64(29)
     x *= _B
     x >>= _S
-    return x
+    return x.astype(np.int32)
 
 
 def history(names: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
@@ -127,76 +134,120 @@ def history(names: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
             two * np.uint64(7) + np.uint64(3)]
 
 
+def tree_paths(masses: np.ndarray) -> list[list[tuple[int, int, float]]]:
+    """For each leaf of a Huffman tree over ``masses`` its branchings from the root: number of the
+    branching, side taken (1 or -1) and log of the mass of that branching's 1 side over its -1 side."""
+    heap = [(float(m), i, None) for i, m in enumerate(masses)]
+    heapq.heapify(heap)
+    paths: list = [[] for _ in masses]
+    for name in range(len(masses), 2 * len(masses) - 1):
+        one, other = heapq.heappop(heap), heapq.heappop(heap)
+        heapq.heappush(heap, (one[0] + other[0], name, (one, other)))
+    stack = [(heap[0], [])] if heap else []
+    while stack:
+        (_, name, below), path = stack.pop()
+        if below is None:
+            paths[name] = path
+            continue
+        log, node = math.log(below[0][0] / below[1][0]), name - len(masses)
+        stack += [(below[0], [*path, (node, 1, log)]), (below[1], [*path, (node, -1, log)])]
+    return paths
+
+
+class Paths:
+    """Branchings of many leaves, one after the other: ``first`` and ``count`` by leaf; hash of the
+    branching, side and log ratio by place."""
+
+    def __init__(self, trees: list[np.ndarray]):
+        self.width = max(map(len, trees), default=0)
+        self.first = np.zeros(len(trees) * self.width, np.int64)
+        self.count = np.zeros(len(trees) * self.width, np.int64)
+        names, sides, logs = [], [], []
+        for t, masses in enumerate(trees):
+            for leaf, path in enumerate(tree_paths(masses)):
+                self.first[t * self.width + leaf] = len(names)
+                self.count[t * self.width + leaf] = len(path)
+                for node, side, log in path:
+                    names.append(t * self.width + node + 1)
+                    sides.append(side)
+                    logs.append(log)
+        self.names = _bucket(np.array(names, np.uint64))
+        self.sides, self.logs = np.array(sides, np.int8), np.array(logs, np.float32)
+
+    def of(self, leaves: np.ndarray):
+        """Places of all branchings of ``leaves``, and where those of each leaf start and how many."""
+        n = self.count[leaves]
+        starts = np.cumsum(n) - n
+        return np.repeat(self.first[leaves] - starts, n) + np.arange(int(n.sum())), starts, n
+
+
 class Model:
-    """Weights: per feature bucket a row over all classes, and one over the words of a class."""
+    """Weights by hash of history feature and branching: between classes, and inside the classes."""
 
     def __init__(self, vocabulary: Vocabulary):
         v = vocabulary
-        self.w1 = np.zeros((BUCKETS, v.classes + SHAPES), np.float32)
-        self.w2 = np.zeros((BUCKETS, v.width), np.float32)
+        size = min(1 << (BUCKETS * v.classes - 1).bit_length(), 1 << 24)
+        self.w1, self.w2 = np.zeros(size, np.float32), np.zeros(size, np.float32)
         mass = np.full(v.classes + SHAPES, 1e-3)
-        inner = np.full((v.classes, v.width), -1e4, np.float32)
+        words = [[] for _ in range(v.classes)]
         for i in range(v.modelled):
             mass[i % v.classes] += v.counts[i] + ALPHA
-            inner[i % v.classes, i // v.classes] = math.log(v.counts[i] + ALPHA)
+            words[i % v.classes].append(v.counts[i] + ALPHA)
         mass[v.classes:] += v.static
-        self.bias = np.log(mass / mass.sum()).astype(np.float32)
-        self.inner = inner
-
-    def classes(self, rows):
-        """Scores of all classes, their exponentials and the sums of these."""
-        return _scores(self.w1, rows, self.bias)
-
-    def words(self, feats, labels):
-        """Buckets, and as ``classes`` for the words of each token's class."""
-        salt = labels.astype(np.uint64) * _A
-        rows = [_bucket(f ^ salt) for f in feats]
-        return rows, _scores(self.w2, rows, self.inner[labels])
-
-
-def _scores(weights, rows, start):
-    z = weights[rows[0]]
-    for r in rows[1:]:
-        z += weights[r]
-    z += start
-    np.minimum(z, 60, out=z)
-    e = np.exp(z)
-    return z, e, e @ np.ones(e.shape[1], e.dtype)
-
-
-def _descend(weights, squares, rows, error):
-    """Adaptive step on the touched rows; equal rows are summed first."""
-    flat = np.concatenate(rows).astype(np.uint16)
-    order = np.argsort(flat, kind="stable")
+        self.classes, self.words = Paths([mass]), Paths([np.array(w) for w in words])
+
+
+def _decisions(weights, paths: Paths, feats, leaves):
+    """Rows of weights per branching, and the score of the side taken."""
+    at, starts, n = paths.of(leaves)
+    names, sides = paths.names[at], paths.sides[at]
+    last = np.int32(len(weights) - 1)
+    rows = [(np.repeat(_bucket(f), n) ^ names) & last for f in feats]
+    z = paths.logs[at]
+    for r in rows:
+        z = z + weights[r]
+    z *= sides
+    np.clip(z, -60, 60, out=z)
+    return rows, z, sides, starts, n
+
+
+def _descend(weights, squares, paths, feats, leaves) -> None:
+    """Adaptive step on the touched weights; the gradients of equal ones are summed first."""
+    rows, z, sides, _, _ = _decisions(weights, paths, feats, leaves)
+    if not len(z):
+        return
+    error = -sides / (1 + np.exp(z))
+    flat = np.concatenate(rows)
+    order = np.argsort(flat)
     keys = flat[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    grad = np.add.reduceat(error[order % len(error)], first, axis=0)
-    keys = keys[first].astype(np.int64)
-    squares[keys] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
-    weights[keys] -= (_RATE / np.sqrt(squares[keys] + 1e-3))[:, None] * grad
+    grad = np.add.reduceat(np.concatenate([error] * len(rows))[order], first)
+    keys = keys[first]
+    squares[keys] += grad * grad
+    weights[keys] -= _RATE / np.sqrt(squares[keys] + np.float32(1e-3)) * grad
 
 
 def train_on(model: Model, squares, feats, labels, slots) -> None:
-    rows = [_bucket(f) for f in feats]
-    _, error, total = model.classes(rows)
-    error /= total[:, None]
-    error[np.arange(len(labels)), labels] -= 1
-    _descend(model.w1, squares[0], rows, error)
+    _descend(model.w1, squares[0], model.classes, feats, labels)
     own = np.flatnonzero(slots >= 0)
     if len(own):
-        rows, (_, error, total) = model.words([f[own] for f in feats], labels[own])
-        error /= total[:, None]
-        error[np.arange(len(own)), slots[own]] -= 1
-        _descend(model.w2, squares[1], rows, error)
+        _descend(model.w2, squares[1], model.words, [f[own] for f in feats],
+                 labels[own] * model.words.width + slots[own])
+
+
+def _log_leaves(weights, paths, feats, leaves) -> np.ndarray:
+    """Natural log of the probability of each leaf."""
+    _, z, _, starts, n = _decisions(weights, paths, feats, leaves)
+    sums = np.concatenate([[0.0], np.cumsum(-np.log1p(np.exp(-z)), dtype=float)])
+    return sums[starts + n] - sums[starts]
 
 
 def log_probabilities(model: Model, feats, labels, slots) -> np.ndarray:
     """Natural log of P(class | history), times P(word | class, history) for modelled words."""
-    z, _, total = model.classes([_bucket(f) for f in feats])
-    out = z[np.arange(len(labels)), labels].astype(float) - np.log(total)
+    out = _log_leaves(model.w1, model.classes, feats, labels)
     own = np.flatnonzero(slots >= 0)
-    _, (z, _, total) = model.words([f[own] for f in feats], labels[own])
-    out[own] += z[np.arange(len(own)), slots[own]] - np.log(total)
+    out[own] += _log_leaves(model.w2, model.words, [f[own] for f in feats],
+                            labels[own] * model.words.width + slots[own])
     return out
 
 
@@ -257,20 +308,24 @@ def gather_vocabulary(counts: DataFrame) -> Vocabulary:
 
 def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> Model:
     """Distributed gradient updates: in each round, every task takes adaptive gradient steps from the
-    shared weights over its texts, and the changes are averaged by tokens in a tree. A round reads
-    the texts whose key hash falls to it, so together the rounds read every text once."""
+    shared weights over its texts, and the changes are averaged by tokens, slice by slice. A round reads
+    the texts whose key hash falls to it, so together the rounds read every text once. Tasks send their
+    changes in two bytes a weight; beyond one task per core there are only so many tasks that all
+    changes are half the size of the texts."""
     spark = rows.sparkSession
     model = Model(vocabulary)
-    cuts = 16
+    cuts, edge = 16, model.w1.size
+    tasks = max(spark.sparkContext.defaultParallelism,
+                min(plan_bytes(rows) // (2 * rounds * 2 * 2 * edge), 1 << 20))
 
     for r in range(rounds):
         shared = spark.sparkContext.broadcast((model, vocabulary))
 
         def fit(batches, shared=shared):
             base, vocab = shared.value
-            own = Model(vocab)
-            own.w1[:], own.w2[:] = base.w1, base.w2
-            squares = [np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)]
+            own = copy.copy(base)
+            own.w1, own.w2 = base.w1.copy(), base.w2.copy()
+            squares = [np.zeros_like(base.w1), np.zeros_like(base.w2)]
             lookup, seen = Lookup(vocab), 0
             for batch in batches:
                 texts = batch.column(0).cast(pa.binary()).to_pylist()
@@ -284,38 +339,37 @@ def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> Model:
                     train_on(own, squares, [f[a:a + _BATCH] for f in feats], label[at], slot[at])
                 seen += len(places)
             if seen:
-                change = np.concatenate([(own.w1 - base.w1).ravel(), (own.w2 - base.w2).ravel()])
-                pieces = np.array_split(change * np.float32(seen), cuts)
+                pieces = np.array_split(np.concatenate([own.w1 - base.w1, own.w2 - base.w2]), cuts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(cuts), pa.int32()), pa.array([seen] * cuts, pa.int64()),
-                     pa.array([p.astype("<f4").tobytes() for p in pieces], pa.binary())],
+                     pa.array([p.astype("<f2").tobytes() for p in pieces], pa.binary())],
                     names=["cut", "seen", "change"])
 
         def add(batches):
             held: dict[int, list] = {}
             for batch in batches:
                 for cut, seen, raw in zip(*[c.to_pylist() for c in batch.columns]):
-                    value = np.frombuffer(raw, "<f4")
+                    value = np.frombuffer(raw, "<f2").astype("<f4") * np.float32(seen)
                     if cut in held:
                         held[cut][0] += seen
                         held[cut][1] += value
                     else:
-                        held[cut] = [seen, value.copy()]
+                        held[cut] = [seen, value]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(held), pa.int32()), pa.array([x[0] for x in held.values()], pa.int64()),
                  pa.array([x[1].tobytes() for x in held.values()], pa.binary())],
                 names=["cut", "seen", "change"])
 
         kind = "cut int, seen long, change binary"
-        part = rows.where(F.pmod(F.col("turn"), F.lit(rounds)) == r).select("text")
+        part = rows.where(F.pmod(F.col("turn"), F.lit(rounds)) == r).select("text").coalesce(tasks)
         changes = part.mapInArrow(fit, kind).repartition(cuts, "cut").mapInArrow(add, kind).collect()
         if changes:
             seen = changes[0].seen
             total = np.concatenate([np.frombuffer(bytes(c.change), "<f4")
                                     for c in sorted(changes, key=lambda c: c.cut)]) / seen
-            edge = model.w1.size
-            model.w1 += total[:edge].reshape(model.w1.shape)
-            model.w2 += total[edge:].reshape(model.w2.shape)
+            model.w1 += total[:edge]
+            model.w2 += total[edge:]
+        shared.destroy()
     return model
 
 

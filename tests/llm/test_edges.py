@@ -184,6 +184,21 @@ def test_lm_models_every_head_word(spark):
     assert before[51] < -7 and after[51] > -1
 
 
+def test_lm_work_follows_the_logarithm(spark):
+    """Few branchings lead to a word; before training they give each word its share of the corpus."""
+    words = [(f"w{i}".encode(), 10**6 // (i + 3)) for i in range(4000)]
+    vocab = langmodel.gather_vocabulary(spark.createDataFrame(words, "word binary, c long"))
+    model, lookup = langmodel.Model(vocab), langmodel.Lookup(vocab)
+    places = np.array([lookup[w] for w, _ in words])
+    label, slot = (c[places] for c in lookup.tables()[:2])
+    steps = model.classes.count[label] + model.words.count[label * model.words.width + slot]
+    shares = np.array([c for _, c in words]) / vocab.tokens
+    assert vocab.modelled == 4000 and (steps * shares).sum() < 2 * np.log2(4000)
+    feats = langmodel.history(places.astype(np.uint64), np.array([0]))
+    logp = langmodel.log_probabilities(model, feats, label, slot)
+    assert np.abs(logp - np.log(shares)).max() < 0.01
+
+
 def test_jaccard(spark, docs, empty):
     assert by_id(jaccard.jaccard_components(docs)) == brute.jaccard(TEXTS)
     assert jaccard.jaccard_components(empty).count() == 0
