@@ -24,7 +24,6 @@ from xxhash import xxh3_64_intdigest
 
 from rtml.llm.common import prepare, stored
 from rtml.llm.words import spaced_words
-from rtml.session import plan_bytes
 
 #: Classes and words of a class, at least.
 CLASSES, WIDTH = 32, 32
@@ -188,6 +187,7 @@ class Model:
         v = vocabulary
         size = min(1 << (BUCKETS * v.classes - 1).bit_length(), 1 << 24)
         self.w1, self.w2 = np.zeros(size, np.float32), np.zeros(size, np.float32)
+        self._sums: np.ndarray | None = None
         mass = np.full(v.classes + SHAPES, 1e-3)
         words = [[] for _ in range(v.classes)]
         for i in range(v.modelled):
@@ -196,6 +196,13 @@ class Model:
         mass[v.classes:] += v.static
         self.classes, self.words = Paths([mass]), Paths([np.array(w) for w in words])
 
+    @property
+    def sums(self) -> np.ndarray:
+        """Zeros, as many as weights of a kind; made where training happens."""
+        if self._sums is None:
+            self._sums = np.zeros_like(self.w1)
+        return self._sums
+
 
 def _decisions(weights, paths: Paths, feats, leaves):
     """Rows of weights per branching, and the score of the side taken."""
@@ -211,27 +218,29 @@ def _decisions(weights, paths: Paths, feats, leaves):
     return rows, z, sides, starts, n
 
 
-def _descend(weights, squares, paths, feats, leaves) -> None:
-    """Adaptive step on the touched weights; the gradients of equal ones are summed first."""
+def _descend(weights, squares, sums, paths, feats, leaves) -> None:
+    """Adaptive step on the touched weights; the gradients of equal ones are summed first, in ``sums``,
+    which is all zeros before and after."""
     rows, z, sides, _, _ = _decisions(weights, paths, feats, leaves)
     if not len(z):
         return
     error = -sides / (1 + np.exp(z))
+    for r in rows:
+        np.add.at(sums, r, error)
     flat = np.concatenate(rows)
-    order = np.argsort(flat)
-    keys = flat[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    grad = np.add.reduceat(np.concatenate([error] * len(rows))[order], first)
-    keys = keys[first]
-    squares[keys] += grad * grad
-    weights[keys] -= _RATE / np.sqrt(squares[keys] + np.float32(1e-3)) * grad
+    grad = sums[flat]
+    sums[flat] = 0
+    # equal rows read and write the same values
+    square = squares[flat] + grad * grad
+    weight = weights[flat] - _RATE / np.sqrt(square + np.float32(1e-3)) * grad
+    squares[flat], weights[flat] = square, weight
 
 
 def train_on(model: Model, squares, feats, labels, slots) -> None:
-    _descend(model.w1, squares[0], model.classes, feats, labels)
+    _descend(model.w1, squares[0], model.sums, model.classes, feats, labels)
     own = np.flatnonzero(slots >= 0)
     if len(own):
-        _descend(model.w2, squares[1], model.words, [f[own] for f in feats],
+        _descend(model.w2, squares[1], model.sums, model.words, [f[own] for f in feats],
                  labels[own] * model.words.width + slots[own])
 
 
@@ -311,12 +320,13 @@ def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> Model:
     shared weights over its texts, and the changes are averaged by tokens, slice by slice. A round reads
     the texts whose key hash falls to it, so together the rounds read every text once. Tasks send their
     changes in two bytes a weight; beyond one task per core there are only so many tasks that all
-    changes are half the size of the texts."""
+    changes are half the size of full splits of the texts."""
     spark = rows.sparkSession
     model = Model(vocabulary)
     cuts, edge = 16, model.w1.size
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     tasks = max(spark.sparkContext.defaultParallelism,
-                min(plan_bytes(rows) // (2 * rounds * 2 * 2 * edge), 1 << 20))
+                rows.rdd.getNumPartitions() * split // (2 * rounds * 2 * 2 * edge))
 
     for r in range(rounds):
         shared = spark.sparkContext.broadcast((model, vocabulary))
