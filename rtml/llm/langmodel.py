@@ -14,16 +14,15 @@ import copy
 import heapq
 import math
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
 from rtml.llm.common import prepare, stored
-from rtml.llm.words import spaced_words
 
 #: Classes and words of a class, at least.
 CLASSES, WIDTH = 32, 32
@@ -37,7 +36,8 @@ END = b"\n"
 #: 1 / HEAD_SHARE words are.
 HEAD_SHARE = 2.0 ** -18
 ALPHA = 0.1
-_BATCH = 8192
+#: Tokens whose branchings are worked at once, and weights; both keep to a processor's cache.
+_BATCH, _BLOCK = 8192, 1 << 15
 _RATE = 0.18
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -56,6 +56,18 @@ _SHAPE_SQL = """(CASE WHEN hex(word) RLIKE '2C$' THEN 1
     + (CASE WHEN hex(word) RLIKE '^(..)*[89A-F]' THEN 3 ELSE 0 END)"""
 
 
+_MARKS = np.array([1 if c == 44 else 2 if c in b".!?;:" else 0 for c in range(256)])
+
+
+def shapes_of(words: pa.Array) -> np.ndarray:
+    """``shape_of`` of each word; none is empty."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+    raw = np.frombuffer(words.buffers()[2], np.uint8)[:ends[-1]]
+    return _MARKS[raw[ends[1:] - 1]] + 3 * (np.maximum.reduceat(raw, ends[:-1]) > 127)
+
+
 class Vocabulary:
     """Head words in order of falling count, their counts, and totals of the rest by shape."""
 
@@ -69,48 +81,37 @@ class Vocabulary:
 
 
 class Lookup(dict):
-    """Word to a row of small per-word tables, remembered up to a number of words."""
+    """Columns of words; as a dict it numbers the words asked for, and ``tables`` has their columns."""
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         v = self.vocabulary = vocabulary
         self.head = {w: i for i, w in enumerate(v.words)}
-        self.limit = limit
-        self.logs = [math.log10(c + ALPHA) for c in v.counts]
-        self.masses = [math.log10(m) for m in v.static]
+        # the last one, at -1, is of words outside the head
+        self.logs = np.log10(np.array([*v.counts, 1 - ALPHA]) + ALPHA)
+        self.masses = np.log10(v.static)
         self.norm = math.log10(max(v.tokens, 0) + ALPHA * (v.distinct + 1))
-        self._fresh()
-
-    def _fresh(self):
-        self.clear()
-        self.rows, self.size = [], 0
-        self.columns = [np.zeros(1024, t) for t in (np.int64, np.int64, np.uint64, float, float,
-                                                    np.int64)]
 
     def __missing__(self, word: bytes) -> int:
-        at = self.head.get(word, -1)
-        if 0 <= at < self.vocabulary.modelled:
-            slot, label = divmod(at, self.vocabulary.classes)
-            logc, static = self.logs[at], 0.0
-        else:
-            shape = shape_of(word)
-            label, slot, logc = self.vocabulary.classes + shape, -1, self.logs[at] if at >= 0 else 0.0
-            static = logc - self.masses[shape]
-        place = self[word] = self.size + len(self.rows)
-        self.rows.append((label, slot, xxh3_64_intdigest(word), logc, static, at))
+        place = self[word] = len(self)
         return place
 
     def tables(self):
-        """Columns of all rows so far; only new rows are converted."""
-        if self.rows:
-            end = self.size + len(self.rows)
-            if end > len(self.columns[0]):
-                self.columns = [np.concatenate([c[:self.size], np.zeros(2 * end - self.size, c.dtype)])
-                                for c in self.columns]
-            for column, new in zip(self.columns, zip(*self.rows)):
-                column[self.size:end] = new
-            self.rows, self.size = [], end
-        return self.columns
+        return self.of(pa.array(list(self), pa.binary()))
+
+    def of(self, words: pa.Array):
+        """Class, slot there (-1: a shape class), hash, log of the count in the head (0: none), log of the
+        share in the shape class (0: a class of the model) and place in the head (-1: none)."""
+        n, classes = len(words), self.vocabulary.classes
+        values = words.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter((self.head.get(w, -1) for w in values), np.int64, n)
+        slot, label = np.divmod(at, classes)
+        logc, static = self.logs[at], np.zeros(n)
+        rest = np.flatnonzero((at < 0) | (at >= self.vocabulary.modelled))
+        shape = shapes_of(words.take(pa.array(rest)))
+        label[rest], slot[rest] = classes + shape, -1
+        static[rest] = logc[rest] - self.masses[shape]
+        return label, slot, np.fromiter(map(xxh3_64_intdigest, values), np.uint64, n), logc, static, at
 
 
 def _bucket(x: np.ndarray) -> np.ndarray:
@@ -119,7 +120,7 @@ def _bucket(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(29)
     x *= _B
     x >>= _S
-    return x.astype(np.int32)
+    return x.astype(np.int64)
 
 
 def history(names: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
@@ -129,55 +130,63 @@ def history(names: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     one[starts] = two[starts] = np.uint64(1)
     after = starts + 1
     two[after[after < len(names)]] = np.uint64(1)
-    return [one * np.uint64(3) + np.uint64(1), (one ^ (two * _B)) * np.uint64(5) + np.uint64(2),
-            two * np.uint64(7) + np.uint64(3)]
+    return [_bucket(one * np.uint64(3) + np.uint64(1)),
+            _bucket((one ^ (two * _B)) * np.uint64(5) + np.uint64(2)),
+            _bucket(two * np.uint64(7) + np.uint64(3))]
 
 
-def tree_paths(masses: np.ndarray) -> list[list[tuple[int, int, float]]]:
-    """For each leaf of a Huffman tree over ``masses`` its branchings from the root: number of the
-    branching, side taken (1 or -1) and log of the mass of that branching's 1 side over its -1 side."""
+def tree_paths(masses: np.ndarray) -> list[list[tuple[int, int, int, float]]]:
+    """For each leaf of a Huffman tree over ``masses`` its branchings from the root: the branching's block
+    of four levels, its place there (1 to 15), side taken (1 or -1) and log of the mass of its 1 side over
+    its -1 side."""
     heap = [(float(m), i, None) for i, m in enumerate(masses)]
     heapq.heapify(heap)
     paths: list = [[] for _ in masses]
     for name in range(len(masses), 2 * len(masses) - 1):
         one, other = heapq.heappop(heap), heapq.heappop(heap)
         heapq.heappush(heap, (one[0] + other[0], name, (one, other)))
-    stack = [(heap[0], [])] if heap else []
+    stack = [(heap[0], [], 0, 1)] if heap else []
     while stack:
-        (_, name, below), path = stack.pop()
+        (_, name, below), path, block, at = stack.pop()
         if below is None:
             paths[name] = path
             continue
-        log, node = math.log(below[0][0] / below[1][0]), name - len(masses)
-        stack += [(below[0], [*path, (node, 1, log)]), (below[1], [*path, (node, -1, log)])]
+        log = math.log(below[0][0] / below[1][0])
+        if len(path) % 4 == 0:
+            block, at = name - len(masses), 1
+        stack += [(below[0], [*path, (block, at, 1, log)], block, 2 * at),
+                  (below[1], [*path, (block, at, -1, log)], block, 2 * at + 1)]
     return paths
 
 
 class Paths:
     """Branchings of many leaves, one after the other: ``first`` and ``count`` by leaf; hash of the
-    branching, side and log ratio by place."""
+    branching, side and log ratio by place. Hashes of a block differ in four bits only, so that the
+    weights of one feature there lie side by side."""
 
-    def __init__(self, trees: list[np.ndarray]):
+    def __init__(self, trees: list[np.ndarray], size: int):
         self.width = max(map(len, trees), default=0)
         self.first = np.zeros(len(trees) * self.width, np.int64)
         self.count = np.zeros(len(trees) * self.width, np.int64)
-        names, sides, logs = [], [], []
+        blocks, places, sides, logs = [], [], [], []
         for t, masses in enumerate(trees):
             for leaf, path in enumerate(tree_paths(masses)):
-                self.first[t * self.width + leaf] = len(names)
+                self.first[t * self.width + leaf] = len(blocks)
                 self.count[t * self.width + leaf] = len(path)
-                for node, side, log in path:
-                    names.append(t * self.width + node + 1)
+                for block, at, side, log in path:
+                    blocks.append(t * self.width + block + 1)
+                    places.append(at)
                     sides.append(side)
                     logs.append(log)
-        self.names = _bucket(np.array(names, np.uint64))
-        self.sides, self.logs = np.array(sides, np.int8), np.array(logs, np.float32)
+        self.names = (_bucket(np.array(blocks, np.uint64)) << 4 | np.array(places, np.int64)) & (size - 1)
+        self.sides, self.logs = np.array(sides, np.float32), np.array(logs, np.float32)
 
     def of(self, leaves: np.ndarray):
-        """Places of all branchings of ``leaves``, and where those of each leaf start and how many."""
+        """Places of all branchings of ``leaves``, whose leaf each is of, and where those of a leaf end."""
         n = self.count[leaves]
-        starts = np.cumsum(n) - n
-        return np.repeat(self.first[leaves] - starts, n) + np.arange(int(n.sum())), starts, n
+        ends = np.cumsum(n)
+        own = np.repeat(np.arange(len(leaves)), n)
+        return (self.first[leaves] - ends + n)[own] + np.arange(len(own)), own, ends
 
 
 class Model:
@@ -194,7 +203,7 @@ class Model:
             mass[i % v.classes] += v.counts[i] + ALPHA
             words[i % v.classes].append(v.counts[i] + ALPHA)
         mass[v.classes:] += v.static
-        self.classes, self.words = Paths([mass]), Paths([np.array(w) for w in words])
+        self.classes, self.words = Paths([mass], size), Paths([np.array(w) for w in words], size)
 
     @property
     def sums(self) -> np.ndarray:
@@ -205,35 +214,42 @@ class Model:
 
 
 def _decisions(weights, paths: Paths, feats, leaves):
-    """Rows of weights per branching, and the score of the side taken."""
-    at, starts, n = paths.of(leaves)
-    names, sides = paths.names[at], paths.sides[at]
-    last = np.int32(len(weights) - 1)
-    rows = [(np.repeat(_bucket(f), n) ^ names) & last for f in feats]
-    z = paths.logs[at]
-    for r in rows:
-        z = z + weights[r]
+    """Rows of weights per branching, the score of the side taken, that side, and where leaves end."""
+    at, own, ends = paths.of(leaves)
+    names, sides, z = paths.names[at], paths.sides[at], paths.logs[at]
+    rows = []
+    for f in feats:
+        row = (f & (len(weights) - 1))[own]
+        row ^= names
+        z += weights[row]
+        rows.append(row)
     z *= sides
     np.clip(z, -60, 60, out=z)
-    return rows, z, sides, starts, n
+    return rows, z, sides, ends
 
 
 def _descend(weights, squares, sums, paths, feats, leaves) -> None:
     """Adaptive step on the touched weights; the gradients of equal ones are summed first, in ``sums``,
-    which is all zeros before and after."""
-    rows, z, sides, _, _ = _decisions(weights, paths, feats, leaves)
-    if not len(z):
-        return
-    error = -sides / (1 + np.exp(z))
-    for r in rows:
-        np.add.at(sums, r, error)
-    flat = np.concatenate(rows)
-    grad = sums[flat]
-    sums[flat] = 0
-    # equal rows read and write the same values
-    square = squares[flat] + grad * grad
-    weight = weights[flat] - _RATE / np.sqrt(square + np.float32(1e-3)) * grad
-    squares[flat], weights[flat] = square, weight
+    which is all zeros before and after. The step walks all weights in order (an untouched one stays):
+    for many tokens that costs less than to pick the touched ones."""
+    for a in range(0, len(leaves), _BATCH):
+        rows, z, sides, _ = _decisions(weights, paths, [f[a:a + _BATCH] for f in feats],
+                                       leaves[a:a + _BATCH])
+        error = sides / (-1 - np.exp(z, out=z))
+        for row in rows:
+            np.add.at(sums, row, error)
+    for a in range(0, len(sums), _BLOCK):
+        grad, square, weight = (x[a:a + _BLOCK] for x in (sums, squares, weights))
+        square += grad * grad
+        grad /= np.sqrt(square + np.float32(1e-3))
+        grad *= np.float32(_RATE)
+        weight -= grad
+        grad[:] = 0
+
+
+def step_tokens(seen: int, weights: int) -> int:
+    """Tokens of the next step: few at first, then a sixteenth of those seen, up to one per 16 weights."""
+    return min(max(seen // 16, _BATCH // 4), max(weights // 16, _BATCH))
 
 
 def train_on(model: Model, squares, feats, labels, slots) -> None:
@@ -246,9 +262,11 @@ def train_on(model: Model, squares, feats, labels, slots) -> None:
 
 def _log_leaves(weights, paths, feats, leaves) -> np.ndarray:
     """Natural log of the probability of each leaf."""
-    _, z, _, starts, n = _decisions(weights, paths, feats, leaves)
-    sums = np.concatenate([[0.0], np.cumsum(-np.log1p(np.exp(-z)), dtype=float)])
-    return sums[starts + n] - sums[starts]
+    _, z, _, ends = _decisions(weights, paths, feats, leaves)
+    np.exp(np.negative(z, out=z), out=z)
+    z += 1
+    sums = np.cumsum(np.log(z, out=z), dtype=float)
+    return np.diff(np.concatenate([[0.0], sums])[ends], prepend=0.0) * -1
 
 
 def log_probabilities(model: Model, feats, labels, slots) -> np.ndarray:
@@ -260,17 +278,20 @@ def log_probabilities(model: Model, feats, labels, slots) -> np.ndarray:
     return out
 
 
-def _tokens(lookup: Lookup, texts):
-    """Concatenated token places of a batch, and where each text starts."""
-    if len(lookup) >= lookup.limit:
-        lookup._fresh()
-    lists = [spaced_words(t) for t in texts]
-    starts = np.zeros(len(lists) + 1, np.int64)
-    np.cumsum([len(x) + 1 for x in lists], out=starts[1:])
-    for x in lists:
-        x.append(END)
-    words = list(chain.from_iterable(lists))
-    return words, np.fromiter(map(lookup.__getitem__, words), np.int64, len(words)), starts
+def _tokens(texts: pa.Array):
+    """Distinct words (A-Z lowered, split at ASCII white space) and end of a batch's texts, the number of
+    each token among them, and where each text starts."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words = lists.flatten()
+    ends = np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(), dtype=np.int64)
+    full = pc.binary_length(words).to_numpy() > 0
+    if not full.all():    # white space at the edges of a text leaves empty words
+        words = words.filter(pa.array(full))
+        ends = np.concatenate([[0], np.cumsum(full)])[ends]
+    coded = words.dictionary_encode()
+    distinct = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END])])
+    places = np.insert(coded.indices.to_numpy(), ends, len(distinct) - 1)
+    return distinct, places, np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -284,10 +305,9 @@ def count_words(rows: DataFrame) -> DataFrame:
                 names=["word", "c"])
 
         for batch in batches:
-            texts = batch.column(0).cast(pa.binary()).to_pylist()
-            for text in texts:
-                held.update(spaced_words(text))
-            held[END] += len(texts)
+            words, places, _ = _tokens(batch.column(0))
+            values = words.to_numpy(zero_copy_only=False).tolist()
+            held.update(dict(zip(values, np.bincount(places, minlength=len(values)).tolist())))
             if len(held) > 300_000:
                 yield flush()
                 held.clear()
@@ -338,15 +358,14 @@ def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> Model:
             squares = [np.zeros_like(base.w1), np.zeros_like(base.w2)]
             lookup, seen = Lookup(vocab), 0
             for batch in batches:
-                texts = batch.column(0).cast(pa.binary()).to_pylist()
-                if not texts:
-                    continue
-                _, places, starts = _tokens(lookup, texts)
-                label, slot, name, *_ = lookup.tables()
-                feats = history(name[places], starts[:-1])
-                for a in range(0, len(places), _BATCH):
-                    at = places[a:a + _BATCH]
-                    train_on(own, squares, [f[a:a + _BATCH] for f in feats], label[at], slot[at])
+                words, places, starts = _tokens(batch.column(0))
+                label, slot, name, *_ = lookup.of(words)
+                feats, a = history(name[places], starts[:-1]), 0
+                while a < len(places):
+                    b = a + step_tokens(seen + a, edge)
+                    at = places[a:b]
+                    train_on(own, squares, [f[a:b] for f in feats], label[at], slot[at])
+                    a = b
                 seen += len(places)
             if seen:
                 pieces = np.array_split(np.concatenate([own.w1 - base.w1, own.w2 - base.w2]), cuts)
@@ -408,40 +427,39 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_type = rows.schema["id"].dataType
     kind = f"key long, id {id_type.simpleString()}, held_out boolean, n_tokens long, " \
         "n_known long, base double, score double, tail array<struct<word:binary,tf:int>>"
-    tail_type = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int32())]))
 
     def score(batches):
         model, vocab = shared.value
         lookup, key = Lookup(vocab), TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            if not texts:
+            docs = len(batch)
+            if not docs:
                 continue
-            words, places, starts = _tokens(lookup, texts)
-            label, slot, names, logc, static, at = lookup.tables()
+            words, places, starts = _tokens(batch.column(1))
+            label, slot, names, logc, static, at = lookup.of(words)
             feats = history(names[places], starts[:-1])
-            logp = np.empty(len(places))
+            logp = static[places]
             for a in range(0, len(places), _BATCH):
                 p = places[a:a + _BATCH]
-                logp[a:a + _BATCH] = log_probabilities(
-                    model, [f[a:a + _BATCH] for f in feats], label[p], slot[p]) / math.log(10) \
-                    + static[p]
-            head = at[places] >= 0
-            base = np.where(head, logc[places], 0.0) - lookup.norm
-            tails: list[Counter] = [Counter() for _ in texts]
-            rare = np.flatnonzero(~head)
-            for i, doc in zip(rare.tolist(), (np.searchsorted(starts, rare, "right") - 1).tolist()):
-                tails[doc][words[i]] += 1
+                logp[a:a + _BATCH] += log_probabilities(
+                    model, [f[a:a + _BATCH] for f in feats], label[p], slot[p]) / math.log(10)
+            head = at >= 0
+            base = np.where(head, logc, 0.0) - lookup.norm
+            rare = np.flatnonzero(~head[places])
+            owner = np.repeat(np.arange(docs), np.diff(starts))[rare]
+            pairs, tf = np.unique(owner * len(words) + places[rare], return_counts=True)
+            tails = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(pairs, np.arange(docs + 1) * len(words)), pa.int32()),
+                pa.StructArray.from_arrays([words.take(pa.array(pairs % len(words))),
+                                            pa.array(tf, pa.int32())], ["word", "tf"]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(key, key + len(texts)), pa.int64()), batch.column(0),
+                [pa.array(range(key, key + docs), pa.int64()), batch.column(0),
                  batch.column(2), pa.array(np.diff(starts)),
-                 pa.array(np.add.reduceat(head.astype(np.int64), starts[:-1])),
-                 pa.array(np.add.reduceat(base, starts[:-1])),
-                 pa.array(np.add.reduceat(logp, starts[:-1])),
-                 pa.array([[{"word": w, "tf": n} for w, n in t.items()] for t in tails],
-                          tail_type)],
+                 pa.array(np.add.reduceat(head[places].astype(np.int64), starts[:-1])),
+                 pa.array(np.add.reduceat(base[places], starts[:-1])),
+                 pa.array(np.add.reduceat(logp, starts[:-1])), tails],
                 names=["key", "id", "held_out", "n_tokens", "n_known", "base", "score", "tail"])
-            key += len(texts)
+            key += docs
 
     scored = stored(rows.select("id", "text", "held_out").mapInArrow(score, kind), "scores")
     tail = scored.select("key", F.explode("tail").alias("t")).select("key", "t.word", "t.tf")

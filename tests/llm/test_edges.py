@@ -5,6 +5,7 @@ import random
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -199,6 +200,61 @@ def test_lm_work_follows_the_logarithm(spark):
     assert np.abs(logp - np.log(shares)).max() < 0.01
 
 
+def test_lm_tokens_of_a_batch():
+    """Words as the plain splitter gives them, each looked up once a batch; every text has its end."""
+    texts = [" A b  c\t", "", None, "x\x0by\x0cz\x1cw\x85\r\nÀB A, b.", "  ", "b " * 50]
+    distinct, places, starts = langmodel._tokens(pa.array(texts, pa.string()))
+    found = distinct.to_pylist()
+    plain = [[*words.spaced_words(t and t.encode()), langmodel.END] for t in texts]
+    assert [found[i] for i in places] == [w for x in plain for w in x]
+    assert np.diff(starts).tolist() == [len(x) for x in plain] and len(found) == len({*found})
+    assert langmodel.shapes_of(distinct).tolist() == [langmodel.shape_of(w) for w in found]
+
+
+def test_lm_weights_of_a_block_lie_together(spark):
+    """Four levels of branchings share a line of 16 weights, so a word's path reads few lines a feature."""
+    words = [(f"w{i}".encode(), 10**6 // (i + 3)) for i in range(4000)]
+    model = langmodel.Model(langmodel.gather_vocabulary(spark.createDataFrame(words,
+                                                                              "word binary, c long")))
+    for paths in (model.classes, model.words):
+        for first, count in zip(paths.first.tolist(), paths.count.tolist()):
+            names = paths.names[first:first + count].tolist()
+            assert len({n >> 4 for n in names}) <= -(-count // 4) and len({*names}) == count
+
+
+def test_lm_step_is_the_plain_one():
+    """A step over several chunks equals sums per weight, added up one by one, and the adaptive rule."""
+    names = [f"w{i}".encode() for i in range(1500)]
+    vocab = langmodel.Vocabulary(names, [3000 - i for i in range(1500)], 3 * 10**6, 1500,
+                                 [0.1] * langmodel.SHAPES, 1500)
+    model, draw = langmodel.Model(vocab), np.random.default_rng(3)
+    label, slot, name, *_ = langmodel.Lookup(vocab).of(pa.array(names))
+    text = draw.integers(0, 1500, langmodel._BATCH + 500)
+    feats = langmodel.history(name[text], np.array([0, 70]))
+    size, paths = len(model.w1), model.classes
+    sums = np.zeros(size)
+    for i, leaf in enumerate(label[text].tolist()):
+        for at in range(paths.first[leaf], paths.first[leaf] + paths.count[leaf]):
+            error = -paths.sides[at] / (1 + np.exp(paths.sides[at] * paths.logs[at]))
+            for f in feats:
+                sums[(f[i] ^ paths.names[at]) & (size - 1)] += error
+    langmodel.train_on(model, [np.zeros(size, np.float32) for _ in range(2)], feats, label[text],
+                       slot[text])
+    wanted = -langmodel._RATE * sums / np.sqrt(sums * sums + 1e-3)
+    close = np.abs(model.w1 - wanted) < 1e-3
+    assert close[np.abs(sums) > 0.05].all() and not model.w1[sums == 0].any() and not model.sums.any()
+
+
+def test_lm_steps_grow():
+    """A step has at most a sixteenth of the tokens before it, once those fill the least step."""
+    seen = 0
+    while seen < 10**6:
+        step = langmodel.step_tokens(seen, 1 << 21)
+        assert 1 <= step <= max(seen // 16, langmodel._BATCH // 4) and step <= 1 << 17
+        seen += step
+    assert langmodel.step_tokens(10**9, 1 << 21) == 1 << 17
+
+
 def test_jaccard(spark, docs, empty):
     assert by_id(jaccard.jaccard_components(docs)) == brute.jaccard(TEXTS)
     assert jaccard.jaccard_components(empty).count() == 0
