@@ -24,6 +24,16 @@ def prepare(spark: SparkSession, batch_rows: int = 512) -> None:
     ship_package(spark)
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def giving_back(run: Callable) -> Callable:
     """``run`` for ``mapInArrow``; what it held goes back to the system at the end of the task.
 
@@ -34,12 +44,7 @@ def giving_back(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except AttributeError:  # another C library
-                pass
+            give_back()
     return wrapped
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rtml.llm.common import prepare, stored
@@ -103,9 +104,11 @@ def realise(docs: DataFrame, plan: list[tuple[str | None, int, int]], id_col: st
     """
     spark = docs.sparkSession
     prepare(spark)
-    table = spark.createDataFrame([(s, t, b) for s, t, b in plan],
-                                  "_s string, _t long, _b long") if plan else \
-        spark.createDataFrame([], "_s string, _t long, _b long")
+    # from Arrow: plain rows would be read by Python tasks, whose idle workers stay in memory
+    table = spark.createDataFrame(pa.table({
+        "_s": pa.array([s for s, _, _ in plan], pa.string()),
+        "_t": pa.array([t for _, t, _ in plan], pa.int64()),
+        "_b": pa.array([b for _, _, b in plan], pa.int64())}))
     table = table.withColumn("_full", F.when(F.col("_t") > 0, F.floor(F.col("_b") / F.col("_t")))
                              .otherwise(1)) \
         .withColumn("_rest", F.when(F.col("_t") > 0, F.col("_b") - F.col("_full") * F.col("_t"))

@@ -18,7 +18,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from rtml.llm.common import broadcast_checked, prepare, stored
+from rtml.llm.common import broadcast_checked, give_back, giving_back, prepare, stored
 
 LANES = 2048
 CHECK = 128
@@ -176,18 +176,21 @@ class TextEncoder:
     tests hold this against encoding whole texts.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str, limit: int = 200_000):
+    def __init__(self, tokenizer_json: str, dtype: str, limit: int = 150_000):
         from tokenizers import Tokenizer
         self.words = WordIds(Tokenizer.from_str(tokenizer_json), "H" if dtype == "<u2" else "I",
                              limit)
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
-        words = self.words
-        if len(words) > words.limit:
-            words.older = dict(words)
-            words.clear()
+        words, out = self.words, []
         get = words.__getitem__
-        return [b"".join(map(get, self._lowered(t).split())) if t else b"" for t in texts]
+        for t in texts:
+            if len(words) > words.limit:  # at each text: a batch may bring half as many new words
+                words.older = {}
+                words.older = dict(words)
+                words.clear()
+            out.append(b"".join(map(get, self._lowered(t).split())) if t else b"")
+        return out
 
     @staticmethod
     def _lowered(text: bytes) -> bytes:
@@ -214,6 +217,20 @@ def _encoder(shared, dtype: str) -> TextEncoder:
     return _ENCODERS[key]
 
 
+def _drop_encoder() -> None:
+    """Free this worker's encoder. Called by name, so that it is the worker's own that goes."""
+    _ENCODERS.clear()
+    give_back()
+
+
+def _past_encoding(run):
+    """``run`` for ``mapInArrow``, for tasks after the encoding ones, in the same workers."""
+    def wrapped(batches):
+        _drop_encoder()
+        yield from giving_back(run)(batches)
+    return wrapped
+
+
 def _id_type(tokenizer_json: str, end_id: int) -> str:
     model = json.loads(tokenizer_json)
     ids = list(model["model"]["vocab"].values()) + [t["id"] for t in model.get("added_tokens", [])]
@@ -262,13 +279,16 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(totals[used])],
                                          names=["id", "n"])
 
-    packed = stored(rows.mapInArrow(tokenize, "id long, ids binary"), "packed")
-    counts = packed.select("ids").mapInArrow(count, "id long, n long") \
+    packed = stored(rows.mapInArrow(giving_back(tokenize), "id long, ids binary"), "packed")
+    counts = packed.select("ids").mapInArrow(_past_encoding(count), "id long, n long") \
         .groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     coder = Coder.from_counts(counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
-    spark.createDataFrame(
-        [(coder.bits, [int(x) for x in coder.ids], [int(x) for x in coder.freq], LANES, CHECK)],
-        "bits int, ids array<long>, freqs array<long>, lanes int, check int") \
+    # from Arrow: plain rows would be read by Python tasks, whose idle workers stay in memory
+    whole, many = pa.int32(), pa.list_(pa.int64())
+    spark.createDataFrame(pa.table({
+        "bits": pa.array([coder.bits], whole), "ids": pa.array([coder.ids.astype(np.int64)], many),
+        "freqs": pa.array([coder.freq.astype(np.int64)], many), "lanes": pa.array([LANES], whole),
+        "check": pa.array([CHECK], whole)})) \
         .coalesce(1).write.parquet(f"{path}/table")
     table = spark.sparkContext.broadcast(coder)
 
@@ -302,7 +322,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
             yield flush()
 
     packed.repartitionByRange("id").sortWithinPartitions("id", "ids") \
-        .mapInArrow(encode, BLOCK_SCHEMA) \
+        .mapInArrow(_past_encoding(encode), BLOCK_SCHEMA) \
         .write.option("compression", "none").parquet(f"{path}/blocks")
     return path
 
@@ -355,7 +375,7 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
 
     types = "part long, block long, doc_id long, offset long, n_tokens long, ids_crc32 long" + \
         (", ids array<long>" if with_ids else "")
-    docs = blocks.mapInArrow(decode, types)
+    docs = blocks.mapInArrow(_past_encoding(decode), types)
     sizes = blocks.select("part", "block", "n_ids")
     # one row per written file, so the order of files is a small window
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))

@@ -7,6 +7,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -510,6 +511,33 @@ def test_token_files(spark, docs, empty, tmp_path):
     assert tokenfiles.read_documents(spark, none).count() == 0
 
 
+def test_encoder_remembers_a_bounded_number_of_words():
+    with open(queries.tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as source:
+        model = source.read()
+    texts = [" ".join(f"x{i}y{j}" for j in range(5)).encode() for i in range(60)]
+    coder, plain = (tokenfiles.TextEncoder(model, "<u2", n) for n in (20, 10_000))
+    assert coder.texts(texts) == plain.texts(texts)
+    words = coder.words
+    assert max(len(words), len(words.older)) <= 2 * (20 + 3 * 5) < len(plain.words)
+    assert coder.texts(texts[::-1]) == plain.texts(texts[::-1])
+
+
+def test_encoder_goes_after_encoding():
+    run = cloudpickle.loads(cloudpickle.dumps(tokenfiles._past_encoding(lambda batches: batches)))
+    tokenfiles._ENCODERS["model"] = object()
+    assert list(run(iter([1, 2]))) == [1, 2] and not tokenfiles._ENCODERS
+
+
+def test_small_tables_need_no_python_tasks(spark, docs, tmp_path, monkeypatch):
+    plan = mixing.mixture(docs, max_repetition=1.5)
+    assert "ExistingRDD" not in mixing.realise(docs, plan)._jdf.queryExecution().toString()
+    made, create = [], spark.createDataFrame
+    monkeypatch.setattr(spark, "createDataFrame",
+                        lambda *a, **b: made.append(create(*a, **b)) or made[-1])
+    tokenfiles.write_token_files(docs, f"{tmp_path}/a", queries.tokenizer_file("word_bpe_49k.json"))
+    assert [x._jdf.queryExecution().toString().count("ExistingRDD") for x in made] == [0]
+
+
 def test_coder_round_trip_and_checkpoints():
     draw = np.random.default_rng(0)
     for n in (0, 1, 2047, 2048, 2049, 600_000):
