@@ -7,30 +7,39 @@ from collections.abc import Callable
 from functools import partial
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.mllib.common import _java2py, _py2java
+from pyspark.mllib.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rtml.operators.metrics_clu import calinski_harabasz, center_distances_per_row, \
-    davies_bouldin, silhouette_score
+    davies_bouldin, silhouette_score, with_arrays, with_vectors
 from rtml.operators.sample import feature_subset, folds, nested_sizes
 from rtml.session import plan_bytes
 
 
-def at_once(df: DataFrame, jobs: list[Callable]) -> list:
+#: Rows of a block of vectors that steps of k-means read, and distances of it that are held at once.
+BLOCK, HELD = 1024, 1 << 20
+
+
+def at_once(df: DataFrame, jobs: list[Callable], limit: int = 32 << 20) -> list:
     """Results of ``jobs`` on ``df``, in their order; on a small table as many at once as there are cores.
 
-    A fit is a row of jobs. On a table that Spark estimates below 32 MB their tasks are so short that
-    the cores wait for the driver; a larger one is worked on by one fit at a time.
+    A fit is a row of jobs. On a table that Spark estimates below ``limit`` bytes their tasks are so short
+    that the cores wait for the driver; a larger one is worked on by one fit at a time. Jobs that keep
+    little beside the table may have a higher limit.
     """
     spark = df.sparkSession
-    n = min(len(jobs), spark.sparkContext.defaultParallelism) if plan_bytes(df) < 32 << 20 else 1
+    n = min(len(jobs), spark.sparkContext.defaultParallelism) if plan_bytes(df) < limit else 1
     if n < 2:
         return [job() for job in jobs]
     with ThreadPool(n) as pool:
@@ -133,6 +142,118 @@ def _best(started: list):
     return min(started, key=lambda p: p[0])[1]
 
 
+def _mllib_vector(row):
+    if row[0] is None or not np.isfinite(row[0].toArray()).all():
+        raise ValueError("a vector is null, or has a NaN or an infinite place")
+    return Vectors.fromML(row[0])
+
+
+def _first_centers(df: DataFrame, vec: str, wanted: list[tuple[int, int]]) -> list[np.ndarray]:
+    """First centers by MLlib's k-means|| of every ``(k, seed)``: those that a fit on ``df`` starts from.
+
+    The vectors are decoded once for all starts and lie in memory, or on disk, as objects.
+    """
+    context = df.sparkSession.sparkContext
+    vectors = _py2java(context, with_vectors(df, vec).select(vec).rdd.map(_mllib_vector))
+    vectors.persist(context._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK_DESER))
+
+    def start(k: int, seed: int) -> np.ndarray:
+        model = context._jvm.org.apache.spark.mllib.clustering.KMeans() \
+            .setK(k).setSeed(seed).setMaxIterations(0).run(vectors.rdd())
+        return np.array([c.toArray() for c in _java2py(context, model.clusterCenters())])
+
+    try:
+        return at_once(df, [partial(start, k, s) for k, s in wanted], 1 << 30)
+    finally:
+        vectors.unpersist()
+
+
+def _packed(vec: str, shift: np.ndarray):
+    """Arrays of a column, less ``shift``, as blocks of numbers."""
+    def run(batches):
+        for batch in batches:
+            x = batch.column(vec).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(shift)) - shift
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i:i + BLOCK].tobytes() for i in range(0, len(x), BLOCK)], pa.binary())], ["x"])
+    return run
+
+
+def _moved(blocks, centers: np.ndarray, bounds: list[int]):
+    """Per center the sum and number of the rows nearest to it, and per start the cost.
+
+    ``centers`` of all starts lie under each other; a start begins at its bound. Of equally near centers
+    the first one takes the row.
+    """
+    d = centers.shape[1]
+    half = 0.5 * (centers * centers).sum(1)[:, None]
+    sums, cost = np.zeros((len(centers), d + 1)), np.zeros(len(bounds) - 1)
+    rows = max(1, HELD // len(centers))
+    for block in blocks:
+        whole = np.frombuffer(block).reshape(-1, d)
+        for i in range(0, len(whole), rows):
+            x = whole[i:i + rows]
+            norms = (x * x).sum()
+            gap = half - centers @ x.T  # half the squared distance, less half the row's squared norm
+            for s, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                least = gap[a:b].min(axis=0)
+                cost[s] += norms + 2.0 * least.sum()
+                near = gap[a:b] == least
+                if near.sum() != len(x):
+                    near = np.arange(b - a)[:, None] == near.argmax(axis=0)
+                gap[a:b] = near
+            sums[:, :d] += gap @ x
+            sums[:, d] += gap.sum(axis=1)
+    yield sums, cost
+
+
+def _settled(df: DataFrame, vec: str, starts: list[np.ndarray], iterations: int,
+             tolerance: float) -> list[tuple[float, np.ndarray]]:
+    """Training cost and centers that each of ``starts`` comes to by Lloyd's steps.
+
+    The starts take their steps together: a job reads the rows once and moves the centers of all starts
+    that have not settled. A start settles when none of its centers moves further than ``tolerance``; its
+    cost is that of the centers before the last step, as in MLlib. Centers and sums of all starts
+    are what the driver holds, once per task, and tasks are at most four per core.
+    """
+    context = df.sparkSession.sparkContext
+    cores, shift = context.defaultParallelism, np.concatenate(starts).mean(axis=0)
+    found = [(0.0, np.asarray(c) - shift) for c in starts]
+    packed = with_arrays(df, vec).select(vec).mapInArrow(_packed(vec, shift), "x binary")
+    packed = packed.repartition(max(cores, packed.rdd.getNumPartitions()))  # tasks of one length
+    blocks = packed.rdd.map(lambda r: r[0]).persist(StorageLevel.MEMORY_AND_DISK)
+    few = blocks.coalesce(4 * cores) if blocks.getNumPartitions() > 4 * cores else blocks
+    left = list(range(len(found)))
+    try:
+        for _ in range(iterations):
+            bounds = np.cumsum([0, *[len(found[s][1]) for s in left]]).tolist()
+            sent = context.broadcast(np.concatenate([found[s][1] for s in left]))
+            sums, costs = (sum(v) for v in zip(*few.mapPartitions(
+                lambda b, c=sent, cut=bounds: _moved(b, c.value, cut)).collect()))
+            sent.destroy()
+            moving = []
+            for s, cost, a, b in zip(left, costs, bounds, bounds[1:]):
+                was, n = found[s][1], sums[a:b, -1:]
+                now = np.where(n > 0, sums[a:b, :-1] / np.maximum(n, 1), was)
+                found[s] = float(cost), now
+                if (((now - was) ** 2).sum(axis=1) > tolerance ** 2).any():
+                    moving.append(s)
+            left = moving
+            if not left:
+                break
+    finally:
+        blocks.unpersist()
+    return [(cost, c + shift) for cost, c in found]
+
+
+def _model(df: DataFrame, centers: np.ndarray, vec: str) -> KMeansModel:
+    """A k-means model of given centers."""
+    spark, jvm = df.sparkSession, df.sparkSession._jvm
+    parent = jvm.org.apache.spark.mllib.clustering.KMeansModel(
+        _py2java(spark.sparkContext, [Vectors.dense(c) for c in centers]))
+    model = KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(KMeans().uid, parent))
+    return model.setFeaturesCol(vec).setPredictionCol("cluster")
+
+
 def kmeans_minibatch(df: DataFrame, k: int, vec: str = "features", batch_rows: int = 1024,
                      rounds: int = 100, seed: int = 42) -> tuple[list, object]:
     """Mini-batch k-means: each round assigns about ``batch_rows`` rows and moves the centers by
@@ -142,8 +263,6 @@ def kmeans_minibatch(df: DataFrame, k: int, vec: str = "features", batch_rows: i
     share of that sample and never the table. A center moves by batch count over total count, so later
     rounds move it less.
     """
-    import numpy as np
-    from rtml.operators.metrics_clu import with_arrays
     n = max(df.count(), 1)
     start = KMeans(k=k, featuresCol=vec, maxIter=1, seed=seed).fit(
         df.sample(fraction=min(1.0, 10 * batch_rows / n), seed=seed))
@@ -170,21 +289,24 @@ def kmeans_minibatch(df: DataFrame, k: int, vec: str = "features", batch_rows: i
 
 def k_search(df: DataFrame, ks: range = range(2, 11), vec: str = "features", seed: int = 42,
              seeds: int = 10, iterations: int = 300) -> DataFrame:
-    """All four scores per k; ``is_best`` marks the largest silhouette."""
+    """All four scores per k; ``is_best`` marks the largest silhouette.
+
+    MLlib chooses the first centers of every start; from there all starts of all k go on together.
+    """
     cached = df.persist()
 
-    def scores(k: int, model) -> tuple:
-        placed = model.transform(cached)
-        return (k, float(model.summary.trainingCost),
+    def scores(k: int, cost: float, centers: np.ndarray) -> tuple:
+        placed = _model(cached, centers, vec).transform(cached)
+        return (k, cost,
                 float(silhouette_score(placed, vec, "cluster")),
                 float(calinski_harabasz(placed, vec, "cluster").first()[0]),
                 float(davies_bouldin(placed, vec, "cluster").first()[0]))
 
     try:
-        started = at_once(cached, [job for k in ks for job in _starts(
-            cached, k, vec, seeds, iterations, 1e-4, seed)])
-        rows = at_once(cached, [partial(scores, k, _best(started[i * seeds:(i + 1) * seeds]))
-                                for i, k in enumerate(ks)])
+        chosen = _first_centers(cached, vec, [(k, seed + s) for k in ks for s in range(seeds)])
+        settled = _settled(cached, vec, chosen, iterations, 1e-4)
+        best = [min(settled[i * seeds:(i + 1) * seeds], key=lambda p: p[0]) for i in range(len(ks))]
+        rows = at_once(cached, [partial(scores, k, *b) for k, b in zip(ks, best)], 1 << 30)
     finally:
         cached.unpersist()
     best = max(rows, key=lambda r: r[2])[0]

@@ -111,3 +111,33 @@ def test_cells_score_as_rows_do(spark, monkeypatch):
             value = F.col(output) if output == "prediction" else L.vector_to_array(output)[1]
             assert average == pytest.approx(at.agg(F.avg(value)).first()[0], rel=1e-12)
     assert len(found) == 3
+
+
+def test_starts_that_move_together_settle_where_fits_do(spark):
+    """Costs and centers of MLlib's fits, one by one, from jobs that move all starts at once."""
+    import numpy as np
+    from pyspark.ml.clustering import KMeans
+    from rtml.operators import train as M
+    x = np.random.default_rng(5).normal(size=(400, 3)).round(1) + 50.0  # many rows at equal distances
+    rows = spark.createDataFrame([(v.tolist(),) for v in [*x, *x[:90]]], "v array<double>") \
+        .select(array_to_vector("v").alias("features")).repartition(3).persist()
+    wanted = [(k, s) for k in (2, 4, 7) for s in (42, 43)]
+    chosen = M._first_centers(rows, "features", wanted)
+    for steps in (30, 2):
+        found = M._settled(rows, "features", chosen, steps, 1e-4)
+        for (k, s), (cost, centers) in zip(wanted, found):
+            fit = KMeans(k=k, seed=s, maxIter=steps, tol=1e-4).fit(rows)
+            assert cost == pytest.approx(fit.summary.trainingCost, rel=1e-9)
+            assert np.allclose(centers, np.array(fit.clusterCenters()), atol=1e-9)
+    context = spark.sparkContext
+    context.setJobGroup("settle", "all starts")
+    M._settled(rows, "features", chosen, 30, 1e-4)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert 1 <= len(context.statusTracker().getJobIdsForGroup("settle")) <= 30  # not so many a start
+
+
+def test_a_vector_without_a_place_is_refused(spark):
+    from rtml.operators import train as M
+    rows = spark.createDataFrame([([1.0, float("nan")],), ([1.0, 2.0],)], "v array<double>")
+    with pytest.raises(Exception, match="NaN"):
+        M.k_search(rows.select(array_to_vector("v").alias("features")), range(2, 3), seeds=1)
