@@ -19,12 +19,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.mllib.common import _java2py, _py2java
 from pyspark.mllib.linalg import Vectors
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rtml.operators.metrics_clu import calinski_harabasz, center_distances_per_row, \
     davies_bouldin, silhouette_score, with_arrays, with_vectors
 from rtml.operators.sample import feature_subset, folds, nested_sizes
-from rtml.session import plan_bytes
+from rtml.session import plan_bytes, scratch_path
 
 
 #: Rows of a block of vectors that steps of k-means read, and distances of it that are held at once.
@@ -333,6 +333,144 @@ def model_score(model, df: DataFrame, label: str, metric: str) -> float:
         .evaluate(model.transform(cells))
 
 
+def _walk(model, depths: list[int]) -> tuple | None:
+    """Splits, children and class shares of the nodes of a forest, and where rows end per depth.
+
+    A node's ``end`` at a depth is the leaf that the forest grown to that depth has there: the node itself,
+    or the topmost node above it all of whose leaves predict the same. None for categorical splits.
+    """
+    path = scratch_path(SparkSession.active(), "forest")
+    model.write().save(path)
+    read = SparkSession.active().read.parquet(f"{path}/data").select("treeID", "nodeData.*").select(
+        "*", "split.featureIndex", "split.numCategories",
+        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("cut")).drop("split").toPandas()
+    nodes = read.sort_values(["treeID", "id"], ignore_index=True)
+    if ((nodes["leftChild"] >= 0) & (nodes["numCategories"] != -1)).any():
+        return None
+    first = np.searchsorted(nodes["treeID"], np.arange(model.getNumTrees))
+    base, inner = first[nodes["treeID"]], nodes["leftChild"].to_numpy() >= 0
+    at = np.arange(len(nodes))
+    left, right = (np.where(inner, base + nodes[c].to_numpy(), at) for c in ("leftChild", "rightChild"))
+    feature = np.where(inner, nodes["featureIndex"], 0)
+    cut = np.where(inner, nodes["cut"], np.inf).astype(float)
+    counts = np.stack(nodes["impurityStats"].to_numpy()).astype(float)
+    total = counts.sum(axis=1, keepdims=True)
+    share = np.divide(counts, total, out=np.zeros_like(counts), where=total != 0)
+    says, level, up = nodes["prediction"].to_numpy(), np.zeros(len(nodes), int), at.copy()
+    rows, below = first, []
+    while len(rows):
+        below.append(rows)
+        rows = rows[inner[rows]]
+        for child in (left[rows], right[rows]):
+            level[child], up[child] = len(below), rows
+        rows = np.concatenate([left[rows], right[rows]])
+    ends = []
+    for depth in depths:
+        leaf = ~inner | (level >= depth)
+        for rows in below[:depth][::-1]:
+            a, b = left[rows], right[rows]
+            leaf[rows] |= leaf[a] & leaf[b] & (says[a] == says[b])
+        end = at.copy()
+        for rows in below[1:depth + 1]:
+            above = end[up[rows]]
+            end[rows] = np.where(leaf[above], above, rows)
+        ends.append(end)
+    return first, left, right, feature, cut, share, ends
+
+
+def _pair_counts(sent, depths: list[int], columns: list[str]):
+    """Numbers of rows per depth, part, class and predicted class, of each batch."""
+    def run(batches):
+        first, left, right, feature, cut, share, ends = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([batch.column(f"_x{i}").to_numpy(zero_copy_only=False)
+                                 for i in range(len(columns))])
+            row, votes = np.arange(len(x)), np.zeros((len(depths), len(x), share.shape[1]))
+            for at in first:
+                at = np.full(len(x), at)
+                for step in range(max(depths) + 1):
+                    for v in [v for v, depth in enumerate(depths) if depth == step]:
+                        votes[v] += share[ends[v][at]]
+                    at = np.where(x[row, feature[at]] <= cut[at], left[at], right[at])
+            part, label = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_held", "_label"))
+            for v, said in enumerate(votes.argmax(axis=2)):
+                kind, n = np.unique(np.column_stack([part, label, said]).astype(float), axis=0,
+                                    return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), v), pa.int32()), pa.array(kind[:, 0] > 0), pa.array(kind[:, 1]),
+                     pa.array(kind[:, 2]), pa.array(n.astype(float))],
+                    names=["_v", "_held", "label", "prediction", "_n"])
+    return run
+
+
+def _by_depth(estimators: list) -> bool:
+    """Whether the estimators are forests of classes on the same numbers that only differ in their depth.
+
+    Then the most deep one holds the others: a forest draws the features of its nodes level by level, and
+    what a shallower one has as a leaf is an inner node there.
+    """
+    kinds = [e.getStages() if isinstance(e, Pipeline) else [] for e in estimators]
+    if not all(len(s) == 2 and type(s[0]) is VectorAssembler and type(s[1]) is RandomForestClassifier
+               and s[0].getHandleInvalid() == "keep" and s[0].getOutputCol() == s[1].getFeaturesCol()
+               and not s[1].isSet("weightCol") and not s[1].isSet("thresholds") for s in kinds):
+        return False
+
+    def settings(stages):
+        return [{p.name: v for p, v in s.extractParamMap().items() if p.name not in (
+            "maxDepth", *(["outputCol"] if s is stages[0] else ["featuresCol"]))} for s in stages]
+    return all(settings(s) == settings(kinds[0]) for s in kinds)
+
+
+def _depth_scores(estimators: list, df: DataFrame, held: Column, label: str, metric: str) -> list | None:
+    """``both_scores`` of forests that only differ in depth, from a fit of the most deep one and one pass.
+
+    None where that fit may not hold the others: if MLlib cannot work on a whole level at once.
+    """
+    depths = [e.getStages()[1].getMaxDepth() for e in estimators]
+    deepest = estimators[depths.index(max(depths))]
+    model, columns = deepest.fit(df.where(~held)), deepest.getStages()[0].getInputCols()
+    forest_ = model.stages[1]
+    level = 8 * forest_.getNumTrees * 2 ** max(max(depths) - 1, 0) * len(columns) * \
+        forest_.getMaxBins() * forest_.numClasses
+    walked = _walk(forest_, depths) if forest_.numFeatures == len(columns) and \
+        level <= forest_.getMaxMemoryInMB() << 20 else None
+    if walked is None:
+        return None
+    sent = df.sparkSession.sparkContext.broadcast(walked)
+    pairs = df.where(held.isNotNull()).select(
+        held.alias("_held"), F.col(label).cast("double").alias("_label"),
+        *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)]) \
+        .mapInArrow(_pair_counts(sent, depths, columns),
+                    "_v int, _held boolean, label double, prediction double, _n double") \
+        .groupBy("_v", "_held", "label", "prediction").agg(F.sum("_n").alias("_n")).collect()
+    sent.destroy()
+    return [_scores_of(df, [r[1:] for r in pairs if r[0] == v], metric) for v in range(len(depths))]
+
+
+def _scores_of(df: DataFrame, pairs: list, metric: str) -> tuple[float, float]:
+    """Scores of the rows that are not held and of those that are, from counts per pair of classes."""
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName=metric, weightCol="_n")
+    return tuple(float(evaluator.evaluate(df.sparkSession.createDataFrame(
+        [tuple(r[1:]) for r in pairs if r[0] is part], "label double, prediction double, _n double").coalesce(1)))
+        for part in (False, True))
+
+
+def both_scores(model, df: DataFrame, held: Column, label: str, metric: str) -> tuple[float, float]:
+    """``score_of`` a model on the rows that are not ``held`` and on those that are.
+
+    Classes are predicted in one pass over all rows; the scores come from the counts per pair of classes.
+    """
+    if metric not in ("f1", "accuracy"):
+        return tuple(float(score_of(model.transform(df.where(rows)), label, metric))
+                     for rows in (~held, held))
+    pairs = model.transform(df).groupBy(
+        held.alias("_held"), F.col(label).cast("double").alias("label"), "prediction") \
+        .agg(F.count(F.lit(1)).cast("double").alias("_n")).collect()
+    return _scores_of(df, pairs, metric)
+
+
 def cv_scores(df: DataFrame, estimator, label: str, key: str, metric: str, k: int = 5,
               stratify: bool = True, seed: int = 42) -> DataFrame:
     """Held-out score of each fold."""
@@ -349,16 +487,26 @@ def cv_scores(df: DataFrame, estimator, label: str, key: str, metric: str, k: in
 
 def validation_curve(df: DataFrame, build, values: list, label: str, key: str, metric: str,
                      k: int = 3, stratify: bool = True, seed: int = 42) -> DataFrame:
-    """Training and held-out score per parameter value and fold; ``build(value)`` makes the model."""
+    """Training and held-out score per parameter value and fold; ``build(value)`` makes the model.
+
+    A fit leaves the cores idle between its steps, so on a table below 128 MB fits run beside each other.
+    Forests of classes that only differ in depth are scored from one fit a fold.
+    """
     parts = folds(df, key, k, label if stratify else None, seed).persist()
-    rows = []
+    built = [build(v) for v in values]
+    nested = len(built) > 1 and metric in ("f1", "accuracy") and _by_depth(built)
+
+    def scores(estimator, i: int) -> tuple[float, float]:
+        model = estimator.fit(parts.where(F.col("fold") != i))
+        return both_scores(model, parts, F.col("fold") == i, label, metric)
+
     try:
-        for v in values:
-            for i in range(k):
-                train, held = parts.where(F.col("fold") != i), parts.where(F.col("fold") == i)
-                model = build(v).fit(train)
-                rows.append((float(v), i, float(model_score(model, train, label, metric)),
-                             float(model_score(model, held, label, metric))))
+        found = at_once(parts, [partial(_depth_scores, built, parts, F.col("fold") == i, label, metric)
+                                for i in range(k)], 128 << 20) if nested else [None]
+        if None in found:
+            found = at_once(parts, [partial(scores, e, i) for i in range(k) for e in built], 128 << 20)
+            found = [found[i * len(built):(i + 1) * len(built)] for i in range(k)]
+        rows = [(float(v), i, *found[i][j]) for j, v in enumerate(values) for i in range(k)]
     finally:
         parts.unpersist()
     return df.sparkSession.createDataFrame(

@@ -141,3 +141,65 @@ def test_a_vector_without_a_place_is_refused(spark):
     rows = spark.createDataFrame([([1.0, float("nan")],), ([1.0, 2.0],)], "v array<double>")
     with pytest.raises(Exception, match="NaN"):
         M.k_search(rows.select(array_to_vector("v").alias("features")), range(2, 3), seeds=1)
+
+
+def test_fits_of_a_curve_run_beside_each_other_and_score_all_rows(spark):
+    """Scores are those of fits made one by one, from one pass over all rows of a model."""
+    import threading
+    from pyspark.sql import functions as F
+    from rtml.operators import train as M
+    from rtml.operators.sample import folds
+    df = spark.range(600).select("id", (F.rand(1) * 10).alias("a"), F.rand(2).alias("b")).withColumn(
+        "y", (F.col("a") + 5 * F.col("b") + F.rand(3) > 8).cast("int")).persist()
+    together = threading.Barrier(4)
+
+    class Waits:
+        def __init__(self, depth):
+            self.inner = M.forest(["a", "b"], "y", True, 5, depth)
+
+        def fit(self, rows):
+            together.wait(60)
+            return self.inner.fit(rows)
+
+    for metric in ("f1", "accuracy"):
+        found = M.validation_curve(df, Waits, [1, 3], "y", "id", metric, k=2).collect()
+        parts = folds(df, "id", 2, "y").persist()
+        assert [(r.value, r.fold) for r in found] == [(1, 0), (1, 1), (3, 0), (3, 1)]
+        for r in found:
+            train, held = parts.where(F.col("fold") != r.fold), parts.where(F.col("fold") == r.fold)
+            model = M.forest(["a", "b"], "y", True, 5, int(r.value)).fit(train)
+            assert r.train_score == pytest.approx(M.score_of(model.transform(train), "y", metric), rel=1e-12)
+            assert r.test_score == pytest.approx(M.score_of(model.transform(held), "y", metric), rel=1e-12)
+
+
+def test_depths_of_a_forest_come_from_one_fit(spark, monkeypatch):
+    """A forest grown deep holds the shallow ones, which merge leaves that predict the same."""
+    from pyspark.sql import functions as F
+    from rtml.operators import train as M
+    from rtml.operators.sample import folds
+    df = spark.range(900).select(
+        "id", F.round(F.rand(1) * 10, 1).alias("a"), F.rand(2).alias("b"),
+        (F.col("id") % 7).alias("c")).withColumn("y", F.when(F.rand(4) < 0.15, 2).otherwise(
+            (F.col("a") + 5 * F.col("b") + 4 * F.rand(3) > 9).cast("int"))).persist()
+    parts = folds(df, "id", 2, "y").persist()
+    wanted = {}
+    for depth in (0, 1, 3, 6):
+        for i in range(2):
+            train, held = parts.where(F.col("fold") != i), parts.where(F.col("fold") == i)
+            model = M.forest(["a", "b", "c"], "y", True, 7, depth).fit(train)
+            wanted[depth, i] = [M.score_of(model.transform(p), "y", "f1") for p in (train, held)]
+    fits = []
+    fit = M.Pipeline._fit
+    monkeypatch.setattr(M.Pipeline, "_fit", lambda self, rows: (fits.append(1), fit(self, rows))[1])
+    for memory, values, n in ((256, [3, 0, 6, 1], 2), (0, [1, 2], 6)):  # 0: a level is worked on in pieces
+        fits.clear()
+
+        def build(depth):
+            made = M.forest(["a", "b", "c"], "y", True, 7, depth)
+            made.getStages()[1].setMaxMemoryInMB(memory)
+            return made
+        found = M.validation_curve(df, build, values, "y", "id", "f1", k=2).collect()
+        assert len(found) == 2 * len(values) and len(fits) == n
+        if memory:
+            assert {(r.value, r.fold): [r.train_score, r.test_score] for r in found} == {
+                k: pytest.approx(v, rel=1e-12) for k, v in wanted.items()}
