@@ -153,3 +153,37 @@ def test_blocks_find_the_pairs_of_a_sum_place_by_place(spark, tmp_path, monkeypa
     assert {(r._row, r.mc): r.d2 for r in found} == want and len(found) == len(want) > 1000
     assert all(r._x == x[r._row].tolist() for r in found)
     assert step.near(rows, centers.where("mc < 0")).count() == 0
+
+
+def test_handfuls_choose_the_centers_of_one_long_row(spark, tmp_path, monkeypatch):
+    """Few handfuls, and centers as if rows came one by one in the order of their hash."""
+    from pyspark.sql import functions as F
+    from rtml.streaming import density
+    monkeypatch.setattr(density, "LEADERS", 20)
+    monkeypatch.setattr(density, "BLOCK", 60)
+    draw = np.random.default_rng(8)
+    x = np.concatenate([draw.uniform(-4, 4, (500, 2)), draw.normal(1, 0.1, (200, 2))])
+    x[300:320] = x[280:300]  # rows that come twice
+    step = density.DensityClusters(spark, str(tmp_path), "x", radius=0.4, dims=2)
+    rows = frame(spark, x).selectExpr("id AS _row", "x AS _x").persist()
+    old = spark.createDataFrame([(4, [0.0, 0.0], 1.0)], "mc long, center array<double>, weight double")
+    order = [r._row for r in rows.select("_row").orderBy(F.xxhash64("_row")).collect()]
+    want, at = [], np.array([[0.0, 0.0]])
+    for i in order:
+        if ((at - x[i]) ** 2).sum(axis=1).min() > 0.4 ** 2:
+            at = np.vstack([at, x[i]])
+            want.append((5 + len(want), x[i].tolist()))
+    calls = []
+    near = step.near
+    monkeypatch.setattr(step, "near", lambda a, b: (calls.append(1), near(a, b))[1])
+    found = sorted((r.mc, r.center) for r in step._new_centers(rows, old, 5).collect())
+    assert found == want and len(want) > 60
+    assert len(calls) <= 5  # uncovered rows in handfuls of 20 took one call each
+
+
+def test_first_apart_of_close_pairs():
+    from rtml.streaming.density import _first_apart
+    order = np.array([7, 3, 9, 1, 5])
+    assert _first_apart(order, np.array([3, 1, 7]), np.array([7, 3, 7])) == [7, 9, 1, 5]
+    assert _first_apart(order, np.array([], int), np.array([], int)) == [7, 3, 9, 1, 5]
+    assert _first_apart(order[:0], np.array([], int), np.array([], int)) == []
